@@ -102,4 +102,5 @@ def id_resolution(df: DataFrame, id_col: Column) -> DataFrame:
 
 def delete_actions(ids: DataFrame, index: str) -> DataFrame:
     """PRJ-7: ``id`` -> ``(action='delete', index, id)``."""
-    return ids.select(F.lit("delete").alias("action"), F.lit(index).alias("index"), F.col(ID))
+    return ids.select(F.lit("delete").alias("action"), F.lit(index).alias("index"), F.col(ID),
+                      *[c for c in ids.columns if c != ID])
