@@ -73,7 +73,11 @@ def stem_column(df: DataFrame, column: str = "token", only_if: str | None = None
     for stage in porter.stages(porter.SPARK, w=w, flag=f):
         out = out.selectExpr(*keep, "__t0", f"{stage.get(w, w)} AS {w}", f"{stage.get(f, f)} AS {f}")
     skip = "length(__t0) < 3" if only_if is None else f"length(__t0) < 3 OR NOT `{only_if}`"
-    return out.selectExpr(*keep, f"CASE WHEN {skip} THEN __t0 ELSE {w} END AS `{column}`")
+    # The stem leaves through a one-element explode: a filter or join key on
+    # the stemmed column then stops at the Generate instead of being pushed
+    # down (and substituted) through every stage, which would copy each
+    # stage's expression once per reference.
+    return out.selectExpr(*keep, f"explode(array(CASE WHEN {skip} THEN __t0 ELSE {w} END)) AS `{column}`")
 
 
 def analyze_tokens(df: DataFrame, key_cols: list[str], text_col: str,
