@@ -113,3 +113,18 @@ def spool_classes_q(spark, sf_dir):
     path = _spool_dir(spark)
     spool.append_spool(reconciled(spark, sf_dir), path)
     return spool.spool_classes(spark, path)
+
+
+@query("sync_stream", FINAL_SQL, ("STR-1", "STR-2", "STR-3", "STR-4", "STR-5", "SNK-11"))
+def sync_stream_q(spark, sf_dir):
+    from docforge.streaming.sync_stream import action_log_state, start_sync
+
+    base = sync.new_session_scoped_dir(spark, "sync")
+    landing, log, ckpt = f"{base}/landing", f"{base}/actions", f"{base}/checkpoint"
+    # producer side: the change rows land as files (several flushes per file)
+    change_rows(spark, sf_dir).repartition(6).write.parquet(landing)
+    q = start_sync(spark, landing, log, ckpt, dataset_entities(spark), max_files_per_trigger=2)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return action_log_state(spark, log)
