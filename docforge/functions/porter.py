@@ -48,78 +48,95 @@ STEP4 = [
 
 
 class Dialect:
-    def __init__(self, regex_fn: str):
+    def __init__(self, regex_fn: str, ends_fn: str):
         self.regex_fn = regex_fn
+        self.ends_fn = ends_fn
 
     def rx(self, expr: str, pattern: str) -> str:
         return f"{self.regex_fn}({expr}, '{pattern}')"
 
+    def ends(self, w: str, suffix: str) -> str:
+        return f"{self.ends_fn}({w}, '{suffix}')"
 
-SPARK = Dialect("regexp_like")
-DUCKDB = Dialect("regexp_matches")
+    def at(self, array_sql: str, index: str) -> str:
+        """1-based element of a literal array."""
+        if self.regex_fn == "regexp_matches":
+            return f"{array_sql.replace('array(', '[', 1)[:-1]}][{index}]"
+        return f"element_at({array_sql}, {index})"
 
 
-def _head(w: str, k: int) -> str:
-    return f"left({w}, length({w}) - {k})"
-
-
-def _ends(w: str, suffix: str) -> str:
-    return f"right({w}, {len(suffix)}) = '{suffix}'"
+SPARK = Dialect("regexp_like", "endswith")
+DUCKDB = Dialect("regexp_matches", "ends_with")
 
 
-def _rule_case(d: Dialect, w: str, rules, measure: str) -> str:
-    parts = []
-    for suffix, repl in sorted(rules, key=lambda r: -len(r[0])):
-        stem = _head(w, len(suffix))
-        parts.append(f"WHEN {_ends(w, suffix)} THEN CASE WHEN {d.rx(stem, measure)} "
-                     f"THEN {stem} || '{repl}' ELSE {w} END")
-    return "CASE " + " ".join(parts) + f" ELSE {w} END"
+def _head(w: str, k: int) -> str:
+    return f"left({w}, length({w}) - {k})"
 
 
-def stages(d: Dialect, w: str = "w", flag: str = "f") -> list[dict[str, str]]:
+def _rule_stages(d: Dialect, w: str, k: str, rules, measure: str, extra=None) -> list[dict[str, str]]:
+    """Two small projections for one suffix step (keeps generated code small
+    enough to be JIT-compiled): first the index of the longest matching
+    suffix (0 = none), then the rewrite for that one suffix."""
+    ordered = sorted(rules, key=lambda r: -len(r[0]))
+    pick = "CASE " + " ".join(f"WHEN {d.ends(w, sfx)} THEN {i + 1}" for i, (sfx, _) in enumerate(ordered)) + " ELSE 0 END"
+    lens = "array(" + ", ".join(str(len(sfx)) for sfx, _ in ordered) + ")"
+    repls = "array(" + ", ".join(f"'{r}'" for _, r in ordered) + ")"
+    # greatest(k, 1): the index is only read when k > 0, but a hoisted common
+    # subexpression must never see index 0
+    stem = f"left({w}, length({w}) - {d.at(lens, f'greatest({k}, 1)')})"
+    cond = d.rx(stem, measure)
+    if extra is not None:
+        cond = f"({extra(ordered, stem, k)}) AND {cond}"
+    rewrite = f"CASE WHEN {k} = 0 THEN {w} WHEN {cond} THEN {stem} || {d.at(repls, f'greatest({k}, 1)')} ELSE {w} END"
+    return [{k: pick}, {w: rewrite}]
+
+
+def stages(d: Dialect, w: str = "w", flag: str = "f", k: str = "k") -> list[dict[str, str]]:
     """Ordered stages; each maps output column -> SQL over the previous stage.
 
-    Column ``w`` is the word being stemmed; ``f`` is the step-1b flag.
+    Column ``w`` is the word being stemmed; ``f`` is the step-1b flag and
+    ``k`` the matched-suffix index of steps 2-4.
     """
     out: list[dict[str, str]] = []
     # mark an initial y as a consonant
     out.append({w: f"CASE WHEN left({w}, 1) = 'y' THEN 'Y' || substr({w}, 2) ELSE {w} END"})
     # step 1a
-    out.append({w: (f"CASE WHEN {_ends(w, 'sses')} THEN {_head(w, 2)} "
-                    f"WHEN {_ends(w, 'ies')} THEN {_head(w, 2)} "
-                    f"WHEN {_ends(w, 'ss')} THEN {w} "
-                    f"WHEN {_ends(w, 's')} THEN {_head(w, 1)} ELSE {w} END")})
-    # step 1b: eed / ed / ing, with a flag for the clean-up
-    ed_ok = f"{_ends(w, 'ed')} AND {d.rx(_head(w, 2), HAS_VOWEL)}"
-    ing_ok = f"{_ends(w, 'ing')} AND {d.rx(_head(w, 3), HAS_VOWEL)}"
-    out.append({
-        w: (f"CASE WHEN {_ends(w, 'eed')} THEN CASE WHEN {d.rx(_head(w, 3), M_GT0)} THEN {_head(w, 1)} "
-            f"ELSE {w} END WHEN {ed_ok} THEN {_head(w, 2)} WHEN {ing_ok} THEN {_head(w, 3)} ELSE {w} END"),
-        flag: f"CASE WHEN {_ends(w, 'eed')} THEN false WHEN {ed_ok} THEN true WHEN {ing_ok} THEN true ELSE false END",
-    })
+    out.append({w: (f"CASE WHEN {d.ends(w, 'sses')} THEN {_head(w, 2)} "
+                    f"WHEN {d.ends(w, 'ies')} THEN {_head(w, 2)} "
+                    f"WHEN {d.ends(w, 'ss')} THEN {w} "
+                    f"WHEN {d.ends(w, 's')} THEN {_head(w, 1)} ELSE {w} END")})
+    # step 1b: eed / ed / ing. First classify (k: 1 = eed with m > 0,
+    # 2 = ed, 3 = ing, each with its condition met), then rewrite and set the
+    # clean-up flag; two small projections instead of one large one.
+    out.append({k: (f"CASE WHEN {d.ends(w, 'eed')} THEN CASE WHEN {d.rx(_head(w, 3), M_GT0)} THEN 1 ELSE 0 END "
+                    f"WHEN {d.ends(w, 'ed')} THEN CASE WHEN {d.rx(_head(w, 2), HAS_VOWEL)} THEN 2 ELSE 0 END "
+                    f"WHEN {d.ends(w, 'ing')} THEN CASE WHEN {d.rx(_head(w, 3), HAS_VOWEL)} THEN 3 ELSE 0 END "
+                    f"ELSE 0 END")})
+    out.append({w: (f"CASE WHEN {k} = 1 THEN {_head(w, 1)} WHEN {k} = 2 THEN {_head(w, 2)} "
+                    f"WHEN {k} = 3 THEN {_head(w, 3)} ELSE {w} END"),
+                flag: f"{k} >= 2"})
     out.append({w: (f"CASE WHEN NOT {flag} THEN {w} "
                     f"WHEN right({w}, 2) IN ('at', 'bl', 'iz') THEN {w} || 'e' "
                     f"WHEN {d.rx(w, DOUBLE_END)} THEN {_head(w, 1)} "
                     f"WHEN {d.rx(w, CVC_M1)} THEN {w} || 'e' ELSE {w} END")})
     # step 1c
-    out.append({w: f"CASE WHEN {_ends(w, 'y')} AND {d.rx(_head(w, 1), HAS_VOWEL)} THEN {_head(w, 1)} || 'i' ELSE {w} END"})
+    out.append({w: f"CASE WHEN {d.ends(w, 'y')} AND {d.rx(_head(w, 1), HAS_VOWEL)} THEN {_head(w, 1)} || 'i' ELSE {w} END"})
     # steps 2 and 3 (m > 0)
-    out.append({w: _rule_case(d, w, STEP2, M_GT0)})
-    out.append({w: _rule_case(d, w, STEP3, M_GT0)})
+    out += _rule_stages(d, w, k, STEP2, M_GT0)
+    out += _rule_stages(d, w, k, STEP3, M_GT0)
     # step 4 (m > 1); -ion only after s or t
-    parts = []
-    for suffix in sorted(STEP4, key=lambda s: -len(s)):
-        stem = _head(w, len(suffix))
-        cond = d.rx(stem, M_GT1)
-        if suffix == "ion":
-            cond = f"right({stem}, 1) IN ('s', 't') AND {cond}"
-        parts.append(f"WHEN {_ends(w, suffix)} THEN CASE WHEN {cond} THEN {stem} ELSE {w} END")
-    out.append({w: "CASE " + " ".join(parts) + f" ELSE {w} END"})
+    ion = [i + 1 for i, (sfx, _) in enumerate(sorted([(x, "") for x in STEP4], key=lambda r: -len(r[0])))
+           if sfx == "ion"][0]
+
+    def ion_rule(ordered, stem, kcol):
+        return f"{kcol} <> {ion} OR {d.ends(w, 'sion')} OR {d.ends(w, 'tion')}"
+
+    out += _rule_stages(d, w, k, [(x, "") for x in STEP4], M_GT1, extra=ion_rule)
     # step 5a, 5b
     head1 = _head(w, 1)
-    out.append({w: (f"CASE WHEN {_ends(w, 'e')} AND ({d.rx(head1, M_GT1)} OR "
+    out.append({w: (f"CASE WHEN {d.ends(w, 'e')} AND ({d.rx(head1, M_GT1)} OR "
                     f"({d.rx(head1, M_EQ1)} AND NOT {d.rx(head1, CVC_M1)})) THEN {head1} ELSE {w} END")})
-    out.append({w: f"CASE WHEN {_ends(w, 'll')} AND {d.rx(w, M_GT1)} THEN {head1} ELSE {w} END"})
+    out.append({w: f"CASE WHEN {d.ends(w, 'll')} AND {d.rx(w, M_GT1)} THEN {head1} ELSE {w} END"})
     # restore the initial y
     out.append({w: f"CASE WHEN left({w}, 1) = 'Y' THEN 'y' || substr({w}, 2) ELSE {w} END"})
     return out
@@ -129,9 +146,8 @@ def duckdb_stem_query(inner_sql: str, keep: list[str], token: str = "token") ->
     """Wrap ``inner_sql`` (which has ``keep`` columns and ``token``) so that
     ``token`` comes out stemmed, by one nested SELECT per stage."""
     cols = ", ".join(keep)
-    sql = f"SELECT {cols}, {token} AS t0, {token} AS w, false AS f FROM ({inner_sql}) s0"
+    sql = f"SELECT {cols}, {token} AS t0, {token} AS w, false AS f, 0 AS k FROM ({inner_sql}) s0"
     for i, stage in enumerate(stages(DUCKDB)):
-        w_expr = stage.get("w", "w")
-        f_expr = stage.get("f", "f")
-        sql = f"SELECT {cols}, t0, {w_expr} AS w, {f_expr} AS f FROM ({sql}) s{i + 1}"
+        exprs = ", ".join(f"{stage.get(c, c)} AS {c}" for c in ("w", "f", "k"))
+        sql = f"SELECT {cols}, t0, {exprs} FROM ({sql}) s{i + 1}"
     return f"SELECT {cols}, CASE WHEN length(t0) < 3 THEN t0 ELSE w END AS {token} FROM ({sql}) sz"

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docforge.functions import porter
+from docforge.session import ensure_parallelism
 from docforge.spec import STEMMER_LANGUAGES, AnalyzerSpec
 
 # Word pattern of the standard tokenizer (letters, marks, digits
@@ -68,10 +69,10 @@ def stem_column(df: DataFrame, column: str = "token", only_if: str | None = None
     ``only_if`` names a boolean column; rows where it is false keep their value.
     """
     keep = [f"`{c}`" for c in df.columns if c != column]
-    w, f = "__w", "__f"
-    out = df.selectExpr(*keep, f"`{column}` AS __t0", f"`{column}` AS {w}", f"false AS {f}")
-    for stage in porter.stages(porter.SPARK, w=w, flag=f):
-        out = out.selectExpr(*keep, "__t0", f"{stage.get(w, w)} AS {w}", f"{stage.get(f, f)} AS {f}")
+    w, f, k = "__w", "__f", "__k"
+    out = df.selectExpr(*keep, f"`{column}` AS __t0", f"`{column}` AS {w}", f"false AS {f}", f"0 AS {k}")
+    for stage in porter.stages(porter.SPARK, w=w, flag=f, k=k):
+        out = out.selectExpr(*keep, "__t0", *[f"{stage.get(c, c)} AS {c}" for c in (w, f, k)])
     skip = "length(__t0) < 3" if only_if is None else f"length(__t0) < 3 OR NOT `{only_if}`"
     # The stem leaves through a one-element explode: a filter or join key on
     # the stemmed column then stops at the Generate instead of being pushed
@@ -89,6 +90,7 @@ def analyze_tokens(df: DataFrame, key_cols: list[str], text_col: str,
     """
     analyzer = analyzer or AnalyzerSpec()
     check_language(analyzer)
+    df = ensure_parallelism(df.select(*key_cols, text_col))
     exploded = df.select(*[F.col(k) for k in key_cols],
                          F.posexplode(token_array(F.col(text_col), analyzer)).alias("position", "token"))
     exploded = exploded.withColumn("position", F.col("position").cast("bigint"))

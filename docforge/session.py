@@ -14,6 +14,7 @@ import tempfile
 from pyspark.sql import SparkSession
 
 _CHECKPOINT_KEY = "spark.checkpoint.dir"
+JIT_FLAG = "-XX:-DontCompileHugeMethods"
 
 
 def build_session(master: str | None = None, app: str = "docforge", shuffle_partitions: int | None = None,
@@ -31,6 +32,10 @@ def build_session(master: str | None = None, app: str = "docforge", shuffle_part
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", os.environ.get("DOCFORGE_DRIVER_MEMORY", "16g"))
+        # Generated code for long expression chains (the stemmer) exceeds
+        # HotSpot's 8000-byte JIT limit; without this flag it runs interpreted.
+        .config("spark.driver.extraJavaOptions", JIT_FLAG)
+        .config("spark.executor.extraJavaOptions", JIT_FLAG)
     )
     if shuffle_partitions is not None:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
@@ -67,3 +72,17 @@ def shared_root(spark: SparkSession) -> str:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Make ``DataFrame.checkpoint()`` usable; returns the shared root."""
     return shared_root(spark)
+
+
+def ensure_parallelism(df):
+    """Spread a narrow input over the cluster before CPU-heavy per-row work.
+
+    Only when the scan yields fewer partitions than the default parallelism
+    (small inputs, single-row-group files); large inputs already have more
+    partitions than cores and are left alone (no shuffle).
+    """
+    sc = df.sparkSession.sparkContext
+    target = sc.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
