@@ -56,31 +56,36 @@ def live_indexes(datasets: DataFrame, indexes: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------ observed
-def observed_fields(docs_by_code: dict[str, DataFrame], declared: DataFrame, id_col: str = "id") -> DataFrame:
+def field_stats(frames: dict[str, DataFrame], skip: tuple[str, ...] = ()) -> DataFrame:
+    """One partially-aggregated pass per frame: ``(key, field, kind, present)``
+    where ``present`` = non-null rows of the column and the row
+    ``field = '*'`` carries the frame's row count. The union of all frames
+    runs as one plan; the result has one row per column."""
+    parts = []
+    for key, df in frames.items():
+        fields = [f for f in df.schema.fields if f.name not in skip]
+        agg = df.agg(F.count(F.lit(1)).alias("n"),
+                     *[F.count(F.col(f"`{f.name}`")).alias(f"c{i}") for i, f in enumerate(fields)])
+        entries = [F.struct(F.lit("*").alias("field"), F.lit(None).cast("string").alias("kind"),
+                            F.col("n").alias("present"))]
+        entries += [F.struct(F.lit(f.name).alias("field"), F.lit(spark_kind(f.dataType)).alias("kind"),
+                             F.col(f"c{i}").alias("present")) for i, f in enumerate(fields)]
+        parts.append(agg.select(F.lit(key).alias("key"), F.explode(F.array(*entries)).alias("s"))
+                     .select("key", "s.*"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def observed_from_stats(stats: DataFrame, declared: DataFrame) -> DataFrame:
     """Fields present in each dataset's documents with their mapped type.
 
-    One aggregate per dataset (``count(col)`` = non-null documents, combined
-    map-side), unpivoted to ``(code, field, kind, present_docs)``; then the
-    actual type is the declared type where it fits the observed data, else
-    what dynamic mapping would infer.
+    ``stats`` is ``(code, field, kind, present_docs)``. The actual type is the
+    declared type where it fits the observed data, else what dynamic mapping
+    would infer; object-valued fields have no type.
     """
-    parts = []
-    for code, docs in docs_by_code.items():
-        fields = [f for f in docs.schema.fields if f.name != id_col]
-        if not fields:
-            continue
-        agg = docs.agg(*[F.count(F.col(f"`{f.name}`")).alias(f"c{i}") for i, f in enumerate(fields)])
-        stacked = agg.select(F.explode(F.array(*[
-            F.struct(F.lit(f.name).alias("field"), F.lit(spark_kind(f.dataType)).alias("kind"),
-                     F.col(f"c{i}").alias("present_docs"))
-            for i, f in enumerate(fields)])).alias("s")).select(F.lit(code).alias("code"), "s.*")
-        parts.append(stacked)
-    if not parts:
-        raise ValueError("no documents to observe")
-    observed = parts[0]
-    for p in parts[1:]:
-        observed = observed.unionByName(p)
-    observed = observed.where(F.col("present_docs") > 0)
+    observed = stats.where(F.col("present_docs") > 0)
     d = declared.select("code", "field", F.col("type").alias("d_type"), F.col("has_keyword").alias("d_kw"))
     j = observed.join(d, ["code", "field"], "left")
     kind, dt = F.col("kind"), F.col("d_type")
@@ -96,6 +101,13 @@ def observed_fields(docs_by_code: dict[str, DataFrame], declared: DataFrame, id_
     return j.select("code", "field", actual.alias("actual_type"), has_kw.alias("has_keyword"), "present_docs")
 
 
+def observed_fields(docs_by_code: dict[str, DataFrame], declared: DataFrame, id_col: str = "id") -> DataFrame:
+    """Observed mapping of document tables given directly (one pass each)."""
+    stats = field_stats(docs_by_code, skip=(id_col,)).where(F.col("field") != "*")
+    return observed_from_stats(stats.withColumnRenamed("key", "code").withColumnRenamed("present", "present_docs"),
+                               declared)
+
+
 # ------------------------------------------------------------------ comparison
 def field_comparison(declared: DataFrame, actual: DataFrame) -> DataFrame:
     """RPT-9 / JON-1 / SCL-4: every field declared or present, both types, status."""

@@ -17,9 +17,12 @@ def _inputs(spark, sf_dir):
     declared = fleet.declared_df(spark)
     live = audit.live_indexes(datasets, indexes)
     existing = live.where("exists").select("code")
-    docs = {code: fleet.dataset_documents(spark, sf_dir, code) for code, *_ in fleet.DATASETS}
-    actual = audit.observed_fields(docs, declared).join(existing, "code", "left_semi")
-    counts = fleet.index_counts(spark, sf_dir)
+    # The only data-dependent input: one aggregate pass per source table
+    # (row count + non-null count per projected column), materialised once.
+    stats = fleet.table_stats(spark, sf_dir)
+    observed = fleet.observed_stats(spark, stats).join(existing, "code", "left_semi")
+    actual = audit.observed_from_stats(observed, declared)
+    counts = fleet.counts_from_stats(spark, stats)
     return datasets, indexes, declared.join(existing, "code", "left_semi"), live, actual, counts
 
 

@@ -140,6 +140,42 @@ def dataset_documents(spark: SparkSession, sf_dir: str, code: str) -> DataFrame:
     return src.select(F.col(ds[3]).cast("string").alias("id"), *cols)
 
 
+def source_fields_df(spark: SparkSession) -> DataFrame:
+    rows = [(code, f) for code, fields in SOURCE_FIELDS.items() for f in fields]
+    return spark.createDataFrame(rows, "code string, field string")
+
+
+def table_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per source table: row count and non-null count of every projected
+    column, from one aggregate pass per table; written once to the shared
+    folder and read back so that the audit's many joins never rescan data."""
+    from docforge.operators.audit import field_stats
+    from docforge.operators.sync import new_session_scoped_dir
+
+    tables = sorted({d[2] for d in DATASETS} | {i[2] for i in INDEXES})
+    frames = {}
+    for t in tables:
+        src = read_table(spark, sf_dir, t)
+        wanted = [f for d in DATASETS if d[2] == t for f in SOURCE_FIELDS[d[0]] if f in src.columns]
+        frames[t] = src.select(*dict.fromkeys(wanted))
+    path = new_session_scoped_dir(spark, "audit-stats")
+    field_stats(frames).withColumnRenamed("key", "source_table").coalesce(1).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def observed_stats(spark: SparkSession, stats: DataFrame) -> DataFrame:
+    """``(code, field, kind, present_docs)`` for each dataset's projected fields."""
+    ds = datasets_df(spark).select("code", "source_table")
+    return (source_fields_df(spark).join(ds, "code")
+            .join(stats.where(F.col("field") != "*"), ["source_table", "field"])
+            .select("code", "field", "kind", F.col("present").alias("present_docs")))
+
+
+def counts_from_stats(spark: SparkSession, stats: DataFrame) -> DataFrame:
+    rows = stats.where(F.col("field") == "*").select("source_table", F.col("present").alias("docs"))
+    return indexes_df(spark).join(rows, "source_table").drop("source_table")
+
+
 def index_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Document count of every physical index: one aggregate per source table
     (Parquet footers answer ``count(*)``), joined to the index list."""
