@@ -324,3 +324,12 @@ def dataset_report(datasets: DataFrame, status: DataFrame, indexes: DataFrame, c
                     F.when(F.col("exists"), F.coalesce("aliases", F.lit(""))).otherwise(F.lit("")).alias("aliases"),
                     F.coalesce("warnings", F.lit(0)).cast("bigint").alias("warnings"),
                     source.alias("document_source"), "checks"))
+
+
+def select_datasets(datasets: DataFrame, selector: str | None = None) -> DataFrame:
+    """FLT-8: datasets whose code **or** name (short entity class) equals the
+    selector; ``None`` selects all."""
+    if selector is None:
+        return datasets
+    short = F.regexp_extract(F.col("entity"), r"([^\\]+)$", 1)
+    return datasets.where((F.col("code") == selector) | (short == selector))

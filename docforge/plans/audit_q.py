@@ -286,3 +286,14 @@ def dataset_report_q(spark, sf_dir):
                                 fleet.DEFAULT_RESULT_WINDOW, fleet.DEFAULT_FIELD_LIMIT, fleet.STEMMER_SETTING)
     status = audit.dataset_status(live, counts, actual)
     return audit.dataset_report(datasets, status, indexes, checks)
+
+
+@query("dataset_selection", f"""
+SELECT s.* FROM ({_STATUS_SQL}) s JOIN {fleet.DATASETS_SQL} d ON d.code = s.code
+WHERE d.code = 'Part' OR regexp_extract(d.entity, '([^\\\\]+)$', 1) = 'Part' OR d.code = 'orders'
+""", ("FLT-8", "AGG-3"))
+def dataset_selection_q(spark, sf_dir):
+    _, _, _, live, actual, counts = _inputs(spark, sf_dir)
+    datasets = fleet.datasets_df(spark)
+    chosen = audit.select_datasets(datasets, "Part").unionByName(audit.select_datasets(datasets, "orders"))
+    return audit.dataset_status(live, counts, actual).join(chosen.select("code"), "code", "left_semi")

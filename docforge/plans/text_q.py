@@ -52,7 +52,7 @@ def tokens_stemmed_q(spark, sf_dir):
 @query("analyzed_tokens",
        duckdb_stem_query(_duck_tokens("conversations", "conv_id, turn", "lower(text)"),
                          ["conv_id", "turn", "position"]),
-       ("TXT-5",))
+       ("TXT-5", "UDF-3"))
 def analyzed_tokens_q(spark, sf_dir):
     # chain with folding switched off: [lowercase, stemmer]
     conv = read_table(spark, sf_dir, "conversations")
