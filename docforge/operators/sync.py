@@ -27,7 +27,7 @@ def keep_indexed_entities(changes: DataFrame, entities: DataFrame) -> DataFrame:
     ``entities`` is the dataset spec table (one row per configured dataset),
     bounded by configuration, so it is broadcast explicitly.
     """
-    return changes.join(F.broadcast(entities.select("entity").distinct()), "entity", "left_semi")
+    return changes.join(F.broadcast(entities.select("entity")), "entity", "left_semi")
 
 
 def scalar_ids(changes: DataFrame, key_col: str = "key") -> DataFrame:
