@@ -59,10 +59,10 @@ class DocumentStore:
         return self.spark.catalog.listTables(self.db)
 
     def exists(self, name: str) -> bool:
-        return any(t.name == name for t in self._tables())
+        return self.spark.catalog.tableExists(f"{self.db}.{name}")
 
     def is_view(self, name: str) -> bool:
-        return any(t.name == name and t.tableType == "VIEW" for t in self._tables())
+        return self.exists(name) and self.spark.catalog.getTable(f"{self.db}.{name}").tableType == "VIEW"
 
     def properties(self, name: str) -> dict[str, str]:
         rows = self.spark.sql(f"SHOW TBLPROPERTIES {self.qualified(name)}").collect()
@@ -97,11 +97,25 @@ class DocumentStore:
                        f"LOCATION '{self.path_of(name)}' TBLPROPERTIES ({prop_sql})")
         return name
 
-    def fill(self, generation: str, documents: DataFrame) -> None:
-        """Write documents into a generation (a single Spark job; all-or-nothing
-        at job commit, unlike the reference's batch-by-batch commit)."""
+    def fill(self, generation: str, documents: DataFrame, batch_size: int | None = None) -> int:
+        """SNK-1: write documents into a generation; returns rows sent (not
+        distinct ids). One Spark job, all-or-nothing at commit (the reference
+        commits batch by batch); ``batch_size`` bounds the rows per output
+        file, the analogue of one bulk request. The count comes from an
+        observation on the write itself -- no second pass over the data."""
+        from pyspark.sql import Observation
+
         columns = self.spark.table(self.qualified(generation)).columns
-        documents.select(*columns).write.mode("append").insertInto(self.qualified(generation))
+        sent = Observation(f"sent_{generation}")
+        observed = documents.select(*columns).observe(sent, F.count(F.lit(1)).alias("rows"))
+        writer = observed.write.mode("append")
+        if batch_size:
+            writer = writer.option("maxRecordsPerFile", int(batch_size))
+        # append straight into the generation's location (the table is
+        # external there), so that writer options such as maxRecordsPerFile apply
+        writer.format("parquet").save(self.path_of(generation))
+        self.spark.catalog.refreshTable(f"{self.db}.{generation}")
+        return int(sent.get.get("rows", 0))
 
     def publish(self, alias: str, generation: str) -> None:
         """SNK-5: swap the alias view to ``generation`` in one statement."""
@@ -161,7 +175,7 @@ class DocumentStore:
             self.drop_generation(old)
         return generation
 
-    def populate(self, alias: str, documents: DataFrame, limit: int | None = None) -> int:
+    def populate(self, alias: str, documents: DataFrame, limit: int | None = None, batch_size: int = 250) -> int:
         """SNK-8: append documents (first ``limit`` by id, 0/None = all) to the
         live generation; returns rows sent. Missing alias -> warning, 0."""
         generation = self.live_generation(alias)
@@ -170,9 +184,7 @@ class DocumentStore:
             warnings.warn(f"no live generation behind {alias}; run create first")
             return 0
         from docforge.operators.documents import apply_limit
-        docs = apply_limit(documents, limit)
-        self.fill(generation, docs)
-        return int(self.spark.table(self.qualified(generation)).count())
+        return self.fill(generation, apply_limit(documents, limit), batch_size=batch_size)
 
     # ---- change log (after publish) -----------------------------------------
     def _log_name(self, generation: str) -> str:
@@ -222,8 +234,12 @@ class DocumentStore:
             parts.append(deletes.select(F.col("id").cast("string").alias("id"), *nulls,
                                         F.col(seq_col).cast("bigint").alias("_seq"), F.lit(True).alias("_deleted"))
                          .select(*base_fields, "_seq", "_deleted"))
-        for part in parts:
-            part.write.mode("append").insertInto(self.qualified(log))
+        if parts:
+            batch = parts[0]
+            for p in parts[1:]:
+                batch = batch.unionByName(p)
+            # one job: upserts and tombstones of a batch commit together
+            batch.write.mode("append").insertInto(self.qualified(log))
         self.publish(alias, generation)
 
     # ---- retire ---------------------------------------------------------------

@@ -105,6 +105,22 @@ def test_rebuild_publish_and_failure_keeps_live(spark):
     assert store.read("movies").count() == 0 and store.generations("movies") == [gen2]
 
 
+def test_bulk_fill_counts_rows_sent_and_batches(spark):
+    # FIXTURES A1: three documents at batch size 2 -> two batches, returns 3; empty -> 0
+    import os
+    store = DocumentStore(spark, database="t_fill")
+    docs = spark.createDataFrame([("one", "One"), ("two", "Two"), ("three", "Three"), ("one", "One again")],
+                                 "id string, name string").coalesce(1)
+    gen = store.create_generation("films", docs.schema)
+    assert store.fill(gen, docs.limit(3), batch_size=2) == 3
+    files = [f for f in os.listdir(store.path_of(gen)) if f.startswith("part-")]
+    assert len(files) == 2
+    assert store.fill(gen, docs.limit(0), batch_size=2) == 0
+    # rows sent, not distinct ids
+    gen2 = store.create_generation("films", docs.schema)
+    assert store.fill(gen2, docs) == 4
+
+
 def test_create_guard_rails_and_populate(spark):
     store = DocumentStore(spark, database="t_create")
     schema = _docs(spark, 1).schema
