@@ -20,7 +20,15 @@ def fresh_store(spark) -> DocumentStore:
     return DocumentStore(spark, database=f"docforge_{uuid.uuid4().hex[:10]}")
 
 
-@query("generation_create", None, ("SNK-4",))
+@query("generation_create", """
+SELECT 'id' AS col_name, 'string' AS data_type, CAST(0 AS BIGINT) AS documents
+UNION ALL
+SELECT column_name, CASE data_type WHEN 'VARCHAR' THEN 'string' WHEN 'INTEGER' THEN 'int'
+                                   WHEN 'DOUBLE' THEN 'double' WHEN 'BIGINT' THEN 'bigint' END,
+       CAST(0 AS BIGINT)
+FROM information_schema.columns
+WHERE table_name = 'customer' AND column_name IN ('c_name', 'c_nationkey', 'c_acctbal', 'c_mktsegment')
+""", ("SNK-4",))
 def generation_create_q(spark, sf_dir):
     store = fresh_store(spark)
     docs = customer_docs(spark, sf_dir)
