@@ -128,3 +128,32 @@ def sync_stream_q(spark, sf_dir):
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
     return action_log_state(spark, log)
+
+
+@query("spool_drain", f"""
+SELECT d.* FROM ({CUSTOMER_DOCS_SQL}) d
+WHERE d.id NOT IN (SELECT id FROM ({FINAL_SQL}) f WHERE action = 'delete')
+""", ("STR-5", "STR-6", "SNK-11", "STR-4"))
+def spool_drain_q(spark, sf_dir):
+    from docforge.operators.store import DocumentStore
+    from docforge.streaming.sync_stream import drain_spool
+    import uuid
+
+    base = sync.new_session_scoped_dir(spark, "drain")
+    store = DocumentStore(spark, database=f"docforge_{uuid.uuid4().hex[:10]}")
+    docs = customer_docs(spark, sf_dir)
+    store.rebuild("customer", docs)  # the index as built before the changes
+    changes = reconciled(spark, sf_dir)
+    # every touched id is spooled once per flush (duplicates on purpose)
+    spool.append_spool(changes.repartition(4), f"{base}/spool")
+
+    def current():
+        # the database after the changes: rows whose last action was a delete are gone
+        return sync.live_after(customer_docs(spark, sf_dir), sync.final_state(reconciled(spark, sf_dir)))
+
+    q = drain_spool(spark, f"{base}/spool", f"{base}/checkpoint", store, "customer", CUSTOMER_ENTITY, current,
+                    max_files_per_trigger=2)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return store.read("customer")
