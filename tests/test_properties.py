@@ -46,3 +46,16 @@ def test_numbering_equals_row_number_on_random_groups(spark):
                          .cast("bigint"))
     cols = ["flush", "entity", "id", "rank"]
     assert sorted(got.select(cols).collect()) == sorted(want.select(cols).collect())
+
+
+def test_hot_id_is_combined_before_the_shuffle(spark):
+    # one id holds a third of all change rows: the reduction must be partial
+    # (map-side) so the hot id never reaches one reducer as raw rows
+    rows = [(1, "E", ["hot"], "update")] * 3000 + [(1, "E", [str(i)], "update") for i in range(6000)]
+    changes = spark.createDataFrame(rows, "flush int, entity string, key array<string>, op string")
+    rec = sync.reconcile_flushes(sync.scalar_ids(changes))
+    plan = rec._jdf.queryExecution().executedPlan().toString()
+    assert "partial_max" in plan
+    final = sync.final_state(rec)
+    assert "partial_max_by" in final._jdf.queryExecution().executedPlan().toString()
+    assert final.count() == 6001
