@@ -1,8 +1,9 @@
 """Validation of raw JSON documents against a declared mapping (FLT-4..6, SNK-3).
 
-Documents arrive as JSON text. Checks compare key sets and value shapes
-with built-in JSON/variant functions (``from_json`` is not used for the
-strict check: it silently drops unknown keys).
+Documents arrive as JSON text and are parsed once per row into a
+``map<string,string>`` (all keys kept, nested values as JSON text). The
+strict check compares key sets on that map -- never ``from_json`` into the
+declared struct, which silently drops unknown keys.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from docforge.spec import FieldSpec
 
@@ -23,38 +25,49 @@ INFERRED_TYPES = {"BIGINT": "long", "INT": "long", "SMALLINT": "long", "TINYINT"
                   "OBJECT": "object", "ARRAY": "array", "VOID": "null"}
 
 
-def undeclared_keys(doc: Column, declared: list[str]) -> Column:
-    keys = F.json_object_keys(doc)
+def parsed(doc: Column) -> Column:
+    """Parse a JSON document ONCE into ``map<string,string>``; nested objects
+    and arrays stay as their JSON text, so shapes can still be checked."""
+    return F.from_json(doc, T.MapType(T.StringType(), T.StringType()))
+
+
+def undeclared_keys(doc: Column, declared: list[str], doc_map: Column | None = None) -> Column:
+    keys = F.map_keys(doc_map if doc_map is not None else parsed(doc))
     return F.array_sort(F.array_except(keys, F.array(*[F.lit(k) for k in declared])))
 
 
-def object_in_scalar(doc: Column, mapping: Mapping[str, FieldSpec]) -> Column:
+def object_in_scalar(doc: Column, mapping: Mapping[str, FieldSpec], doc_map: Column | None = None) -> Column:
     """First declared scalar field that holds an object/array, else null."""
+    m = doc_map if doc_map is not None else parsed(doc)
     hits = []
     for name, spec in mapping.items():
         if spec.type in (None, "object"):
             continue
-        raw = F.get_json_object(doc, f"$.{name}")
-        bad = F.ltrim(raw).startswith("{") | F.ltrim(raw).startswith("[")
-        hits.append(F.when(bad, F.lit(name)))
+        raw = F.ltrim(m[F.lit(name)])
+        hits.append(F.when(raw.startswith("{") | raw.startswith("["), F.lit(name)))
     return F.coalesce(*hits) if hits else F.lit(None).cast("string")
 
 
 def classify(docs: DataFrame, doc_col: str, mapping: Mapping[str, FieldSpec], strict: bool = True) -> DataFrame:
-    """Add ``reject_type`` and ``reason`` (both null for a valid document)."""
-    doc = F.col(doc_col)
-    bad_field = object_in_scalar(doc, mapping)
+    """Add ``reject_type`` and ``reason`` (both null for a valid document).
+
+    The document is parsed once per row (a hidden map column); the key-set
+    and shape checks read that map.
+    """
+    with_map = docs.withColumn("__doc_map", parsed(F.col(doc_col)))
+    m = F.col("__doc_map")
+    bad_field = object_in_scalar(F.col(doc_col), mapping, m)
     type_of = F.coalesce(*[F.when(bad_field == n, F.lit(s.type)) for n, s in mapping.items()]) \
         if mapping else F.lit(None)
-    extra = undeclared_keys(doc, list(mapping))
+    extra = undeclared_keys(F.col(doc_col), list(mapping), m)
     shape_reason = F.concat(F.lit("Expected "), type_of, F.lit(" but found START_OBJECT"))
     strict_reason = F.concat(F.lit("mapping set to strict, dynamic introduction of ["),
                              F.array_join(extra, ","), F.lit("] within [_doc] is not allowed"))
     strict_bad = F.lit(strict) & (F.size(extra) > 0)
-    return (docs.withColumn("reject_type", F.when(bad_field.isNotNull(), F.lit(SHAPE_ERROR))
-                            .when(strict_bad, F.lit(STRICT_ERROR)))
-            .withColumn("reason", F.when(bad_field.isNotNull(), shape_reason)
-                        .when(strict_bad, strict_reason)))
+    return (with_map.withColumn("reject_type", F.when(bad_field.isNotNull(), F.lit(SHAPE_ERROR))
+                                .when(strict_bad, F.lit(STRICT_ERROR)))
+            .withColumn("reason", F.when(bad_field.isNotNull(), shape_reason).when(strict_bad, strict_reason))
+            .drop("__doc_map"))
 
 
 def split_valid(classified: DataFrame) -> tuple[DataFrame, DataFrame]:
