@@ -119,22 +119,24 @@ def field_comparison(declared: DataFrame, actual: DataFrame) -> DataFrame:
     return j.select("code", "field", "declared", "actual", status.alias("status"))
 
 
+def _outer(declared: DataFrame, actual: DataFrame) -> DataFrame:
+    d = declared.select("code", "field", F.col("type").alias("declared"), F.lit(True).alias("in_declared"))
+    a = actual.select("code", "field", F.col("actual_type").alias("actual"), F.lit(True).alias("in_actual"))
+    return d.join(a, ["code", "field"], "full_outer")
+
+
+def _drift_kind() -> Column:
+    return (F.when(F.col("in_actual").isNull(), "missing").when(F.col("in_declared").isNull(), "unexpected")
+            .when(F.col("declared").isNotNull() & F.col("actual").isNotNull() & (F.col("declared") != F.col("actual")),
+                  "retyped"))
+
+
 def drift_sets(declared: DataFrame, actual: DataFrame) -> DataFrame:
     """SET-2/SET-3: missing (declared minus present keys), unexpected (present
-    minus declared), retyped (both typed and different). A present field
-    without a type counts as present here."""
-    d = declared.select("code", "field", F.col("type").alias("declared"))
-    a = actual.select("code", "field", F.col("actual_type").alias("actual"))
-    missing = d.join(a, ["code", "field"], "left_anti").select("code", F.lit("missing").alias("kind"), "field",
-                                                                "declared", F.lit(None).cast("string").alias("actual"))
-    unexpected = a.join(d, ["code", "field"], "left_anti").select("code", F.lit("unexpected").alias("kind"), "field",
-                                                                   F.lit(None).cast("string").alias("declared"),
-                                                                   "actual")
-    retyped = (d.join(a, ["code", "field"])
-               .where(F.col("declared").isNotNull() & F.col("actual").isNotNull()
-                      & (F.col("declared") != F.col("actual")))
-               .select("code", F.lit("retyped").alias("kind"), "field", "declared", "actual"))
-    return missing.unionByName(unexpected).unionByName(retyped)
+    minus declared), retyped (both typed and different), from ONE full outer
+    join. A present field without a type counts as present here."""
+    j = _outer(declared, actual).withColumn("kind", _drift_kind())
+    return j.where(F.col("kind").isNotNull()).select("code", "kind", "field", "declared", "actual")
 
 
 # ------------------------------------------------------------------ checks
@@ -160,18 +162,18 @@ def schema_audit(datasets: DataFrame, live: DataFrame, indexes: DataFrame, setti
     names = (settings.where(F.col("key").rlike(ANALYZER_KEY))
              .select("index", F.regexp_extract("key", ANALYZER_KEY, 1).alias("name")).distinct()
              .groupBy("index").agg(_sorted_join(F.col("name")).alias("analyzers")))
-    drift = drift_sets(declared, actual)
-    drift_summary = drift.groupBy("code").agg(
-        _sorted_join(F.when(F.col("kind") == "retyped", F.concat(
+    # drift lists and both field counts from one full outer join + one aggregate
+    kind = _drift_kind()
+    drift_summary = _outer(declared, actual).groupBy("code").agg(
+        _sorted_join(F.when(kind == "retyped", F.concat(
             F.col("field"), F.lit(" (declared "), F.col("declared"), F.lit(", actual "), F.col("actual"),
             F.lit(")")))).alias("retyped"),
-        _sorted_join(F.when(F.col("kind") == "missing", F.col("field"))).alias("missing"),
-        _sorted_join(F.when(F.col("kind") == "unexpected", F.col("field"))).alias("unexpected"))
-    n_declared = declared.groupBy("code").agg(F.count("*").alias("n_declared"))
-    n_actual = actual.groupBy("code").agg(F.count("*").alias("n_actual"))
+        _sorted_join(F.when(kind == "missing", F.col("field"))).alias("missing"),
+        _sorted_join(F.when(kind == "unexpected", F.col("field"))).alias("unexpected"),
+        F.count("in_declared").alias("n_declared"), F.count("in_actual").alias("n_actual"))
     base = (datasets.select("code", F.nullif(F.col("language"), F.lit("")).alias("wanted"), "dynamic")
             .join(idx, "code").join(s, "index", "left").join(names, "index", "left")
-            .join(drift_summary, "code", "left").join(n_declared, "code", "left").join(n_actual, "code", "left"))
+            .join(drift_summary, "code", "left"))
 
     aliases = F.coalesce(F.col("aliases"), F.array().cast("array<string>"))
     alias_ok = F.size(aliases) > 0
