@@ -39,6 +39,9 @@ def build_session(master: str | None = None, app: str = "docforge", shuffle_part
     )
     if shuffle_partitions is not None:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if master.startswith("local") and "spark.sql.warehouse.dir" not in (extra or {}):
+        # local runs only: keep catalog files out of the working directory
+        builder = builder.config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="docforge-warehouse-"))
     for key, value in (extra or {}).items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
