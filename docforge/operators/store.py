@@ -242,6 +242,17 @@ class DocumentStore:
             batch.write.mode("append").insertInto(self.qualified(log))
         self.publish(alias, generation)
 
+    def delete(self, alias: str) -> list[str]:
+        """Delete an index: the alias view, every generation named after it and
+        their change logs. Returns the dropped generations; a missing alias
+        is not an error."""
+        dropped = self.generations(alias)
+        if self.is_view(alias):
+            self.spark.sql(f"DROP VIEW {self.qualified(alias)}")
+        for gen in dropped:
+            self.drop_generation(gen)
+        return dropped
+
     # ---- retire ---------------------------------------------------------------
     def retire_candidates(self, alias: str) -> DataFrame:
         """SNK-9: live generation plus unpublished leftovers named after the

@@ -134,6 +134,15 @@ def test_create_guard_rails_and_populate(spark):
         store.create("plain", schema)
 
 
+def test_delete_index(spark):
+    store = DocumentStore(spark, database="t_delete")
+    store.rebuild("gone", _docs(spark, 2))
+    store.rebuild("gone", _docs(spark, 2), keep_old=True)
+    assert len(store.delete("gone")) == 2
+    assert not store.exists("gone") and store.generations("gone") == []
+    assert store.delete("gone") == []
+
+
 def test_change_log_later_sequence_wins_and_deletes(spark):
     store = DocumentStore(spark, database="t_log")
     store.rebuild("c", _docs(spark, 4))
