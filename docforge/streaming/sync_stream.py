@@ -53,6 +53,10 @@ def start_sync(spark: SparkSession, landing: str, action_log: str, checkpoint: s
 
 def action_log_state(spark: SparkSession, action_log: str) -> DataFrame:
     """Final action per (entity, id) over everything the stream has logged."""
+    from docforge.sources.spool import _exists
+
+    if not _exists(spark, action_log):  # nothing handed off yet
+        return spark.createDataFrame([], "entity string, id string, action string")
     log = spark.read.parquet(action_log)
     merged = sync.reconcile_flushes(log.select("flush", "entity", "id",
                                                F.when(F.col("action") == sync.DELETE, "remove")
