@@ -97,9 +97,14 @@ class DocumentStore:
                        f"LOCATION '{self.path_of(name)}' TBLPROPERTIES ({prop_sql})")
         return name
 
-    def fill(self, generation: str, documents: DataFrame, batch_size: int | None = None) -> int:
+    def fill(self, generation: str, documents: DataFrame, batch_size: int | None = None,
+             unique_ids: bool = False) -> int:
         """SNK-1: write documents into a generation; returns rows sent (not
-        distinct ids). One Spark job, all-or-nothing at commit (the reference
+        distinct ids). A later row for an id replaces an earlier one, in scan
+        order, as an index keyed by id does: one ``max_by`` per id, combined
+        map-side, so a hot id never reaches one reducer as raw rows. Pass
+        ``unique_ids=True`` when the source guarantees unique ids to skip that
+        shuffle. One Spark job, all-or-nothing at commit (the reference
         commits batch by batch); ``batch_size`` bounds the rows per output
         file, the analogue of one bulk request. The count comes from an
         observation on the write itself -- no second pass over the data."""
@@ -108,6 +113,16 @@ class DocumentStore:
         columns = self.spark.table(self.qualified(generation)).columns
         sent = Observation(f"sent_{generation}")
         observed = documents.select(*columns).observe(sent, F.count(F.lit(1)).alias("rows"))
+        if not unique_ids:
+            body = [c for c in columns if c != "id"]
+            last = F.max_by(F.struct(*[F.col(f"`{c}`") for c in body]), F.col("__order")) if body else None
+            ordered = observed.withColumn("__order", F.monotonically_increasing_id())
+            if last is not None:
+                observed = ordered.groupBy("id").agg(last.alias("__doc")).select(
+                    "id", *[F.col(f"__doc.`{c}`").alias(c) for c in body])
+            else:
+                observed = ordered.select("id").distinct()
+            observed = observed.select(*columns)
         writer = observed.write.mode("append")
         if batch_size:
             writer = writer.option("maxRecordsPerFile", int(batch_size))

@@ -116,9 +116,11 @@ def test_bulk_fill_counts_rows_sent_and_batches(spark):
     files = [f for f in os.listdir(store.path_of(gen)) if f.startswith("part-")]
     assert len(files) == 2
     assert store.fill(gen, docs.limit(0), batch_size=2) == 0
-    # rows sent, not distinct ids
+    # rows sent, not distinct ids; the later row for an id wins
     gen2 = store.create_generation("films", docs.schema)
     assert store.fill(gen2, docs) == 4
+    names = {r["id"]: r["name"] for r in spark.table(store.qualified(gen2)).collect()}
+    assert names == {"one": "One again", "two": "Two", "three": "Three"}
 
 
 def test_create_guard_rails_and_populate(spark):
