@@ -54,3 +54,25 @@ def analyzed_fields(docs: DataFrame, id_col: str, mapping: Mapping[str, FieldSpe
     if analyzer.configured:
         terms = stem_column(terms, "term", only_if="analyzed")
     return terms.drop("analyzed")
+
+
+def write_term_index(terms: DataFrame, path: str, partitions: int | None = None) -> None:
+    """Persist the term table ``(id, field, position, term)`` for lookups.
+
+    Layout: one folder per field (partition pruning on ``field``), files
+    range-partitioned and sorted on ``(term, id)`` so Parquet min/max
+    statistics let a term lookup skip almost every row group. The range key
+    includes ``id``, so a very frequent term is split across many files
+    instead of landing in one task.
+    """
+    spark = terms.sparkSession
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    (terms.repartitionByRange(n, "field", "term", "id")
+          .sortWithinPartitions("field", "term", "id")
+          .write.mode("errorifexists").partitionBy("field").parquet(path))
+
+
+def lookup_terms(spark, path: str, field: str, terms: list[str]) -> DataFrame:
+    """Read the postings of a few terms: the filters reach the Parquet scan
+    (``PartitionFilters`` on field, ``PushedFilters`` on term)."""
+    return spark.read.parquet(path).where((F.col("field") == field) & F.col("term").isin(terms))

@@ -100,3 +100,26 @@ GROUP BY request
 """, ("AGG-5", "SCL-8", "RPT-13", "UDF-4"))
 def call_summary_q(spark, sf_dir):
     return calls.summarize(call_log(spark, sf_dir), ["request"])
+
+
+@query("term_index_lookup", f"""
+SELECT DISTINCT q.query, CAST(t.p_partkey AS VARCHAR) AS id
+FROM ({duckdb_stem_query(_duck_tokens("part", "p_partkey", fold_sql("lower(p_name)")), ["p_partkey", "position"])}) t
+JOIN ({duckdb_stem_query(_duck_tokens(_Q_VALUES, "query", fold_sql("lower(query)")), ["query", "position"])}) q
+  ON q.token = t.token
+""", ("QRY-1", "TXT-6"))
+def term_index_lookup_q(spark, sf_dir):
+    # build the persisted term index of part (text field p_name), then answer
+    # the match queries from it with pruned, pushed-down lookups
+    from docforge.operators.analysis import analyzed_fields, lookup_terms, write_term_index
+    from docforge.operators.sync import new_session_scoped_dir
+    from docforge.plans.text_q import PART_MAPPING
+
+    english = AnalyzerSpec("english")
+    part = read_table(spark, sf_dir, "part").select(F.col("p_partkey").cast("string").alias("id"), "p_name")
+    path = new_session_scoped_dir(spark, "term-index")
+    write_term_index(analyzed_fields(part, "id", {"p_name": PART_MAPPING["p_name"]}, english), path)
+    q_terms = lookup.query_terms(spark, MATCH_QUERIES, english)
+    wanted = sorted({r["term"] for r in q_terms.collect()})  # a handful of analysed query terms
+    postings = lookup_terms(spark, path, "p_name", wanted)
+    return postings.join(F.broadcast(q_terms), "term").select("query", "id").distinct()
