@@ -77,7 +77,8 @@ def call_log(spark, sf_dir):
     op = F.coalesce(*[F.when(F.col("event_type") == k, F.lit(v)) for k, v in CALL_OPS.items()])
     hits = F.when((op == "search") & (F.col("event_type") != "error"),
                   F.get_json_object("props", "$.k").cast("bigint"))
-    return ev.select(F.concat(F.col("user_id").cast("string"), F.lit("@"), F.to_date("ts").cast("string"))
+    return ev.select("event_id", "event_type", "props",
+                     F.concat(F.col("user_id").cast("string"), F.lit("@"), F.to_date("ts").cast("string"))
                      .alias("request"), op.alias("operation"), F.col("value").alias("duration_ms"), hits.alias("hits"),
                      F.when(F.col("event_type") == "error", F.lit("search_phase_execution_exception"))
                      .alias("error"))
@@ -123,3 +124,24 @@ def term_index_lookup_q(spark, sf_dir):
     wanted = sorted({r["term"] for r in q_terms.collect()})  # a handful of analysed query terms
     postings = lookup_terms(spark, path, "p_name", wanted)
     return postings.join(F.broadcast(q_terms), "term").select("query", "id").distinct()
+
+
+@query("call_log", """
+SELECT event_id, CAST(user_id AS VARCHAR) || '@' || CAST(CAST(ts AS DATE) AS VARCHAR) AS request,
+       CASE event_type WHEN 'view' THEN 'search' WHEN 'error' THEN 'search' WHEN 'click' THEN 'count'
+                       WHEN 'signup' THEN 'index' ELSE 'bulk' END AS operation,
+       value AS duration_ms,
+       CASE WHEN event_type = 'view' THEN CAST(json_extract_string(props, '$.k') AS BIGINT) END AS hits,
+       CASE WHEN event_type = 'error' THEN 'search_phase_execution_exception' END AS error,
+       CASE WHEN event_type = 'purchase'
+            THEN CAST(json_extract_string(props, '$.k') AS BIGINT) + event_id % 4 END AS ops
+FROM events
+""", ("RPT-13", "UDF-4"))
+def call_log_q(spark, sf_dir):
+    # per-call records; a bulk body holds k index actions (two lines each) and
+    # event_id % 4 deletes (one line each): ops are counted from its lines
+    log = call_log(spark, sf_dir)
+    k = F.get_json_object("props", "$.k").cast("bigint")
+    deletes = F.col("event_id") % 4
+    ops = F.when(F.col("event_type") == "purchase", calls.bulk_op_count(2 * k + deletes, deletes))
+    return log.select("event_id", "request", "operation", "duration_ms", "hits", "error", ops.alias("ops"))
