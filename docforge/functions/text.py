@@ -97,10 +97,3 @@ def analyze_tokens(df: DataFrame, key_cols: list[str], text_col: str,
     if analyzer.configured:
         exploded = stem_column(exploded, "token")
     return exploded
-
-
-def analyze_text(col: Column, analyzer: AnalyzerSpec | None = None) -> Column:
-    """Analysed tokens of a single text value as an array column (query side)."""
-    analyzer = analyzer or AnalyzerSpec()
-    check_language(analyzer)
-    return token_array(col, analyzer)

@@ -41,12 +41,6 @@ def read_value(df: DataFrame, name: str) -> Column:
     return F.lit(None).cast("string")
 
 
-def project_fields(source: DataFrame, fields) -> DataFrame:
-    """PRJ-1/2/3 as one ``select``; the source id is carried as ``__source_id``."""
-    names = field_names(fields)
-    return source.select(*[read_value(source, n).alias(n) for n in names])
-
-
 def checked_id(col: Column, id_field: str) -> Column:
     """PRJ-6: ids are strings and never null; a null id fails the job."""
     as_text = col.cast("string")
@@ -95,11 +89,6 @@ def apply_limit(docs: DataFrame, limit: int | None) -> DataFrame:
     return docs.orderBy(ID).limit(int(limit))
 
 
-def id_resolution(df: DataFrame, id_col: Column) -> DataFrame:
-    """PRJ-6 as data: classify each row's id as ``ok`` / ``null`` (no raise)."""
-    return df.withColumn("id_status", F.when(id_col.isNull(), F.lit("null")).otherwise(F.lit("ok")))
-
-
 def delete_actions(ids: DataFrame, index: str) -> DataFrame:
     """PRJ-7: ``id`` -> ``(action='delete', index, id)``."""
     return ids.select(F.lit("delete").alias("action"), F.lit(index).alias("index"), F.col(ID),

@@ -139,11 +139,6 @@ def live_after(documents: DataFrame, state: DataFrame) -> DataFrame:
     return documents.join(deletes, "id", "left_anti")
 
 
-def flush_of(ts_col: str = "ts"):
-    """Fixture helper: the flush boundary of a change is its day."""
-    return F.date_trunc("day", F.col(ts_col)).cast("timestamp_ntz")
-
-
 def new_session_scoped_dir(spark: SparkSession, name: str) -> str:
     import uuid
 

@@ -35,7 +35,7 @@ def test_missing_index_single_na(spark):
 
 def test_defaults_warn(spark):
     checks, rows = _audit(spark, settings=[("index.number_of_shards", "1")])
-    assert [r["check_id"] for r in rows] == ["alias", "analysis", "dynamic", "drift", "fields", "paging"]
+    assert [r["check_id"] for r in rows] == audit.CHECK_ORDER
     assert checks["alias"][0] == "warn" and checks["analysis"][0] == "warn" and checks["dynamic"][0] == "warn"
     assert checks["drift"][0] == "ok"
     assert sum(1 for r in rows if r["status"] == "warn") == 3

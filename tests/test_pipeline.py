@@ -196,6 +196,14 @@ def test_chunk_numbering_matches_row_number_on_skew(spark):
     assert plan[(1, "upsert")] == 6 and plan[(2, "delete")] == 1  # ceil(3000/500), ceil(37/500)
 
 
+def test_chunk_messages_are_bounded(spark):
+    rec = spark.createDataFrame([(1, "E", f"{i:04d}", "upsert") for i in range(1203)],
+                                "flush int, entity string, id string, action string")
+    chunks = sync.chunk_ids(rec, 500).orderBy("chunk_no").collect()
+    assert [len(c["ids"]) for c in chunks] == [500, 500, 203]
+    assert chunks[0]["ids"][0] == "0000" and chunks[2]["ids"][-1] == "1202"
+
+
 def test_spool_tolerates_bad_lines(spark, tmp_path):
     d = tmp_path / "spool" / "entity=App.Entity.Film"
     d.mkdir(parents=True)
