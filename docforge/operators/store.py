@@ -144,8 +144,19 @@ class DocumentStore:
         for name in (generation, f"{generation}__log"):
             if self.exists(name):
                 self.spark.sql(f"DROP TABLE {self.qualified(name)}")
-        self._delete_path(self.path_of(generation))
-        self._delete_path(self.path_of(f"{generation}__log"))
+        for path in (self.path_of(generation), self.path_of(f"{generation}__log"), self.terms_path(generation)):
+            self._delete_path(path)
+
+    def terms_path(self, generation: str) -> str:
+        """Folder of the generation's term index (dropped with the generation)."""
+        return self.path_of(f"{generation}__terms")
+
+    def terms(self, alias: str) -> DataFrame:
+        """The term index of the live generation."""
+        generation = self.live_generation(alias)
+        if generation is None:
+            raise LookupError(f"no live generation behind {alias}")
+        return self.spark.read.parquet(self.terms_path(generation))
 
     def read(self, alias: str) -> DataFrame:
         return self.spark.table(self.qualified(alias))
@@ -154,9 +165,14 @@ class DocumentStore:
     def rebuild(self, alias: str, documents: Callable[[], DataFrame] | DataFrame,
                 mapping: Mapping[str, FieldSpec] | None = None, analyzer: AnalyzerSpec | None = None,
                 strict: bool = True, keep_old: bool = False,
-                validate: Callable[[DataFrame], None] | None = None) -> str:
+                validate: Callable[[DataFrame], None] | None = None,
+                analyze: Callable[[DataFrame], DataFrame] | None = None) -> str:
         """SNK-6: build and fill first, publish last. Any failure drops the
-        half-built generation and leaves the alias untouched."""
+        half-built generation and leaves the alias untouched.
+
+        ``analyze`` turns the written documents into their term table; it is
+        written as the generation's term index before the publish, reading
+        the generation's own files (the source is not recomputed)."""
         previous = self.generations(alias)
         generation = None
         try:
@@ -165,6 +181,9 @@ class DocumentStore:
             if validate is not None:
                 validate(docs)
             self.fill(generation, docs)
+            if analyze is not None:
+                from docforge.operators.analysis import write_term_index
+                write_term_index(analyze(self.spark.table(self.qualified(generation))), self.terms_path(generation))
         except BaseException:
             if generation is not None:
                 self.drop_generation(generation)

@@ -14,6 +14,10 @@ from docforge.plans.fixtures import FINAL_SQL, RAW_JSON_SQL, RECONCILED_SQL, raw
 from docforge.plans.registry import query
 from docforge.plans.sync_q import CUSTOMER_DOCS_SQL, customer_docs, reconciled
 from docforge.plans.validate_q import EVENT_MAPPING
+from docforge.functions.porter import duckdb_stem_query
+from docforge.functions.text import fold_sql
+from docforge.plans.text_q import _duck_tokens
+from docforge.spec import AnalyzerSpec, FieldSpec
 
 
 def fresh_store(spark) -> DocumentStore:
@@ -122,3 +126,43 @@ def retire_candidates_q(spark, sf_dir):
     store.create_generation("customer", customer_docs(spark, sf_dir).schema)  # unpublished leftover
     cands = store.retire_candidates("customer")
     return cands.select(F.row_number().over(Window.orderBy("generation")).alias("position"), "live", "documents")
+
+
+DOCUMENT_MAPPING = {"text": FieldSpec("text"), "lang": FieldSpec("keyword"), "source": FieldSpec("keyword"),
+                    "n_chars": FieldSpec("long")}
+
+
+def _index_documents(spark, sf_dir):
+    """The reference's main flow: create a generation with the mapping and the
+    english analyzer frozen in it, fill it, build its term index, publish."""
+    from docforge.operators.analysis import analyzed_fields
+    from docforge.operators.documents import build_documents
+    from docforge.plans.documents_q import DOCUMENTS_SPEC
+
+    english = AnalyzerSpec("english")
+    store = fresh_store(spark)
+    store.rebuild("documents", lambda: build_documents(spark, DOCUMENTS_SPEC, sf_dir),
+                  mapping=DOCUMENT_MAPPING, analyzer=english,
+                  analyze=lambda gen: analyzed_fields(gen, "id", DOCUMENT_MAPPING, english))
+    return store
+
+
+@query("index_documents", """
+SELECT CAST(doc_id AS VARCHAR) AS id, text, lang, source, n_chars FROM documents
+""", ("SNK-4", "SNK-5", "SNK-6", "TXT-6"))
+def index_documents_q(spark, sf_dir):
+    return _index_documents(spark, sf_dir).read("documents")
+
+
+_DOC_TERMS = duckdb_stem_query(_duck_tokens("documents", "doc_id", fold_sql("lower(text)")), ["doc_id", "position"])
+
+
+@query("live_terms", f"""
+SELECT CAST(doc_id AS VARCHAR) AS id, 'text' AS field, position, token AS term FROM ({_DOC_TERMS}) t
+UNION ALL SELECT CAST(doc_id AS VARCHAR), 'lang', CAST(0 AS BIGINT), lang FROM documents WHERE lang IS NOT NULL
+UNION ALL SELECT CAST(doc_id AS VARCHAR), 'source', CAST(0 AS BIGINT), source FROM documents WHERE source IS NOT NULL
+UNION ALL SELECT CAST(doc_id AS VARCHAR), 'n_chars', CAST(0 AS BIGINT), CAST(n_chars AS VARCHAR) FROM documents
+          WHERE n_chars IS NOT NULL
+""", ("TXT-6", "SNK-4"))
+def live_terms_q(spark, sf_dir):
+    return _index_documents(spark, sf_dir).terms("documents").select("id", "field", "position", "term")
