@@ -236,3 +236,22 @@ def test_stream_equals_batch_and_replay_is_idempotent(spark, tmp_path):
     spark.read.parquet(f"{log}/batch_id=0").write.mode("overwrite").parquet(str(tmp_path / "copy"))
     spark.read.parquet(str(tmp_path / "copy")).write.mode("overwrite").parquet(f"{log}/batch_id=0")
     assert sorted(tuple(r) for r in action_log_state(spark, log).collect()) == batch
+
+
+def test_generation_term_index_lives_and_dies_with_generation(spark):
+    import os
+    from docforge.operators.analysis import analyzed_fields
+    from docforge.spec import AnalyzerSpec
+
+    mapping = {"name": FieldSpec("text")}
+    english = AnalyzerSpec("english")
+    store = DocumentStore(spark, database="t_terms")
+    docs = spark.createDataFrame([("1", "Running villages"), ("2", "village")], "id string, name string")
+    gen1 = store.rebuild("v", docs, mapping=mapping, analyzer=english,
+                         analyze=lambda g: analyzed_fields(g, "id", mapping, english))
+    terms = sorted((r["id"], r["term"]) for r in store.terms("v").collect())
+    assert terms == [("1", "run"), ("1", "villag"), ("2", "villag")]
+    gen2 = store.rebuild("v", docs.limit(1), mapping=mapping, analyzer=english,
+                         analyze=lambda g: analyzed_fields(g, "id", mapping, english))
+    assert not os.path.exists(store.terms_path(gen1)) and store.live_generation("v") == gen2
+    assert store.terms("v").count() == 2
