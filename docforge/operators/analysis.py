@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docforge.functions.text import check_language, stem_column, token_array
+from docforge.session import ensure_parallelism
 from docforge.spec import AnalyzerSpec, FieldSpec
 
 _ENTRY = "struct<field:string,position:bigint,term:string,analyzed:boolean>"
@@ -49,6 +50,8 @@ def analyzed_fields(docs: DataFrame, id_col: str, mapping: Mapping[str, FieldSpe
             entries.append(_exact(name, col))
     if not entries:
         raise ValueError("no indexable field in the mapping")
+    wanted = [id_col, *[n for n in mapping if n in docs.columns]]
+    docs = ensure_parallelism(docs.select(*[F.col(f"`{c}`") for c in dict.fromkeys(wanted)]))
     exploded = docs.select(F.col(id_col).alias("id"), F.explode(F.concat(*entries)).alias("e"))
     terms = exploded.select("id", "e.field", "e.position", "e.term", "e.analyzed")
     if analyzer.configured:
@@ -56,19 +59,17 @@ def analyzed_fields(docs: DataFrame, id_col: str, mapping: Mapping[str, FieldSpe
     return terms.drop("analyzed")
 
 
-def write_term_index(terms: DataFrame, path: str, partitions: int | None = None) -> None:
+def write_term_index(terms: DataFrame, path: str) -> None:
     """Persist the term table ``(id, field, position, term)`` for lookups.
 
-    Layout: one folder per field (partition pruning on ``field``), files
-    range-partitioned and sorted on ``(term, id)`` so Parquet min/max
-    statistics let a term lookup skip almost every row group. The range key
-    includes ``id``, so a very frequent term is split across many files
-    instead of landing in one task.
+    Layout: one folder per field (partition pruning on ``field``) and every
+    file sorted on ``(term, id)``, so Parquet row-group min/max statistics
+    let a term lookup skip almost every row group. The sort is local to each
+    task: no shuffle of the term table (the largest table in the system) and
+    no sampling pass over it, and a very frequent term simply spans row
+    groups in many files instead of landing in one task.
     """
-    spark = terms.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    (terms.repartitionByRange(n, "field", "term", "id")
-          .sortWithinPartitions("field", "term", "id")
+    (terms.sortWithinPartitions("field", "term", "id")
           .write.mode("errorifexists").partitionBy("field").parquet(path))
 
 
