@@ -235,6 +235,11 @@ class DocumentStore:
         return log
 
     def _live_sql(self, generation: str) -> str:
+        """The alias body. Without a change log: the generation itself. With
+        one: generation rows whose id never changed (anti join against the
+        log's ids -- broadcast by AQE while the log is small, so the large
+        generation is not shuffled) plus, per changed id, the latest log row
+        unless it is a tombstone (the aggregate runs over the log only)."""
         base = self.qualified(generation)
         if not self.exists(self._log_name(generation)):
             return f"SELECT * FROM {base}"
@@ -243,10 +248,11 @@ class DocumentStore:
         inner = ", ".join(cols)
         rest = [c for c in cols if c != "`id`"]
         picked = ", ".join(f"last_row.{c} AS {c}" for c in rest)
-        return (f"SELECT id, {picked} FROM (SELECT id, max_by(struct({inner}, _deleted), _seq) AS last_row "
-                f"FROM (SELECT {inner}, CAST(-1 AS BIGINT) AS _seq, false AS _deleted FROM {base} "
-                f"UNION ALL SELECT {inner}, _seq, _deleted FROM {log}) GROUP BY id) "
-                f"WHERE NOT last_row._deleted")
+        kept = ", ".join(f"b.{c}" for c in cols)
+        return (f"SELECT {kept} FROM {base} b LEFT ANTI JOIN (SELECT DISTINCT id FROM {log}) l ON b.id = l.id "
+                f"UNION ALL "
+                f"SELECT id, {picked} FROM (SELECT id, max_by(struct({', '.join(rest)}, _deleted), _seq) AS last_row "
+                f"FROM {log} GROUP BY id) WHERE NOT last_row._deleted")
 
     def apply_changes(self, alias: str, upserts: DataFrame | None, deletes: DataFrame | None,
                       seq_col: str = "_seq") -> None:
