@@ -7,9 +7,11 @@
 * The *alias* is a catalog view over the live generation, swapped with one
   ``CREATE OR REPLACE VIEW`` (atomic for readers).
 * Upserts and deletes after publish are appended to the generation's change
-  log ``(id, _seq, _deleted, fields...)``; the alias resolves the latest
-  row per id (``max_by`` on ``_seq``) and hides tombstones. A rebuild
-  compacts everything into a fresh generation.
+  log ``(id, _seq, _deleted, fields...)``; the alias keeps generation rows
+  whose id is not in the log (anti join, the log's ids broadcast while
+  small) and adds the latest log row per changed id (``max_by`` on
+  ``_seq``) unless it is a tombstone. A rebuild compacts everything into a
+  fresh generation.
 
 Everything that touches rows is a Spark job; the driver only issues catalog
 DDL and reads catalog metadata.
