@@ -120,12 +120,19 @@ def reindex_documents(documents: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def reconcile_counts(reconciled: DataFrame, documents: DataFrame) -> DataFrame:
-    """AGG-7: ``reconciled X of Y`` per (flush, entity) for the upsert jobs."""
-    present = documents.select("id").distinct().withColumn("__found", F.lit(1))
-    upserts = reconciled.where(F.col("action") == UPSERT)
-    joined = upserts.join(present, "id", "left")
-    return (joined.groupBy("flush", "entity")
-            .agg(F.count("*").alias("requested"), F.count("__found").alias("reconciled")))
+    """AGG-7: ``reconciled X of Y`` per (flush, entity) for the upsert jobs.
+
+    Document ids are unique in a document table, so ``reconciled`` is an
+    inner join of the (small) upsert set with the document ids -- a join AQE
+    can broadcast on the upsert side, leaving the document table unshuffled
+    -- and ``requested`` an aggregate of the upsert set alone; the two small
+    aggregates are then joined."""
+    upserts = reconciled.where(F.col("action") == UPSERT).select("flush", "entity", "id")
+    requested = upserts.groupBy("flush", "entity").agg(F.count("*").alias("requested"))
+    found = (upserts.join(documents.select("id"), "id")
+             .groupBy("flush", "entity").agg(F.count("*").alias("reconciled")))
+    return (requested.join(found, ["flush", "entity"], "left")
+            .select("flush", "entity", "requested", F.coalesce("reconciled", F.lit(0)).alias("reconciled")))
 
 
 def orphan_sweep(documents: DataFrame, source_ids: DataFrame) -> DataFrame:
