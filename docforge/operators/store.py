@@ -103,36 +103,52 @@ class DocumentStore:
              unique_ids: bool = False) -> int:
         """SNK-1: write documents into a generation; returns rows sent (not
         distinct ids). A later row for an id replaces an earlier one, in scan
-        order, as an index keyed by id does: one ``max_by`` per id, combined
-        map-side, so a hot id never reaches one reducer as raw rows. Pass
-        ``unique_ids=True`` when the source guarantees unique ids to skip that
-        shuffle. One Spark job, all-or-nothing at commit (the reference
-        commits batch by batch); ``batch_size`` bounds the rows per output
-        file, the analogue of one bulk request. The count comes from an
-        observation on the write itself -- no second pass over the data."""
-        from pyspark.sql import Observation
-
+        order, as an index keyed by id does.
+
+        Cost model: the document payload is never shuffled for ids that occur
+        once. One job counts rows per id over the ids alone (map-side
+        combined); if no id repeats, the documents are written as they are.
+        Otherwise only rows of repeated ids are reduced (``max_by`` on scan
+        order, partial per task, so a hot id never reaches one reducer as raw
+        rows) and written together with the untouched rows. ``unique_ids=True``
+        skips the check. ``batch_size`` bounds the rows per output file, the
+        analogue of one bulk request; the write is one job, all-or-nothing at
+        commit (the reference commits batch by batch)."""
         columns = self.spark.table(self.qualified(generation)).columns
-        sent = Observation(f"sent_{generation}")
-        observed = documents.select(*columns).observe(sent, F.count(F.lit(1)).alias("rows"))
-        if not unique_ids:
-            body = [c for c in columns if c != "id"]
-            last = F.max_by(F.struct(*[F.col(f"`{c}`") for c in body]), F.col("__order")) if body else None
-            ordered = observed.withColumn("__order", F.monotonically_increasing_id())
-            if last is not None:
-                observed = ordered.groupBy("id").agg(last.alias("__doc")).select(
-                    "id", *[F.col(f"__doc.`{c}`").alias(c) for c in body])
+        docs = documents.select(*[F.col(f"`{c}`") for c in columns])
+        body = [c for c in columns if c != "id"]
+        if unique_ids:
+            sent = None
+            out = docs
+        else:
+            ordered = docs.withColumn("__order", F.monotonically_increasing_id())
+            per_id = ordered.groupBy("id").agg(F.count(F.lit(1)).alias("__n"))
+            stats = per_id.agg(F.sum("__n").alias("rows"), F.count_if(F.col("__n") > 1).alias("repeated")).collect()[0]
+            sent = int(stats["rows"] or 0)
+            if not stats["repeated"]:
+                out = docs
             else:
-                observed = ordered.select("id").distinct()
-            observed = observed.select(*columns)
-        writer = observed.write.mode("append")
+                repeated = per_id.where(F.col("__n") > 1).select("id")
+                singles = ordered.join(repeated, "id", "left_anti")
+                if body:
+                    last = F.max_by(F.struct(*[F.col(f"`{c}`") for c in body]), F.col("__order"))
+                    merged = (ordered.join(repeated, "id", "left_semi").groupBy("id").agg(last.alias("__doc"))
+                              .select("id", *[F.col(f"__doc.`{c}`").alias(c) for c in body]))
+                else:
+                    merged = ordered.join(repeated, "id", "left_semi").select("id").distinct()
+                out = singles.select(*columns).unionByName(merged.select(*columns))
+        if sent is None:
+            from pyspark.sql import Observation
+            observation = Observation(f"sent_{generation}")
+            out = out.observe(observation, F.count(F.lit(1)).alias("rows"))
+        writer = out.select(*columns).write.mode("append")
         if batch_size:
             writer = writer.option("maxRecordsPerFile", int(batch_size))
         # append straight into the generation's location (the table is
         # external there), so that writer options such as maxRecordsPerFile apply
         writer.format("parquet").save(self.path_of(generation))
         self.spark.catalog.refreshTable(f"{self.db}.{generation}")
-        return int(sent.get.get("rows", 0))
+        return sent if sent is not None else int(observation.get.get("rows", 0))
 
     def publish(self, alias: str, generation: str) -> None:
         """SNK-5: swap the alias view to ``generation`` in one statement."""
