@@ -93,3 +93,35 @@ def drain_spool(spark: SparkSession, spool_path: str, checkpoint: str, store, al
 
     return (stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
+
+
+def compact_action_log(spark: SparkSession, action_log: str) -> int:
+    """Bound the action log of a long-running stream: reduce every folder
+    present now to one row per (entity, id) -- its latest flush and that
+    flush's merged action -- written as one new folder, then drop the folders
+    it replaces. Because the read side re-reduces by (flush, entity, id) and
+    then takes the latest flush, a reader (or a crash) between the two steps
+    sees duplicates that merge to the same answer. Returns folders dropped."""
+    from docforge.sources.spool import _exists
+
+    if not _exists(spark, action_log):
+        return 0
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(action_log)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    folders = [st.getPath().toString() for st in fs.listStatus(root)
+               if st.isDirectory() and st.getPath().getName().startswith("batch_id=")]
+    if len(folders) <= 1:
+        return 0
+    log = spark.read.parquet(*folders).select("flush", "entity", "id", "action")
+    merged = sync.reconcile_flushes(log.select("flush", "entity", "id",
+                                               F.when(F.col("action") == sync.DELETE, "remove")
+                                               .otherwise("update").alias("op")))
+    latest = (merged.groupBy("entity", "id")
+              .agg(F.max_by(F.struct("flush", "action"), "flush").alias("last"))
+              .select(F.col("last.flush").alias("flush"), "entity", "id", F.col("last.action").alias("action")))
+    import uuid
+    latest.write.parquet(f"{action_log}/batch_id=compacted-{uuid.uuid4().hex[:12]}")
+    for folder in folders:
+        fs.delete(jvm.org.apache.hadoop.fs.Path(folder), True)
+    return len(folders)

@@ -236,6 +236,11 @@ def test_stream_equals_batch_and_replay_is_idempotent(spark, tmp_path):
     spark.read.parquet(f"{log}/batch_id=0").write.mode("overwrite").parquet(str(tmp_path / "copy"))
     spark.read.parquet(str(tmp_path / "copy")).write.mode("overwrite").parquet(f"{log}/batch_id=0")
     assert sorted(tuple(r) for r in action_log_state(spark, log).collect()) == batch
+    # compaction keeps the answer and leaves one folder
+    from docforge.streaming.sync_stream import compact_action_log
+    assert compact_action_log(spark, log) >= 2
+    assert sorted(tuple(r) for r in action_log_state(spark, log).collect()) == batch
+    assert len([p for p in (tmp_path / "log").iterdir() if p.name.startswith("batch_id=")]) == 1
 
 
 def test_generation_term_index_lives_and_dies_with_generation(spark):
