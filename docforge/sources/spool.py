@@ -40,7 +40,9 @@ def read_spool(spark: SparkSession, path: str) -> DataFrame:
         return spark.createDataFrame([], schema).select(ENTITY_DIR, "id")
     raw = (spark.read.schema(schema).option("mode", "PERMISSIVE")
            .option("recursiveFileLookup", "false").json(path))
-    return (raw.where(F.col("id").isNotNull() & (F.length(F.trim("id")) > 0))
+    # a missing or null id is skipped; any other value -- the empty string
+    # included -- is kept as its string form
+    return (raw.where(F.col("id").isNotNull())
             .select(decode_entity(F.col(ENTITY_DIR)).alias("entity"), "id")
             .dropDuplicates(["entity", "id"]))
 

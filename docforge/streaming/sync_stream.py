@@ -87,7 +87,7 @@ def drain_spool(spark: SparkSession, spool_path: str, checkpoint: str, store, al
               .option("maxFilesPerTrigger", max_files_per_trigger).json(spool_path))
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        ids = (batch.where(F.col("id").isNotNull() & (F.length(F.trim("id")) > 0))
+        ids = (batch.where(F.col("id").isNotNull())
                .where(decode_entity(F.col(ENTITY_DIR)) == entity))
         apply_ids_from_current_state(store, alias, ids, current(), batch_id)
 

@@ -207,9 +207,10 @@ def test_chunk_messages_are_bounded(spark):
 def test_spool_tolerates_bad_lines(spark, tmp_path):
     d = tmp_path / "spool" / "entity=App.Entity.Film"
     d.mkdir(parents=True)
-    (d / "part-0.json").write_text('{"id": 1}\n{"id": "1"}\n{"id": null}\n{}\nnot json\n\n{"id": "a b"}\n')
+    (d / "part-0.json").write_text('{"id": 1}\n{"id": "1"}\n{"id": null}\n{}\nnot json\n\n{"id": "a b"}\n'
+                                   '{"id": ""}\n')
     got = sorted(tuple(r) for r in spool.read_spool(spark, str(tmp_path / "spool")).collect())
-    assert got == [("App\\Entity\\Film", "1"), ("App\\Entity\\Film", "a b")]
+    assert got == [("App\\Entity\\Film", ""), ("App\\Entity\\Film", "1"), ("App\\Entity\\Film", "a b")]
     assert spool.read_spool(spark, str(tmp_path / "missing")).count() == 0
     spool.append_spool(spark.createDataFrame([Row(entity="App\\Entity\\Book", id="9")]), str(tmp_path / "spool"))
     classes = sorted(r["entity"] for r in spool.spool_classes(spark, str(tmp_path / "spool")).collect())
