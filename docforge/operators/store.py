@@ -257,7 +257,9 @@ class DocumentStore:
         one: generation rows whose id never changed (anti join against the
         log's ids -- broadcast by AQE while the log is small, so the large
         generation is not shuffled) plus, per changed id, the latest log row
-        unless it is a tombstone (the aggregate runs over the log only)."""
+        unless it is a tombstone (the aggregate runs over the log only). On
+        equal sequence a tombstone wins, so a flush whose delete and update
+        arrive in different micro-batches still ends deleted."""
         base = self.qualified(generation)
         if not self.exists(self._log_name(generation)):
             return f"SELECT * FROM {base}"
@@ -269,7 +271,8 @@ class DocumentStore:
         kept = ", ".join(f"b.{c}" for c in cols)
         return (f"SELECT {kept} FROM {base} b LEFT ANTI JOIN (SELECT DISTINCT id FROM {log}) l ON b.id = l.id "
                 f"UNION ALL "
-                f"SELECT id, {picked} FROM (SELECT id, max_by(struct({', '.join(rest)}, _deleted), _seq) AS last_row "
+                f"SELECT id, {picked} FROM (SELECT id, "
+                f"max_by(struct({', '.join(rest)}, _deleted), struct(_seq, _deleted)) AS last_row "
                 f"FROM {log} GROUP BY id) WHERE NOT last_row._deleted")
 
     def apply_changes(self, alias: str, upserts: DataFrame | None, deletes: DataFrame | None,

@@ -157,3 +157,37 @@ def spool_drain_q(spark, sf_dir):
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
     return store.read("customer")
+
+
+@query("sync_stream_documents", f"""
+SELECT d.* FROM ({CUSTOMER_DOCS_SQL}) d
+WHERE d.id NOT IN (SELECT id FROM ({FINAL_SQL}) f WHERE action = 'delete')
+""", ("STR-4", "STR-5", "SNK-1", "SNK-2"))
+def sync_stream_documents_q(spark, sf_dir):
+    # queued-jobs mode end to end: each micro-batch's reconciled actions are
+    # applied to the live alias -- upserts re-read the current source row,
+    # deletes become tombstones, both sequenced by their flush so that a
+    # later flush wins even across micro-batches and replays change nothing
+    import uuid
+
+    from docforge.operators.store import DocumentStore
+    from docforge.streaming.sync_stream import start_sync
+
+    base = sync.new_session_scoped_dir(spark, "sync-docs")
+    store = DocumentStore(spark, database=f"docforge_{uuid.uuid4().hex[:10]}")
+    store.rebuild("customer", customer_docs(spark, sf_dir))
+    change_rows(spark, sf_dir).repartition(6).write.parquet(f"{base}/landing")
+
+    def apply(batch, _batch_id):
+        seq = F.unix_micros(F.col("flush").cast("timestamp")).alias("_seq")
+        ups = batch.where(F.col("action") == sync.UPSERT).select("id", seq)
+        dels = batch.where(F.col("action") == sync.DELETE).select("id", seq)
+        upserts = sync.reindex_documents(customer_docs(spark, sf_dir), ups).join(ups, "id")
+        store.apply_changes("customer", upserts, dels)
+
+    q = start_sync(spark, f"{base}/landing", f"{base}/actions", f"{base}/checkpoint", dataset_entities(spark),
+                   max_files_per_trigger=2, on_batch=apply)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return store.read("customer")

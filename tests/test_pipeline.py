@@ -154,6 +154,10 @@ def test_change_log_later_sequence_wins_and_deletes(spark):
     store.apply_changes("c", ups.unionByName(old), dels)
     got = {r["id"]: r["name"] for r in store.read("c").collect()}
     assert got == {"0": "v20", "1": "v21", "2": "n2"}
+    # same sequence (one flush split across batches): the tombstone wins
+    store.apply_changes("c", _docs(spark, 1, "v3").withColumn("_seq", F.lit(5)),
+                        spark.createDataFrame([("0", 5)], "id string, _seq long"))
+    assert "0" not in {r["id"] for r in store.read("c").collect()}
     cands = store.retire_candidates("c").collect()
     assert [(r["live"], r["documents"]) for r in cands] == [(True, 4)]
 
