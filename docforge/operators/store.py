@@ -322,11 +322,11 @@ class DocumentStore:
         live = self.live_generation(alias)
         names = self.generations(alias)
         frames = [self.spark.table(self.qualified(n)).groupBy().count()
-                  .select(F.lit(n).alias("generation"), F.lit(n == live).alias("live"),
+                  .select(F.lit(pos).alias("position"), F.lit(n).alias("generation"), F.lit(n == live).alias("live"),
                           F.col("count").alias("documents"))
-                  for n in names]
+                  for pos, n in enumerate(names, start=1)]
         if not frames:
-            return self.spark.createDataFrame([], "generation string, live boolean, documents bigint")
+            return self.spark.createDataFrame([], "position int, generation string, live boolean, documents bigint")
         out = frames[0]
         for f in frames[1:]:
             out = out.unionByName(f)

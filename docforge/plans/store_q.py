@@ -5,7 +5,6 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from docforge.operators import sync, validate
 from docforge.operators.documents import delete_actions
@@ -125,7 +124,7 @@ def retire_candidates_q(spark, sf_dir):
     store.rebuild("customer", build, keep_old=True)
     store.create_generation("customer", customer_docs(spark, sf_dir).schema)  # unpublished leftover
     cands = store.retire_candidates("customer")
-    return cands.select(F.row_number().over(Window.orderBy("generation")).alias("position"), "live", "documents")
+    return cands.select("position", "live", "documents")
 
 
 DOCUMENT_MAPPING = {"text": FieldSpec("text"), "lang": FieldSpec("keyword"), "source": FieldSpec("keyword"),
