@@ -16,9 +16,9 @@ from docforge.session import ensure_parallelism
 from docforge.spec import STEMMER_LANGUAGES, AnalyzerSpec
 
 # Word pattern of the standard tokenizer (letters, marks, digits
-# and underscore; an inner '.' or apostrophe joins two runs, a trailing one is
-# dropped).
-TOKEN_PATTERN = r"[\p{L}\p{M}\p{N}_]+(?:[.'][\p{L}\p{M}\p{N}_]+)*"
+# and underscore; an inner '.', apostrophe or right single quotation mark joins
+# two runs, a trailing one is dropped).
+TOKEN_PATTERN = r"[\p{L}\p{M}\p{N}_]+(?:[.'’][\p{L}\p{M}\p{N}_]+)*"
 
 # ASCII folding of lower-case letters, one target per group.
 FOLD_GROUPS = [

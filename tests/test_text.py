@@ -82,3 +82,7 @@ def test_only_text_fields_analysed(spark):
     got = sorted((r["field"], r["position"], r["term"]) for r in rows)
     assert got == [("tags", 0, "Running Shoes"), ("title", 0, "run"), ("title", 1, "shoe"),
                    ("title.keyword", 0, "Running Shoes"), ("year", 0, "2020")]
+
+
+def test_curly_apostrophe_joins_like_ascii(spark):
+    assert _tokens(spark, "Don’t stop", AnalyzerSpec()) == ["don’t", "stop"]
