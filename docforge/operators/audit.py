@@ -21,6 +21,14 @@ CHECK_ISSUES = {"alias": 1, "analysis": 2, "dynamic": 2, "drift": 9, "fields": 2
 ANALYZER_KEY = r"^index\.analysis\.analyzer\.([^.]+)\."
 
 
+def _small(df: DataFrame) -> DataFrame:
+    """Broadcast a configuration-sized side. Every audit input is bounded by
+    configuration (datasets, indexes, settings, declared fields) or by schema
+    width (one stats row per source column), never by row counts, so these
+    joins need no shuffle."""
+    return F.broadcast(df)
+
+
 def spark_kind(dtype: T.DataType) -> str:
     if isinstance(dtype, T.StringType):
         return "string"
@@ -50,7 +58,7 @@ def live_indexes(datasets: DataFrame, indexes: DataFrame) -> DataFrame:
     dataset's own name; ``index`` falls back to the code when none exists."""
     by_alias = alias_resolution(indexes).select(F.col("alias").alias("code"), F.col("index").alias("by_alias"))
     by_name = indexes.select(F.col("index").alias("code"), F.col("index").alias("by_name"))
-    joined = datasets.select("code").join(by_alias, "code", "left").join(by_name, "code", "left")
+    joined = datasets.select("code").join(_small(by_alias), "code", "left").join(_small(by_name), "code", "left")
     live = F.coalesce("by_alias", "by_name")
     return joined.select("code", F.coalesce(live, F.col("code")).alias("index"), live.isNotNull().alias("exists"))
 
@@ -87,7 +95,7 @@ def observed_from_stats(stats: DataFrame, declared: DataFrame) -> DataFrame:
     """
     observed = stats.where(F.col("present_docs") > 0)
     d = declared.select("code", "field", F.col("type").alias("d_type"), F.col("has_keyword").alias("d_kw"))
-    j = observed.join(d, ["code", "field"], "left")
+    j = observed.join(_small(d), ["code", "field"], "left")
     kind, dt = F.col("kind"), F.col("d_type")
     fits = (((kind == "string") & dt.isin("text", "keyword")) | ((kind == "integral") & dt.isin("long", "integer"))
             | ((kind == "fractional") & dt.isin("float", "double")) | ((kind == "timestamp") & (dt == "date"))
@@ -152,8 +160,8 @@ def schema_audit(datasets: DataFrame, live: DataFrame, indexes: DataFrame, setti
 
     A dataset whose index does not exist gets exactly one ``na`` row.
     """
-    idx = live.join(indexes.select("index", "aliases"), "index", "left") \
-        .join(counts.select("index", "docs"), "index", "left")
+    idx = live.join(_small(indexes.select("index", "aliases")), "index", "left") \
+        .join(_small(counts.select("index", "docs")), "index", "left")
     s = settings.groupBy("index").agg(
         F.max(F.when(F.col("key") == stemmer_setting, F.col("value"))).alias("indexed_language"),
         F.max(F.when(F.col("key") == "index.max_result_window", F.col("value"))).alias("window"),
@@ -172,8 +180,8 @@ def schema_audit(datasets: DataFrame, live: DataFrame, indexes: DataFrame, setti
         _sorted_join(F.when(kind == "unexpected", F.col("field"))).alias("unexpected"),
         F.count("in_declared").alias("n_declared"), F.count("in_actual").alias("n_actual"))
     base = (datasets.select("code", F.nullif(F.col("language"), F.lit("")).alias("wanted"), "dynamic")
-            .join(idx, "code").join(s, "index", "left").join(names, "index", "left")
-            .join(drift_summary, "code", "left"))
+            .join(_small(idx), "code").join(_small(s), "index", "left").join(_small(names), "index", "left")
+            .join(_small(drift_summary), "code", "left"))
 
     aliases = F.coalesce(F.col("aliases"), F.array().cast("array<string>"))
     alias_ok = F.size(aliases) > 0
@@ -247,9 +255,9 @@ def field_intents(intents: DataFrame, facet_fields: DataFrame, search_fields: Da
     a = actual.select("code", F.col("field").alias("name"),
                       F.when((F.col("actual_type") == "text") & F.col("has_keyword"), F.lit("text + .keyword"))
                       .otherwise(F.col("actual_type")).alias("actual_type"))
-    j = (intents.join(f, ["code", "name"], "left").join(se, ["code", "name"], "left")
-         .join(so, ["code", "name"], "left").join(a, ["code", "name"], "left")
-         .join(live.select("code", F.col("exists").alias("index_exists")), "code", "left"))
+    j = (intents.join(_small(f), ["code", "name"], "left").join(_small(se), ["code", "name"], "left")
+         .join(_small(so), ["code", "name"], "left").join(_small(a), ["code", "name"], "left")
+         .join(_small(live.select("code", F.col("exists").alias("index_exists"))), "code", "left"))
     in_facet = F.coalesce("in_facet", F.lit(False))
     in_search = F.coalesce("in_search", F.lit(False))
     in_sort = F.coalesce("in_sort", F.lit(False))
@@ -279,10 +287,10 @@ def fleet_inventory(indexes: DataFrame, counts: DataFrame, datasets: DataFrame,
     visible = indexes.where(~F.col("index").startswith(".") & F.col("index").like(like))
     codes = datasets.select(F.col("code"))
     by_name = codes.select(F.col("code").alias("index"), F.col("code").alias("by_name"))
-    by_alias = (visible.select("index", F.posexplode("aliases").alias("apos", "code")).join(codes, "code")
+    by_alias = (visible.select("index", F.posexplode("aliases").alias("apos", "code")).join(_small(codes), "code")
                 .groupBy("index").agg(F.min_by("code", "apos").alias("by_alias")))
-    return (visible.join(counts.select("index", "docs"), "index", "left")
-            .join(by_name, "index", "left").join(by_alias, "index", "left")
+    return (visible.join(_small(counts.select("index", "docs")), "index", "left")
+            .join(_small(by_name), "index", "left").join(_small(by_alias), "index", "left")
             .select("index", F.coalesce("docs", F.lit(0)).alias("docs"),
                     F.array_join("aliases", ",").alias("aliases"),
                     F.coalesce("by_name", "by_alias").alias("claimed_by")))
@@ -303,7 +311,7 @@ def pattern_misses(indexes: DataFrame, pattern: str) -> DataFrame:
 def dataset_status(live: DataFrame, counts: DataFrame, actual: DataFrame) -> DataFrame:
     """AGG-2/AGG-3 / QRY-4: code, index, exists, documents, mapped fields."""
     n_fields = actual.groupBy("code").agg(F.count("*").alias("mapped_fields"))
-    return (live.join(counts.select("index", "docs"), "index", "left").join(n_fields, "code", "left")
+    return (live.join(_small(counts.select("index", "docs")), "index", "left").join(_small(n_fields), "code", "left")
             .select("code", "index", "exists",
                     F.when(F.col("exists"), F.coalesce("docs", F.lit(0))).otherwise(F.lit(0)).cast("bigint")
                     .alias("documents"),
@@ -321,7 +329,7 @@ def dataset_report(datasets: DataFrame, status: DataFrame, indexes: DataFrame, c
         .otherwise("none")
     al = indexes.select("index", F.array_join("aliases", ",").alias("aliases"))
     return (datasets.select("code", "entity", "has_provider", "source_table")
-            .join(status, "code").join(al, "index", "left").join(folded, "code", "left")
+            .join(_small(status), "code").join(_small(al), "index", "left").join(_small(folded), "code", "left")
             .select("code", "entity", "index", "exists", "documents",
                     F.when(F.col("exists"), F.coalesce("aliases", F.lit(""))).otherwise(F.lit("")).alias("aliases"),
                     F.coalesce("warnings", F.lit(0)).cast("bigint").alias("warnings"),

@@ -166,14 +166,15 @@ def table_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 def observed_stats(spark: SparkSession, stats: DataFrame) -> DataFrame:
     """``(code, field, kind, present_docs)`` for each dataset's projected fields."""
     ds = datasets_df(spark).select("code", "source_table")
-    return (source_fields_df(spark).join(ds, "code")
-            .join(stats.where(F.col("field") != "*"), ["source_table", "field"])
+    # configuration- and schema-sized on both sides
+    return (source_fields_df(spark).join(F.broadcast(ds), "code")
+            .join(F.broadcast(stats.where(F.col("field") != "*")), ["source_table", "field"])
             .select("code", "field", "kind", F.col("present").alias("present_docs")))
 
 
 def counts_from_stats(spark: SparkSession, stats: DataFrame) -> DataFrame:
     rows = stats.where(F.col("field") == "*").select("source_table", F.col("present").alias("docs"))
-    return indexes_df(spark).join(rows, "source_table").drop("source_table")
+    return indexes_df(spark).join(F.broadcast(rows), "source_table").drop("source_table")
 
 
 def index_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
