@@ -86,14 +86,13 @@ def assert_no_rejects(rejected: DataFrame, id_col: str = "id") -> None:
 
 def inferred_fields(docs: DataFrame, doc_col: str) -> DataFrame:
     """FLT-6: dynamic mapping inference -- per top-level key, the inferred
-    type and how many documents carry it, from a variant scan of every doc."""
+    type and how many documents carry it, from a variant scan of every doc
+    (``variant_explode`` as a lateral join; one partially aggregated group-by)."""
     spark = docs.sparkSession
-    view = f"__docs_{abs(hash(doc_col)) % 10_000_000}"
-    docs.select(F.col(doc_col).alias("doc")).createOrReplaceTempView(view)
-    kinds = spark.sql(f"""
-        SELECT e.key AS field, regexp_extract(schema_of_variant(e.value), '^([A-Z]+)', 1) AS kind
-        FROM {view}, LATERAL variant_explode(parse_json(doc)) AS e
-    """)
+    pairs = docs.select(F.col(doc_col).alias("doc")).lateralJoin(
+        spark.tvf.variant_explode(F.parse_json(F.col("doc").outer())))
+    kinds = pairs.select(F.col("key").alias("field"),
+                         F.regexp_extract(F.schema_of_variant("value"), "^([A-Z]+)", 1).alias("kind"))
     mapping = F.create_map(*[x for k, v in INFERRED_TYPES.items() for x in (F.lit(k), F.lit(v))])
     return (kinds.withColumn("inferred_type", F.coalesce(mapping[F.col("kind")], F.lower("kind")))
             .groupBy("field", "inferred_type").agg(F.count("*").alias("n_docs")))
