@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docforge.llm import encode as encoding
-from docforge.llm import repair
+from docforge.llm import extract, langid, pack, repair
 from docforge.llm.common import table
 from docforge.session import shared_root
 
@@ -25,6 +25,20 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def op5_line_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return extract.extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
+def op6_ecoc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from three quarters of them."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+    model = langid.fit(docs.where(~F.coalesce(held_out, F.lit(True))))
+    return langid.identify(docs, model).select(
+        "doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
 def op8_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Place, count and checksum of every document's ids, read back from Re-Pair files."""
     path = f"{shared_root(spark)}/llm/repair-{uuid.uuid4().hex}"
@@ -34,7 +48,17 @@ def op8_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", (F.col("first") + F.col("before")).alias("start"), "n_tokens", "ids_crc32")
 
 
+def op9_hilbert_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in sequences of 2048 tokens along the curve."""
+    pieces = pack.pack(table(spark, sf_dir, "documents"), BYTE_BPE, end_id=1, length=2048)
+    return pieces.withColumn("ids_crc32", F.crc32("ids")).select(
+        "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
 QUERIES = {
     "op2_bpe": (op2_bpe, None),
+    "op5_line_blocks": (op5_line_blocks, None),
+    "op6_ecoc": (op6_ecoc, None),
+    "op9_hilbert_packing": (op9_hilbert_packing, None),
     "op8_repair": (op8_repair, None),
 }
