@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docforge.llm import encode as encoding
-from docforge.llm import extract, langid, pack, repair
+from docforge.llm import extract, langid, pack, repair, repeats
 from docforge.llm.common import table
 from docforge.session import shared_root
 
@@ -55,10 +55,19 @@ def op9_hilbert_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+def op10_difference_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without the 50-byte strings of earlier ones."""
+    out = repeats.remove_repeats(table(spark, sf_dir, "documents"), width=50)
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return out.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+                      F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op2_bpe": (op2_bpe, None),
     "op5_line_blocks": (op5_line_blocks, None),
     "op6_ecoc": (op6_ecoc, None),
     "op9_hilbert_packing": (op9_hilbert_packing, None),
+    "op10_difference_cover": (op10_difference_cover, None),
     "op8_repair": (op8_repair, None),
 }
