@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docforge.llm import encode as encoding
-from docforge.llm import extract, langid, pack, repair, repeats
+from docforge.llm import extract, jaccard_join, langid, pack, repair, repeats
 from docforge.llm.common import table
 from docforge.session import shared_root
 
@@ -25,6 +25,11 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def op4_grouped_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Size of every document's set of word triples and its class at a Jaccard similarity of 0.9 or more."""
+    return jaccard_join.classes(table(spark, sf_dir, "documents"), size=3, percent=90)
+
+
 def op5_line_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     return extract.extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
@@ -65,6 +70,7 @@ def op10_difference_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_bpe": (op2_bpe, None),
+    "op4_grouped_prefix": (op4_grouped_prefix, None),
     "op5_line_blocks": (op5_line_blocks, None),
     "op6_ecoc": (op6_ecoc, None),
     "op9_hilbert_packing": (op9_hilbert_packing, None),
