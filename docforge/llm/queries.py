@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docforge.llm import encode as encoding
-from docforge.llm import extract, jaccard_join, langid, pack, repair, repeats
+from docforge.llm import ann, extract, jaccard_join, langid, pack, repair, repeats
 from docforge.llm.common import table
 from docforge.session import shared_root
 
@@ -17,6 +17,11 @@ BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_hilbert_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors found of every vector whose id is divisible by 20."""
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token count and digests of every document's ids and of the text decoded from them."""
     ids = encoding.encode(table(spark, sf_dir, "documents"), BYTE_BPE)
@@ -69,6 +74,7 @@ def op10_difference_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_hilbert_ann": (op1_hilbert_ann, None),
     "op2_bpe": (op2_bpe, None),
     "op4_grouped_prefix": (op4_grouped_prefix, None),
     "op5_line_blocks": (op5_line_blocks, None),
