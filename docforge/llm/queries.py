@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docforge.llm import encode as encoding
-from docforge.llm import ann, extract, jaccard_join, langid, pack, repair, repeats
+from docforge.llm import ann, extract, imatch, jaccard_join, langid, pack, repair, repeats
 from docforge.llm.common import table
 from docforge.session import shared_root
 
@@ -49,6 +49,11 @@ def op6_ecoc(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "lang_pred", "score", "ambiguous")
 
 
+def op7_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its half-edited text."""
+    return imatch.edit_test(table(spark, sf_dir, "documents"))
+
+
 def op8_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Place, count and checksum of every document's ids, read back from Re-Pair files."""
     path = f"{shared_root(spark)}/llm/repair-{uuid.uuid4().hex}"
@@ -81,5 +86,6 @@ QUERIES = {
     "op6_ecoc": (op6_ecoc, None),
     "op9_hilbert_packing": (op9_hilbert_packing, None),
     "op10_difference_cover": (op10_difference_cover, None),
+    "op7_imatch": (op7_imatch, None),
     "op8_repair": (op8_repair, None),
 }
