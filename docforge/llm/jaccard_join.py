@@ -25,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from docforge.llm.common import gather, mix64, partitions, small_batches, stored, text_batches
@@ -354,7 +354,8 @@ def _links(rows: DataFrame, size: int, percent: int) -> DataFrame:
 
 
 def classes(docs: DataFrame, *, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id_col``, ``n_shingles`` and ``component_id`` (the smallest id reachable by links) of every row.
+    """``id_col``, ``n_shingles`` and ``component_id`` (the smallest id reachable by links) of every row, and ``text_mark``
+    (Spark's xxhash64 of the text), which with the id finds the row again.
 
     Two rows are linked when 100 * (shared shingles) >= ``percent`` * (shingles of either).
     """
@@ -390,4 +391,20 @@ def classes(docs: DataFrame, *, size: int = 5, percent: int = 80, id_col: str =
     of = found.join(least, "root").select("node", "component")
     return (sets.join(of, "node", "left").select(
         F.col("id").cast(docs.schema[id_col].dataType).alias(id_col), F.col("n").cast("long").alias("n_shingles"),
-        F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id")).cast(docs.schema[id_col].dataType).alias("component_id")))
+        F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id")).cast(docs.schema[id_col].dataType).alias("component_id"),
+        F.col("mark").alias("text_mark")))
+
+
+def one_of_each(docs: DataFrame, *, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, of which one of each class stays: that of the class's id. Blank texts all stay."""
+    found = classes(docs, size=size, percent=percent, id_col=id_col, text_col=text_col)
+    own = F.col(id_col).eqNullSafe(F.col("component_id"))
+    stay = (found.where(own & (F.col("n_shingles") > 0)).groupBy("component_id").agg(F.min("text_mark").alias("m")).withColumn("blank", F.lit(False))
+            .unionByName(found.where("n_shingles = 0").select(F.col(id_col).alias("component_id"), F.col("text_mark").alias("m"),
+                                                             F.lit(True).alias("blank")).distinct()))
+    stay = stay.select(F.coalesce(F.col("component_id").cast("long"), F.lit(NO_ID)).alias("k"), "m", "blank")
+    row = F.struct(*(F.col(c) for c in docs.columns)).alias("row")
+    rows = docs.select(row, F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("k"), F.xxhash64(F.col(text_col)).alias("m"))
+    repeated = Window.partitionBy("k", "m").orderBy("k")
+    return (rows.join(stay, ["k", "m"]).withColumn("nth", F.row_number().over(repeated)).where("blank or nth = 1")
+            .select(*(F.col("row")[c].alias(c) for c in docs.columns)))

@@ -153,17 +153,19 @@ def fit(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang") -> M
     return Model(tuple(names), code, weights, separation / separation.sum() if len(separation) and separation.sum() else separation)
 
 
-def identify(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id_col``, ``lang_pred``, ``score`` and ``ambiguous`` of every row."""
+def identify(docs: DataFrame, model: Model, *, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """The columns ``keep`` with ``lang_pred``, ``score`` and ``ambiguous`` of every row. A kept column of one of these names
+    is replaced."""
     small_batches(docs.sparkSession)
-    kind = docs.schema[id_col].dataType.simpleString()
     shared = docs.sparkSession.sparkContext.broadcast(model)  # BUCKETS * bits numbers
+    keep = tuple(c for c in keep if c not in ("lang_pred", "score", "ambiguous"))
+    kinds = "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in text_batches(batches, CHARS):
-            names, score, unsure = shared.value.predict(t["text"].to_pylist())
-            yield pa.RecordBatch.from_arrays([t["id"].combine_chunks(), pa.array(names, pa.string()), pa.array(score), pa.array(unsure)],
-                                             names=["id", "lang_pred", "score", "ambiguous"])
+        for t in text_batches(batches, CHARS, "__text"):
+            names, score, unsure = shared.value.predict(t["__text"].to_pylist())
+            yield pa.RecordBatch.from_arrays([*(t[c].combine_chunks() for c in keep), pa.array(names, pa.string()), pa.array(score),
+                                              pa.array(unsure)], names=[*keep, "lang_pred", "score", "ambiguous"])
 
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(
-        run, f"id {kind}, lang_pred string, score double, ambiguous boolean").withColumnRenamed("id", id_col)
+    return docs.select(*keep, F.col(text_col).alias("__text")).mapInArrow(
+        run, kinds + "lang_pred string, score double, ambiguous boolean")

@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docforge.llm import encode as encoding
-from docforge.llm import ann, extract, imatch, jaccard_join, langid, pack, repair, repeats
-from docforge.llm.common import table
+from docforge.llm import ann, extract, imatch, jaccard_join, langid, pack, repair, repeats, rollup
+from docforge.llm.common import stored, table
 from docforge.session import shared_root
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -30,9 +30,29 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def op3_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token totals after four batches: every document comes in, the ones labelled toxic go, the remaining ones labelled as good are
+    counted anew with another tokenizer, and the second batch is delivered again."""
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.max("quality").alias("quality"))
+    keys = docs.select("doc_id", "source", "lang")
+    first = stored(encoding.encode(docs, BYTE_BPE).drop("ids").join(keys, "doc_id").withColumn("tokenizer", F.lit("byte_bpe_50k")), "counts")
+    toxic = labels.where("toxic = 1").select("doc_id")
+    good = labels.where("quality = 1 and toxic = 0").select("doc_id")
+    again = encoding.encode(docs.join(good, "doc_id", "left_semi"), WORD_BPE).drop("ids")
+    path = f"{shared_root(spark)}/llm/rollup-{uuid.uuid4().hex}"
+    rollup.commit(rollup.inserts(first), path, 1)
+    gone = first.join(toxic, "doc_id", "left_semi")
+    rollup.commit(rollup.deletes(gone), path, 2)
+    new = again.join(keys, "doc_id").withColumn("tokenizer", F.lit("word_bpe_49k"))
+    rollup.commit(rollup.revisions(first.join(good, "doc_id", "left_semi"), new), path, 3)
+    rollup.commit(rollup.deletes(gone), path, 2)
+    return rollup.totals(spark, path).select("source", "lang", "tokenizer", "n_docs", "n_tokens")
+
+
 def op4_grouped_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Size of every document's set of word triples and its class at a Jaccard similarity of 0.9 or more."""
-    return jaccard_join.classes(table(spark, sf_dir, "documents"), size=3, percent=90)
+    return jaccard_join.classes(table(spark, sf_dir, "documents"), size=3, percent=90).select("doc_id", "n_shingles", "component_id")
 
 
 def op5_line_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -81,6 +101,7 @@ def op10_difference_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_hilbert_ann": (op1_hilbert_ann, None),
     "op2_bpe": (op2_bpe, None),
+    "op3_rollup": (op3_rollup, None),
     "op4_grouped_prefix": (op4_grouped_prefix, None),
     "op5_line_blocks": (op5_line_blocks, None),
     "op6_ecoc": (op6_ecoc, None),
