@@ -1,7 +1,8 @@
 """Value normalisation at the document edge (PRJ-5).
 
 Date-times become ATOM text (``2024-01-31T10:00:00+00:00``), arrays are
-normalised element by element, everything else passes through. The rule is
+normalised element by element, structs and maps value by value, everything else
+passes through. The rule is
 schema-driven: the Spark type of each column decides the expression, so the
 whole projection stays inside whole-stage codegen.
 """
@@ -36,6 +37,11 @@ def normalize_value(col: Column, dtype: T.DataType) -> Column:
         inner = dtype.elementType
         if _needs_normalising(inner):
             return F.transform(col, lambda x: normalize_value(x, inner))
+    if isinstance(dtype, T.StructType) and _needs_normalising(dtype):
+        fields = [normalize_value(col.getField(f.name), f.dataType).alias(f.name) for f in dtype.fields]
+        return F.when(col.isNotNull(), F.struct(*fields))
+    if isinstance(dtype, T.MapType) and _needs_normalising(dtype.valueType):
+        return F.transform_values(col, lambda _, v: normalize_value(v, dtype.valueType))
     return col
 
 
@@ -44,6 +50,10 @@ def _needs_normalising(dtype: T.DataType) -> bool:
         return True
     if isinstance(dtype, T.ArrayType):
         return _needs_normalising(dtype.elementType)
+    if isinstance(dtype, T.StructType):
+        return any(_needs_normalising(f.dataType) for f in dtype.fields)
+    if isinstance(dtype, T.MapType):
+        return _needs_normalising(dtype.valueType)
     return False
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docforge.functions import porter
-from docforge.session import ensure_parallelism
+from docforge.session import spread
 from docforge.spec import STEMMER_LANGUAGES, AnalyzerSpec
 
 # Word pattern of the standard tokenizer (letters, marks, digits
@@ -90,7 +90,7 @@ def analyze_tokens(df: DataFrame, key_cols: list[str], text_col: str,
     """
     analyzer = analyzer or AnalyzerSpec()
     check_language(analyzer)
-    df = ensure_parallelism(df.select(*key_cols, text_col))
+    df = spread(df.select(*key_cols, text_col))
     exploded = df.select(*[F.col(k) for k in key_cols],
                          F.posexplode(token_array(F.col(text_col), analyzer)).alias("position", "token"))
     exploded = exploded.withColumn("position", F.col("position").cast("bigint"))

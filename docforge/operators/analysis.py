@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docforge.functions.text import check_language, stem_column, token_array
-from docforge.session import ensure_parallelism
+from docforge.session import spread
 from docforge.spec import AnalyzerSpec, FieldSpec
 
 _ENTRY = "struct<field:string,position:bigint,term:string,analyzed:boolean>"
@@ -51,7 +51,7 @@ def analyzed_fields(docs: DataFrame, id_col: str, mapping: Mapping[str, FieldSpe
     if not entries:
         raise ValueError("no indexable field in the mapping")
     wanted = [id_col, *[n for n in mapping if n in docs.columns]]
-    docs = ensure_parallelism(docs.select(*[F.col(f"`{c}`") for c in dict.fromkeys(wanted)]))
+    docs = spread(docs.select(*[F.col(f"`{c}`") for c in dict.fromkeys(wanted)]))
     exploded = docs.select(F.col(id_col).alias("id"), F.explode(F.concat(*entries)).alias("e"))
     terms = exploded.select("id", "e.field", "e.position", "e.term", "e.analyzed")
     if analyzer.configured:

@@ -278,13 +278,29 @@ def field_intents(intents: DataFrame, facet_fields: DataFrame, search_fields: Da
                     atype.alias("actual_type"), aggregatable.alias("aggregatable"), problem.alias("problem")))
 
 
+def problems_only(intents: DataFrame) -> DataFrame:
+    """FLT-10: traced intents with a broken hop."""
+    return intents.where(F.col("problem").isNotNull())
+
+
+def unclaimed_only(inventory: DataFrame) -> DataFrame:
+    """FLT-10: visible indexes that no dataset claims."""
+    return inventory.where(F.col("claimed_by").isNull())
+
+
 # ------------------------------------------------------------------ fleet
+def like_pattern(pattern: str) -> str:
+    """A name pattern in which only ``*`` is special, as a LIKE pattern (escape character ``\\``)."""
+    for special in ("\\", "%", "_"):
+        pattern = pattern.replace(special, "\\" + special)
+    return pattern.replace("*", "%")
+
+
 def fleet_inventory(indexes: DataFrame, counts: DataFrame, datasets: DataFrame, pattern: str = "*") -> DataFrame:
     """RPT-11 / JON-4 / FLT-7: visible indexes matching ``pattern`` with the
     dataset that claims each (own name first, then the first alias, in alias
     order, that names a dataset), or null when unclaimed."""
-    like = pattern.replace("*", "%")
-    visible = indexes.where(~F.col("index").startswith(".") & F.col("index").like(like))
+    visible = indexes.where(~F.col("index").startswith(".") & F.col("index").like(like_pattern(pattern)))
     codes = datasets.select(F.col("code"))
     by_name = codes.select(F.col("code").alias("index"), F.col("code").alias("by_name"))
     by_alias = (visible.select("index", F.posexplode("aliases").alias("apos", "code")).join(_small(codes), "code")
@@ -299,9 +315,8 @@ def fleet_inventory(indexes: DataFrame, counts: DataFrame, datasets: DataFrame,
 def pattern_misses(indexes: DataFrame, pattern: str) -> DataFrame:
     """RPT-12: visible indexes the pattern matches, and -- when it matches none
     and is not ``*`` -- the count of all visible indexes (what was missed)."""
-    like = pattern.replace("*", "%")
     visible = indexes.where(~F.col("index").startswith("."))
-    matched = F.count(F.when(F.col("index").like(like), 1))
+    matched = F.count(F.when(F.col("index").like(like_pattern(pattern)), 1))
     return visible.agg(
         matched.alias("matched"),
         F.when((matched == 0) & F.lit(pattern != "*"), F.count("*")).otherwise(F.lit(0)).cast("bigint")

@@ -25,7 +25,7 @@ def summarize(calls: DataFrame, by: list[str]) -> DataFrame:
     empty = F.count_if((F.col("operation") == "search") & (F.col("hits") == 0))
     out = calls.groupBy(*by).agg(
         F.count("*").alias("calls"),
-        F.round(F.sum("duration_ms"), 2).cast("decimal(20,2)").alias("duration_ms"),
+        F.sum(F.col("duration_ms").cast("decimal(20,6)")).cast("decimal(20,2)").alias("duration_ms"),
         errors.alias("errors"), empty.alias("empty_searches"))
     status = F.when(F.col("errors") > 0, "red").when(F.col("empty_searches") > 0, "yellow").otherwise("none")
     return out.withColumn("status", status)

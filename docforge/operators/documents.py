@@ -12,6 +12,7 @@ import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from docforge.functions.normalize import normalize_columns
 from docforge.sources.provider import resolve_source
@@ -51,30 +52,34 @@ def checked_id(col: Column, id_field: str) -> Column:
 def build_documents(spark: SparkSession, spec: DatasetSpec, sf_dir: str | None = None,
                     limit: int | None = None, check_ids: bool = True) -> DataFrame:
     source = resolve_source(spark, spec, sf_dir)
-    src_id = "__source_id"
+    of_source, of_body = "__source_id", "__body_id"
+    from_source = read_value(source, spec.id_field)
     if spec.mapper is not None:
-        mapped = spec.mapper(source)
+        # the source's id rides past the mapper as a hidden column, where the mapper keeps it
+        mapped = spec.mapper(source.withColumn(of_source, from_source))
         if not isinstance(mapped, DataFrame):
             raise TypeError("documentMapper must return a DataFrame")
-        if spec.id_field not in mapped.columns:
-            raise LookupError(f"Unable to resolve scalar id field \"{spec.id_field}\".")
-        body = mapped.withColumn(src_id, F.col(f"`{spec.id_field}`"))
+        if spec.id_field not in mapped.columns and of_source not in mapped.columns:
+            # a mapper that selects its own columns: give it the id's column to keep by name
+            raise LookupError(f"Unable to resolve scalar id field \"{spec.id_field}\": the mapper returns neither it nor \"{of_source}\".")
+        body = mapped if of_source in mapped.columns else mapped.withColumn(of_source, F.lit(None).cast("string"))
     else:
         names = field_names(spec.projected_fields())
         cols = [read_value(source, n).alias(n) for n in names]
-        body = source.select(*cols, read_value(source, spec.id_field).alias(src_id))
-    id_type = dict(body.dtypes)[src_id]
-    if id_type.startswith(("array", "struct", "map")):
-        raise TypeError(f"Unable to resolve scalar id field \"{spec.id_field}\": type {id_type}")
-    body = normalize_columns(body, exclude=(src_id,))
-    doc_fields = [c for c in body.columns if c not in (src_id, ID)]
-    # The document's own id field wins over the source's (PRJ-6); both are the same
-    # column here because the id is read from the projected row or the source row.
-    id_col = F.col(src_id)
-    if ID in body.columns:
-        id_col = F.coalesce(F.col(ID).cast("string"), F.col(src_id).cast("string"))
-    id_expr = checked_id(id_col, spec.id_field) if check_ids else id_col.cast("string")
-    docs = body.select(id_expr.alias(ID), *[F.col(f"`{c}`") for c in doc_fields])
+        body = source.select(*cols, from_source.alias(of_source))
+    # the document's own id field wins over the source's (PRJ-6)
+    body = body.withColumn(of_body, read_value(body, spec.id_field))
+    for name in (of_body, of_source):
+        kind = body.schema[name].dataType
+        if isinstance(kind, (T.ArrayType, T.StructType, T.MapType)):
+            raise TypeError(f"Unable to resolve scalar id field \"{spec.id_field}\": type {kind.simpleString()}")
+    body = normalize_columns(body, exclude=(of_body, of_source))
+    if ID in body.columns and spec.id_field != ID:
+        raise ValueError(f"the document has a field \"{ID}\" beside its id field \"{spec.id_field}\"; "
+                         f"rename it in the mapper: the column \"{ID}\" holds the document id")
+    id_col = F.coalesce(F.col(of_body).cast("string"), F.col(of_source).cast("string"))
+    id_expr = checked_id(id_col, spec.id_field) if check_ids else id_col
+    docs = body.select(id_expr.alias(ID), *[F.col(f"`{c}`") for c in body.columns if c not in (of_body, of_source, ID)])
     return apply_limit(docs, limit)
 
 

@@ -2,16 +2,19 @@
 
 * A *generation* is an immutable Parquet table ``<alias>_<yyyyMMddHHmmssSSS><n>``
   in the store database, located under the shared folder
-  (``spark.checkpoint.dir``); its declared mapping and analyzer are frozen
-  in table properties at creation.
+  (``spark.checkpoint.dir``); its alias, declared mapping and analyzer are frozen
+  in table properties at creation. An alias owns the tables that carry its name in
+  that property -- never tables whose name merely starts like it.
 * The *alias* is a catalog view over the live generation, swapped with one
   ``CREATE OR REPLACE VIEW`` (atomic for readers).
-* Upserts and deletes after publish are appended to the generation's change
-  log ``(id, _seq, _deleted, fields...)``; the alias keeps generation rows
-  whose id is not in the log (anti join, the log's ids broadcast while
-  small) and adds the latest log row per changed id (``max_by`` on
-  ``_seq``) unless it is a tombstone. A rebuild compacts everything into a
-  fresh generation.
+* Upserts and deletes after publish -- populate included -- go to the generation's
+  change log ``(_batch, id, _seq, _deleted, fields...)``, one folder per batch; a
+  batch written again under its name replaces itself, so replays change nothing.
+  Sequences are microseconds issued by the store, or event times in the same
+  unit. The alias keeps generation rows whose id is not in the log (anti join, the
+  log's ids broadcast while small) and adds the latest log row per changed id
+  (``max_by`` on ``_seq``) unless it is a tombstone. ``compact`` folds the log into
+  a fresh generation without the source.
 
 Everything that touches rows is a Spark job; the driver only issues catalog
 DDL and reads catalog metadata.
@@ -22,9 +25,11 @@ from __future__ import annotations
 import datetime as _dt
 import itertools
 import json
+import uuid
 from collections.abc import Callable, Mapping
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -76,10 +81,18 @@ class DocumentStore:
         return self.properties(alias).get(PROP_GENERATION)
 
     def generations(self, alias: str) -> list[str]:
-        """Concrete generation tables named after the alias, oldest first."""
+        """The tables that belong to the alias (by their property, not their name), oldest first."""
         return sorted(t.name for t in self._tables()
                       if t.tableType != "VIEW" and t.name.startswith(f"{alias}_")
-                      and not t.name.endswith("__log"))
+                      and self.properties(t.name).get(PROP_ALIAS) == alias)
+
+    def declared(self, generation: str) -> tuple[dict[str, FieldSpec], AnalyzerSpec, bool]:
+        """Mapping, analyzer and strictness frozen in a generation."""
+        props = self.properties(generation)
+        mapping = {k: FieldSpec(kind, keyword) for k, (kind, keyword) in json.loads(props.get(PROP_MAPPING, "{}")).items()}
+        analyzer = json.loads(props.get(PROP_ANALYZER, "{}"))
+        return (mapping, AnalyzerSpec(analyzer.get("language"), analyzer.get("ascii_folding", True)),
+                props.get(PROP_DYNAMIC) == "strict")
 
     # ---- create / write / publish ------------------------------------------
     def create_generation(self, alias: str, schema: T.StructType, mapping: Mapping[str, FieldSpec] | None = None,
@@ -94,61 +107,37 @@ class DocumentStore:
                                        "ascii_folding": (analyzer or AnalyzerSpec()).ascii_folding}),
             PROP_DYNAMIC: "strict" if strict else "true",
         }
-        prop_sql = ", ".join(f"'{k}' = '{v}'" for k, v in props.items())
+        prop_sql = ", ".join(f"{_quoted(k)} = {_quoted(v)}" for k, v in props.items())
         self.spark.sql(f"CREATE TABLE {self.qualified(name)} ({_ddl(schema)}) USING parquet "
                        f"LOCATION '{self.path_of(name)}' TBLPROPERTIES ({prop_sql})")
         return name
 
     def fill(self, generation: str, documents: DataFrame, batch_size: int | None = None,
-             unique_ids: bool = False) -> int:
-        """SNK-1: write documents into a generation; returns rows sent (not
-        distinct ids). A later row for an id replaces an earlier one, in scan
-        order, as an index keyed by id does.
-
-        Cost model: the document payload is never shuffled for ids that occur
-        once. One job counts rows per id over the ids alone (map-side
-        combined); if no id repeats, the documents are written as they are.
-        Otherwise only rows of repeated ids are reduced (``max_by`` on scan
-        order, partial per task, so a hot id never reaches one reducer as raw
-        rows) and written together with the untouched rows. ``unique_ids=True``
-        skips the check. ``batch_size`` bounds the rows per output file, the
-        analogue of one bulk request; the write is one job, all-or-nothing at
-        commit (the reference commits batch by batch)."""
+             unique_ids: bool = False, order_by: str | None = None) -> int:
+        """SNK-1: write documents into a generation; returns the documents written.
+
+        A generation holds one document per id. With ``order_by`` the row that is
+        last in that column stays (``max_by``, combined per task, so a hot id never
+        reaches one reducer as raw rows). Without it repeated ids are an error: a
+        table has no row order that survives splits, so "the later row" would be
+        chance. The check reads the ids just written, not the source again;
+        ``unique_ids=True`` skips it. ``batch_size`` bounds the rows per output
+        file; the write is one job, all-or-nothing at commit."""
         columns = self.spark.table(self.qualified(generation)).columns
-        docs = documents.select(*[F.col(f"`{c}`") for c in columns])
-        body = [c for c in columns if c != "id"]
-        if unique_ids:
-            sent = None
-            out = docs
-        else:
-            ordered = docs.withColumn("__order", F.monotonically_increasing_id())
-            per_id = ordered.groupBy("id").agg(F.count(F.lit(1)).alias("__n"))
-            stats = per_id.agg(F.sum("__n").alias("rows"), F.count_if(F.col("__n") > 1).alias("repeated")).collect()[0]
-            sent = int(stats["rows"] or 0)
-            if not stats["repeated"]:
-                out = docs
-            else:
-                repeated = per_id.where(F.col("__n") > 1).select("id")
-                singles = ordered.join(repeated, "id", "left_anti")
-                if body:
-                    last = F.max_by(F.struct(*[F.col(f"`{c}`") for c in body]), F.col("__order"))
-                    merged = (ordered.join(repeated, "id", "left_semi").groupBy("id").agg(last.alias("__doc"))
-                              .select("id", *[F.col(f"__doc.`{c}`").alias(c) for c in body]))
-                else:
-                    merged = ordered.join(repeated, "id", "left_semi").select("id").distinct()
-                out = singles.select(*columns).unionByName(merged.select(*columns))
-        if sent is None:
-            from pyspark.sql import Observation
-            observation = Observation(f"sent_{generation}")
-            out = out.observe(observation, F.count(F.lit(1)).alias("rows"))
-        writer = out.select(*columns).write.mode("append")
-        if batch_size:
-            writer = writer.option("maxRecordsPerFile", int(batch_size))
+        out = documents.select(*[F.col(f"`{c}`") for c in columns])
+        if order_by is not None:
+            out = last_per_id(documents, columns, order_by)
         # append straight into the generation's location (the table is
         # external there), so that writer options such as maxRecordsPerFile apply
+        observation = Observation(f"sent_{generation}")
+        writer = out.observe(observation, F.count(F.lit(1)).alias("rows")).write.mode("append")
+        if batch_size:
+            writer = writer.option("maxRecordsPerFile", int(batch_size))
         writer.format("parquet").save(self.path_of(generation))
         self.spark.catalog.refreshTable(f"{self.db}.{generation}")
-        return sent if sent is not None else int(observation.get.get("rows", 0))
+        if order_by is None and not unique_ids:
+            refuse_repeated_ids(self.spark.table(self.qualified(generation)))
+        return int(observation.get.get("rows", 0))
 
     def publish(self, alias: str, generation: str) -> None:
         """SNK-5: swap the alias view to ``generation`` in one statement."""
@@ -156,13 +145,17 @@ class DocumentStore:
             raise RuntimeError(f"{alias} is a concrete table, not an alias")
         self.spark.sql(
             f"CREATE OR REPLACE VIEW {self.qualified(alias)} "
-            f"TBLPROPERTIES ('{PROP_GENERATION}' = '{generation}') AS {self._live_sql(generation)}")
+            f"TBLPROPERTIES ({_quoted(PROP_GENERATION)} = {_quoted(generation)}) AS {self._live_sql(generation)}")
+
+    def guard(self, alias: str) -> None:
+        """An alias never takes the name of a concrete table."""
+        if self.exists(alias) and not self.is_view(alias):
+            raise RuntimeError(f"{alias} is a concrete table, not an alias")
 
     def drop_generation(self, generation: str) -> None:
-        for name in (generation, f"{generation}__log"):
-            if self.exists(name):
-                self.spark.sql(f"DROP TABLE {self.qualified(name)}")
-        for path in (self.path_of(generation), self.path_of(f"{generation}__log"), self.terms_path(generation)):
+        if self.exists(generation):
+            self.spark.sql(f"DROP TABLE {self.qualified(generation)}")
+        for path in (self.path_of(generation), self.log_path(generation), self.terms_path(generation)):
             self._delete_path(path)
 
     def terms_path(self, generation: str) -> str:
@@ -170,11 +163,21 @@ class DocumentStore:
         return self.path_of(f"{generation}__terms")
 
     def terms(self, alias: str) -> DataFrame:
-        """The term index of the live generation."""
+        """Terms of the alias's documents: the generation's term index without the
+        ids in the change log, plus the analysed latest log row of each of them."""
         generation = self.live_generation(alias)
         if generation is None:
             raise LookupError(f"no live generation behind {alias}")
-        return self.spark.read.parquet(self.terms_path(generation))
+        stored = self.spark.read.parquet(self.terms_path(generation))
+        if not self._has_log(generation):
+            return stored
+        from docforge.operators.analysis import analyzed_fields
+        mapping, analyzer, _ = self.declared(generation)
+        log = self.spark.read.parquet(self.log_path(generation))
+        changed = self.spark.sql(self._changed_sql(generation))
+        fresh = analyzed_fields(changed, "id", mapping, analyzer)
+        return (stored.join(log.select("id").distinct(), "id", "left_anti")
+                .unionByName(fresh.select(*stored.columns)))
 
     def read(self, alias: str) -> DataFrame:
         return self.spark.table(self.qualified(alias))
@@ -184,127 +187,220 @@ class DocumentStore:
                 mapping: Mapping[str, FieldSpec] | None = None, analyzer: AnalyzerSpec | None = None,
                 strict: bool = True, keep_old: bool = False,
                 validate: Callable[[DataFrame], None] | None = None,
-                analyze: Callable[[DataFrame], DataFrame] | None = None) -> str:
-        """SNK-6: build and fill first, publish last. Any failure drops the
-        half-built generation and leaves the alias untouched.
+                analyze: Callable[[DataFrame], DataFrame] | None = None, order_by: str | None = None) -> str:
+        """SNK-6: build and fill first, check, publish last. Any failure, the
+        publish included, drops the half-built generation and leaves the alias
+        untouched. Afterwards the generation the alias pointed at goes, unless
+        ``keep_old``; kept or unpublished generations stay until ``delete``.
+
+        With a ``mapping`` every written document is checked against it (SNK-3);
+        the first rejected one fails the rebuild. The check reads the
+        generation's own files. ``order_by``: see :meth:`fill`.
 
         ``analyze`` turns the written documents into their term table; it is
         written as the generation's term index before the publish, reading
         the generation's own files (the source is not recomputed)."""
-        previous = self.generations(alias)
+        self.guard(alias)
+        previous = self.live_generation(alias)
         generation = None
         try:
             docs = documents() if callable(documents) else documents
             generation = self.create_generation(alias, docs.schema, mapping, analyzer, strict)
             if validate is not None:
                 validate(docs)
-            self.fill(generation, docs)
+            self.fill(generation, docs, order_by=order_by)
+            written = self.spark.table(self.qualified(generation))
+            if mapping:
+                refuse_rejected(written, mapping, strict)
             if analyze is not None:
                 from docforge.operators.analysis import write_term_index
-                write_term_index(analyze(self.spark.table(self.qualified(generation))), self.terms_path(generation))
+                write_term_index(analyze(written), self.terms_path(generation))
+            self.publish(alias, generation)
         except BaseException:
             if generation is not None:
                 self.drop_generation(generation)
             raise
-        self.publish(alias, generation)
-        if not keep_old:
-            for old in previous:
-                self.drop_generation(old)
+        if previous is not None and not keep_old:
+            self.drop_generation(previous)
         return generation
 
     def create(self, alias: str, schema: T.StructType, drop: bool = False, **kw) -> str | None:
-        """SNK-7: alias held by a concrete table -> error; alias already has
-        generations and no ``drop`` -> skip (None); ``drop`` -> publish an
-        empty generation, then delete the old ones."""
-        if self.exists(alias) and not self.is_view(alias):
-            raise RuntimeError(f"{alias} exists as a concrete table; refusing to create an alias over it")
-        previous = self.generations(alias)
-        if previous and not drop:
+        """SNK-7: alias held by a concrete table -> error; the alias exists and no
+        ``drop`` -> skip (None); ``drop`` -> publish an empty generation, then delete
+        the one the alias pointed at. Unpublished leftovers don't count."""
+        self.guard(alias)
+        previous = self.live_generation(alias)
+        if previous is not None and not drop:
             return None
         generation = self.create_generation(alias, schema, **kw)
-        self.publish(alias, generation)
-        for old in previous:
-            self.drop_generation(old)
+        try:
+            self.publish(alias, generation)
+        except BaseException:
+            self.drop_generation(generation)
+            raise
+        if previous is not None:
+            self.drop_generation(previous)
         return generation
 
-    def populate(self, alias: str, documents: DataFrame, limit: int | None = None, batch_size: int = 250) -> int:
-        """SNK-8: append documents (first ``limit`` by id, 0/None = all) to the
-        live generation; returns rows sent. Missing alias -> warning, 0."""
+    def populate(self, alias: str, documents: DataFrame, limit: int | None = None, batch_size: int = 250,
+                 order_by: str | None = None) -> int:
+        """SNK-8: upsert documents (first ``limit`` by id, 0/None = all) into the live
+        index by id; returns documents sent. They go through the change log with a
+        fresh sequence, so a document replaces the one of its id, also a deleted one.
+        Repeated ids need ``order_by`` (the last row stays). Missing alias ->
+        warning, 0."""
         generation = self.live_generation(alias)
         if generation is None:
             import warnings
             warnings.warn(f"no live generation behind {alias}; run create first")
             return 0
         from docforge.operators.documents import apply_limit
-        return self.fill(generation, apply_limit(documents, limit), batch_size=batch_size)
+        documents = apply_limit(documents, limit)
+        columns = self.spark.table(self.qualified(generation)).columns
+        if order_by is not None:
+            documents = last_per_id(documents, columns, order_by)
+        seq = self.issue_sequence(alias)
+        batch = f"{seq:020d}"
+        rows = documents.select(*[F.col(f"`{c}`") for c in columns], F.lit(seq).alias("_seq"), F.lit(False).alias("_deleted"))
+        sent = self._write_batch(generation, rows, batch, batch_size)
+        try:
+            if order_by is None:
+                refuse_repeated_ids(self._batch(generation, batch))
+        except BaseException:
+            self._delete_path(f"{self.log_path(generation)}/_batch={batch}")
+            raise
+        self._check_batch(generation, batch, columns)
+        self.publish(alias, generation)
+        return sent
 
     # ---- change log (after publish) -----------------------------------------
-    def _log_name(self, generation: str) -> str:
-        return f"{generation}__log"
-
-    def _ensure_log(self, generation: str) -> str:
-        log = self._log_name(generation)
-        if not self.exists(log):
-            base = self.spark.table(self.qualified(generation)).schema
-            schema = T.StructType([*base.fields, T.StructField("_seq", T.LongType()),
-                                   T.StructField("_deleted", T.BooleanType())])
-            self.spark.sql(f"CREATE TABLE {self.qualified(log)} ({_ddl(schema)}) USING parquet "
-                           f"LOCATION '{self.path_of(log)}'")
-        return log
+    def log_path(self, generation: str) -> str:
+        return self.path_of(f"{generation}__log")
+
+    def _has_log(self, generation: str) -> bool:
+        jvm = self.spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(self.log_path(generation))
+        fs = path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        return fs.exists(path) and any(s.getPath().getName().startswith("_batch=") for s in fs.listStatus(path))
+
+    def _batch(self, generation: str, batch: str) -> DataFrame:
+        return self.spark.read.parquet(f"{self.log_path(generation)}/_batch={batch}")
+
+    def issue_sequence(self, alias: str) -> int:
+        """A number above every sequence of the alias's log: the time in microseconds, or
+        one more than the log's latest. Event times in microseconds are of the same order."""
+        generation = self.live_generation(alias)
+        now = int(_dt.datetime.now(_dt.UTC).timestamp() * 1_000_000)
+        if generation is None or not self._has_log(generation):
+            return now
+        last = self.spark.read.parquet(self.log_path(generation)).agg(F.max("_seq")).first()[0]
+        return max(now, (last or 0) + 1)
+
+    def _write_batch(self, generation: str, rows: DataFrame, batch: str, batch_size: int | None = None) -> int:
+        """Write (or replace) one batch of the log; returns its rows."""
+        observation = Observation(f"log_{uuid.uuid4().hex}")
+        writer = rows.observe(observation, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
+        if batch_size:
+            writer = writer.option("maxRecordsPerFile", int(batch_size))
+        writer.parquet(f"{self.log_path(generation)}/_batch={batch}")
+        return int(observation.get.get("rows", 0))
+
+    def _changed_sql(self, generation: str) -> str:
+        """The latest log row of every changed id, tombstones left out. On equal
+        sequence a tombstone wins, so a flush whose delete and update arrive in
+        different batches still ends deleted."""
+        rest = [f"`{c}`" for c in self.spark.table(self.qualified(generation)).columns if c != "id"]
+        picked = "".join(f", last_row.{c} AS {c}" for c in rest)
+        return (f"SELECT id{picked} FROM (SELECT id, "
+                f"max_by(struct({', '.join([*rest, '_deleted'])}), struct(_seq, _deleted)) AS last_row "
+                f"FROM parquet.`{self.log_path(generation)}` GROUP BY id) WHERE NOT last_row._deleted")
 
     def _live_sql(self, generation: str) -> str:
         """The alias body. Without a change log: the generation itself. With
         one: generation rows whose id never changed (anti join against the
         log's ids -- broadcast by AQE while the log is small, so the large
         generation is not shuffled) plus, per changed id, the latest log row
-        unless it is a tombstone (the aggregate runs over the log only). On
-        equal sequence a tombstone wins, so a flush whose delete and update
-        arrive in different micro-batches still ends deleted."""
+        unless it is a tombstone (the aggregate runs over the log only)."""
         base = self.qualified(generation)
-        if not self.exists(self._log_name(generation)):
+        if not self._has_log(generation):
             return f"SELECT * FROM {base}"
-        log = self.qualified(self._log_name(generation))
         cols = [f"`{c}`" for c in self.spark.table(base).columns]
-        inner = ", ".join(cols)
-        rest = [c for c in cols if c != "`id`"]
-        picked = ", ".join(f"last_row.{c} AS {c}" for c in rest)
         kept = ", ".join(f"b.{c}" for c in cols)
-        return (f"SELECT {kept} FROM {base} b LEFT ANTI JOIN (SELECT DISTINCT id FROM {log}) l ON b.id = l.id "
-                f"UNION ALL "
-                f"SELECT id, {picked} FROM (SELECT id, "
-                f"max_by(struct({', '.join(rest)}, _deleted), struct(_seq, _deleted)) AS last_row "
-                f"FROM {log} GROUP BY id) WHERE NOT last_row._deleted")
+        return (f"SELECT {kept} FROM {base} b LEFT ANTI JOIN "
+                f"(SELECT DISTINCT id FROM parquet.`{self.log_path(generation)}`) l ON b.id = l.id "
+                f"UNION ALL SELECT {', '.join(cols)} FROM ({self._changed_sql(generation)})")
 
     def apply_changes(self, alias: str, upserts: DataFrame | None, deletes: DataFrame | None,
-                      seq_col: str = "_seq") -> None:
-        """SNK-1/SNK-2 on the live generation: append upserts (full documents)
-        and tombstones (ids) carrying their sequence; later ``_seq`` wins."""
+                      seq_col: str | None = "_seq", batch: str | None = None) -> None:
+        """SNK-1/SNK-2 on the live generation: upserts (full documents) and
+        tombstones (ids) with their sequence (``seq_col``; None: one is issued);
+        later ``_seq`` wins. ``batch`` names the batch: given again, it replaces what
+        was written under that name (a retried micro-batch). Documents are checked
+        against the generation's mapping before the alias sees them."""
         generation = self.live_generation(alias)
         if generation is None:
             raise LookupError(f"no live generation behind {alias}")
-        log = self._ensure_log(generation)
-        columns = self.spark.table(self.qualified(log)).columns
-        base_fields = [c for c in columns if c not in ("_seq", "_deleted")]
+        base = self.spark.table(self.qualified(generation))
+        issued = self.issue_sequence(alias) if seq_col is None or batch is None else 0
+        seq = F.lit(issued) if seq_col is None else F.col(seq_col)
+        batch = batch or f"{issued:020d}"
         parts = []
         if upserts is not None:
-            parts.append(upserts.select(*base_fields, F.col(seq_col).cast("bigint").alias("_seq"),
+            parts.append(upserts.select(*[F.col(f"`{c}`") for c in base.columns], seq.cast("bigint").alias("_seq"),
                                         F.lit(False).alias("_deleted")))
         if deletes is not None:
-            dtypes = dict(self.spark.table(self.qualified(generation)).dtypes)
-            nulls = [F.lit(None).cast(dtypes[c]).alias(c) for c in base_fields if c != "id"]
-            parts.append(deletes.select(F.col("id").cast("string").alias("id"), *nulls,
-                                        F.col(seq_col).cast("bigint").alias("_seq"), F.lit(True).alias("_deleted"))
-                         .select(*base_fields, "_seq", "_deleted"))
+            nulls = [(F.col("id").cast("string") if f.name == "id" else F.lit(None).cast(f.dataType)).alias(f.name)
+                     for f in base.schema.fields]
+            parts.append(deletes.select(*nulls, seq.cast("bigint").alias("_seq"), F.lit(True).alias("_deleted")))
         if parts:
-            batch = parts[0]
-            for p in parts[1:]:
-                batch = batch.unionByName(p)
             # one job: upserts and tombstones of a batch commit together
-            batch.write.mode("append").insertInto(self.qualified(log))
+            self._write_batch(generation, reduce(DataFrame.unionByName, parts), batch)
+            self._check_batch(generation, batch, base.columns)
+        self.publish(alias, generation)
+
+    def reindex(self, alias: str, ids: DataFrame, current: DataFrame, batch: str | None = None) -> None:
+        """STR-4: bring the changed ``ids`` to their current state -- the source row of
+        now, or a tombstone for an id the source no longer has -- under one sequence
+        issued now. One left join of the ids with the source, one log row per id."""
+        seq = F.lit(self.issue_sequence(alias))
+        found = (ids.select("id").distinct().join(current.withColumn("__here", F.lit(True)), "id", "left")
+                 .withColumn("_seq", seq))
+        here = F.col("__here").isNotNull()
+        generation = self.live_generation(alias)
+        if generation is None:
+            raise LookupError(f"no live generation behind {alias}")
+        columns = self.spark.table(self.qualified(generation)).columns
+        rows = found.select(*[F.col(f"`{c}`") for c in columns], "_seq", (~here).alias("_deleted"))
+        batch = batch or f"{self.issue_sequence(alias):020d}"
+        self._write_batch(generation, rows, batch)
+        self._check_batch(generation, batch, columns)
         self.publish(alias, generation)
 
+    def _check_batch(self, generation: str, batch: str, columns: list[str]) -> None:
+        """Refuse a batch with a document that the mapping rejects; the batch goes."""
+        mapping, _, strict = self.declared(generation)
+        if not mapping:
+            return
+        try:
+            refuse_rejected(self._batch(generation, batch).where("NOT _deleted").select(*columns), mapping, strict)
+        except BaseException:
+            self._delete_path(f"{self.log_path(generation)}/_batch={batch}")
+            raise
+
+    def compact(self, alias: str) -> str:
+        """Fold the change log into a new generation and publish it; the old one goes."""
+        old = self.live_generation(alias)
+        if old is None:
+            raise LookupError(f"no live generation behind {alias}")
+        mapping, analyzer, strict = self.declared(old)
+        analyze = None
+        if self._path_exists(self.terms_path(old)):
+            from docforge.operators.analysis import analyzed_fields
+            analyze = lambda docs: analyzed_fields(docs, "id", mapping, analyzer)
+        return self.rebuild(alias, self.read(alias), mapping, analyzer, strict, analyze=analyze)
+
     def delete(self, alias: str) -> list[str]:
-        """Delete an index: the alias view, every generation named after it and
+        """Delete an index: the alias view, every generation that belongs to it and
         their change logs. Returns the dropped generations; a missing alias
         is not an error."""
         dropped = self.generations(alias)
@@ -316,21 +412,32 @@ class DocumentStore:
 
     # ---- retire ---------------------------------------------------------------
     def retire_candidates(self, alias: str) -> DataFrame:
-        """SNK-9: live generation plus unpublished leftovers named after the
-        alias, with document counts, oldest first. Counts are Spark jobs over
-        the generations (footer-only scans)."""
+        """SNK-9: live generation plus unpublished leftovers of the alias, with document
+        counts, oldest first; a concrete table that holds the alias's name is listed
+        too. The live count is the alias's (generation and change log)."""
         live = self.live_generation(alias)
         names = self.generations(alias)
-        frames = [self.spark.table(self.qualified(n)).groupBy().count()
+        if self.exists(alias) and not self.is_view(alias):
+            names = sorted([*names, alias])
+        frames = [self.spark.table(self.qualified(alias if n == live else n)).groupBy().count()
                   .select(F.lit(pos).alias("position"), F.lit(n).alias("generation"), F.lit(n == live).alias("live"),
                           F.col("count").alias("documents"))
                   for pos, n in enumerate(names, start=1)]
         if not frames:
             return self.spark.createDataFrame([], "position int, generation string, live boolean, documents bigint")
-        out = frames[0]
-        for f in frames[1:]:
-            out = out.unionByName(f)
-        return out.orderBy("generation")
+        return reduce(DataFrame.unionByName, frames).orderBy("generation")
+
+    def drop_database(self) -> None:
+        """Remove the store's database, tables and files (scratch stores of tests and queries)."""
+        for t in self._tables():
+            if t.tableType != "VIEW":
+                self.drop_generation(t.name)
+        self.spark.sql(f"DROP DATABASE IF EXISTS {self.db} CASCADE")
+
+    def _path_exists(self, path: str) -> bool:
+        jvm = self.spark.sparkContext._jvm
+        hpath = jvm.org.apache.hadoop.fs.Path(path)
+        return hpath.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath)
 
     def _delete_path(self, path: str) -> None:
         jvm = self.spark.sparkContext._jvm
@@ -340,5 +447,30 @@ class DocumentStore:
             fs.delete(hpath, True)
 
 
+def last_per_id(documents: DataFrame, columns: list[str], order_by: str) -> DataFrame:
+    """One row per id: the last one in ``order_by`` (ties: the larger row)."""
+    body = [c for c in columns if c != "id"]
+    row = F.struct(F.col(f"`{order_by}`").alias("__order"), *[F.col(f"`{c}`") for c in body])
+    last = documents.groupBy("id").agg(F.max(row).alias("__last"))
+    return last.select(*[F.col("id") if c == "id" else F.col(f"__last.`{c}`").alias(c) for c in columns])
+
+
+def refuse_repeated_ids(rows: DataFrame) -> None:
+    """Fail if an id occurs twice: counts over the id column alone, combined per task."""
+    repeated = rows.groupBy("id").count().where("count > 1").limit(1).collect()
+    if repeated:
+        raise ValueError(f"id {repeated[0]['id']!r} occurs {repeated[0]['count']} times; name the column that orders its rows (order_by)")
+
+
+def refuse_rejected(rows: DataFrame, mapping: Mapping[str, FieldSpec], strict: bool) -> None:
+    from docforge.operators.validate import assert_no_rejects, classify_rows, split_valid
+    assert_no_rejects(split_valid(classify_rows(rows, mapping, strict))[1])
+
+
+def _quoted(value: str) -> str:
+    """A SQL string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def _ddl(schema: T.StructType) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)

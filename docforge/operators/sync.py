@@ -12,7 +12,9 @@ shuffle; chunk numbering never puts a whole group into one task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -30,6 +32,11 @@ def keep_indexed_entities(changes: DataFrame, entities: DataFrame) -> DataFrame:
     return changes.join(F.broadcast(entities.select("entity")), "entity", "left_semi")
 
 
+def per_dataset(reconciled: DataFrame, entities: DataFrame) -> DataFrame:
+    """JON-8: every change once for each dataset (``code``) that its entity backs."""
+    return reconciled.join(F.broadcast(entities.select(F.col("code").alias("dataset"), "entity").distinct()), "entity")
+
+
 def scalar_ids(changes: DataFrame, key_col: str = "key") -> DataFrame:
     """FLT-2: drop rows with a composite or null identifier; id -> string."""
     key = F.col(key_col)
@@ -81,7 +88,9 @@ def number_within_groups(df: DataFrame, group_cols: list[str], order_col: str,
     slices = ranged.groupBy(*group_cols, "__pid").agg(F.min("__mid").alias("__first"), F.count("*").alias("__n"))
     w = Window.partitionBy(*group_cols).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
     slices = slices.withColumn("__offset", F.coalesce(F.sum("__n").over(w), F.lit(0))).drop("__n")
-    numbered = ranged.join(slices, [*group_cols, "__pid"])
+    same = [F.col(f"r.{c}").eqNullSafe(F.col(f"s.{c}")) for c in [*group_cols, "__pid"]]  # null groups count too
+    numbered = (ranged.alias("r").join(slices.alias("s"), reduce(Column.__and__, same))
+                .select("r.*", "s.__first", "s.__offset"))
     return (numbered.withColumn("rank", (F.col("__offset") + F.col("__mid") - F.col("__first")).cast("bigint"))
             .drop("__pid", "__mid", "__first", "__offset"))
 

@@ -1,9 +1,15 @@
-"""Validation of raw JSON documents against a declared mapping (FLT-4..6, SNK-3).
-
-Documents arrive as JSON text and are parsed once per row into a
-``map<string,string>`` (all keys kept, nested values as JSON text). The
-strict check compares key sets on that map -- never ``from_json`` into the
-declared struct, which silently drops unknown keys.
+"""Validation of documents against a declared mapping (FLT-4..6, SNK-3).
+
+JSON documents are parsed once per row into a variant, which keeps every key and the
+kind of every value: text that merely starts with a bracket is text. Rows that are
+already columns are judged by the same rules from their types. A value is rejected when
+
+* the document is not JSON, or not an object;
+* a scalar field holds an object, or an array with one in it (arrays of scalars are
+  values of the field, one by one);
+* an object field holds a scalar;
+* a value can't be read as the declared number, boolean or date;
+* the mapping is strict and the document has a key it does not declare.
 """
 
 from __future__ import annotations
@@ -18,56 +24,130 @@ from docforge.spec import FieldSpec
 
 STRICT_ERROR = "strict_dynamic_mapping_exception"
 SHAPE_ERROR = "illegal_argument_exception"
+PARSE_ERROR = "document_parsing_exception"
 
 # variant/JSON value kinds -> mapping type inferred by dynamic mapping.
 INFERRED_TYPES = {"BIGINT": "long", "INT": "long", "SMALLINT": "long", "TINYINT": "long", "DECIMAL": "float",
                   "DOUBLE": "float", "FLOAT": "float", "STRING": "text", "BOOLEAN": "boolean",
                   "OBJECT": "object", "ARRAY": "array", "VOID": "null"}
+# Spark types whose try_cast decides whether a text can be read as the mapping type.
+CAST_OF = {"long": "double", "integer": "double", "float": "double", "double": "double", "boolean": "boolean", "date": "timestamp"}
+
+
+def variant(doc: Column) -> Column:
+    """The document parsed once; null if it is not JSON."""
+    return F.try_parse_json(doc)
 
 
-def parsed(doc: Column) -> Column:
-    """Parse a JSON document ONCE into ``map<string,string>``; nested objects
-    and arrays stay as their JSON text, so shapes can still be checked."""
-    return F.from_json(doc, T.MapType(T.StringType(), T.StringType()))
+def kind_of(value: Column) -> Column:
+    """OBJECT, ARRAY, STRING, BIGINT, ... of a variant; null where there is no value."""
+    return F.regexp_extract(F.schema_of_variant(value), "^([A-Z]+)", 1)
+
+
+def _path(name: str) -> str:
+    quote = '"' if "'" in name else "'"
+    return f"$[{quote}{name}{quote}]"
 
 
 def undeclared_keys(doc: Column, declared: list[str], doc_map: Column | None = None) -> Column:
-    keys = F.map_keys(doc_map if doc_map is not None else parsed(doc))
-    return F.array_sort(F.array_except(keys, F.array(*[F.lit(k) for k in declared])))
+    """Keys of a JSON document that the mapping does not declare, sorted."""
+    keys = F.json_object_keys(doc) if doc_map is None else doc_map
+    return F.array_sort(F.array_except(keys, F.array(*[F.lit(k) for k in declared]).cast("array<string>")))
 
 
-def object_in_scalar(doc: Column, mapping: Mapping[str, FieldSpec], doc_map: Column | None = None) -> Column:
-    """First declared scalar field that holds an object/array, else null."""
-    m = doc_map if doc_map is not None else parsed(doc)
-    hits = []
-    for name, spec in mapping.items():
-        if spec.type in (None, "object"):
-            continue
-        raw = F.ltrim(m[F.lit(name)])
-        hits.append(F.when(raw.startswith("{") | raw.startswith("["), F.lit(name)))
-    return F.coalesce(*hits) if hits else F.lit(None).cast("string")
+def _scalar_problem(name: str, spec: FieldSpec, kind: Column, text: Column) -> Column:
+    """Problem of one scalar value (struct of type and reason), or null."""
+    found = F.when(kind == "OBJECT", _problem(SHAPE_ERROR, f"Expected {spec.type} but found START_OBJECT"))
+    target = CAST_OF.get(spec.type)
+    if target is not None:
+        unread = text.isNotNull() & text.try_cast(target).isNull()
+        if spec.type == "date":  # epoch numbers are dates too
+            unread = unread & text.try_cast("bigint").isNull()
+        if spec.type in ("long", "integer", "float", "double"):
+            unread = unread | text.try_cast("double").isin(float("inf"), float("-inf")) | F.isnan(text.try_cast("double"))
+        found = found.when(unread, _problem(PARSE_ERROR, f"failed to parse field [{name}] of type [{spec.type}]"))
+    return found
+
+
+def _problem(kind: str, reason: str) -> Column:
+    return F.struct(F.lit(kind).alias("reject_type"), F.lit(reason).alias("reason"))
+
+
+def _object_problem(name: str) -> Column:
+    return _problem(PARSE_ERROR, f"object mapping for [{name}] tried to parse field [{name}] as object, but found a concrete value")
+
+
+def _value_problem(name: str, spec: FieldSpec, value: Column) -> Column:
+    """Problem of a variant under the declared field, the first of an array's."""
+    kind = kind_of(value)
+    elements = F.when(kind == "ARRAY", F.try_variant_get(value, "$", "array<variant>")).otherwise(F.array(value))
+    if spec.type in (None, "object"):
+        bad = F.exists(elements, lambda e: F.coalesce(~kind_of(e).isin("OBJECT", "VOID"), F.lit(False)))
+        return F.when(value.isNotNull() & bad, _object_problem(name))
+    problems = F.transform(elements, lambda e: _scalar_problem(name, spec, kind_of(e), F.try_variant_get(e, "$", "string")))
+    return F.when(value.isNotNull(), F.get(F.filter(problems, lambda p: p.isNotNull()), F.lit(0)))
+
+
+def _strict_problem(extra: Column) -> Column:
+    reason = F.concat(F.lit("mapping set to strict, dynamic introduction of ["), F.array_join(extra, ","),
+                      F.lit("] within [_doc] is not allowed"))
+    return F.when(F.size(extra) > 0, F.struct(F.lit(STRICT_ERROR).alias("reject_type"), reason.alias("reason")))
+
+
+def _with_problem(docs: DataFrame, problem: Column) -> DataFrame:
+    return (docs.withColumn("__problem", problem)
+            .withColumns({"reject_type": F.col("__problem.reject_type"), "reason": F.col("__problem.reason")}).drop("__problem"))
 
 
 def classify(docs: DataFrame, doc_col: str, mapping: Mapping[str, FieldSpec], strict: bool = True) -> DataFrame:
-    """Add ``reject_type`` and ``reason`` (both null for a valid document).
+    """Add ``reject_type`` and ``reason`` (both null for a valid document) to JSON documents.
 
-    The document is parsed once per row (a hidden map column); the key-set
-    and shape checks read that map.
+    The document is parsed once per row into a hidden variant column, which all checks read.
     """
-    with_map = docs.withColumn("__doc_map", parsed(F.col(doc_col)))
-    m = F.col("__doc_map")
-    bad_field = object_in_scalar(F.col(doc_col), mapping, m)
-    type_of = F.coalesce(*[F.when(bad_field == n, F.lit(s.type)) for n, s in mapping.items()]) \
-        if mapping else F.lit(None)
-    extra = undeclared_keys(F.col(doc_col), list(mapping), m)
-    shape_reason = F.concat(F.lit("Expected "), type_of, F.lit(" but found START_OBJECT"))
-    strict_reason = F.concat(F.lit("mapping set to strict, dynamic introduction of ["),
-                             F.array_join(extra, ","), F.lit("] within [_doc] is not allowed"))
-    strict_bad = F.lit(strict) & (F.size(extra) > 0)
-    return (with_map.withColumn("reject_type", F.when(bad_field.isNotNull(), F.lit(SHAPE_ERROR))
-                                .when(strict_bad, F.lit(STRICT_ERROR)))
-            .withColumn("reason", F.when(bad_field.isNotNull(), shape_reason).when(strict_bad, strict_reason))
-            .drop("__doc_map"))
+    parsed = docs.withColumn("__doc", variant(F.col(doc_col)))
+    v = F.col("__doc")
+    problems = [F.when(v.isNull() | (kind_of(v) != "OBJECT"), _problem(PARSE_ERROR, "failed to parse"))]
+    problems += [_value_problem(n, s, F.try_variant_get(v, _path(n), "variant")) for n, s in mapping.items()]
+    if strict:
+        problems.append(_strict_problem(undeclared_keys(F.col(doc_col), list(mapping))))
+    return _with_problem(parsed, F.coalesce(*problems)).drop("__doc")
+
+
+def classify_rows(rows: DataFrame, mapping: Mapping[str, FieldSpec], strict: bool = True, id_col: str = "id") -> DataFrame:
+    """Add ``reject_type`` and ``reason`` to documents that are already columns.
+
+    Column types settle most of it at plan time; only texts declared as something else are looked at row by row.
+    """
+    problems: list[Column] = []
+    for f in rows.schema.fields:
+        if f.name in mapping:
+            problems += _column_problem(f, mapping[f.name])
+    extra = [f.name for f in rows.schema.fields if f.name not in mapping and f.name != id_col]
+    if strict and extra:
+        present = F.array_compact(F.array(*[F.when(F.col(f"`{n}`").isNotNull(), F.lit(n)) for n in extra]))
+        problems.append(_strict_problem(F.array_sort(present)))
+    none = F.lit(None).cast("struct<reject_type:string,reason:string>")
+    return _with_problem(rows, F.coalesce(none, *problems))
+
+
+def _column_problem(f: T.StructField, spec: FieldSpec) -> list[Column]:
+    col, kind = F.col(f"`{f.name}`"), f.dataType
+    depth_in = kind
+    while isinstance(depth_in, T.ArrayType):
+        depth_in = depth_in.elementType
+    nested = isinstance(depth_in, (T.StructType, T.MapType))
+    if spec.type in (None, "object"):
+        return [] if nested else [F.when(col.isNotNull(), _object_problem(f.name))]
+    if nested:
+        shape = _problem(SHAPE_ERROR, f"Expected {spec.type} but found START_OBJECT")
+        return [F.when(F.size(col) > 0 if isinstance(kind, T.ArrayType) else col.isNotNull(), shape)]
+    if spec.type not in CAST_OF or not isinstance(depth_in, T.StringType):
+        return []
+    elements = col if isinstance(kind, T.ArrayType) else F.array(col)
+    while isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.ArrayType):
+        elements, kind = F.flatten(elements), kind.elementType
+    bad = F.filter(F.transform(elements, lambda e: _scalar_problem(f.name, spec, F.lit("STRING"), e)), lambda p: p.isNotNull())
+    return [F.when(col.isNotNull(), F.get(bad, F.lit(0)))]
 
 
 def split_valid(classified: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -91,16 +171,30 @@ def inferred_fields(docs: DataFrame, doc_col: str) -> DataFrame:
     spark = docs.sparkSession
     pairs = docs.select(F.col(doc_col).alias("doc")).lateralJoin(
         spark.tvf.variant_explode(F.parse_json(F.col("doc").outer())))
-    kinds = pairs.select(F.col("key").alias("field"),
-                         F.regexp_extract(F.schema_of_variant("value"), "^([A-Z]+)", 1).alias("kind"))
+    kinds = pairs.select(F.col("key").alias("field"), kind_of(F.col("value")).alias("kind"))
     mapping = F.create_map(*[x for k, v in INFERRED_TYPES.items() for x in (F.lit(k), F.lit(v))])
     return (kinds.withColumn("inferred_type", F.coalesce(mapping[F.col("kind")], F.lower("kind")))
             .groupBy("field", "inferred_type").agg(F.count("*").alias("n_docs")))
 
 
-def id_problems(docs: DataFrame, doc_col: str, id_path: str) -> DataFrame:
-    """PRJ-6 as data: rows whose id is null or not scalar."""
-    raw = F.get_json_object(F.col(doc_col), id_path)
-    status = (F.when(raw.isNull(), F.lit("null"))
-              .when(F.ltrim(raw).startswith("{") | F.ltrim(raw).startswith("["), F.lit("non_scalar")))
+def evolved_mapping(inferred: DataFrame, mapping: Mapping[str, FieldSpec]) -> dict[str, FieldSpec]:
+    """FLT-6: the mapping a non-strict index has after these documents: declared fields as they are, and each new
+    field with the type inferred for it (of several kinds: text before float before long, as the wider one holds
+    all; nulls alone add nothing). ``inferred`` has one row a field and kind."""
+    width = {"long": 1, "boolean": 1, "float": 2, "text": 3, "object": 4}
+    out = dict(mapping)
+    for r in inferred.where(F.col("inferred_type") != "null").orderBy("field", "inferred_type").collect():  # schema-sized
+        name, kind = r["field"], "object" if r["inferred_type"] == "object" else r["inferred_type"]
+        if name in mapping or kind == "array":
+            continue
+        if name not in out or width[kind] > width[out[name].type]:
+            both = name in out and "boolean" in (kind, out[name].type) and kind != out[name].type
+            out[name] = FieldSpec("text" if both else kind, has_keyword=(both or kind == "text"))
+    return out
+
+
+def id_problems(docs: DataFrame, doc_col: str, id_key: str) -> DataFrame:
+    """PRJ-6 as data: rows whose id (a key of the document) is null, missing or not scalar."""
+    kind = kind_of(F.try_variant_get(variant(F.col(doc_col)), _path(id_key), "variant"))
+    status = (F.when(kind.isNull() | (kind == "VOID"), F.lit("null")).when(kind.isin("OBJECT", "ARRAY"), F.lit("non_scalar")))
     return docs.withColumn("id_status", status).where(F.col("id_status").isNotNull())

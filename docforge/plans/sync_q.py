@@ -29,6 +29,21 @@ def customer_docs(spark, sf_dir):
     return build_documents(spark, CUSTOMER_SPEC, sf_dir)
 
 
+def changed_docs(spark, sf_dir):
+    """The source as it is when the changes are synced: every row has other values than when the index was built."""
+    return customer_docs(spark, sf_dir).withColumns({
+        "c_mktsegment": F.concat("c_mktsegment", F.lit("/"), F.length("c_name")), "c_nationkey": F.col("c_nationkey") + 100})
+
+
+# untouched documents keep the values of the first build, upserted ones have the new ones, deleted ones are gone
+AFTER_SYNC_SQL = f"""
+SELECT d.id, d.c_name, d.c_nationkey + CASE WHEN f.id IS NULL THEN 0 ELSE 100 END AS c_nationkey, d.c_acctbal,
+       d.c_mktsegment || CASE WHEN f.id IS NULL THEN '' ELSE '/' || length(d.c_name) END AS c_mktsegment
+FROM ({CUSTOMER_DOCS_SQL}) d LEFT JOIN ({FINAL_SQL}) f ON f.id = d.id
+WHERE f.action IS NULL OR f.action <> 'delete'
+"""
+
+
 @query("flush_reconcile", RECONCILED_SQL, ("STR-1", "STR-2", "FLT-1", "FLT-2", "JON-2", "JON-8"))
 def flush_reconcile_q(spark, sf_dir):
     return reconciled(spark, sf_dir)
@@ -50,6 +65,55 @@ def chunk_plan_q(spark, sf_dir):
     return sync.chunk_plan(reconciled(spark, sf_dir), size=25)
 
 
+@query("chunk_null_groups", f"""
+SELECT flush, entity, action, chunk_no, count(*) AS n_ids, min(id) AS first_id, max(id) AS last_id FROM (
+  SELECT flush, entity, action, id,
+         CAST(floor((row_number() OVER (PARTITION BY flush, entity, action ORDER BY id) - 1) / 25) AS BIGINT) AS chunk_no
+  FROM (SELECT CASE WHEN date_part('day', flush) % 3 = 0 THEN NULL ELSE flush END AS flush, entity, id, action
+        FROM ({RECONCILED_SQL}) r) n) c
+GROUP BY flush, entity, action, chunk_no
+""", ("AGG-6", "STR-7"))
+def chunk_null_groups_q(spark, sf_dir):
+    rows = reconciled(spark, sf_dir)
+    return sync.chunk_plan(rows.withColumn("flush", F.when(F.dayofmonth("flush") % 3 != 0, F.col("flush"))), size=25)
+
+
+@query("chunk_jobs", f"""
+SELECT flush, entity, action, chunk_no, string_agg(id, ',' ORDER BY id) AS ids FROM (
+  SELECT flush, entity, action, id,
+         CAST(floor((row_number() OVER (PARTITION BY flush, entity, action ORDER BY id) - 1) / 10) AS BIGINT) AS chunk_no
+  FROM ({RECONCILED_SQL}) r) c
+GROUP BY flush, entity, action, chunk_no
+""", ("AGG-6", "STR-7"))
+def chunk_jobs_q(spark, sf_dir):
+    return sync.chunk_ids(reconciled(spark, sf_dir), size=10).withColumn("ids", F.array_join("ids", ","))
+
+
+@query("dataset_changes", f"""
+SELECT r.flush, r.entity, d.dataset, r.id, r.action FROM ({RECONCILED_SQL}) r
+JOIN (VALUES ('customer', '{CUSTOMER_ENTITY}'), ('customer_archive', '{CUSTOMER_ENTITY}')) AS d(dataset, entity) ON d.entity = r.entity
+""", ("JON-8", "FLT-1"))
+def dataset_changes_q(spark, sf_dir):
+    # two datasets of one entity: both are synced
+    entities = spark.sql(f"VALUES ('customer', '{CUSTOMER_ENTITY}'), ('customer_archive', '{CUSTOMER_ENTITY}') AS d(code, entity)"
+                         .replace("\\", "\\\\"))
+    changes = sync.reconcile_flushes(sync.scalar_ids(sync.keep_indexed_entities(change_rows(spark, sf_dir), entities)))
+    return sync.per_dataset(changes, entities).select("flush", "entity", "dataset", "id", "action")
+
+
+@query("scalar_keys", """
+SELECT CAST(event_id AS VARCHAR) AS event, CAST(user_id AS VARCHAR) AS id FROM events
+WHERE event_id % 3 <> 0 AND event_id % 5 <> 0
+""", ("FLT-2",))
+def scalar_keys_q(spark, sf_dir):
+    # every third event has a composite key, every fifth a null one
+    from docforge.sources.tables import read_table
+    one = F.when(F.col("event_id") % 5 != 0, F.col("user_id").cast("string"))
+    key = F.when(F.col("event_id") % 3 == 0, F.array(one, F.lit("x"))).otherwise(F.array(one))
+    rows = read_table(spark, sf_dir, "events").select(F.col("event_id").cast("string").alias("event"), key.alias("key"))
+    return sync.scalar_ids(rows).select("event", "id")
+
+
 @query("reindex_ids", f"""
 SELECT d.* FROM ({CUSTOMER_DOCS_SQL}) d
 WHERE d.id IN (SELECT id FROM ({RECONCILED_SQL}) r WHERE action = 'upsert')
@@ -130,10 +194,7 @@ def sync_stream_q(spark, sf_dir):
     return action_log_state(spark, log)
 
 
-@query("spool_drain", f"""
-SELECT d.* FROM ({CUSTOMER_DOCS_SQL}) d
-WHERE d.id NOT IN (SELECT id FROM ({FINAL_SQL}) f WHERE action = 'delete')
-""", ("STR-5", "STR-6", "SNK-11", "STR-4"))
+@query("spool_drain", AFTER_SYNC_SQL, ("STR-5", "STR-6", "SNK-11", "STR-4"))
 def spool_drain_q(spark, sf_dir):
     from docforge.operators.store import DocumentStore
     from docforge.streaming.sync_stream import drain_spool
@@ -149,7 +210,7 @@ def spool_drain_q(spark, sf_dir):
 
     def current():
         # the database after the changes: rows whose last action was a delete are gone
-        return sync.live_after(customer_docs(spark, sf_dir), sync.final_state(reconciled(spark, sf_dir)))
+        return sync.live_after(changed_docs(spark, sf_dir), sync.final_state(reconciled(spark, sf_dir)))
 
     q = drain_spool(spark, f"{base}/spool", f"{base}/checkpoint", store, "customer", CUSTOMER_ENTITY, current,
                     max_files_per_trigger=2)
@@ -159,10 +220,7 @@ def spool_drain_q(spark, sf_dir):
     return store.read("customer")
 
 
-@query("sync_stream_documents", f"""
-SELECT d.* FROM ({CUSTOMER_DOCS_SQL}) d
-WHERE d.id NOT IN (SELECT id FROM ({FINAL_SQL}) f WHERE action = 'delete')
-""", ("STR-4", "STR-5", "SNK-1", "SNK-2"))
+@query("sync_stream_documents", AFTER_SYNC_SQL, ("STR-4", "STR-5", "SNK-1", "SNK-2"))
 def sync_stream_documents_q(spark, sf_dir):
     # queued-jobs mode end to end: each micro-batch's reconciled actions are
     # applied to the live alias -- upserts re-read the current source row,
@@ -178,12 +236,12 @@ def sync_stream_documents_q(spark, sf_dir):
     store.rebuild("customer", customer_docs(spark, sf_dir))
     change_rows(spark, sf_dir).repartition(6).write.parquet(f"{base}/landing")
 
-    def apply(batch, _batch_id):
+    def apply(batch, batch_id):
         seq = F.unix_micros(F.col("flush").cast("timestamp")).alias("_seq")
-        ups = batch.where(F.col("action") == sync.UPSERT).select("id", seq)
-        dels = batch.where(F.col("action") == sync.DELETE).select("id", seq)
-        upserts = sync.reindex_documents(customer_docs(spark, sf_dir), ups).join(ups, "id")
-        store.apply_changes("customer", upserts, dels)
+        last = sync.final_state(batch).join(batch.groupBy("entity", "id").agg(F.max("flush").alias("flush")), ["entity", "id"])
+        ups = last.where(F.col("action") == sync.UPSERT).select("id", seq)
+        dels = last.where(F.col("action") == sync.DELETE).select("id", seq)
+        store.apply_changes("customer", changed_docs(spark, sf_dir).join(ups, "id"), dels, batch=f"stream-{batch_id}")
 
     q = start_sync(spark, f"{base}/landing", f"{base}/actions", f"{base}/checkpoint", dataset_entities(spark),
                    max_files_per_trigger=2, on_batch=apply)

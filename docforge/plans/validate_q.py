@@ -63,5 +63,5 @@ WHERE json_type(doc, '$.k') IS NULL OR json_type(doc, '$.k') IN ('OBJECT', 'ARRA
 """, ("PRJ-6",))
 def bad_ids_q(spark, sf_dir):
     docs = raw_json(spark, sf_dir)
-    bad = validate.id_problems(docs, "doc", "$.k")
+    bad = validate.id_problems(docs, "doc", "k")
     return bad.select(F.col("event_id").cast("string").alias("event_id"), "id_status")

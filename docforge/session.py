@@ -14,6 +14,9 @@ import tempfile
 from pyspark.sql import SparkSession
 
 _CHECKPOINT_KEY = "spark.checkpoint.dir"
+#: Partitions that text is dealt over before it is analysed; unset (the default): those of the scan. Set it where the
+#: files have too few row groups for the cores, as single-file tables in local runs have.
+PARTITIONS_KEY = "docforge.analysis.partitions"
 JIT_FLAG = "-XX:-DontCompileHugeMethods"
 
 
@@ -31,17 +34,22 @@ def build_session(master: str | None = None, app: str = "docforge", shuffle_part
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.driver.memory", os.environ.get("DOCFORGE_DRIVER_MEMORY", "16g"))
+        .config("spark.driver.memory", os.environ.get("DOCFORGE_DRIVER_MEMORY", "8g"))
         # Generated code for long expression chains (the stemmer) exceeds
         # HotSpot's 8000-byte JIT limit; without this flag it runs interpreted.
-        .config("spark.driver.extraJavaOptions", JIT_FLAG)
-        .config("spark.executor.extraJavaOptions", JIT_FLAG)
     )
+    for side in ("driver", "executor"):  # added to the caller's options, not in their place
+        key = f"spark.{side}.extraJavaOptions"
+        own = (extra or {}).get(key, os.environ.get("DOCFORGE_JAVA_OPTIONS", ""))
+        builder = builder.config(key, f"{own} {JIT_FLAG}".strip())
+    extra = {k: v for k, v in (extra or {}).items() if not k.endswith(".extraJavaOptions")}
     if shuffle_partitions is not None:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     if master.startswith("local") and "spark.sql.warehouse.dir" not in (extra or {}):
         # local runs only: keep catalog files out of the working directory
         builder = builder.config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="docforge-warehouse-"))
+    if master.startswith("local"):
+        builder = builder.config(PARTITIONS_KEY, str(shuffle_partitions or 8))
     for key, value in (extra or {}).items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
@@ -77,15 +85,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return shared_root(spark)
 
 
-def ensure_parallelism(df):
-    """Spread a narrow input over the cluster before CPU-heavy per-row work.
-
-    Only when the scan yields fewer partitions than the default parallelism
-    (small inputs, single-row-group files); large inputs already have more
-    partitions than cores and are left alone (no shuffle).
-    """
-    sc = df.sparkSession.sparkContext
-    target = sc.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+def spread(df):
+    """``df`` dealt over the number of partitions the session sets for text analysis, if it sets one."""
+    partitions = df.sparkSession.conf.get(PARTITIONS_KEY, None)
+    return df.repartition(int(partitions)) if partitions else df

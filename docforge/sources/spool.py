@@ -20,6 +20,10 @@ def encode_entity(col):
     return F.replace(col, F.lit("\\"), F.lit("."))
 
 
+def entity_folder(entity: str) -> str:
+    return entity.replace("\\", ".")
+
+
 def decode_entity(col):
     return F.replace(col, F.lit("."), F.lit("\\"))
 
@@ -48,8 +52,17 @@ def read_spool(spark: SparkSession, path: str) -> DataFrame:
 
 
 def spool_classes(spark: SparkSession, path: str) -> DataFrame:
-    """SRC-5: entity classes that have spooled ids (missing dir -> empty)."""
-    return read_spool(spark, path).select("entity").distinct()
+    """SRC-5: entity classes that have a spool folder (missing dir -> empty). Folder names
+    alone are listed; no spool line is read."""
+    names = []
+    if _exists(spark, path):
+        jvm = spark.sparkContext._jvm
+        root = jvm.org.apache.hadoop.fs.Path(path)
+        fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        names = [s.getPath().getName() for s in fs.listStatus(root) if s.isDirectory()]
+    unescape = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+    found = [(unescape(n.split("=", 1)[1]),) for n in names if n.startswith(f"{ENTITY_DIR}=")]
+    return spark.createDataFrame(found, f"{ENTITY_DIR} string").select(decode_entity(F.col(ENTITY_DIR)).alias("entity"))
 
 
 def _exists(spark: SparkSession, path: str) -> bool:

@@ -15,6 +15,7 @@ flush per id. Both reductions are algebraic and map-side combined.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -64,32 +65,27 @@ def action_log_state(spark: SparkSession, action_log: str) -> DataFrame:
     return sync.final_state(merged)
 
 
-def apply_ids_from_current_state(store, alias: str, ids: DataFrame, current: DataFrame, seq: int) -> None:
-    """STR-4 applied to a set of changed ids: ids still in the current source
-    are re-indexed from their current row, ids gone from it become
-    tombstones. Order of the spooled lines does not matter, so duplicates and
-    replays are harmless, and removals are not lost (STR-6 deviation)."""
-    ids = ids.select("id").distinct()
-    upserts = sync.reindex_documents(current, ids).withColumn("_seq", F.lit(seq).cast("bigint"))
-    gone = ids.join(current.select("id"), "id", "left_anti").withColumn("_seq", F.lit(seq).cast("bigint"))
-    store.apply_changes(alias, upserts, gone)
-
-
 def drain_spool(spark: SparkSession, spool_path: str, checkpoint: str, store, alias: str, entity: str,
                 current: Callable[[], DataFrame], max_files_per_trigger: int = 100) -> StreamingQuery:
     """STR-5 spool mode: drain the id spool of one entity into the alias with a
     file stream (``availableNow``). The stream checkpoint records which spool
     files were handed off -- nothing is deleted, so the reference's read/clear
-    race cannot lose ids (SNK-11)."""
-    from docforge.sources.spool import ENTITY_DIR, decode_entity
+    race cannot lose ids (SNK-11). Ids still in the source are re-indexed from their
+    current row, ids gone from it become tombstones, so the order of spooled lines
+    does not matter and removals are not lost. The batch is named after the
+    micro-batch: a retry replaces what the first try wrote. Only the entity's own
+    folder is read (a filter on the partition column)."""
+    from docforge.sources.spool import ENTITY_DIR, entity_folder
 
     stream = (spark.readStream.schema(f"id string, {ENTITY_DIR} string")
               .option("maxFilesPerTrigger", max_files_per_trigger).json(spool_path))
 
+    name = "drain-" + hashlib.sha256(checkpoint.encode()).hexdigest()[:12]
+
     def handle(batch: DataFrame, batch_id: int) -> None:
         ids = (batch.where(F.col("id").isNotNull())
-               .where(decode_entity(F.col(ENTITY_DIR)) == entity))
-        apply_ids_from_current_state(store, alias, ids, current(), batch_id)
+               .where(F.col(ENTITY_DIR) == entity_folder(entity)))
+        store.reindex(alias, ids, current(), batch=f"{name}-{batch_id}")
 
     return (stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())

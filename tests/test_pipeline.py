@@ -11,7 +11,7 @@ from docforge.operators import sync, validate
 from docforge.operators.documents import build_documents, field_names, strip_qualifier
 from docforge.operators.store import DocumentStore
 from docforge.sources import spool
-from docforge.spec import DatasetSpec, FieldSpec
+from docforge.spec import AnalyzerSpec, DatasetSpec, FieldSpec
 
 
 # ---------------------------------------------------------------- documents
@@ -65,12 +65,12 @@ def test_limit_orders_by_id(spark):
 # ---------------------------------------------------------------- validation
 def test_rejected_document_raises_with_id_and_reason(spark):
     # FIXTURES A2
-    docs = spark.createDataFrame([("contao--manager-bundle", '{"data": {"nested": true}}'), ("ok", '{"data": "x"}')],
+    docs = spark.createDataFrame([("acme--widget-bundle", '{"data": {"nested": true}}'), ("ok", '{"data": "x"}')],
                                  "id string, doc string")
     classified = validate.classify(docs, "doc", {"data": FieldSpec("text")})
     valid, rejected = validate.split_valid(classified)
     assert valid.count() == 1
-    with pytest.raises(RuntimeError, match="contao--manager-bundle.*Expected text but found START_OBJECT"):
+    with pytest.raises(RuntimeError, match="acme--widget-bundle.*Expected text but found START_OBJECT"):
         validate.assert_no_rejects(rejected)
 
 
@@ -116,9 +116,12 @@ def test_bulk_fill_counts_rows_sent_and_batches(spark):
     files = [f for f in os.listdir(store.path_of(gen)) if f.startswith("part-")]
     assert len(files) == 2
     assert store.fill(gen, docs.limit(0), batch_size=2) == 0
-    # rows sent, not distinct ids; the later row for an id wins
+    # repeated ids need a column that orders their rows; then the last one counts
     gen2 = store.create_generation("films", docs.schema)
-    assert store.fill(gen2, docs) == 4
+    with pytest.raises(ValueError, match="one"):
+        store.fill(store.create_generation("films", docs.schema), docs)
+    ordered = docs.withColumn("at", F.when(F.col("name") == "One again", 2).otherwise(1))
+    assert store.fill(gen2, ordered.repartition(3), order_by="at") == 3
     names = {r["id"]: r["name"] for r in spark.table(store.qualified(gen2)).collect()}
     assert names == {"one": "One again", "two": "Two", "three": "Three"}
 
@@ -159,7 +162,152 @@ def test_change_log_later_sequence_wins_and_deletes(spark):
                         spark.createDataFrame([("0", 5)], "id string, _seq long"))
     assert "0" not in {r["id"] for r in store.read("c").collect()}
     cands = store.retire_candidates("c").collect()
-    assert [(r["live"], r["documents"]) for r in cands] == [(True, 4)]
+    assert [(r["live"], r["documents"]) for r in cands] == [(True, 2)]  # what the alias holds
+
+
+def test_alias_owns_only_its_generations(spark):
+    store = DocumentStore(spark, database="t_prefix")
+    archive = store.rebuild("film_archive", _docs(spark, 3))
+    kept = store.rebuild("film", _docs(spark, 1))
+    live = store.rebuild("film", _docs(spark, 2), keep_old=True)
+    last = store.rebuild("film", _docs(spark, 4))
+    assert store.generations("film") == [kept, last] and not store.exists(live)  # kept ones survive a rebuild
+    assert store.generations("film_archive") == [archive] and store.read("film_archive").count() == 3
+    assert len(store.delete("film")) == 2 and store.read("film_archive").count() == 3
+
+
+def test_leftover_generation_does_not_block_create(spark):
+    store = DocumentStore(spark, database="t_leftover")
+    leftover = store.create_generation("b", _docs(spark, 1).schema)
+    made = store.create("b", _docs(spark, 1).schema)
+    assert made is not None and store.live_generation("b") == made and leftover in store.generations("b")
+
+
+def test_rebuild_over_a_concrete_table_builds_nothing(spark):
+    store = DocumentStore(spark, database="t_concrete")
+    spark.sql("CREATE TABLE t_concrete.held (id string) USING parquet")
+    with pytest.raises(RuntimeError, match="concrete table"):
+        store.rebuild("held", _docs(spark, 2))
+    assert store.generations("held") == []
+    assert [(r["generation"], r["live"]) for r in store.retire_candidates("held").collect()] == [("held", False)]
+
+
+def test_failed_publish_leaves_no_generation(spark, monkeypatch):
+    store = DocumentStore(spark, database="t_publish")
+    first = store.rebuild("p", _docs(spark, 1))
+
+    def broken(*_):
+        raise OSError("catalog is away")
+
+    monkeypatch.setattr(store, "publish", broken)
+    with pytest.raises(OSError):
+        store.rebuild("p", _docs(spark, 2))
+    assert store.generations("p") == [first] and store.read("p").count() == 1
+
+
+def test_populate_upserts_by_id(spark):
+    store = DocumentStore(spark, database="t_populate")
+    store.rebuild("c", _docs(spark, 3))
+    for text in ("v1", "v2"):
+        assert store.populate("c", _docs(spark, 2, text)) == 2
+    store.apply_changes("c", None, spark.createDataFrame([("1",)], "id string"), seq_col=None)
+    assert sorted(r["name"] for r in store.read("c").collect()) == ["n2", "v20"]
+    store.populate("c", _docs(spark, 2, "v3"))  # a deleted id comes back
+    assert sorted(r["name"] for r in store.read("c").collect()) == ["n2", "v30", "v31"]
+    twice = _docs(spark, 2).unionByName(_docs(spark, 1))
+    with pytest.raises(ValueError):
+        store.populate("c", twice)
+    assert sorted(r["name"] for r in store.read("c").collect()) == ["n2", "v30", "v31"]
+
+
+def test_batch_written_again_replaces_itself(spark):
+    store = DocumentStore(spark, database="t_replay")
+    store.rebuild("c", _docs(spark, 2))
+    store.reindex("c", spark.createDataFrame([("0",), ("1",)], "id string"), _docs(spark, 0), batch="drain-1")
+    assert store.read("c").count() == 0  # the source was empty at the first try
+    store.reindex("c", spark.createDataFrame([("0",), ("1",)], "id string"), _docs(spark, 2, "new"), batch="drain-1")
+    assert sorted(r["name"] for r in store.read("c").collect()) == ["new0", "new1"]
+    old = store.live_generation("c")
+    new = store.compact("c")
+    assert sorted(r["name"] for r in store.read("c").collect()) == ["new0", "new1"]
+    assert store.generations("c") == [new] and not store.exists(old)
+
+
+def test_load_is_checked_against_the_mapping(spark):
+    store = DocumentStore(spark, database="t_checked")
+    mapping = {"n": FieldSpec("long"), "it's": FieldSpec("text")}
+    good = spark.createDataFrame([("a", "12", "x")], "id string, n string, `it's` string")
+    bad = spark.createDataFrame([("b", "twelve", "x")], good.schema)
+    store.rebuild("c", good, mapping)
+    with pytest.raises(RuntimeError, match="failed to parse field .n. of type .long."):
+        store.rebuild("c", bad, mapping)
+    for load in (lambda: store.populate("c", bad), lambda: store.apply_changes("c", bad.withColumn("_seq", F.lit(9)), None)):
+        with pytest.raises(RuntimeError, match="twelve|failed to parse"):
+            load()
+    assert [r["id"] for r in store.read("c").collect()] == ["a"]
+    with pytest.raises(RuntimeError, match="strict"):
+        store.rebuild("c", good.withColumn("extra", F.lit(1)), mapping)
+    store.rebuild("c", good.withColumn("extra", F.lit(1)), mapping, strict=False)
+
+
+def test_terms_follow_the_change_log(spark):
+    from docforge.operators.analysis import analyzed_fields
+    store = DocumentStore(spark, database="t_live_terms")
+    mapping, english = {"name": FieldSpec("text")}, AnalyzerSpec("english")
+    docs = spark.createDataFrame([("1", "cats"), ("2", "dogs")], "id string, name string")
+    store.rebuild("v", docs, mapping=mapping, analyzer=english, analyze=lambda g: analyzed_fields(g, "id", mapping, english))
+    store.apply_changes("v", spark.createDataFrame([("3", "birds", 1), ("1", "fish", 1)], "id string, name string, _seq long"),
+                        spark.createDataFrame([("2", 1)], "id string, _seq long"))
+    assert sorted((r["id"], r["term"]) for r in store.terms("v").collect()) == [("1", "fish"), ("3", "bird")]
+
+
+@pytest.mark.parametrize("doc, reason", [
+    ('{"t":"[Draft] {x}","n":1}', None), ('{"t":["a","b"],"n":[1,2]}', None), ('{"n":"12","d":"2024-01-31"}', None),
+    ('{"n":null,"t":null}', None), ('{"n":"abc"}', "failed to parse field [n] of type [long]"), ("not json", "failed to parse"),
+    ("[1]", "failed to parse"), ('{"t":[{"a":1}]}', "Expected text but found START_OBJECT"),
+    ('{"t":{"a":1}}', "Expected text but found START_OBJECT"), ('{"o":1}', "object mapping for [o] tried to parse field [o] as object, "
+                                                                "but found a concrete value"), ('{"o":{"a":1}}', None),
+    ('{"d":"yesterday"}', "failed to parse field [d] of type [date]"), ('{"b":"maybe"}', "failed to parse field [b] of type [boolean]"),
+    ('{"z":1,"y":2}', "mapping set to strict, dynamic introduction of [y,z] within [_doc] is not allowed")])
+def test_document_checks(spark, doc, reason):
+    mapping = {"t": FieldSpec("text"), "n": FieldSpec("long"), "d": FieldSpec("date"), "b": FieldSpec("boolean"), "o": FieldSpec("object")}
+    row = validate.classify(spark.createDataFrame([("1", doc)], "id string, doc string"), "doc", mapping).collect()[0]
+    assert row["reason"] == reason and (row["reject_type"] is None) == (reason is None)
+
+
+def test_evolved_mapping(spark):
+    docs = spark.createDataFrame([('{"a":1,"b":"x","k":1}',), ('{"a":1.5,"b":true,"c":null}',), ('{"a":2,"e":{"x":1},"f":[1]}',)], "doc string")
+    out = validate.evolved_mapping(validate.inferred_fields(docs, "doc"), {"k": FieldSpec("keyword")})
+    assert {k: v.type for k, v in out.items()} == {"k": "keyword", "a": "float", "b": "text", "e": "object"}
+
+
+def test_id_rules(spark):
+    source = spark.createDataFrame([("5", "978", "T")], "id string, isbn string, title string")
+    spec = DatasetSpec(code="b", provider=source, id_field="isbn", source_fields=("title",))
+    assert [tuple(r) for r in build_documents(spark, spec).collect()] == [("978", "T")]  # the id of the source row
+    beside = DatasetSpec(code="b", provider=source, id_field="isbn", source_fields=("id", "title"))
+    with pytest.raises(ValueError, match="beside"):
+        build_documents(spark, beside)
+    mapped = DatasetSpec(code="b", provider=source, id_field="isbn", mapper=lambda s: s.withColumn("title", F.lower("title")).drop("id", "isbn"))
+    assert [tuple(r) for r in build_documents(spark, mapped).collect()] == [("978", "t")]  # the mapper left the id out
+    own = DatasetSpec(code="b", provider=source, id_field="isbn", mapper=lambda s: s.select(F.lit("own").alias("isbn"), "title"))
+    assert [r["id"] for r in build_documents(spark, own).collect()] == ["own"]
+
+
+def test_nested_values_are_normalised(spark):
+    source = spark.sql("SELECT '1' AS id, named_struct('at', timestamp_ntz'2024-01-31 10:00:00', 'n', 1) AS s, "
+                       "map('k', timestamp_ntz'2024-01-31 10:00:00') AS m, array(named_struct('d', date'2024-01-31')) AS a")
+    spec = DatasetSpec(code="n", provider=source, source_fields=("s", "m", "a"))
+    r = build_documents(spark, spec).collect()[0]
+    assert (r["s"]["at"], r["s"]["n"], r["m"], r["a"][0]["d"]) == (
+        "2024-01-31T10:00:00+00:00", 1, {"k": "2024-01-31T10:00:00+00:00"}, "2024-01-31T00:00:00+00:00")
+
+
+def test_patterns_match_plain_underscores(spark):
+    from docforge.operators.audit import like_pattern
+    names = spark.createDataFrame([("shop_movies",), ("shopXmovies",), ("a%b",), ("a\\b",)], "n string")
+    match = lambda p: [r["n"] for r in names.where(F.col("n").like(like_pattern(p))).collect()]
+    assert match("shop_*") == ["shop_movies"] and match("a%*") == ["a%b"] and match("a\\*") == ["a\\b"]
 
 
 # ---------------------------------------------------------------- sync
