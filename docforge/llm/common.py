@@ -41,7 +41,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def spread_keys(spark: SparkSession, count: int, seed: str) -> list[int]:
+def spread_keys(spark: SparkSession, count: int) -> list[int]:
     """``count`` longs whose Spark hash deals them over ``count`` partitions, one each.
 
     Rows that carry key ``k`` of the list land in hash partition ``k``, so groups of about equal size

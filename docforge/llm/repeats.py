@@ -11,13 +11,16 @@ the difference-cover algorithm; names are hashes instead of ranks, as only equal
    has a name that is not unique. Those get the name of their first 50 bytes; these names are sorted in turn and
 4. *adjacent ones compared*: a string is removed wherever an equal one starts in a smaller document id.
 
-Documents are dealt once by ranges of document id over shards; all three passes over the text use that one exchange, so
+A text that a smaller document has as a whole goes as a whole: whole texts are named in the first pass too, and the strings
+of such copies are not named again (the smaller document names them).
+
+Documents are dealt once, in compressed batches, by ranges of document id over shards; all three passes over the text use that one exchange, so
 "smaller document" is "smaller shard", or decided within the shard. Between the passes only names travel: a shard
 sends each name once, however often it has it (so a passage in a third of all documents is no hot key), sorted by
 value, as byte-packed gaps; the answer is a bit a name. A shard holds about ``SHARD_BYTES`` of text and sends one row for
 each name range; ranges are as many as shards.
 
-Names of step 2 are cut to 40 bits, where a chance match only costs a look. Names of step 4 have 64 bits; at n looked-at
+Names of step 2 are cut to 38 bits, where a chance match only costs a look. Names of step 4 have 64 bits; at n looked-at
 strings about n*n/2**65 chance matches are to be expected (0.001 at 200 million).
 
 Defined results: a null text is empty. A null id is smaller than all others and equal to itself; rows of equal id don't
@@ -33,13 +36,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docforge.llm.common import SpanHash, gather, spread_keys
+from docforge.llm.common import SpanHash, gather, small_batches, spread_keys, text_batches
 
 #: A perfect difference set: the differences of its members give every residue.
 PERIOD, COVER = 21, (0, 1, 4, 14, 16)
 #: Text a shard holds, and text whose hashes are in memory at once within it.
-SHARD_BYTES, CHUNK_BYTES = 16 << 20, 2 << 20
-NAME_BITS = 40
+SHARD_BYTES, CHUNK_BYTES = 12 << 20, 2 << 20
+#: Characters that are dealt at once: a task sends a compressed batch to each shard that has some of them.
+DEAL_CHARS = 8 << 20
+NAME_BITS = 38
 NULL_ID = -(1 << 63)
 
 
@@ -81,7 +86,8 @@ def distinct(values: np.ndarray) -> np.ndarray:
 class Shard:
     """The texts of a shard as one byte array, documents in ascending id."""
 
-    def __init__(self, table: pa.Table, width: int) -> None:
+    def __init__(self, dealt: list[bytes], width: int) -> None:
+        self.table = table = pa.concat_tables([pa.ipc.open_stream(x).read_all() for x in dealt])
         text = table["text"].combine_chunks()
         text = text.chunk(0) if isinstance(text, pa.ChunkedArray) else text
         null = np.asarray(text.is_null().to_numpy(zero_copy_only=False), bool)
@@ -100,6 +106,7 @@ class Shard:
         self.at = off[:-1][self.order]
         self.rank = np.cumsum(np.concatenate([[True], self.ids[1:] != self.ids[:-1]])) if len(ids) else np.zeros(0, np.int64)
         self.width, self.gram = width, width - PERIOD + 1
+        self.whole = np.zeros(len(self.size), np.uint64)  # names of whole texts, once the sample is named
         self.hash = SpanHash(0xC0DE, 256)
 
     def chunks(self) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -129,6 +136,7 @@ class Shard:
     def names(self) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
         for first, last, data, begin in self.chunks():
             prefix = self.hash.prefix(data)
+            self.whole[first:last] = self.hash.spans(prefix, begin, begin + self.size[first:last])
             at, doc = self.sampled(self.size[first:last], begin)
             name = self.hash.spans(prefix, at, at + self.gram) >> np.uint64(64 - NAME_BITS)
             yield first, last, begin, prefix, at, doc, name
@@ -140,7 +148,21 @@ class Shard:
         edge = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1], [True]])) if len(values) else np.zeros(1, np.int64)
         return values[edge[:-1]], np.diff(edge) > 1
 
-    def looked_at(self, repeated: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    def texts(self) -> np.ndarray:
+        """Distinct names of the whole texts that are long enough to go."""
+        return distinct(self.whole[self.size >= self.width])
+
+    def copies(self, earlier: np.ndarray) -> np.ndarray:
+        """Which documents are copies of a smaller one: of this shard, or of one whose text is among the names ``earlier``."""
+        by = np.lexsort((self.rank, self.whole))
+        edge = np.ones(len(by), bool)
+        edge[1:] = self.whole[by[1:]] != self.whole[by[:-1]]
+        least = self.rank[by[edge]][np.cumsum(edge) - 1]
+        out = np.zeros(len(by), bool)
+        out[by] = least < self.rank[by]
+        return (out | np.isin(self.whole, earlier)) & (self.size >= self.width)
+
+    def looked_at(self, repeated: np.ndarray, copy: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
         """First document of a chunk; start in its document, document and name of each string to be looked at."""
         bits = 22
         seen = np.zeros(1 << bits, bool)
@@ -150,6 +172,7 @@ class Shard:
             maybe = np.flatnonzero(seen[(name & low).astype(np.int64)])
             place = np.searchsorted(repeated, name[maybe])
             hit = maybe[repeated[np.minimum(place, len(repeated) - 1)] == name[maybe]] if len(repeated) else maybe[:0]
+            hit = hit[~copy[doc[hit] + first]]
             size = self.size[first:last]
             mark = np.zeros(int(size.sum()) + 1, np.int32)
             low_at = np.maximum(at[hit] - PERIOD + 1, begin[doc[hit]])
@@ -159,50 +182,55 @@ class Shard:
             np.add.at(mark, high[ok], -1)
             start = np.flatnonzero(np.cumsum(mark[:-1]) > 0)
             owner = np.searchsorted(begin, start, "right") - 1
-            yield first, start - begin[owner], owner + first, self.hash.spans(prefix, start, start + self.width)
+            yield first, (start - begin[owner]).astype(np.int32), (owner + first).astype(np.int32), self.hash.spans(prefix, start, start + self.width)
 
 
-def _rows(key_of: list[int], count: int, shard: int, values: np.ndarray, bits: int) -> pa.Table:
+def _rows(key_of: list[int], count: int, shard: int, step: int, values: np.ndarray) -> pa.Table:
+    bits = BITS_OF[step]
     cut = np.append(np.searchsorted(values, ranges(count, bits)), len(values))
-    parts = [(key_of[k], k, shard, pack_sorted(values[cut[k] : cut[k + 1]])) for k in range(count) if cut[k + 1] > cut[k]]
-    return pa.table([list(c) for c in zip(*parts)] if parts else [[], [], [], []], schema=_NAMES)
+    parts = [(key_of[k], step, k, shard, pack_sorted(values[cut[k] : cut[k + 1]])) for k in range(count) if cut[k + 1] > cut[k]]
+    return pa.table([list(c) for c in zip(*parts)] if parts else [[]] * 5, schema=_NAMES)
 
 
-_NAMES = pa.schema([("key", pa.int64()), ("part", pa.int32()), ("shard", pa.int32()), ("names", pa.binary())])
+#: Steps of naming, and the bits of their names.
+SAMPLE, TEXTS, STRINGS = 0, 1, 2
+BITS_OF = (NAME_BITS, 64, 64)
+_NAMES = pa.schema([("key", pa.int64()), ("step", pa.int32()), ("part", pa.int32()), ("shard", pa.int32()), ("names", pa.binary())])
 _BITS = pa.schema([("key", pa.int64()), ("step", pa.int32()), ("part", pa.int32()), ("bits", pa.binary())])
-NAMES_SCHEMA = "key long, part int, shard int, names binary"
+NAMES_SCHEMA = "key long, step int, part int, shard int, names binary"
 BITS_SCHEMA = "key long, step int, part int, bits binary"
 
 
-def _answer(rows: pa.Table, key_of: list[int], step: int) -> pa.Table:
-    """A bit for each name of each shard: step 1, whether another shard has it; step 2, whether a smaller one has."""
-    part = rows["part"][0].as_py() if rows.num_rows else 0
-    shards = rows["shard"].to_numpy()
-    lists = [unpack_sorted(x) for x in rows["names"].to_pylist()]
-    order = np.argsort(shards, kind="stable")
-    out = []
-    values = np.concatenate([lists[k] for k in order])
-    if step == 1:
-        ordered = np.sort(values)
-        several = distinct(ordered[1:][ordered[1:] == ordered[:-1]])
-        for k in order:
-            hit = np.zeros(len(lists[k]), bool)
-            place = np.searchsorted(lists[k], several)
-            place = np.minimum(place, len(hit) - 1)
-            hit[place[lists[k][place] == several]] = True
-            out.append(hit)
-    else:
-        by = np.argsort(values, kind="stable")  # equal names in order of shard
-        again = np.zeros(len(values), bool)
-        again[by[1:]] = values[by[1:]] == values[by[:-1]]
-        out = np.split(again, np.cumsum([len(lists[k]) for k in order])[:-1])
-    rows_out = [(key_of[int(shards[k])], step, part, np.packbits(b).tobytes()) for k, b in zip(order, out) if b.any()]
-    return pa.table([list(c) for c in zip(*rows_out)] if rows_out else [[], [], [], []], schema=_BITS)
-
-
-def _bits(answers: pa.Table, step: int, values: np.ndarray, count: int, bits: int) -> np.ndarray:
+def _answer(rows: pa.Table, key_of: list[int]) -> pa.Table:
+    """A bit for each name of each shard: of the sample, whether another shard has it; else whether a smaller one has."""
+    out: list[tuple[int, int, int, bytes]] = []
+    steps, shard_of, parts = (rows[c].to_numpy() for c in ("step", "shard", "part"))
+    for step in np.unique(steps).tolist():
+        at = np.flatnonzero(steps == step)
+        at = at[np.argsort(shard_of[at], kind="stable")]
+        lists = [unpack_sorted(rows["names"][int(k)].as_py()) for k in at]
+        values = np.concatenate(lists)
+        if step == SAMPLE:
+            values.sort()
+            several = distinct(values[1:][values[1:] == values[:-1]])
+            bits = []
+            for own in lists:
+                hit = np.zeros(len(own), bool)
+                place = np.minimum(np.searchsorted(own, several), len(own) - 1)
+                hit[place[own[place] == several]] = True
+                bits.append(hit)
+        else:
+            by = np.argsort(values, kind="stable")  # equal names in order of shard
+            again = np.zeros(len(values), bool)
+            again[by[1:]] = values[by[1:]] == values[by[:-1]]
+            bits = np.split(again, np.cumsum([len(x) for x in lists])[:-1])
+        out += [(key_of[int(shard_of[k])], step, int(parts[k]), np.packbits(b).tobytes()) for k, b in zip(at, bits) if b.any()]
+    return pa.table([list(c) for c in zip(*out)] if out else [[]] * 4, schema=_BITS)
+
+
+def _bits(answers: pa.Table, step: int, values: np.ndarray, count: int) -> np.ndarray:
     """The answered bit of each of the shard's sorted names."""
-    cut = np.append(np.searchsorted(values, ranges(count, bits)), len(values))
+    cut = np.append(np.searchsorted(values, ranges(count, BITS_OF[step])), len(values))
     out = np.zeros(len(values), bool)
     for s, part, data in zip(answers["step"].to_pylist(), answers["part"].to_pylist(), answers["bits"].to_pylist()):
         if s == step:
@@ -212,9 +240,10 @@ def _bits(answers: pa.Table, step: int, values: np.ndarray, count: int, bits: in
 
 
 def remove_repeats(docs: DataFrame, *, width: int = 50, id_col: str = "doc_id", text_col: str = "text",
-                   carry: tuple[str, ...] = ()) -> DataFrame:
+                   carry: tuple[str, ...] = (), whole_characters: bool = False) -> DataFrame:
     """``id_col``, the ``carry`` columns, ``n_bytes``, ``spans`` (array of removed [start, end) byte places, merged) and
-    ``kept`` (binary: the bytes left) of every row."""
+    ``kept`` (binary: the bytes left) of every row. With ``whole_characters`` a character goes only with all its bytes, so what
+    is left is text."""
     spark = docs.sparkSession
     if width < 2 * PERIOD:
         raise ValueError(f"width must be at least {2 * PERIOD}")
@@ -225,48 +254,70 @@ def remove_repeats(docs: DataFrame, *, width: int = 50, id_col: str = "doc_id",
     cuts = (docs.agg(F.percentile_approx(long_id, steps, max(10_000, 100 * count))).first()[0] or []) if steps else []
     cuts = sorted(set(cuts))
     count = len(cuts) + 1
-    key_of = spread_keys(spark, count, "shard")
-    shard = F.size(F.filter(F.lit(cuts), lambda c: c < F.coalesce(long_id, F.lit(NULL_ID)))) if cuts else F.lit(0)
+    key_of = spread_keys(spark, count)
+    small_batches(spark)
+    bounds = np.asarray(cuts, np.int64)
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in text_batches(batches, DEAL_CHARS):
+            t = t.combine_chunks()
+            shard = np.searchsorted(bounds, t["id"].combine_chunks().fill_null(NULL_ID).to_numpy(zero_copy_only=False))
+            for k in np.unique(shard).tolist():
+                own = t.take(pa.array(np.flatnonzero(shard == k)))
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, own.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                    out.write_table(own)
+                yield pa.RecordBatch.from_arrays([pa.array([key_of[k]], pa.int64()), pa.array([k], pa.int32()),
+                                                  pa.array([sink.getvalue().to_pybytes()], pa.binary())], names=["key", "shard", "data"])
+
     kinds = ", ".join(f"`c{k}` {docs.schema[c].dataType.simpleString()}" for k, c in enumerate(carry))
-    dealt = docs.select(long_id.alias("id"), F.col(text_col).alias("text"), shard.alias("shard"),
-                        *(F.col(c).alias(f"c{k}") for k, c in enumerate(carry)))
-    dealt = dealt.withColumn("key", F.element_at(F.lit(key_of), F.col("shard") + 1).cast("long")).repartition(count, "key")
+    rows = docs.select(long_id.alias("id"), F.col(text_col).alias("text"), *(F.col(c).alias(f"c{k}") for k, c in enumerate(carry)))
+    dealt = rows.mapInArrow(deal, "key long, shard int, data binary").repartition(count, "key")
 
     def of(table: pa.Table) -> int:
         return table["shard"][0].as_py()
 
     def name_sample(table: pa.Table) -> pa.Table:
-        return _rows(key_of, count, of(table), Shard(table, width).sample()[0], NAME_BITS)
+        s = Shard(table["data"].to_pylist(), width)
+        sample = s.sample()[0]
+        return pa.concat_tables([_rows(key_of, count, of(table), SAMPLE, sample), _rows(key_of, count, of(table), TEXTS, s.texts())])
 
-    def repeated(s: Shard, answers: pa.Table) -> np.ndarray:
+    def second_look(table: pa.Table, answers: pa.Table) -> tuple[Shard, np.ndarray, list]:
+        """The shard, its copies, and its strings that have to be looked at, by chunk."""
+        s = Shard(table["data"].to_pylist(), width)
         values, own = s.sample()
-        return values[own | _bits(answers, 1, values, count, NAME_BITS)]
+        repeated = values[own | _bits(answers, SAMPLE, values, count)]
+        texts = s.texts()
+        copy = s.copies(texts[_bits(answers, TEXTS, texts, count)])
+        return s, copy, list(s.looked_at(repeated, copy))
 
-    def name_windows(table: pa.Table, answers: pa.Table) -> pa.Table:
+    def name_strings(table: pa.Table, answers: pa.Table) -> pa.Table:
         if not table.num_rows:
             return _NAMES.empty_table()
-        s = Shard(table, width)
-        found = [x[-1] for x in s.looked_at(repeated(s, answers))]
-        return _rows(key_of, count, of(table), distinct(np.concatenate(found)), 64)
+        _, _, chunks = second_look(table, answers)
+        return _rows(key_of, count, of(table), STRINGS, distinct(np.concatenate([c[3] for c in chunks])))
 
     def cut_out(table: pa.Table, answers: pa.Table) -> pa.Table:
         if not table.num_rows:
             return out_schema.empty_table()
-        s = Shard(table, width)
-        chunks = list(s.looked_at(repeated(s, answers)))
+        s, copy, chunks = second_look(table, answers)
         names = np.concatenate([c[3] for c in chunks])
-        owners = s.rank[np.concatenate([c[2] for c in chunks])]
+        chunks = [c[:3] for c in chunks]
         by = np.argsort(names, kind="stable")  # documents ascend, so the first of equal names is the smallest one's
-        edge = np.concatenate([[True], names[by[1:]] != names[by[:-1]]]) if len(by) else np.zeros(0, bool)
-        values = names[by[edge]]
-        group = np.cumsum(edge) - 1
-        gone = np.zeros(len(names), bool)
-        smallest = owners[by[edge]]
-        gone[by] = (smallest[group] < owners[by]) | _bits(answers, 2, values, count, 64)[group]
+        names = names[by]
+        edge = np.ones(len(names), bool)
+        edge[1:] = names[1:] != names[:-1]
+        values = names[edge]
+        del names
+        group = (np.cumsum(edge, dtype=np.int32) - 1)
+        owners = s.rank[np.concatenate([c[2] for c in chunks])[by]].astype(np.int32)
+        gone = np.zeros(len(by), bool)
+        gone[by] = (owners[edge][group] < owners) | _bits(answers, STRINGS, values, count)[group]
+        del by, group, owners, values
         spans: list[list[int]] = [[]] * len(s.size)
         kept: list[bytes] = [b""] * len(s.size)
         done = 0
-        for (first, start, owner, _), (f, last, data, begin) in zip(chunks, s.chunks()):
+        for (first, start, owner), (f, last, data, begin) in zip(chunks, s.chunks()):
             use = gone[done : done + len(start)]
             done += len(start)
             size = s.size[f:last]
@@ -274,25 +325,31 @@ def remove_repeats(docs: DataFrame, *, width: int = 50, id_col: str = "doc_id",
             at = begin[owner[use] - f] + start[use]
             mark[at] += 1
             np.subtract.at(mark, at + width, 1)
+            whole = copy[f:last]
+            np.add.at(mark, begin[whole], 1)
+            np.subtract.at(mark, begin[whole] + size[whole], 1)
             removed = np.cumsum(mark[:-1]) > 0
+            if whole_characters and len(data):
+                lead = np.flatnonzero((data & 0xC0) != 0x80)
+                removed = np.repeat(np.logical_and.reduceat(removed, lead), np.diff(np.append(lead, len(data))))
             left = data[~removed].tobytes()
             before = np.concatenate([[0], np.cumsum(~removed)])
             a, b = before[begin].tolist(), before[begin + size].tolist()
             for k in range(last - f):
                 kept[f + k] = left[a[k] : b[k]]
-            if use.any():
-                change = removed.astype(np.int8)
-                begins = change.copy()
-                begins[1:] &= ~removed[:-1] | np.isin(np.arange(1, len(data)), begin)
-                ends = change.copy()
-                ends[:-1] &= ~removed[1:] | np.isin(np.arange(1, len(data)), begin)
+            if removed.any():
+                edge = np.zeros(len(data) + 1, bool)
+                edge[begin] = True
+                begins, ends = removed.copy(), removed.copy()
+                begins[1:] &= ~removed[:-1] | edge[1:-1]
+                ends[:-1] &= ~removed[1:] | edge[1:-1]
                 b_at, e_at = np.flatnonzero(begins), np.flatnonzero(ends) + 1
                 doc = np.searchsorted(begin, b_at, "right") - 1
                 for d, x, y in zip(doc.tolist(), (b_at - begin[doc]).tolist(), (e_at - begin[doc]).tolist()):
                     spans[f + d] = [*spans[f + d], (x, y)]
         back = np.argsort(s.order)
         pairs = [[{"start": x, "end": y} for x, y in spans[k]] for k in back]
-        return pa.table([table["id"], *(table[f"c{k}"] for k in range(len(carry))), pa.array(s.size[back]),
+        return pa.table([s.table["id"], *(s.table[f"c{k}"] for k in range(len(carry))), pa.array(s.size[back]),
                          pa.array(pairs, out_schema.field("spans").type), pa.array([kept[k] for k in back], pa.binary())],
                         schema=out_schema)
 
@@ -302,11 +359,11 @@ def remove_repeats(docs: DataFrame, *, width: int = 50, id_col: str = "doc_id",
                             ("n_bytes", pa.int64()), ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
                             ("kept", pa.binary())])
 
-    def answers(names: DataFrame, step: int) -> DataFrame:
-        return names.groupBy("key").applyInArrow(lambda t: _answer(t, key_of, step), BITS_SCHEMA)
+    def answers(names: DataFrame) -> DataFrame:
+        return names.groupBy("key").applyInArrow(lambda t: _answer(t, key_of), BITS_SCHEMA)
 
-    first = answers(dealt.groupBy("key").applyInArrow(name_sample, NAMES_SCHEMA), 1)
-    second = answers(dealt.groupBy("key").cogroup(first.groupBy("key")).applyInArrow(name_windows, NAMES_SCHEMA), 2)
+    first = answers(dealt.groupBy("key").applyInArrow(name_sample, NAMES_SCHEMA))
+    second = answers(dealt.groupBy("key").cogroup(first.groupBy("key")).applyInArrow(name_strings, NAMES_SCHEMA))
     out = dealt.groupBy("key").cogroup(first.unionByName(second).groupBy("key")).applyInArrow(
         cut_out, f"id long, {kinds + ', ' if carry else ''}n_bytes long, spans array<struct<start:long,end:long>>, kept binary")
     return out.select(F.col("id").cast(docs.schema[id_col].dataType).alias(id_col),
