@@ -18,6 +18,7 @@ CHECK_ORDER = ["alias", "analysis", "dynamic", "drift", "fields", "paging"]
 CHECK_LABELS = {"alias": "Alias", "analysis": "Analyzers", "dynamic": "Dynamic mapping", "drift": "Schema drift",
                 "fields": "Field count", "paging": "Deep paging", "index": "Index"}
 CHECK_ISSUES = {"alias": 1, "analysis": 2, "dynamic": 2, "drift": 9, "fields": 2, "paging": 7}
+ATOM_TEXT = r"^\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d[+-]\d\d:\d\d$"
 ANALYZER_KEY = r"^index\.analysis\.analyzer\.([^.]+)\."
 
 
@@ -72,12 +73,18 @@ def field_stats(frames: dict[str, DataFrame], skip: tuple[str, ...] = ()) -> Dat
     parts = []
     for key, df in frames.items():
         fields = [f for f in df.schema.fields if f.name not in skip]
+        # built documents hold date-times as ATOM text; a field of nothing else is a date
+        dated = [F.count_if(F.col(f"`{f.name}`").rlike(ATOM_TEXT)).alias(f"d{i}")
+                 for i, f in enumerate(fields) if isinstance(f.dataType, T.StringType)]
         agg = df.agg(F.count(F.lit(1)).alias("n"),
-                     *[F.count(F.col(f"`{f.name}`")).alias(f"c{i}") for i, f in enumerate(fields)])
+                     *[F.count(F.col(f"`{f.name}`")).alias(f"c{i}") for i, f in enumerate(fields)], *dated)
         entries = [F.struct(F.lit("*").alias("field"), F.lit(None).cast("string").alias("kind"),
                             F.col("n").alias("present"))]
-        entries += [F.struct(F.lit(f.name).alias("field"), F.lit(spark_kind(f.dataType)).alias("kind"),
-                             F.col(f"c{i}").alias("present")) for i, f in enumerate(fields)]
+        for i, f in enumerate(fields):
+            kind = F.lit(spark_kind(f.dataType))
+            if isinstance(f.dataType, T.StringType):
+                kind = F.when((F.col(f"c{i}") > 0) & (F.col(f"d{i}") == F.col(f"c{i}")), "timestamp").otherwise(kind)
+            entries.append(F.struct(F.lit(f.name).alias("field"), kind.alias("kind"), F.col(f"c{i}").alias("present")))
         parts.append(agg.select(F.lit(key).alias("key"), F.explode(F.array(*entries)).alias("s"))
                      .select("key", "s.*"))
     out = parts[0]

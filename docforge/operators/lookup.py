@@ -12,13 +12,15 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docforge.sources.tables import small_frame
+
 from docforge.functions.text import analyze_tokens
 from docforge.spec import AnalyzerSpec
 
 
 def query_terms(spark: SparkSession, queries: Sequence[str], analyzer: AnalyzerSpec) -> DataFrame:
     """Analyse query strings with the index's analyzer -> ``(query, term)``."""
-    q = spark.createDataFrame([(s,) for s in queries], "query string")
+    q = small_frame(spark, [(s,) for s in queries], "query string")
     return (analyze_tokens(q.withColumn("__text", F.col("query")), ["query"], "__text", analyzer)
             .select("query", F.col("token").alias("term")).distinct())
 

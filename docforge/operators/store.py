@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docforge.session import shared_root
+from docforge.sources.tables import small_frame
 from docforge.spec import AnalyzerSpec, FieldSpec
 
 _COUNTER = itertools.count()
@@ -427,6 +428,53 @@ class DocumentStore:
             return self.spark.createDataFrame([], "position int, generation string, live boolean, documents bigint")
         return reduce(DataFrame.unionByName, frames).orderBy("generation")
 
+    # ---- what the catalog holds ------------------------------------------------
+    def catalog(self) -> list[dict]:
+        """One entry per concrete table, in name order: its alias property, the aliases that point
+        at it, mapping, analyzer and strictness. Reads the catalog alone, one listing and the properties
+        of each entry."""
+        tables = sorted(self._tables(), key=lambda t: t.name)
+        pointing: dict[str, list[str]] = {}
+        for t in tables:
+            if t.tableType == "VIEW":
+                generation = self.properties(t.name).get(PROP_GENERATION)
+                pointing.setdefault(generation, []).append(t.name)
+        out = []
+        for t in tables:
+            if t.tableType != "VIEW":
+                mapping, analyzer, strict = self.declared(t.name)
+                out.append({"index": t.name, "owner": self.properties(t.name).get(PROP_ALIAS), "aliases": pointing.get(t.name, []),
+                            "mapping": mapping, "analyzer": analyzer, "strict": strict})
+        return out
+
+    def indexes(self, entries: list[dict] | None = None) -> DataFrame:
+        """``position``, ``index``, ``owner``, ``aliases`` and ``docs`` of every concrete table; a table behind an
+        alias counts what the alias holds (change log included)."""
+        entries = self.catalog() if entries is None else entries
+        rows = [(n, e["index"], e["owner"], e["aliases"]) for n, e in enumerate(entries, 1)]
+        frame = small_frame(self.spark, rows, "position int, index string, owner string, aliases array<string>")
+        counts = [self.spark.table(self.qualified(e["aliases"][0] if e["aliases"] else e["index"])).groupBy().count()
+                  .select(F.lit(e["index"]).alias("index"), F.col("count").alias("docs")) for e in entries]
+        if not counts:
+            return frame.withColumn("docs", F.lit(0).cast("bigint"))
+        return frame.join(F.broadcast(reduce(DataFrame.unionByName, counts)), "index", "left")
+
+    def settings(self, entries: list[dict] | None = None) -> DataFrame:
+        """``index``, ``key``, ``value``: the flat settings that the frozen properties amount to."""
+        rows = []
+        for e in self.catalog() if entries is None else entries:
+            if e["analyzer"].configured:
+                rows += [(e["index"], "index.analysis.analyzer.docforge_text.tokenizer", "standard"),
+                         (e["index"], "index.analysis.filter.docforge_stemmer.language", e["analyzer"].language)]
+            rows.append((e["index"], "index.mapping.dynamic", "strict" if e["strict"] else "true"))
+        return small_frame(self.spark, rows, "index string, key string, value string")
+
+    def mappings(self, entries: list[dict] | None = None) -> DataFrame:
+        """``index``, ``field``, ``type``, ``has_keyword`` as frozen in each table."""
+        rows = [(e["index"], f, spec.type, spec.has_keyword) for e in (self.catalog() if entries is None else entries)
+                for f, spec in e["mapping"].items()]
+        return small_frame(self.spark, rows, "index string, field string, type string, has_keyword boolean")
+
     def drop_database(self) -> None:
         """Remove the store's database, tables and files (scratch stores of tests and queries)."""
         for t in self._tables():

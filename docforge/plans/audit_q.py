@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+from functools import reduce
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from docforge.operators import audit
+from docforge.operators.store import DocumentStore
 from docforge.plans import fleet
 from docforge.plans.registry import query
+from docforge.sources.tables import read_table, small_frame
+from docforge.spec import AnalyzerSpec
 
 # ----------------------------------------------------------------- Spark side
 
@@ -192,7 +199,7 @@ def schema_audit_q(spark, sf_dir):
                               fleet.DEFAULT_RESULT_WINDOW, fleet.DEFAULT_FIELD_LIMIT, fleet.STEMMER_SETTING)
 
 
-@query("field_intents", f"""
+_INTENTS_SQL = f"""
 WITH live AS ({_LIVE_SQL}),
 a AS (SELECT code, field AS name,
              CASE WHEN actual_type = 'text' AND has_keyword THEN 'text + .keyword' ELSE actual_type END AS actual_type
@@ -215,42 +222,116 @@ SELECT code, name, wants_facet, wants_searchable, wants_sortable, in_facet_field
             WHEN in_facet_fields AND NOT (actual_type IS NOT NULL AND actual_type <> 'text')
                  THEN 'faceted on a ' || actual_type || ' field' END AS problem
 FROM j WHERE wants_facet OR wants_searchable OR wants_sortable OR actual_type IS NOT NULL
-""", ("RPT-10", "JON-5", "SCL-1", "SCL-2", "SCL-3", "FLT-9", "FLT-10"))
+"""
+
+
+@query("field_problems", f"SELECT * FROM ({_INTENTS_SQL}) i WHERE problem IS NOT NULL", ("FLT-10",))
+def field_problems_q(spark, sf_dir):
+    return audit.problems_only(field_intents_q(spark, sf_dir))
+
+
+@query("field_intents", _INTENTS_SQL, ("RPT-10", "JON-5", "SCL-1", "SCL-2", "SCL-3", "FLT-9", "FLT-10"))
 def field_intents_q(spark, sf_dir):
     _, _, _, live, actual, _ = _inputs(spark, sf_dir)
     return audit.field_intents(fleet.intents_df(spark), fleet.facet_fields_df(spark), fleet.search_fields_df(spark),
                                fleet.sort_fields_df(spark), actual, live)
 
 
+def _built_store(spark, sf_dir):
+    """A store with two published datasets of several generations, an alias of another's generation, a concrete table
+    and one that no dataset claims; all loaded from the given tables."""
+    store = DocumentStore(spark, database=f"docforge_{uuid.uuid4().hex[:10]}")
+    table = lambda name, key: read_table(spark, sf_dir, name).select(F.col(key).cast("string").alias("id"))
+    store.rebuild("customer", table("customer", "c_custkey"), {}, AnalyzerSpec("english"))
+    part = store.rebuild("part", table("part", "p_partkey"), {}, strict=False)
+    store.publish("catalog", part)
+    old = table("documents", "doc_id")
+    store.rebuild("documents", old.where("CAST(id AS BIGINT) % 2 = 0"))
+    store.rebuild("documents", old, keep_old=True)
+    store.apply_changes("documents", None, old.where("CAST(id AS BIGINT) % 3 = 0").withColumn("_seq", F.lit(1)))
+    for name, source, key in (("orders", "orders", "o_orderkey"), ("legacy2products", "part", "p_partkey"), ("legacy_products", "supplier", "s_suppkey")):
+        table(source, key).createOrReplaceTempView(f"v_{store.db}")
+        spark.sql(f"CREATE TABLE {store.qualified(name)} USING parquet LOCATION '{store.root}/{store.db}.tables/{name}' AS SELECT * FROM v_{store.db}")
+    spark.catalog.dropTempView(f"v_{store.db}")
+    return store
+
+
+def _plain(index, owner):
+    """A generation's name without its time stamp."""
+    return F.when(owner.isNull(), index).otherwise(F.concat(owner, F.lit("#"), F.row_number().over(
+        Window.partitionBy("owner").orderBy("index")).cast("string")))
+
+
+def _inventory(store):
+    entries = store.catalog()
+    rows = store.indexes(entries)
+    datasets = small_frame(store.spark, [(c,) for c in ("customer", "part", "orders", "documents", "catalog_missing")], "code string")
+    found = audit.fleet_inventory(rows.select("index", "aliases"), rows.select("index", "docs"), datasets)
+    return found.join(rows.select("index", "owner"), "index").select(
+        _plain(F.col("index"), F.col("owner")).alias("index"), "docs", "aliases", "claimed_by")
+
+
+_INVENTORY_SQL = """
+SELECT 'customer#1' AS index, (SELECT count(*) FROM customer) AS docs, 'customer' AS aliases, 'customer' AS claimed_by
+UNION ALL SELECT 'part#1', (SELECT count(*) FROM part), 'catalog,part', 'part'
+UNION ALL SELECT 'documents#1', (SELECT count(*) FROM documents WHERE doc_id % 2 = 0), '', NULL
+UNION ALL SELECT 'documents#2', (SELECT count(*) FROM documents WHERE doc_id % 3 <> 0), 'documents', 'documents'
+UNION ALL SELECT 'orders', (SELECT count(*) FROM orders), '', 'orders'
+UNION ALL SELECT 'legacy2products', (SELECT count(*) FROM part), '', NULL
+UNION ALL SELECT 'legacy_products', (SELECT count(*) FROM supplier), '', NULL
+"""
+
+
 @query("alias_resolution", f"""
-SELECT a.alias, a.index, c.docs FROM ({_ALIAS_SQL}) a JOIN ({_COUNTS_SQL}) c ON c.index = a.index
+SELECT unnest(string_split(aliases, ',')) AS alias, index, docs FROM ({_INVENTORY_SQL}) i WHERE aliases <> ''
 """, ("AGG-9", "SRC-6"))
 def alias_resolution_q(spark, sf_dir):
-    counts = fleet.index_counts(spark, sf_dir)
-    return audit.alias_resolution(fleet.indexes_df(spark)).join(counts.select("index", "docs"), "index") \
-        .select("alias", "index", "docs")
-
-
-@query("fleet_inventory", f"""
-SELECT c.index, c.docs, array_to_string(c.aliases, ',') AS aliases,
-       coalesce((SELECT d.code FROM {fleet.DATASETS_SQL} d WHERE d.code = c.index),
-                (SELECT d.code FROM {fleet.DATASETS_SQL} d
-                 JOIN (SELECT unnest(c.aliases) AS alias, unnest(generate_series(1, len(c.aliases))) AS apos) x
-                   ON x.alias = d.code ORDER BY x.apos LIMIT 1)) AS claimed_by
-FROM ({_COUNTS_SQL}) c WHERE NOT starts_with(c.index, '.')
-""", ("RPT-11", "JON-4", "FLT-7"))
+    rows = _built_store(spark, sf_dir).indexes()
+    named = rows.select("index", _plain(F.col("index"), F.col("owner")).alias("name"), "docs")
+    return (audit.alias_resolution(rows).join(named, "index").select("alias", F.col("name").alias("index"), "docs"))
+
+
+@query("fleet_inventory", _INVENTORY_SQL, ("RPT-11", "JON-4", "SRC-6", "SNK-9"))
 def fleet_inventory_q(spark, sf_dir):
-    return audit.fleet_inventory(fleet.indexes_df(spark), fleet.index_counts(spark, sf_dir), fleet.datasets_df(spark))
+    return _inventory(_built_store(spark, sf_dir))
+
+
+@query("fleet_unclaimed", f"SELECT * FROM ({_INVENTORY_SQL}) i WHERE claimed_by IS NULL", ("FLT-10",))
+def fleet_unclaimed_q(spark, sf_dir):
+    return audit.unclaimed_only(_inventory(_built_store(spark, sf_dir)))
+
+
+@query("fleet_settings", """
+SELECT 'customer#1' AS index, 'index.analysis.analyzer.docforge_text.tokenizer' AS key, 'standard' AS value, (SELECT count(*) FROM customer) AS docs
+UNION ALL SELECT 'customer#1', 'index.analysis.filter.docforge_stemmer.language', 'english', (SELECT count(*) FROM customer)
+UNION ALL SELECT 'customer#1', 'index.mapping.dynamic', 'strict', (SELECT count(*) FROM customer)
+UNION ALL SELECT 'part#1', 'index.mapping.dynamic', 'true', (SELECT count(*) FROM part)
+UNION ALL SELECT 'documents#1', 'index.mapping.dynamic', 'strict', (SELECT count(*) FROM documents WHERE doc_id % 2 = 0)
+UNION ALL SELECT 'documents#2', 'index.mapping.dynamic', 'strict', (SELECT count(*) FROM documents WHERE doc_id % 3 <> 0)
+""", ("SRC-6", "RPT-3"))
+def fleet_settings_q(spark, sf_dir):
+    # what the live indexes were built with, not what is configured now
+    store = _built_store(spark, sf_dir)
+    entries = store.catalog()
+    rows = store.indexes(entries).where("owner IS NOT NULL")
+    named = rows.select("index", _plain(F.col("index"), F.col("owner")).alias("name"), "docs")
+    return store.settings(entries).join(named, "index").select(F.col("name").alias("index"), "key", "value", "docs")
 
 
 @query("pattern_misses", f"""
-SELECT count(CASE WHEN index LIKE 'shop_%' THEN 1 END) AS matched,
-       CAST(CASE WHEN count(CASE WHEN index LIKE 'shop_%' THEN 1 END) = 0 THEN count(*) ELSE 0 END AS BIGINT) AS missed
-FROM ({_COUNTS_SQL}) c WHERE NOT starts_with(index, '.') AND docs >= 0
+SELECT p.pattern, count(CASE WHEN index LIKE p.lk ESCAPE '!' THEN 1 END) AS matched,
+       CAST(CASE WHEN count(CASE WHEN index LIKE p.lk ESCAPE '!' THEN 1 END) = 0 THEN count(*) ELSE 0 END AS BIGINT) AS missed
+FROM ({_INVENTORY_SQL}) c, (VALUES ('legacy_*', 'legacy!_%'), ('shop_*', 'shop!_%'), ('*', '%')) AS p(pattern, lk)
+WHERE c.docs > (SELECT count(*) FROM supplier) GROUP BY p.pattern
 """, ("RPT-12", "FLT-7"))
 def pattern_misses_q(spark, sf_dir):
-    counted = fleet.index_counts(spark, sf_dir).where(F.col("docs") >= 0)
-    return audit.pattern_misses(counted, "shop_*")
+    # only indexes larger than the supplier table count, so that the answer follows the data
+    store = _built_store(spark, sf_dir)
+    rows = store.indexes()
+    least = read_table(spark, sf_dir, "supplier").count()
+    large = rows.where(F.col("docs") > least)
+    return reduce(DataFrame.unionByName, [audit.pattern_misses(large, p).select(F.lit(p).alias("pattern"), "matched", "missed")
+                                          for p in ("legacy_*", "shop_*", "*")])
 
 
 _STATUS_SQL = f"""

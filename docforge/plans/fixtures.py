@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docforge.sources.tables import read_table
+from docforge.sources.tables import read_table, small_frame
 
 CUSTOMER_ENTITY = "App\\Entity\\Customer"
 SESSION_ENTITY = "App\\Entity\\Session"
@@ -38,7 +38,7 @@ def change_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dataset_entities(spark: SparkSession) -> DataFrame:
     """The spec table: which entity class backs which dataset."""
-    return spark.createDataFrame([("customer", CUSTOMER_ENTITY)], "code string, entity string")
+    return small_frame(spark, [("customer", CUSTOMER_ENTITY)], "code string, entity string")
 
 
 CHANGES_SQL = f"""

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docforge.sources.tables import read_table
+from docforge.sources.tables import read_table, small_frame
 
 # Datasets (code, entity class, source table, id field,
 # configured language, dynamic mapping, provider configured).
@@ -98,51 +98,43 @@ STEMMER_SETTING = "index.analysis.filter.docforge_stemmer.language"
 
 # ---------------------------------------------------------------- Spark side
 def datasets_df(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
-        DATASETS, "code string, entity string, source_table string, id_field string, language string, "
+    return small_frame(
+        spark, DATASETS, "code string, entity string, source_table string, id_field string, language string, "
                   "dynamic string, has_provider boolean")
 
 
 def declared_df(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(DECLARED, "code string, field string, type string, has_keyword boolean")
+    return small_frame(spark, DECLARED, "code string, field string, type string, has_keyword boolean")
 
 
 def indexes_df(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(INDEXES, "position int, index string, source_table string, aliases array<string>")
+    return small_frame(spark, INDEXES, "position int, index string, source_table string, aliases array<string>")
 
 
 def settings_df(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(SETTINGS, "index string, key string, value string")
+    return small_frame(spark, SETTINGS, "index string, key string, value string")
 
 
 def intents_df(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(INTENTS, "code string, name string, facet boolean, filterable boolean, "
+    return small_frame(spark, INTENTS, "code string, name string, facet boolean, filterable boolean, "
                                           "searchable boolean, sortable boolean")
 
 
 def facet_fields_df(spark):
-    return spark.createDataFrame(FACET_FIELDS, "code string, name string, target string")
+    return small_frame(spark, FACET_FIELDS, "code string, name string, target string")
 
 
 def search_fields_df(spark):
-    return spark.createDataFrame(SEARCH_FIELDS, "code string, name string")
+    return small_frame(spark, SEARCH_FIELDS, "code string, name string")
 
 
 def sort_fields_df(spark):
-    return spark.createDataFrame(SORT_FIELDS, "code string, name string")
-
-
-def dataset_documents(spark: SparkSession, sf_dir: str, code: str) -> DataFrame:
-    """Documents of one dataset: its projected fields (absent ones null)."""
-    ds = next(d for d in DATASETS if d[0] == code)
-    src = read_table(spark, sf_dir, ds[2])
-    cols = [F.col(f) if f in src.columns else F.lit(None).cast("string").alias(f) for f in SOURCE_FIELDS[code]]
-    return src.select(F.col(ds[3]).cast("string").alias("id"), *cols)
+    return small_frame(spark, SORT_FIELDS, "code string, name string")
 
 
 def source_fields_df(spark: SparkSession) -> DataFrame:
     rows = [(code, f) for code, fields in SOURCE_FIELDS.items() for f in fields]
-    return spark.createDataFrame(rows, "code string, field string")
+    return small_frame(spark, rows, "code string, field string")
 
 
 def table_stats(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,7 +7,10 @@ only what they need and the scan's ``ReadSchema`` shrinks accordingly.
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
@@ -25,7 +28,10 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
-def register_tables(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
-    """Expose the tables as temp views for SQL users."""
-    for name in names:
-        read_table(spark, sf_dir, name).createOrReplaceTempView(name)
+def small_frame(spark: SparkSession, rows: list, ddl: str) -> DataFrame:
+    """A configuration-sized table as a local relation: planned without tasks of its own and broadcast as it is."""
+    schema = StructType.fromDDL(ddl)
+    columns = list(zip(*rows)) if rows else [[]] * len(schema.fields)
+    arrow = to_arrow_schema(schema)
+    data = pa.table([pa.array(list(c), f.type) for c, f in zip(columns, arrow)], schema=arrow)
+    return spark.createDataFrame(data, schema)
