@@ -50,6 +50,12 @@ def fold_sql(expr: str) -> str:
     return out
 
 
+#: Stages of the stemmer in one generated method: all of them in one exceed the JVM's limit of 8000 bytes for compiled
+#: methods, and what exceeds it is interpreted.
+CODEGEN_STAGES = 5
+MAX_PARTITIONS = (1 << 31) - 1
+
+
 def token_array(col: Column, analyzer: AnalyzerSpec | None = None) -> Column:
     """Lower-cased (and, when configured, folded) word tokens as an array."""
     text = F.lower(col)
@@ -71,7 +77,9 @@ def stem_column(df: DataFrame, column: str = "token", only_if: str | None = None
     keep = [f"`{c}`" for c in df.columns if c != column]
     w, f, k = "__w", "__f", "__k"
     out = df.selectExpr(*keep, f"`{column}` AS __t0", f"`{column}` AS {w}", f"false AS {f}", f"0 AS {k}")
-    for stage in porter.stages(porter.SPARK, w=w, flag=f, k=k):
+    for n, stage in enumerate(porter.stages(porter.SPARK, w=w, flag=f, k=k), 1):
+        if n % CODEGEN_STAGES == 0:
+            out = out.coalesce(MAX_PARTITIONS)  # changes no partition, but generated code ends here
         out = out.selectExpr(*keep, "__t0", *[f"{stage.get(c, c)} AS {c}" for c in (w, f, k)])
     skip = "length(__t0) < 3" if only_if is None else f"length(__t0) < 3 OR NOT `{only_if}`"
     # The stem leaves through a one-element explode: a filter or join key on

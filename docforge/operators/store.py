@@ -22,9 +22,11 @@ DDL and reads catalog metadata.
 
 from __future__ import annotations
 
+import contextlib
 import datetime as _dt
 import itertools
 import json
+import time
 import uuid
 from collections.abc import Callable, Mapping
 from functools import reduce
@@ -46,8 +48,10 @@ PROP_DYNAMIC = "docforge.dynamic"
 
 
 class DocumentStore:
-    def __init__(self, spark: SparkSession, database: str = "docforge", root: str | None = None):
+    def __init__(self, spark: SparkSession, database: str = "docforge", root: str | None = None, recorder=None):
+        """``recorder`` (a ``calls.CallRecorder``) gets a row for every action on an index."""
         self.spark = spark
+        self.recorder = recorder
         self.root = (root or f"{shared_root(spark)}/store").rstrip("/")
         self.db = database
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.db} LOCATION '{self.root}/{self.db}.db'")
@@ -183,6 +187,10 @@ class DocumentStore:
     def read(self, alias: str) -> DataFrame:
         return self.spark.table(self.qualified(alias))
 
+    def _recorded(self, operation: str, index: str):
+        """The recorder's row of an action, or a row that nobody reads."""
+        return self.recorder.call(operation, index) if self.recorder else contextlib.nullcontext({})
+
     # ---- lifecycle ----------------------------------------------------------
     def rebuild(self, alias: str, documents: Callable[[], DataFrame] | DataFrame,
                 mapping: Mapping[str, FieldSpec] | None = None, analyzer: AnalyzerSpec | None = None,
@@ -209,7 +217,8 @@ class DocumentStore:
             generation = self.create_generation(alias, docs.schema, mapping, analyzer, strict)
             if validate is not None:
                 validate(docs)
-            self.fill(generation, docs, order_by=order_by)
+            with self._recorded("bulk", alias) as call:
+                call["ops"] = self.fill(generation, docs, order_by=order_by)
             written = self.spark.table(self.qualified(generation))
             if mapping:
                 refuse_rejected(written, mapping, strict)
@@ -233,7 +242,8 @@ class DocumentStore:
         previous = self.live_generation(alias)
         if previous is not None and not drop:
             return None
-        generation = self.create_generation(alias, schema, **kw)
+        with self._recorded("create", alias):
+            generation = self.create_generation(alias, schema, **kw)
         try:
             self.publish(alias, generation)
         except BaseException:
@@ -303,8 +313,12 @@ class DocumentStore:
         writer = rows.observe(observation, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
         if batch_size:
             writer = writer.option("maxRecordsPerFile", int(batch_size))
-        writer.parquet(f"{self.log_path(generation)}/_batch={batch}")
-        return int(observation.get.get("rows", 0))
+        with self._recorded("bulk", self.properties(generation).get(PROP_ALIAS)) as call:
+            start = time.perf_counter()
+            writer.parquet(f"{self.log_path(generation)}/_batch={batch}")
+            call["took_ms"] = (time.perf_counter() - start) * 1000
+            call["ops"] = int(observation.get.get("rows", 0))
+        return call["ops"]
 
     def _changed_sql(self, generation: str) -> str:
         """The latest log row of every changed id, tombstones left out. On equal
@@ -383,7 +397,8 @@ class DocumentStore:
         if not mapping:
             return
         try:
-            refuse_rejected(self._batch(generation, batch).where("NOT _deleted").select(*columns), mapping, strict)
+            with self._recorded("validate", self.properties(generation).get(PROP_ALIAS)):
+                refuse_rejected(self._batch(generation, batch).where("NOT _deleted").select(*columns), mapping, strict)
         except BaseException:
             self._delete_path(f"{self.log_path(generation)}/_batch={batch}")
             raise

@@ -101,3 +101,43 @@ FROM pages
 def mapped_documents_q(spark, sf_dir):
     spec = DatasetSpec(code="pages", entity="page", table="pages", id_field="page_id", mapper=_page_mapper)
     return build_documents(spark, spec, sf_dir).drop("page_id")
+
+
+@query("nested_documents", """
+SELECT CAST(o_orderkey AS VARCHAR) AS id, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') || '+00:00' AS placed, o_orderstatus AS status,
+       strftime(o_orderdate + INTERVAL 1 DAY, '%Y-%m-%dT%H:%M:%S') || '+00:00' AS due,
+       strftime(o_orderdate, '%Y-%m-%dT') || '00:00:00+00:00' AS day
+FROM orders
+""", ("PRJ-5",))
+def nested_documents_q(spark, sf_dir):
+    # date-times inside structs, maps and arrays of structs
+    def provider(spark_):
+        at = F.col("o_orderdate")
+        return read_table(spark_, sf_dir, "orders").select(
+            "o_orderkey", F.struct(at.alias("placed"), F.col("o_orderstatus").alias("status")).alias("state"),
+            F.create_map(F.lit("due"), at + F.expr("INTERVAL 1 DAY")).alias("dates"),
+            F.array(F.struct(at.cast("date").alias("day"))).alias("steps"))
+    spec = DatasetSpec(code="orders", entity="order", provider=provider, id_field="o_orderkey", source_fields=("state", "dates", "steps"))
+    return build_documents(spark, spec, sf_dir).select(
+        "id", "state.placed", "state.status", F.col("dates")["due"].alias("due"), F.col("steps")[0]["day"].alias("day"))
+
+
+@query("mapper_without_id", """
+SELECT CAST(page_id AS VARCHAR) AS id, upper(url) AS url FROM pages
+""", ("PRJ-6", "PRJ-4"))
+def mapper_without_id_q(spark, sf_dir):
+    # the mapper drops the id field: the id is the source row's
+    spec = DatasetSpec(code="pages", entity="page", table="pages", id_field="page_id",
+                       mapper=lambda pages: pages.withColumn("url", F.upper("url")).drop("page_id", "html"))
+    return build_documents(spark, spec, sf_dir)
+
+
+@query("own_id_first", """
+SELECT CASE WHEN page_id % 2 = 0 THEN 'even-' || page_id ELSE CAST(page_id AS VARCHAR) END AS id, url FROM pages
+""", ("PRJ-6",))
+def own_id_first_q(spark, sf_dir):
+    # the document's own id field wins; where it is null the source row's counts
+    spec = DatasetSpec(code="pages", entity="page", table="pages", id_field="page_id",
+                       mapper=lambda pages: pages.withColumn("page_id", F.when(
+                           F.col("page_id") % 2 == 0, F.concat(F.lit("even-"), F.col("page_id")))).drop("html"))
+    return build_documents(spark, spec, sf_dir).drop("page_id")

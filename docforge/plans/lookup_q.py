@@ -10,7 +10,7 @@ from docforge.operators import calls, lookup
 from docforge.plans.registry import query
 from docforge.plans.text_q import _duck_tokens
 from docforge.sources.tables import read_table
-from docforge.spec import AnalyzerSpec
+from docforge.spec import AnalyzerSpec, FieldSpec
 
 # The query strings of the match checks (singular/plural pairs).
 MATCH_QUERIES = ["widgets", "widget", "Bolts", "ring", "polished steel", "Kovács'"]
@@ -126,6 +126,40 @@ def term_index_lookup_q(spark, sf_dir):
     return postings.join(F.broadcast(q_terms), "term").select("query", "id").distinct()
 
 
+@query("recorded_calls", """
+SELECT 'bulk' AS operation, CAST(3 AS BIGINT) AS calls, CAST(0 AS BIGINT) AS errors, CAST(0 AS BIGINT) AS empty_searches,
+       (SELECT count(*) FROM customer) + (SELECT count(*) FROM customer WHERE c_nationkey = 3)
+       + (SELECT count(*) FROM customer WHERE c_nationkey < 5) AS ops, CAST(NULL AS BIGINT) AS hits, '' AS aggregations
+UNION ALL SELECT 'validate', 2, 1, 0, NULL, NULL, ''
+UNION ALL SELECT 'search', 2, 0, 1, NULL, (SELECT count(DISTINCT c_mktsegment) FROM customer WHERE c_nationkey <> 3), 'segments'
+""", ("UDF-4", "RPT-13"))
+def recorded_calls_q(spark, sf_dir):
+    # the store's own actions as its recorder saw them: a load, deletes, a batch that is refused, two searches
+    from docforge.operators.store import DocumentStore
+    from docforge.plans.sync_q import customer_docs
+    import uuid
+
+    recorder = calls.CallRecorder(spark, "demo")
+    store = DocumentStore(spark, database=f"docforge_{uuid.uuid4().hex[:10]}", recorder=recorder)
+    docs = customer_docs(spark, sf_dir)
+    mapping = {"c_name": FieldSpec("text"), "c_nationkey": FieldSpec("long"), "c_acctbal": FieldSpec("float"),
+               "c_mktsegment": FieldSpec("keyword"), "flag": FieldSpec("boolean")}
+    store.rebuild("customer", docs.withColumn("flag", F.lit("true")), mapping)
+    store.apply_changes("customer", None, docs.where("c_nationkey = 3").select("id", F.lit(1).alias("_seq")))
+    try:
+        store.populate("customer", docs.where("c_nationkey < 5").withColumn("flag", F.lit("perhaps")))
+    except RuntimeError:
+        pass
+    live = store.read("customer")
+    recorder.search("customer", live.groupBy("c_mktsegment").count(), ("segments",))
+    recorder.search("customer", live.where("c_nationkey = 3").limit(10))
+    rows = recorder.frame()
+    summary = calls.summarize(rows, ["operation"]).select("operation", "calls", "errors", "empty_searches")
+    sums = rows.groupBy("operation").agg(F.sum("ops").alias("ops"), F.sum("hits").alias("hits"),
+                                         F.array_join(F.array_distinct(F.flatten(F.collect_list("aggregations"))), ",").alias("aggregations"))
+    return summary.join(sums, "operation")
+
+
 @query("call_log", """
 SELECT event_id, CAST(user_id AS VARCHAR) || '@' || CAST(CAST(ts AS DATE) AS VARCHAR) AS request,
        CASE event_type WHEN 'view' THEN 'search' WHEN 'error' THEN 'search' WHEN 'click' THEN 'count'

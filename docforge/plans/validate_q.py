@@ -65,3 +65,46 @@ def bad_ids_q(spark, sf_dir):
     docs = raw_json(spark, sf_dir)
     bad = validate.id_problems(docs, "doc", "k")
     return bad.select(F.col("event_id").cast("string").alias("event_id"), "id_status")
+
+
+# bracketed text, arrays of numbers and of objects, no JSON at all, numbers in text that can and can't be read
+_ODD = {0: '{"k":1,"t":"[Draft] {x}"}', 1: '{"k":[1,2]}', 2: '{"k":[{"n":1}]}', 3: "not json", 4: '{"k":"abc"}', 5: '{"k":"12"}',
+        6: '{"t":{"a":1}}', 7: '{"k":["1","x"]}'}
+_ODD_SQL = ("SELECT event_id, CASE event_id % 17 " + " ".join(f"WHEN {n} THEN '{doc}'" for n, doc in _ODD.items())
+            + " ELSE props END AS doc FROM events")
+
+
+@query("rejected_odd_documents", f"""
+SELECT CAST(event_id AS VARCHAR) AS id,
+       CASE WHEN shape IS NOT NULL THEN 'illegal_argument_exception' ELSE 'document_parsing_exception' END AS reject_type,
+       CASE WHEN NOT json_valid(doc) THEN 'failed to parse' WHEN shape IS NOT NULL THEN 'Expected ' || shape || ' but found START_OBJECT'
+            ELSE 'failed to parse field [k] of type [long]' END AS reason
+FROM (SELECT *, CASE WHEN NOT json_valid(doc) THEN NULL WHEN json_type(doc, '$.k') = 'OBJECT' OR json_type(doc, '$.k[0]') = 'OBJECT' THEN 'long'
+                     WHEN json_type(doc, '$.t') = 'OBJECT' THEN 'text' END AS shape,
+             CASE WHEN NOT json_valid(doc) THEN false WHEN json_type(doc, '$.k') = 'ARRAY'
+                  THEN len(list_filter(json_extract_string(doc, '$.k[*]'), lambda x: TRY_CAST(x AS DOUBLE) IS NULL)) > 0
+                  ELSE json_extract_string(doc, '$.k') IS NOT NULL AND TRY_CAST(json_extract_string(doc, '$.k') AS DOUBLE) IS NULL END AS unread
+      FROM ({_ODD_SQL}) o) c
+WHERE NOT json_valid(doc) OR shape IS NOT NULL OR unread
+""", ("SNK-3", "FLT-4", "FLT-5"))
+def rejected_odd_documents_q(spark, sf_dir):
+    from docforge.sources.tables import read_table
+    case = F.coalesce(*[F.when(F.col("event_id") % 17 == n, F.lit(doc)) for n, doc in _ODD.items()], F.col("props"))
+    docs = read_table(spark, sf_dir, "events").select(F.col("event_id").cast("string").alias("id"), case.alias("doc"))
+    mapping = {"k": FieldSpec("long"), "t": FieldSpec("text")}
+    _, rejected = validate.split_valid(validate.classify(docs, "doc", mapping, strict=True))
+    return rejected.select("id", "reject_type", "reason")
+
+
+@query("evolved_mapping", f"""
+SELECT key AS field, CASE WHEN bool_or(kind = 'VARCHAR') THEN 'text' WHEN bool_or(kind = 'OBJECT') AND key <> 'k' THEN 'object'
+       WHEN key = 'k' THEN 'keyword' ELSE 'long' END AS type
+FROM (SELECT key, json_type(doc, '$."' || key || '"') AS kind
+      FROM (SELECT doc, unnest(json_keys(doc)) AS key FROM ({RAW_JSON_SQL}) j) x) y
+GROUP BY key
+""", ("FLT-6",))
+def evolved_mapping_q(spark, sf_dir):
+    # the declared field keeps its type, fields of the documents are added
+    from docforge.sources.tables import small_frame
+    out = validate.evolved_mapping(validate.inferred_fields(raw_json(spark, sf_dir), "doc"), {"k": FieldSpec("keyword")})
+    return small_frame(spark, [(k, v.type) for k, v in out.items()], "field string, type string")

@@ -17,7 +17,6 @@ _CHECKPOINT_KEY = "spark.checkpoint.dir"
 #: Partitions that text is dealt over before it is analysed; unset (the default): those of the scan. Set it where the
 #: files have too few row groups for the cores, as single-file tables in local runs have.
 PARTITIONS_KEY = "docforge.analysis.partitions"
-JIT_FLAG = "-XX:-DontCompileHugeMethods"
 
 
 def build_session(master: str | None = None, app: str = "docforge", shuffle_partitions: int | None = None,
@@ -35,14 +34,7 @@ def build_session(master: str | None = None, app: str = "docforge", shuffle_part
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", os.environ.get("DOCFORGE_DRIVER_MEMORY", "8g"))
-        # Generated code for long expression chains (the stemmer) exceeds
-        # HotSpot's 8000-byte JIT limit; without this flag it runs interpreted.
     )
-    for side in ("driver", "executor"):  # added to the caller's options, not in their place
-        key = f"spark.{side}.extraJavaOptions"
-        own = (extra or {}).get(key, os.environ.get("DOCFORGE_JAVA_OPTIONS", ""))
-        builder = builder.config(key, f"{own} {JIT_FLAG}".strip())
-    extra = {k: v for k, v in (extra or {}).items() if not k.endswith(".extraJavaOptions")}
     if shuffle_partitions is not None:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     if master.startswith("local") and "spark.sql.warehouse.dir" not in (extra or {}):
