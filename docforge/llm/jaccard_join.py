@@ -4,11 +4,12 @@
    prefix, size and rest). A sketch of fixed size counts shingles over all documents; it only decides their order.
 2. *Prefixes.* A set's members are ordered rare first (buckets of the sketch that stand out come last, ties by hash). Two
    sets as similar as asked share a member among their first ``n - ceil(t * n) + 1``. Prefix members are dealt by value; nodes
-   with the same prefix and size form one group, and groups that share a prefix member are paired if sizes and
-   the members' places allow the similarity (positional filter). A list of more than ``LONG_LIST`` groups is cut
-   into blocks, and pairs of blocks are dealt as tasks, so no task gets an unbounded list.
-3. *Filter.* Paired groups' sets are compared by parity bits, a lower bound of their difference. What passes is only used to
-   put nodes into clusters (connected components).
+   with the same prefix and size form one group, which is put into one cluster without further pairing. Groups that share a
+   prefix member are paired if sizes and the members' places allow the similarity (positional filter, the same for all nodes of
+   a group). A list of more than ``LONG_LIST`` nodes is cut into blocks, and pairs of blocks are dealt as tasks, so no
+   task gets an unbounded list.
+3. *Filter.* The nodes of paired groups are compared by parity bits, a lower bound of their sets' difference. What passes is only
+   used to put nodes into clusters (connected components).
 4. *Expand and verify.* A cluster's texts come together, in pairs of blocks of bounded size if it is large, and all
    its pairs are counted exactly. Each task returns a spanning forest of the links it found; links of different texts
    are thus never dropped, but a class of m texts costs its task m - 1 rows. Components of these give the classes.
@@ -37,13 +38,13 @@ CHARS = 1 << 20
 SKETCH_BITS, STAND_OUT = 20, 32
 #: Counters of one row of the sketch.
 SLICE_BITS = 14
-#: Longest list of groups that is paired in the task of its member, and groups a block of a longer one holds.
+#: Longest list of nodes that is paired in the task of its member, and nodes a block of a longer one holds.
 LONG_LIST = 48
 LIST_BLOCK = 1024
 #: Shingles a block of a cluster holds (a larger text is a block of its own), and columns counted at once.
-CLUSTER_BLOCK, COLUMNS = 1 << 17, 4096
+CLUSTER_BLOCK, COLUMNS = 1 << 19, 4096
 #: A set counts as so many shingles at least, so a block has CLUSTER_BLOCK / LEAST_WEIGHT texts at most.
-LEAST_WEIGHT = 128
+LEAST_WEIGHT = 512
 
 
 #: Stands for a null id where rows are found again.
@@ -147,16 +148,14 @@ def _prefixes(docs: DataFrame, common: np.ndarray, size: int, percent: int, part
     return docs.select("id", "text").mapInArrow(run, "part int, data binary")
 
 
-_PAIRS = "list long, u long, v long, nu int, nv int, place int, several boolean"
-_PAIR_NAMES = ["list", "u", "v", "nu", "nv", "place", "several"]
+_PAIRS = "list long, u long, v long, nu int, nv int, place int, same boolean"
+_PAIR_NAMES = ["list", "u", "v", "nu", "nv", "place", "same"]
 
 
 def _pairs(t: pa.Table, percent: int) -> pa.Table:
-    """Pairs of groups of a range of members (list null), and the members of long lists (``v`` null).
+    """Pairs of nodes of a range of members (list null), and the nodes of long lists (``v`` null).
 
-    A group is represented by its smallest node; its other nodes are paired with that one. All nodes of a group are in
-    each of its lists, so ``several`` (a group of the pair has more than one) is known here. Such pairs can't be judged
-    by the representatives' parity bits.
+    Nodes of one group (``same``) are paired with its smallest one only, once, and need no comparison to be in one cluster.
     """
     entries = np.concatenate([np.frombuffer(x.as_buffer(), _ENTRY) for x in t["data"]])
     entries = entries[np.lexsort((entries["node"], entries["group"], entries["n"], entries["token"]))]
@@ -168,22 +167,22 @@ def _pairs(t: pa.Table, percent: int) -> pa.Table:
     lead = np.maximum.accumulate(np.where(new, np.arange(len(entries)), 0))
     inner = np.flatnonzero(~new & (entries["place"] == 0))  # one of the group's lists is enough
     out = [_table(None, entries[lead[inner]], entries[inner], np.ones(len(inner), bool))]
-    groups = entries[new]
-    several = np.diff(np.append(np.flatnonzero(new), len(entries))) > 1
-    edge = np.flatnonzero(np.concatenate([[True], groups["token"][1:] != groups["token"][:-1], [True]]))
-    length = np.diff(edge)
-    size = np.repeat(length, length)
-    short = (size > 1) & (size <= LONG_LIST)
-    some, flag = groups[short], several[short]
+    edge = np.flatnonzero(np.concatenate([[True], entries["token"][1:] != entries["token"][:-1], [True]]))
+    length = np.repeat(np.diff(edge), np.diff(edge))
+    groups = np.add.reduceat(new.astype(np.int64), edge[:-1]) if len(entries) else np.zeros(0, np.int64)
+    groups = np.repeat(groups, np.diff(edge))  # groups of the entry's list; one alone needs no pairs
+    some = entries[(groups > 1) & (length <= LONG_LIST)]
     for lag in range(1, min(LONG_LIST, len(some))):  # sizes ascend within a list
-        same = some["token"][:-lag] == some["token"][lag:]
-        if not same.any():
+        a, b = some[:-lag], some[lag:]
+        ok = a["token"] == b["token"]
+        if not ok.any():
             break
-        a, b, many = some[:-lag][same], some[lag:][same], (flag[:-lag] | flag[lag:])[same]
+        ok &= a["group"] != b["group"]
+        a, b = a[ok], b[ok]
         ok = _allowed(a, b, percent)
-        out.append(_table(None, a[ok], b[ok], many[ok]))
-    long = size > LONG_LIST
-    out.append(_table(groups["token"][long].view(np.int64), groups[long], None, several[long]))
+        out.append(_table(None, a[ok], b[ok], np.zeros(int(ok.sum()), bool)))
+    long = entries[(groups > 1) & (length > LONG_LIST)]
+    out.append(_table(long["token"].view(np.int64), long, None, np.zeros(len(long), bool)))
     return pa.concat_tables(out)
 
 
@@ -194,12 +193,12 @@ def _allowed(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
     return (100 * np.minimum(na, nb) >= percent * np.maximum(na, nb)) & (rest >= least_overlap(na, nb, percent))
 
 
-def _table(lists: np.ndarray | None, a: np.ndarray, b: np.ndarray | None, several: np.ndarray) -> pa.Table:
+def _table(lists: np.ndarray | None, a: np.ndarray, b: np.ndarray | None, same: np.ndarray) -> pa.Table:
     none = lambda kind: pa.nulls(len(a), kind)
     column = lambda x: pa.array(np.ascontiguousarray(x))
     return pa.table([
         none(pa.int64()) if lists is None else column(lists), column(a["node"]), none(pa.int64()) if b is None else column(b["node"]),
-        column(a["n"]), none(pa.int32()) if b is None else column(b["n"]), column(a["place"]), column(several)], names=_PAIR_NAMES)
+        column(a["n"]), none(pa.int32()) if b is None else column(b["n"]), column(a["place"]), column(same)], names=_PAIR_NAMES)
 
 
 def _close(pairs: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
@@ -278,11 +277,18 @@ def _long_lists(members: DataFrame, bits: DataFrame, percent: int, parts: int) -
         for t in _by_group(batches, ("list", "i", "j")):
             t = t.sort_by([("n", "ascending"), ("u", "ascending")])
             node, n, place = (t[c].to_numpy().astype(np.int64) for c in ("u", "n", "place"))
-            own, several = t["own"].to_numpy(), t["several"].to_numpy(zero_copy_only=False)
+            own = t["own"].to_numpy()
             data = t["bits"].to_pylist()
             cross = t["i"][0] != t["j"][0]
-            least = min(map(len, data))
-            folded = np.stack([_fold(x, least) for x in data])
+            # bits are compared folded to the smaller set's length; sizes that may be similar differ by one halving at most
+            length = np.fromiter(map(len, data), np.int64, len(data))
+            folded, row = {}, np.zeros((len(data), 2), np.int64)
+            for size in np.unique(length).tolist():
+                for step in (0, 1):
+                    at = np.flatnonzero(length == size << step)
+                    row[at, step] = np.arange(len(at)) + (len(folded[size]) if step else 0)
+                    own_bits = [np.stack([_fold(data[k], size) for k in at.tolist()])] if len(at) else []
+                    folded[size] = np.concatenate([folded[size], *own_bits]) if step else own_bits[0]
             us, vs = [], []
             for k in range(len(node) - 1):
                 need = least_overlap(n[k], n[k + 1 :], percent)
@@ -292,18 +298,19 @@ def _long_lists(members: DataFrame, bits: DataFrame, percent: int, parts: int) -
                 later = np.flatnonzero(ok) + k + 1
                 if not len(later):
                     continue
-                apart = np.bitwise_count(folded[later] ^ folded[k]).sum(axis=1, dtype=np.int64)
-                near = apart <= n[k] + n[later] - 2 * least_overlap(n[k], n[later], percent)
-                later = later[near | several[later] | several[k]]
+                bits_of = folded[length[k]]
+                rows_of = row[later, np.where(length[later] == length[k], 0, 1)]
+                apart = np.bitwise_count(bits_of[rows_of] ^ bits_of[row[k, 0]]).sum(axis=1, dtype=np.int64)
+                later = later[apart <= n[k] + n[later] - 2 * least_overlap(n[k], n[later], percent)]
                 us.append(np.full(len(later), k))
                 vs.append(later)
             if us:
                 u, v = _forest(np.concatenate(us), np.concatenate(vs), len(node))
                 yield pa.RecordBatch.from_arrays([pa.array(node[u]), pa.array(node[v])], names=["u", "v"])
 
-    rows = _block_pairs(members.select("list", "u", F.col("nu").alias("n"), "place", "several"), "list", F.lit(1), LIST_BLOCK, "u")
+    rows = _block_pairs(members.select("list", "u", F.col("nu").alias("n"), "place"), "list", F.lit(1), LIST_BLOCK, "u")
     rows = rows.join(bits.select(F.col("node").alias("u"), F.col("data").alias("bits")), "u")
-    return (rows.select("list", "i", "j", "own", "u", "n", "place", "several", "bits").repartition(parts, "list", "i", "j")
+    return (rows.select("list", "i", "j", "own", "u", "n", "place", "bits").repartition(parts, "list", "i", "j")
             .sortWithinPartitions("list", "i", "j").mapInArrow(run, "u long, v long"))
 
 
@@ -359,6 +366,8 @@ def classes(docs: DataFrame, *, size: int = 5, percent: int = 80, id_col: str =
 
     Two rows are linked when 100 * (shared shingles) >= ``percent`` * (shingles of either).
     """
+    if not 50 <= percent <= 100:
+        raise ValueError("percent must be from 50 to 100")
     spark = docs.sparkSession
     small_batches(spark)
     parts = partitions(spark)
@@ -376,8 +385,8 @@ def classes(docs: DataFrame, *, size: int = 5, percent: int = 80, id_col: str =
     pairs = stored(_prefixes(rows, common, size, percent, parts).groupBy("part").applyInArrow(
         lambda t: _pairs(t, percent), _PAIRS), "pairs")
     found = pairs.where("v is not null").groupBy("u", "v").agg(
-        F.first("nu").alias("nu"), F.first("nv").alias("nv"), F.max("several").alias("several"))
-    maybe = (_close(found.where("not several"), bits, percent).unionByName(found.where("several").select("u", "v"))
+        F.first("nu").alias("nu"), F.first("nv").alias("nv"), F.max("same").alias("same"))
+    maybe = (_close(found.where("not same"), bits, percent).unionByName(found.where("same").select("u", "v"))
              .unionByName(_long_lists(pairs.where("list is not null"), bits, percent, parts)))
     clusters = stored(components(maybe).withColumnRenamed("root", "cluster"), "clusters")
     members = clusters.join(nodes.select("node", "row.of", "row.mark", "n"), "node")
