@@ -142,13 +142,13 @@ def stages(d: Dialect, w: str = "w", flag: str = "f", k: str = "k") -> list[dict
     return out
 
 
-def duckdb_stem_query(inner_sql: str, keep: list[str], token: str = "token") -> str:
+def duckdb_stem_query(inner_sql: str, keep: list[str], token: str = "token", stages_of=None, least: int = 3) -> str:
     """Wrap ``inner_sql`` (which has ``keep`` columns and ``token``) so that
     ``token`` comes out stemmed, by one nested SELECT per stage."""
     cols = ", ".join(keep)
     t0, w, f, k = "stem_t0", "stem_w", "stem_f", "stem_k"
     sql = f"SELECT {cols}, {token} AS {t0}, {token} AS {w}, false AS {f}, 0 AS {k} FROM ({inner_sql}) s0"
-    for i, stage in enumerate(stages(DUCKDB, w=w, flag=f, k=k)):
+    for i, stage in enumerate((stages_of or stages)(DUCKDB, w=w, flag=f, k=k)):
         exprs = ", ".join(f"{stage.get(c, c)} AS {c}" for c in (w, f, k))
         sql = f"SELECT {cols}, {t0}, {exprs} FROM ({sql}) s{i + 1}"
-    return f"SELECT {cols}, CASE WHEN length({t0}) < 3 THEN {t0} ELSE {w} END AS {token} FROM ({sql}) sz"
+    return f"SELECT {cols}, CASE WHEN length({t0}) < {least} THEN {t0} ELSE {w} END AS {token} FROM ({sql}) sz"

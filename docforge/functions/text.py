@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docforge.functions import porter
+from docforge.functions import german, porter
 from docforge.session import spread
 from docforge.spec import STEMMER_LANGUAGES, AnalyzerSpec
 
@@ -50,6 +50,7 @@ def fold_sql(expr: str) -> str:
     return out
 
 
+STEMMERS = {"english": porter, "german": german}
 #: Stages of the stemmer in one generated method: all of them in one exceed the JVM's limit of 8000 bytes for compiled
 #: methods, and what exceeds it is interpreted.
 CODEGEN_STAGES = 5
@@ -69,19 +70,21 @@ def check_language(analyzer: AnalyzerSpec) -> None:
         raise NotImplementedError(f"no stemmer for language {analyzer.language!r}")
 
 
-def stem_column(df: DataFrame, column: str = "token", only_if: str | None = None) -> DataFrame:
-    """Replace ``column`` by its English stem: one projection per Porter stage.
+def stem_column(df: DataFrame, column: str = "token", only_if: str | None = None, language: str = "english") -> DataFrame:
+    """Replace ``column`` by its stem: one projection per stage of the language's stemmer.
 
     ``only_if`` names a boolean column; rows where it is false keep their value.
     """
     keep = [f"`{c}`" for c in df.columns if c != column]
     w, f, k = "__w", "__f", "__k"
     out = df.selectExpr(*keep, f"`{column}` AS __t0", f"`{column}` AS {w}", f"false AS {f}", f"0 AS {k}")
-    for n, stage in enumerate(porter.stages(porter.SPARK, w=w, flag=f, k=k), 1):
+    for n, stage in enumerate(STEMMERS[language].stages(porter.SPARK, w=w, flag=f, k=k), 1):
         if n % CODEGEN_STAGES == 0:
             out = out.coalesce(MAX_PARTITIONS)  # changes no partition, but generated code ends here
         out = out.selectExpr(*keep, "__t0", *[f"{stage.get(c, c)} AS {c}" for c in (w, f, k)])
-    skip = "length(__t0) < 3" if only_if is None else f"length(__t0) < 3 OR NOT `{only_if}`"
+    skip = "length(__t0) < 3" if language == "english" else "false"
+    if only_if is not None:
+        skip = f"{skip} OR NOT `{only_if}`"
     # The stem leaves through a one-element explode: a filter or join key on
     # the stemmed column then stops at the Generate instead of being pushed
     # down (and substituted) through every stage, which would copy each
@@ -103,5 +106,5 @@ def analyze_tokens(df: DataFrame, key_cols: list[str], text_col: str,
                          F.posexplode(token_array(F.col(text_col), analyzer)).alias("position", "token"))
     exploded = exploded.withColumn("position", F.col("position").cast("bigint"))
     if analyzer.configured:
-        exploded = stem_column(exploded, "token")
+        exploded = stem_column(exploded, "token", language=analyzer.language)
     return exploded

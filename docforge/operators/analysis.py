@@ -55,7 +55,7 @@ def analyzed_fields(docs: DataFrame, id_col: str, mapping: Mapping[str, FieldSpe
     exploded = docs.select(F.col(id_col).alias("id"), F.explode(F.concat(*entries)).alias("e"))
     terms = exploded.select("id", "e.field", "e.position", "e.term", "e.analyzed")
     if analyzer.configured:
-        terms = stem_column(terms, "term", only_if="analyzed")
+        terms = stem_column(terms, "term", only_if="analyzed", language=analyzer.language)
     return terms.drop("analyzed")
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from docforge.functions import german
 from docforge.functions.porter import duckdb_stem_query
 from docforge.functions.text import TOKEN_PATTERN, analyze_tokens, fold_sql
 from docforge.operators.analysis import analyzed_fields
@@ -49,6 +50,23 @@ def tokens_stemmed_q(spark, sf_dir):
     return analyze_tokens(docs, ["doc_id"], "text", ENGLISH)
 
 
+_GERMAN_TOKENS = _duck_tokens("(SELECT * FROM documents WHERE lang = 'de')", "doc_id", "%s")
+
+
+@query("tokens_stemmed_de", f"""
+SELECT doc_id, position, 'folded' AS chain, token FROM ({duckdb_stem_query(
+    _GERMAN_TOKENS % fold_sql("lower(text)"), ["doc_id", "position"], stages_of=german.stages, least=0)}) f
+UNION ALL SELECT doc_id, position, 'plain', token FROM ({duckdb_stem_query(
+    _GERMAN_TOKENS % "lower(text)", ["doc_id", "position"], stages_of=german.stages, least=0)}) p
+""", ("TXT-4", "TXT-5"))
+def tokens_stemmed_de_q(spark, sf_dir):
+    # the language of the dataset chooses the stemmer; with folding umlauts are gone before it, without they are its own
+    docs = read_table(spark, sf_dir, "documents").where("lang = 'de'")
+    both = [analyze_tokens(docs, ["doc_id"], "text", AnalyzerSpec("german", ascii_folding=fold)).withColumn("chain", F.lit(name))
+            for name, fold in (("folded", True), ("plain", False))]
+    return both[0].unionByName(both[1]).select("doc_id", "position", "chain", "token")
+
+
 @query("analyzed_tokens",
        duckdb_stem_query(_duck_tokens("conversations", "conv_id, turn", "lower(text)"),
                          ["conv_id", "turn", "position"]),

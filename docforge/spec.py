@@ -17,10 +17,9 @@ from pyspark.sql import DataFrame, SparkSession
 # Mapping type names understood by the pipeline.
 MAPPING_TYPES = ("text", "keyword", "long", "integer", "float", "double", "boolean", "date", "object")
 
-# Languages the stemmer filter is declared for. Only english has
-# an implementation; any other configured language raises instead of silently
-# skipping the stemming step.
-STEMMER_LANGUAGES = ("english",)
+# Languages the stemmer filter is implemented for. Any other
+# configured language raises instead of silently skipping the stemming step.
+STEMMER_LANGUAGES = ("english", "german")
 
 Provider = Union[DataFrame, Callable[[SparkSession], DataFrame], None]
 

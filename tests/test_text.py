@@ -38,6 +38,24 @@ def test_porter_pairs(spark):
     assert not wrong
 
 
+GERMAN_PAIRS = {  # published vocabulary and output of the Snowball stemmer
+    "aufeinander": "aufeinand", "aufeinanderfolge": "aufeinanderfolg", "aufeinanderfolgen": "aufeinanderfolg",
+    "aufeinanderfolgend": "aufeinanderfolg", "aufeinanderfolgende": "aufeinanderfolg", "aufeinanderfolgt": "aufeinanderfolgt",
+    "aufeinanderfolgten": "aufeinanderfolgt", "auferlegen": "auferleg", "auferlegt": "auferlegt", "auferlegten": "auferlegt",
+    "auferstanden": "auferstand", "auferstehen": "aufersteh", "aufersteht": "aufersteht", "auferstehung": "aufersteh",
+    "kategorie": "kategori", "kategorien": "kategori", "kategorisch": "kategor", "kategorische": "kategor",
+    "kategorischen": "kategor", "kategorischer": "kategor", "kater": "kat", "katers": "kat", "kathedrale": "kathedral",
+    "katholisch": "kathol", "katze": "katz", "katzen": "katz", "kauen": "kau", "kaufen": "kauf", "kauft": "kauft", "käufer": "kauf",
+    "häuser": "haus", "kenntnisse": "kenntnis", "größe": "gross", "frauen": "frau", "ab": "ab",
+}
+
+
+def test_german_pairs(spark):
+    df = spark.createDataFrame([(w, w) for w in GERMAN_PAIRS], "w string, token string")
+    got = {r["w"]: r["token"] for r in stem_column(df, "token", language="german").collect()}
+    assert {w: (got[w], s) for w, s in GERMAN_PAIRS.items() if got[w] != s} == {}
+
+
 def _tokens(spark, text, analyzer):
     df = spark.createDataFrame([(1, text)], "id int, text string")
     rows = analyze_tokens(df, ["id"], "text", analyzer).orderBy("position").collect()
