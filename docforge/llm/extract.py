@@ -51,10 +51,11 @@ DROPPED_WORDS = {"ad", "ads", "adv", "advert", "adverts", "advertisement", "adve
                  "footer", "masthead", "cookie", "cookies", "consent", "gdpr", "notice", "notices", "notification", "alert",
                  "popup", "modal", "overlay", "newsletter", "subscribe", "subscription", "signup", "login", "search", "share",
                  "sharing", "social", "related", "recommended", "recommendations", "comment", "comments", "disqus", "replies",
-                 "respond", "toolbar", "pagination", "pager", "widget", "widgets", "skip"}
-#: A class that also has one of these words names a part of the article or the layout around it.
-KEPT_WORDS = {"article", "body", "container", "content", "entry", "has", "is", "layout", "main", "no", "not", "page", "post",
-              "story", "text", "with", "without", "wrapper"}
+                 "respond", "toolbar", "pagination", "pager", "widget", "widgets", "skip", "commentlist", "commentform", "reply",
+                 "sidenav", "topnav", "subnav", "navmenu", "topbar", "adbox", "adslot", "adunit", "cookiebar", "paywall",
+                 "trending", "popular", "teaser", "teasers", "disclaimer"}
+#: A class that also has one of these words tells what the element has or lacks, not what it is ("with-sidebar").
+KEPT_WORDS = {"closed", "disabled", "enabled", "has", "is", "layout", "no", "not", "open", "with", "without"}
 
 
 def _boilerplate(name: str, attr: str, in_main: bool) -> bool:
@@ -74,7 +75,7 @@ def _boilerplate(name: str, attr: str, in_main: bool) -> bool:
                 words = set(re.split(r"[^a-z0-9]+", one))
                 if words & DROPPED_WORDS and not words & KEPT_WORDS:
                     return True
-                if not in_main and one in ("header", "site-header", "page-header", "top-bar", "topbar"):
+                if not in_main and name not in MAIN and one in ("header", "site-header", "page-header", "top-bar"):
                     return True
     return False
 

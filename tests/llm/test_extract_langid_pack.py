@@ -27,6 +27,9 @@ LONG = "word " * 60
     (f"<div class=menu>no</div><div class='content with-sidebar'><p>{LONG}</p><p>short</p></div><div class=footer>no</div>",
      LONG.strip() + "\nshort"),
     (f"<header>no</header><div><p>{LONG}</p></div><div role=complementary>no</div><ul><li><a href=x>no</a></ul>", LONG.strip()),
+    (f"<div class='page-wrapper layout-sidebar-right'><div class=main-nav>no</div><div class=cookie-container>no</div><div class=post-body>"
+     f"<p>{LONG}</p></div><div class='article-comments'><p>{LONG}</p></div><div id=content-sidebar>no</div></div>", LONG.strip()),
+    ("<article class='post comments-open'><p>yes</p><div class='comment-content'>no</div></article>", "yes"),
     ('<a title="a > b">x</a> <img alt="\'">y', "x y"),
     ("<article><header><h1>T</h1></header><p>x &copy &am</p></article>", "T\nx © &am"),
     ("<p unclosed", "<p unclosed"),
