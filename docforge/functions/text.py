@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docforge.functions import german, porter
+from docforge.functions import german, porter, spanish
 from docforge.session import spread
 from docforge.spec import STEMMER_LANGUAGES, AnalyzerSpec
 
@@ -50,7 +50,7 @@ def fold_sql(expr: str) -> str:
     return out
 
 
-STEMMERS = {"english": porter, "german": german}
+STEMMERS = {"english": porter, "german": german, "spanish": spanish}
 #: Stages of the stemmer in one generated method: all of them in one exceed the JVM's limit of 8000 bytes for compiled
 #: methods, and what exceeds it is interpreted.
 CODEGEN_STAGES = 5

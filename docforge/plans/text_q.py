@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from docforge.functions import german
+from docforge.functions import german, spanish
 from docforge.functions.porter import duckdb_stem_query
 from docforge.functions.text import TOKEN_PATTERN, analyze_tokens, fold_sql
 from docforge.operators.analysis import analyzed_fields
@@ -67,6 +67,15 @@ def tokens_stemmed_de_q(spark, sf_dir):
     return both[0].unionByName(both[1]).select("doc_id", "position", "chain", "token")
 
 
+_SPANISH_TOKENS = _duck_tokens("(SELECT * FROM documents WHERE lang = 'es')", "doc_id", "lower(text)")
+
+
+@query("tokens_stemmed_es", duckdb_stem_query(_SPANISH_TOKENS, ["doc_id", "position"], stages_of=spanish.stages, least=0), ("TXT-4", "TXT-5"))
+def tokens_stemmed_es_q(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents").where("lang = 'es'")
+    return analyze_tokens(docs, ["doc_id"], "text", AnalyzerSpec("spanish", ascii_folding=False))
+
+
 @query("analyzed_tokens",
        duckdb_stem_query(_duck_tokens("conversations", "conv_id, turn", "lower(text)"),
                          ["conv_id", "turn", "position"]),

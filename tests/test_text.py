@@ -50,6 +50,22 @@ GERMAN_PAIRS = {  # published vocabulary and output of the Snowball stemmer
 }
 
 
+SPANISH_PAIRS = {  # published vocabulary and output, and cases of single rules
+    "che": "che", "cheque": "chequ", "cheques": "chequ", "chico": "chic", "chicas": "chic", "chicharrones": "chicharron",
+    "chihuahua": "chihuahu", "chinas": "chin", "chispas": "chisp", "chocolate": "chocolat", "torneado": "torn", "torneo": "torne",
+    "toreado": "tor", "toreándolo": "tor", "torear": "tor", "toreara": "tor", "toreros": "torer", "tormentas": "torment",
+    "toronto": "toront", "tortura": "tortur", "torturado": "tortur", "torturadas": "tortur", "torturarán": "tortur",
+    "rápidamente": "rapid", "nación": "nacion", "administración": "administr", "biología": "biolog", "felicidad": "felic",
+    "instituciones": "institu", "paguen": "pag", "contribuyendo": "contribu", "amable": "amabl",
+}
+
+
+def test_spanish_pairs(spark):
+    df = spark.createDataFrame([(w, w) for w in SPANISH_PAIRS], "w string, token string")
+    got = {r["w"]: r["token"] for r in stem_column(df, "token", language="spanish").collect()}
+    assert {w: (got[w], s) for w, s in SPANISH_PAIRS.items() if got[w] != s} == {}
+
+
 def test_german_pairs(spark):
     df = spark.createDataFrame([(w, w) for w in GERMAN_PAIRS], "w string, token string")
     got = {r["w"]: r["token"] for r in stem_column(df, "token", language="german").collect()}
