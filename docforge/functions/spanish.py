@@ -1,6 +1,6 @@
 """Spanish stemmer (the published Snowball algorithm) as plain SQL expressions.
 
-Built like the German one: regions are tests of what stands before a suffix. RV begins after the third letter, the next
+Built like the German one, with longer suffix lists: the suffix found is kept as text. Regions are tests of what stands before a suffix. RV begins after the third letter, the next
 vowel or the next consonant, depending on the first two letters; a suffix lies in RV if the letters up to there stand before
 it. R1 and R2 are as in German, without the least length.
 """
@@ -9,130 +9,73 @@ from __future__ import annotations
 
 from docforge.functions.porter import Dialect
 
-# Vowels, suffixes by step; a step lists the suffixes it looks for, longest match first.
+# Vowels, and the suffixes each step looks for.
 VOWELS = "aeiouáéíóúü"
-PRONOUNS = "selas selos sela selo las les los nos me se la le lo".split()
-GERUNDS = {"iéndo": "iendo", "ándo": "ando", "ár": "ar", "ér": "er", "ír": "ir"}
-BARE = "iendo ando ar er ir".split()
+PRONOUNS = "me se sela selo selas selos la le lo las les los nos"
+ACCENTED, BARE = "iéndo ándo ár ér ír", "iendo ando ar er ir"
 PLAIN = ("anza anzas ico ica icos icas ismo ismos able ables ible ibles ista istas oso osa osos osas "
-         "amiento amientos imiento imientos").split()
-AGENT = "adora ador ación acion adoras adores aciones ante antes ancia ancias".split()
-STEP1 = sorted([*PLAIN, *AGENT, *"logía logías ución ucion uciones encia encias amente mente idad idades iva ivo ivas ivos".split()],
-               key=len, reverse=True)
-Y_VERBS = sorted("ya ye yan yen yeron yendo yo yó yas yes yais yamos".split(), key=len, reverse=True)
-E_VERBS = "emos éis en es".split()
-VERBS = sorted(("arían arías arán arás aríais aría aréis aríamos aremos ará aré erían erías erán erás eríais ería eréis eríamos eremos erá "
-                "eré irían irías irán irás iríais iría iréis iríamos iremos irá iré aba ada ida ía ara iera ad ed id ase iese aste iste an "
-                "aban ían aran ieran asen iesen aron ieron ado ido ando iendo ió ar er ir as abas adas idas ías aras ieras ases ieses ís áis "
-                "abais íais arais ierais aseis ieseis asteis isteis ados idos amos ábamos íamos imos áramos iéramos iésemos ásemos").split(),
-               key=len, reverse=True)
+         "amiento amientos imiento imientos")
+AGENT = "adora ador ación acion adoras adores aciones ante antes ancia ancias"
+OTHER = "logía logías ución ucion uciones encia encias amente mente idad idades iva ivo ivas ivos"
+Y_VERBS = "ya ye yan yen yeron yendo yo yó yas yes yais yamos"
+E_VERBS = "en es éis emos"
+VERBS = ("arían arías arán arás aríais aría aréis aríamos aremos ará aré erían erías erán erás eríais ería eréis eríamos eremos erá "
+         "eré irían irías irán irás iríais iría iréis iríamos iremos irá iré aba ada ida ía ara iera ad ed id ase iese aste iste an "
+         "aban ían aran ieran asen iesen aron ieron ado ido ando iendo ió ar er ir as abas adas idas ías aras ieras ases ieses ís áis "
+         "abais íais arais ierais aseis ieseis asteis isteis ados idos amos ábamos íamos imos áramos iéramos iésemos ásemos")
 
 _PAIR = f"[{VOWELS}][^{VOWELS}]"
 _RV = f"^(.[^{VOWELS}]+[{VOWELS}]|[{VOWELS}][{VOWELS}]+[^{VOWELS}]|[^{VOWELS}][{VOWELS}].)"
 
 
-def _head(w: str, length: int) -> str:
-    return f"left({w}, length({w}) - {length})"
+def _found(text: str, suffixes: str) -> str:
+    """The longest of the suffixes that the text ends in (of several the leftmost match is the longest), or ''."""
+    return f"regexp_extract({text}, '({suffixes.replace(' ', '|')})$', 1)"
 
 
-def _case(rules: list[tuple[str, str]], otherwise: str) -> str:
-    return "CASE " + " ".join(f"WHEN {c} THEN {v}" for c, v in rules) + f" ELSE {otherwise} END"
-
-
-class _Rules:
-    def __init__(self, d: Dialect, w: str, k: str) -> None:
-        self.d, self.w, self.k = d, w, k
-
-    def rv(self, head: str) -> str:
-        return self.d.rx(head, _RV)
-
-    def r1(self, head: str) -> str:
-        return self.d.rx(head, _PAIR)
-
-    def r2(self, head: str) -> str:
-        return self.d.rx(head, f"{_PAIR}.*{_PAIR}")
-
-    def ends(self, *suffixes: str) -> str:
-        return "(" + " OR ".join(self.d.ends(self.w, s) for s in suffixes) + ")"
-
-    def pick(self, suffixes: list[str], fits=lambda s, head: "true") -> str:
-        """Number of the longest suffix that the word ends in (and that lies where it has to), 0 for none."""
-        return _case([(f"{self.d.ends(self.w, s)} AND {fits(s, _head(self.w, len(s)))}", str(n))
-                      for n, s in enumerate(suffixes, 1)], "0")
-
-    def cut(self, suffix: str, region) -> tuple[str, str]:
-        """One more suffix off, where it lies in the region."""
-        head = _head(self.w, len(suffix))
-        return f"{self.d.ends(self.w, suffix)} AND {region(head)}", head
+def _list(words: str) -> str:
+    return "(" + ", ".join(f"'{w}'" for w in words.split()) + ")"
 
 
 def stages(d: Dialect, w: str = "w", flag: str = "f", k: str = "k") -> list[dict[str, str]]:
-    r = _Rules(d, w, k)
+    rv = lambda word: f"CASE WHEN {d.rx(word, _RV)} THEN regexp_replace({word}, '{_RV}', '') ELSE '' END"
+    r1 = lambda head: d.rx(head, _PAIR)
+    r2 = lambda head: d.rx(head, f"{_PAIR}.*{_PAIR}")
+    rest = f"left({w}, length({w}) - length({k}))"  # the word without the suffix found
+    last = f"left({w}, length({w}) - 1)"
     out: list[dict[str, str]] = []
-    # step 0: a pronoun after a gerund or infinitive in RV
-    out.append({k: r.pick(PRONOUNS)})
-    rules = []
-    for n, p in enumerate(PRONOUNS, 1):
-        verb = _head(w, len(p))
-        for accented, plain in GERUNDS.items():
-            rules.append((f"{k} = {n} AND {d.ends(verb, accented)} AND {r.rv(_head(w, len(p) + len(accented)))}",
-                          f"{_head(w, len(p) + len(accented))} || '{plain}'"))
-        bare = " OR ".join(f"({d.ends(verb, b)} AND {r.rv(_head(w, len(p) + len(b)))})" for b in BARE)
-        rules.append((f"{k} = {n} AND ({bare} OR ({d.ends(verb, 'uyendo')} AND {r.rv(_head(w, len(p) + 5))}))", verb))
-        if n % 4 == 0 or n == len(PRONOUNS):  # a few pronouns a stage, so that no generated method grows too long
-            out.append({w: _case(rules, w), k: f"CASE WHEN {k} BETWEEN 1 AND {n} THEN 0 ELSE {k} END"})
-            rules = []
+    # step 0: a pronoun after a gerund or infinitive in RV; the flag holds RV of what stands before it
+    out.append({k: _found(w, PRONOUNS)})
+    out.append({flag: f"CASE WHEN {k} = '' THEN '' ELSE {rv(rest)} END"})
+    accented = _found(flag, ACCENTED)
+    out.append({w: (f"CASE WHEN {accented} <> '' THEN left({rest}, length({rest}) - length({accented})) || translate({accented}, 'áéí', 'aei') "
+                    f"WHEN {_found(flag, BARE)} <> '' OR ({d.ends(flag, 'yendo')} AND {d.ends(rest, 'uyendo')}) THEN {rest} ELSE {w} END")})
     # step 1: standard suffixes
-    number = {s: n for n, s in enumerate(STEP1, 1)}
-    of = lambda *names: f"{k} IN ({', '.join(str(number[s]) for s in names)})"
-    length = _case([(f"{k} = {n}", str(len(s))) for s, n in number.items()], "0")
-    out.append({k: r.pick(STEP1)})
-    base = f"left({w}, length({w}) - {length})"
-    region = _case([(of("amente"), r.r1(base)), (f"{k} > 0", r.r2(base))], "false")
-    out.append({flag: region})
-    replaced = _case([(f"NOT {flag}", w), (of("logía", "logías"), f"{base} || 'log'"), (of("ución", "ucion", "uciones"), f"{base} || 'u'"),
-                      (of("encia", "encias"), f"{base} || 'ente'")], base)
-    out.append({w: replaced})
-    agent = [r.cut("ic", r.r2)]
-    adverb = [r.cut("iv", r.r2), r.cut("os", r.r2), r.cut("ic", r.r2), r.cut("ad", r.r2)]
-    mente = [r.cut("ante", r.r2), r.cut("able", r.r2), r.cut("ible", r.r2)]
-    idad = [r.cut("abil", r.r2), r.cut("ic", r.r2), r.cut("iv", r.r2)]
-    ivo = [r.cut("at", r.r2)]
-    more = [(f"{flag} AND {of(*names)} AND {c}", v) for names, cuts in (
-        (AGENT, agent), (("amente",), adverb), (("mente",), mente), (("idad", "idades"), idad), (("iva", "ivo", "ivas", "ivos"), ivo))
-        for c, v in cuts]
-    # -at before the -iv of -amente: marked here by the number 0 with the flag set
-    twice = f"{flag} AND {of('amente')} AND {adverb[0][0]}"
-    out.append({w: _case(more, w), k: f"CASE WHEN {twice} THEN -1 WHEN {flag} THEN 0 ELSE {k} END"})
-    out.append({w: _case([(f"{k} = -1 AND {r.cut('at', r.r2)[0]}", r.cut("at", r.r2)[1])], w)})
+    out.append({k: _found(w, f"{PLAIN} {AGENT} {OTHER}")})
+    out.append({flag: f"{k} <> '' AND CASE WHEN {k} = 'amente' THEN {r1(rest)} ELSE {r2(rest)} END"})
+    out.append({w: (f"CASE WHEN NOT {flag} THEN {w} WHEN {k} IN ('logía', 'logías') THEN {rest} || 'log' "
+                    f"WHEN {k} IN ('ución', 'ucion', 'uciones') THEN {rest} || 'u' WHEN {k} IN ('encia', 'encias') THEN {rest} || 'ente' "
+                    f"ELSE {rest} END")})
+    # one more suffix before some of them (marked with + after -amente, where -at- may stand before -iv- too)
+    out.append({k: (f"CASE WHEN NOT {flag} THEN '' WHEN {k} IN {_list(AGENT)} THEN {_found(w, 'ic')} "
+                    f"WHEN {k} = 'amente' THEN '+' || {_found(w, 'iv os ic ad')} WHEN {k} = 'mente' THEN {_found(w, 'ante able ible')} "
+                    f"WHEN {k} IN ('idad', 'idades') THEN {_found(w, 'abil ic iv')} "
+                    f"WHEN {k} IN ('iva', 'ivo', 'ivas', 'ivos') THEN {_found(w, 'at')} ELSE '' END")})
+    before = f"left({w}, length({w}) - length(replace({k}, '+', '')))"
+    out.append({w: f"CASE WHEN {k} NOT IN ('', '+') AND {r2(before)} THEN {before} ELSE {w} END",
+                k: f"CASE WHEN {k} = '+iv' AND {r2(before)} THEN 'at' ELSE '' END"})
+    out.append({w: f"CASE WHEN {k} = 'at' AND {d.ends(w, 'at')} AND {r2(rest)} THEN {rest} ELSE {w} END"})
     # step 2a, where step 1 took nothing: verb endings that begin with y, after u
-    out.append({k: f"CASE WHEN {flag} THEN -1 ELSE {r.pick(Y_VERBS, lambda s, head: r.rv(head))} END"})
-    y_cut = [(f"{k} = {n} AND {d.ends(_head(w, len(s)), 'u')}", _head(w, len(s))) for n, s in enumerate(Y_VERBS, 1)]
-    out.append({w: _case(y_cut, w), flag: f"{flag} OR " + _case([(c, "true") for c, _ in y_cut], "false")})
+    out.append({k: f"CASE WHEN {flag} THEN '' ELSE {_found(rv(w), Y_VERBS)} END"})
+    out.append({w: f"CASE WHEN {k} <> '' AND {d.ends(rest, 'u')} THEN {rest} ELSE {w} END",
+                flag: f"{flag} OR ({k} <> '' AND {d.ends(rest, 'u')})"})
     # step 2b, where 2a took nothing either
-    half = len(VERBS) // 2
-    every = sorted([*VERBS, *E_VERBS], key=len, reverse=True)
-    first, second = every[:half], every[half:]
-    fits = lambda s, head: r.rv(head)
-    out.append({k: f"CASE WHEN {flag} THEN -1 ELSE {r.pick(first, fits)} END"})
-    out.append({k: f"CASE WHEN {k} <> 0 THEN {k} ELSE {_shifted(r.pick(second, fits), len(first))} END"})
-    lengths = sorted({len(s) for s in every}, reverse=True)
-    numbers = {n: [i for i, s in enumerate(every, 1) if len(s) == n] for n in lengths}
-    soft = [i for i, s in enumerate(every, 1) if s in E_VERBS]
-    cuts = [(f"{k} IN ({', '.join(map(str, numbers[n]))})", _head(w, n)) for n in lengths]
-    out.append({w: _case(cuts, w), flag: f"{k} IN ({', '.join(map(str, soft))})"})
-    out.append({w: f"CASE WHEN {flag} AND {d.ends(w, 'gu')} THEN {_head(w, 1)} ELSE {w} END"})
+    out.append({k: f"CASE WHEN {flag} THEN '' ELSE {_found(rv(w), f'{VERBS} {E_VERBS}')} END"})
+    out.append({w: rest, flag: f"{k} IN {_list(E_VERBS)}"})
+    out.append({w: f"CASE WHEN {flag} AND {d.ends(w, 'gu')} THEN {last} ELSE {w} END"})
     # step 3: what is left of an ending
-    rest = [(f"{d.ends(w, 'os')} AND {r.rv(_head(w, 2))}", "2")] + [
-        (f"{r.ends('a', 'o', 'á', 'í', 'ó')} AND {r.rv(_head(w, 1))}", "1"), (f"{r.ends('e', 'é')} AND {r.rv(_head(w, 1))}", "3")]
-    out.append({k: _case(rest, "0")})
-    gu = _head(w, 1)
-    out.append({w: _case([(f"{k} = 2", _head(w, 2)), (f"{k} = 1", gu), (f"{k} = 3 AND {d.ends(gu, 'gu')} AND {r.rv(_head(w, 2))}", _head(w, 2)),
-                          (f"{k} = 3", gu)], w)})
+    out.append({k: _found(rv(w), "os a o á í ó e é")})
+    out.append({flag: f"{k} IN ('e', 'é') AND {d.ends(last, 'gu')} AND {d.rx(rv(w), 'u.$')}"})
+    out.append({w: f"CASE WHEN {flag} THEN left({w}, length({w}) - 2) ELSE {rest} END"})
     out.append({w: f"translate({w}, 'áéíóú', 'aeiou')"})
     return out
-
-
-def _shifted(pick: str, by: int) -> str:
-    """The picked number counted on from ``by``; 0 stays 0."""
-    return f"CASE WHEN ({pick}) = 0 THEN 0 ELSE ({pick}) + {by} END"

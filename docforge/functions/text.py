@@ -53,7 +53,7 @@ def fold_sql(expr: str) -> str:
 STEMMERS = {"english": porter, "german": german, "spanish": spanish}
 #: Stages of the stemmer in one generated method: all of them in one exceed the JVM's limit of 8000 bytes for compiled
 #: methods, and what exceeds it is interpreted.
-CODEGEN_STAGES = 5
+CODEGEN_STAGES = 4
 MAX_PARTITIONS = (1 << 31) - 1
 
 

@@ -29,3 +29,23 @@ def test_narrow_queries_do_not_shuffle(spark):
 def test_scan_reads_only_needed_columns(spark):
     s = summarise(entry.queries()["facet_terms"](spark, SF))
     assert s["read_schemas"] == ["struct<p_brand:string,p_type:string>"]
+
+
+def test_generated_methods_stay_below_the_jit_limit(spark):
+    """Methods of more than 8000 bytes are interpreted; the stemmers' chains are split so that none is."""
+    from docforge.functions.text import STEMMERS, stem_column
+
+    for language in STEMMERS:
+        df = stem_column(spark.createDataFrame([("w", "w")], "w string, token string"), "token", language=language)
+        code = df._jdf.queryExecution().debug().codegenToSeq()
+        sizes = [code.apply(k)._3().maxMethodCodeSize() for k in range(code.size())]
+        assert sizes and max(sizes) < 8000, (language, sizes)
+
+
+def test_package_never_counts_partitions_through_an_rdd():
+    import pathlib
+
+    import docforge
+
+    for path in pathlib.Path(docforge.__file__).parent.rglob("*.py"):
+        assert ".rdd" not in path.read_text(), path
