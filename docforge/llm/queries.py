@@ -35,17 +35,20 @@ def op3_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted anew with another tokenizer, and the second batch is delivered again."""
     docs = table(spark, sf_dir, "documents")
     labels = table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.max("quality").alias("quality"))
-    keys = docs.select("doc_id", "source", "lang")
-    first = stored(encoding.encode(docs, BYTE_BPE).drop("ids").join(keys, "doc_id").withColumn("tokenizer", F.lit("byte_bpe_50k")), "counts")
+
+    def counted(tokenizer: str, version: str) -> DataFrame:
+        # one narrow pass over the texts; what is joined afterwards are counts
+        counts = encoding.encode(docs, tokenizer, keep=("doc_id", "source", "lang"), with_ids=False)
+        return stored(counts.withColumn("tokenizer", F.lit(version)), "counts")
+
+    old, new = counted(BYTE_BPE, "byte_bpe_50k"), counted(WORD_BPE, "word_bpe_49k")
     toxic = labels.where("toxic = 1").select("doc_id")
     good = labels.where("quality = 1 and toxic = 0").select("doc_id")
-    again = encoding.encode(docs.join(good, "doc_id", "left_semi"), WORD_BPE).drop("ids")
     path = f"{shared_root(spark)}/llm/rollup-{uuid.uuid4().hex}"
-    rollup.commit(rollup.inserts(first), path, 1)
-    gone = first.join(toxic, "doc_id", "left_semi")
+    gone = old.join(toxic, "doc_id", "left_semi")
+    rollup.commit(rollup.inserts(old), path, 1)
     rollup.commit(rollup.deletes(gone), path, 2)
-    new = again.join(keys, "doc_id").withColumn("tokenizer", F.lit("word_bpe_49k"))
-    rollup.commit(rollup.revisions(first.join(good, "doc_id", "left_semi"), new), path, 3)
+    rollup.commit(rollup.revisions(old.join(good, "doc_id", "left_semi"), new.join(good, "doc_id", "left_semi")), path, 3)
     rollup.commit(rollup.deletes(gone), path, 2)
     return rollup.totals(spark, path).select("source", "lang", "tokenizer", "n_docs", "n_tokens")
 

@@ -74,6 +74,8 @@ def test_encode_nulls_repeats_and_clashing_columns(spark):
     assert sorted((r.doc_id or 0, r.decoded, r.n_tokens) for r in out) == [
         (0, "", 0), (0, "c", 1), (1, "", 0), (1, "a b", 2), (1, "a b", 2)]
     assert encode.encode(df.limit(0), BYTE_BPE).count() == 0
+    only = encode.encode(df, BYTE_BPE, keep=("doc_id", "ids"), with_ids=False)
+    assert only.columns == ["doc_id", "n_tokens"] and only.agg({"n_tokens": "sum"}).first()[0] == 5
 
 
 @pytest.mark.parametrize("seed", range(6))
