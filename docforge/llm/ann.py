@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from docforge.llm import hilbert
-from docforge.llm.common import mix64, partitions, stored
+from docforge.llm.common import mix64, partitions, stored, tidy
 
 CURVES, DIMS, BITS = 8, 3, 10
 BLOCKS, BLOCK_ROWS, LEAST_ROWS = 32, 20_000, 128
@@ -105,7 +105,7 @@ def distinct_vectors(vectors: DataFrame, k: int) -> DataFrame:
 
     width = vectors.groupBy(F.size("v").alias("width")).count().orderBy(F.desc("count"), F.desc("width")).first()
     sound = vectors.where((F.size("v") == (width["width"] if width else 0)) & ~F.exists("v", lambda x: x.isNull()))
-    parts = sound.mapInArrow(own, "vector binary, ids array<long>")
+    parts = sound.mapInArrow(tidy(own), "vector binary, ids array<long>")
     return (parts.groupBy("vector").agg(F.slice(F.array_sort(F.array_distinct(F.flatten(F.collect_list("ids")))), 1, k + 1).alias("ids"))
             .select(F.col("ids")[0].alias("entry"), "vector", "ids"))
 
@@ -126,7 +126,7 @@ def nearest(vectors: DataFrame, queries: F.Column, *, k: int = 20, id_col: str =
                                                                     pa.binary())], names=["query_id", "vector"])
 
     # the ids that ask, by the entry of their vector; a null component makes a vector that is no entry's
-    asking = (rows.where("q").where(~F.exists("v", lambda x: x.isNull())).select("id", "v").mapInArrow(binary, "query_id long, vector binary")
+    asking = (rows.where("q").where(~F.exists("v", lambda x: x.isNull())).select("id", "v").mapInArrow(tidy(binary), "query_id long, vector binary")
               .join(entries.select("entry", "vector"), "vector").select("query_id", "entry").distinct())
     asking = stored(asking, "asking")
     asked = asking.select("entry").distinct().withColumn("asks", F.lit(True))
@@ -142,7 +142,7 @@ def nearest(vectors: DataFrame, queries: F.Column, *, k: int = 20, id_col: str =
             if b.num_rows:
                 yield pa.RecordBatch.from_arrays([pa.array([np.linalg.norm(_matrix(b.column(0).to_pylist()), axis=1).max()])], names=["m"])
 
-    longest = entries.select("vector").mapInArrow(lengths, "m double").agg(F.max("m")).first()[0]
+    longest = entries.select("vector").mapInArrow(tidy(lengths), "m double").agg(F.max("m")).first()[0]
     curves = fit(_matrix([r["vector"] for r in sample]), np.array([r["entry"] for r in sample]), longest * (1 + 1e-12), count)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -208,10 +208,10 @@ def nearest(vectors: DataFrame, queries: F.Column, *, k: int = 20, id_col: str =
         keep = np.arange(len(query)) - first <= k
         return pa.table([query[keep], entry[keep], score[keep]], names=["query", "entry", "score"])
 
-    found = (table.mapInArrow(deal, "cell long, query boolean, entries binary, vectors binary").groupBy("cell")
-             .applyInArrow(compare, "query long, entries binary, scores binary")
+    found = (table.mapInArrow(tidy(deal), "cell long, query boolean, entries binary, vectors binary").groupBy("cell")
+             .applyInArrow(tidy(compare), "query long, entries binary, scores binary")
              .withColumn("part", F.pmod(F.xxhash64("query"), F.lit(parts))).groupBy("part")
-             .applyInArrow(lambda t: merge(t.drop_columns("part")), "query long, entry long, score double"))
+             .applyInArrow(tidy(lambda t: merge(t.drop_columns("part"))), "query long, entry long, score double"))
     # entries back to rows: the k + 1 best rows of each asking entry, then each asking row without itself
     best = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
     candidates = (found.join(entries.select("entry", "ids"), "entry").select("query", "score", F.explode("ids").alias("vec_id"))

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import inspect
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -56,6 +59,43 @@ def spread_keys(spark: SparkSession, count: int) -> list[int]:
     return [keys[i] if i in keys else next(spare) for i in range(count)]
 
 
+@lru_cache(maxsize=1)
+def _trim():
+    """The C library's call that gives freed memory back to the system, where it has one."""
+    try:
+        return ctypes.CDLL(None).malloc_trim
+    except (AttributeError, OSError):
+        return lambda _: None
+
+
+def tidy(task: Callable) -> Callable:
+    """A task function after which the worker gives its freed memory back: workers live on between tasks and stages, and
+    what they hold counts against the executor."""
+    def release() -> None:
+        pa.default_memory_pool().release_unused()
+        _trim()(0)
+
+    if inspect.isgeneratorfunction(task):
+        def run(*args):
+            try:
+                yield from task(*args)
+            finally:
+                release()
+    elif len(inspect.signature(task).parameters) == 2:
+        def run(left, right):
+            try:
+                return task(left, right)
+            finally:
+                release()
+    else:
+        def run(table):
+            try:
+                return task(table)
+            finally:
+                release()
+    return run
+
+
 def text_batches(batches: Iterable[pa.RecordBatch], chars: int, text: str = "text") -> Iterator[pa.Table]:
     """Arrow batches joined, or cut, so that each holds about ``chars`` characters of ``text`` (one row at least)."""
     held: list[pa.RecordBatch] = []
@@ -97,18 +137,20 @@ class SpanHash:
 
     BASE = 0xD6E8FEB86659FD93
 
+    #: base**k and its inverse for k up to the longest array so far; the same for all hashes of a worker
+    power = np.ones(1, np.uint64)
+    inverse = np.ones(1, np.uint64)
+
     def __init__(self, seed: int, symbols: int) -> None:
         self.table = splitmix(seed, symbols)
-        self.power = np.ones(1, np.uint64)
-        self.inverse = np.ones(1, np.uint64)
 
     def prefix(self, symbols: np.ndarray) -> np.ndarray:
         n = len(symbols)
         if len(self.power) <= n:
-            size = 1 << int(n).bit_length()
-            base, inv = self.BASE, pow(self.BASE, -1, 1 << 64)
-            self.power, self.inverse = (np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(size, b, np.uint64)]))
-                                        for b in (base, inv))
+            for name, base in (("power", self.BASE), ("inverse", pow(self.BASE, -1, 1 << 64))):
+                values = np.full(n + n // 16 + 1, base, np.uint64)
+                values[0] = 1
+                setattr(SpanHash, name, np.cumprod(values, out=values))
         out = np.zeros(n + 1, np.uint64)
         np.cumsum(self.table[symbols] * self.power[:n], out=out[1:])
         return out

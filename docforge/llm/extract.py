@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docforge.llm.common import small_batches, text_batches
+from docforge.llm.common import small_batches, text_batches, tidy
 
 #: Lines a window spans; a run's peak in characters, as a share of the page's highest, to be main text.
 WINDOW, PEAK_SHARE = 3, 0.3
@@ -203,4 +203,4 @@ def extract(pages: DataFrame, *, html_col: str = "html", keep: tuple[str, ...] =
                 *(t[c].combine_chunks() for c in keep), pa.array(found, pa.string()),
                 pa.array(np.fromiter(map(len, found), np.int64, len(found)))], names=[*keep, "text", "n_chars"])
 
-    return pages.select(*keep, F.col(html_col).alias("__page")).mapInArrow(run, schema)
+    return pages.select(*keep, F.col(html_col).alias("__page")).mapInArrow(tidy(run), schema)

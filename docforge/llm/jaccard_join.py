@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from docforge.llm.common import gather, mix64, partitions, small_batches, stored, text_batches
+from docforge.llm.common import gather, mix64, partitions, small_batches, stored, text_batches, tidy
 from docforge.llm.components import components
 from docforge.llm.shingles import bits_apart, digests, parity_bits, shingle_sets
 
@@ -88,7 +88,7 @@ def _sets(docs: DataFrame, size: int) -> DataFrame:
                 yield pa.RecordBatch.from_pydict({"kind": [1], "id": [None], "mark": [None], "n": [k], "node": [0],
                                                   "data": [part.astype("<i8").tobytes()]}, _SETS_ARROW)
 
-    return docs.select("id", "text", "mark").mapInArrow(run, _SETS)
+    return docs.select("id", "text", "mark").mapInArrow(tidy(run), _SETS)
 
 
 def _standing_out(sets: DataFrame) -> np.ndarray:
@@ -100,7 +100,7 @@ def _standing_out(sets: DataFrame) -> np.ndarray:
         return pa.table({"n": t["n"].slice(0, 1).cast(pa.int32()), "data": pa.array([total.astype("<i8").tobytes()], pa.binary())})
 
     counts = np.zeros(1 << SKETCH_BITS, np.int64).reshape(-1, 1 << SLICE_BITS)
-    for r in sets.where("kind = 1").select("n", "data").groupBy("n").applyInArrow(add, "n int, data binary").collect():
+    for r in sets.where("kind = 1").select("n", "data").groupBy("n").applyInArrow(tidy(add), "n int, data binary").collect():
         counts[r["n"]] = np.frombuffer(r["data"], "<i8")
     counts = counts.ravel()
     return np.packbits(counts > 2 * counts.mean() + STAND_OUT, bitorder="little")
@@ -115,7 +115,7 @@ def _prefixes(docs: DataFrame, common: np.ndarray, size: int, percent: int, part
     """Prefix entries of all sets, packed by range of member."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         late = np.unpackbits(common, bitorder="little").astype(bool)
-        for t in text_batches(batches, 4 * CHARS):
+        for t in text_batches(batches, 2 * CHARS):
             value, begin = shingle_sets(t["text"], size)
             node = digests(value, begin, 0x51).view(np.int64)
             n = np.diff(begin)
@@ -145,7 +145,7 @@ def _prefixes(docs: DataFrame, common: np.ndarray, size: int, percent: int, part
             yield pa.RecordBatch.from_arrays([pa.array([p for p, _ in rows], pa.int32()), pa.array([x for _, x in rows], pa.binary())],
                                              names=["part", "data"])
 
-    return docs.select("id", "text").mapInArrow(run, "part int, data binary")
+    return docs.select("id", "text").mapInArrow(tidy(run), "part int, data binary")
 
 
 _PAIRS = "list long, u long, v long, nu int, nv int, place int, same boolean"
@@ -212,7 +212,7 @@ def _close(pairs: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
 
     both = (pairs.join(bits.select(F.col("node").alias("u"), F.col("data").alias("bu")), "u")
             .join(bits.select(F.col("node").alias("v"), F.col("data").alias("bv")), "v"))
-    return both.select("u", "v", "nu", "nv", "bu", "bv").mapInArrow(run, "u long, v long")
+    return both.select("u", "v", "nu", "nv", "bu", "bv").mapInArrow(tidy(run), "u long, v long")
 
 
 # -- blocks -------------------------------------------------------------------------------------------------
@@ -311,7 +311,7 @@ def _long_lists(members: DataFrame, bits: DataFrame, percent: int, parts: int) -
     rows = _block_pairs(members.select("list", "u", F.col("nu").alias("n"), "place"), "list", F.lit(1), LIST_BLOCK, "u")
     rows = rows.join(bits.select(F.col("node").alias("u"), F.col("data").alias("bits")), "u")
     return (rows.select("list", "i", "j", "own", "u", "n", "place", "bits").repartition(parts, "list", "i", "j")
-            .sortWithinPartitions("list", "i", "j").mapInArrow(run, "u long, v long"))
+            .sortWithinPartitions("list", "i", "j").mapInArrow(tidy(run), "u long, v long"))
 
 
 def _fold(data: bytes, length: int) -> np.ndarray:
@@ -354,7 +354,7 @@ def _links(rows: DataFrame, size: int, percent: int) -> DataFrame:
             u, v = _forest(*np.nonzero(link), len(n))
             yield pa.RecordBatch.from_arrays([pa.array(node[u]), pa.array(node[v])], names=["u", "v"])
 
-    return rows.select("cluster", "i", "j", "own", "node", "text").mapInArrow(run, "u long, v long")
+    return rows.select("cluster", "i", "j", "own", "node", "text").mapInArrow(tidy(run), "u long, v long")
 
 
 # -- the join -----------------------------------------------------------------------------------------------
@@ -382,8 +382,7 @@ def classes(docs: DataFrame, *, size: int = 5, percent: int = 80, id_col: str =
         F.min("id").alias("id"), F.min(F.struct(known.alias("of"), "mark")).alias("row"), F.first("n").alias("n"),
         F.first("data").alias("data")), "nodes")
     bits = nodes.select("node", "data")
-    pairs = stored(_prefixes(rows, common, size, percent, parts).groupBy("part").applyInArrow(
-        lambda t: _pairs(t, percent), _PAIRS), "pairs")
+    pairs = stored(_prefixes(rows, common, size, percent, parts).groupBy("part").applyInArrow(tidy(lambda t: _pairs(t, percent)), _PAIRS), "pairs")
     found = pairs.where("v is not null").groupBy("u", "v").agg(
         F.first("nu").alias("nu"), F.first("nv").alias("nv"), F.max("same").alias("same"))
     maybe = (_close(found.where("not same"), bits, percent).unionByName(found.where("same").select("u", "v"))

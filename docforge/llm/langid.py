@@ -25,12 +25,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docforge.llm.bpe import LETTER, char_classes
-from docforge.llm.common import small_batches, text_batches
+from docforge.llm.common import small_batches, text_batches, tidy
 
 BUCKETS = 1 << 13
 MAX_LANGUAGES = 200
 DOC_WEIGHT = 1 << 10
-CHARS = 1 << 20
+CHARS = 1 << 19
 #: Exhaustive codes up to so many languages, above them random ones of CODE_BITS bits.
 EXHAUSTIVE, CODE_BITS = 6, 63
 #: Trigrams that count as independent evidence at most, and the lead in score below which a text is ambiguous.
@@ -136,7 +136,7 @@ def fit(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang") -> M
     labelled = docs.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).where("lang is not null and text is not null")
     found = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES)
     names = sorted(r["lang"] for r in found.collect())
-    sums = (labelled.where(F.col("lang").isin(names)).mapInArrow(counts, "lang string, bucket int, n long")
+    sums = (labelled.where(F.col("lang").isin(names)).mapInArrow(tidy(counts), "lang string, bucket int, n long")
             .groupBy("lang", "bucket").agg(F.sum("n").alias("n")))
     table = {name: np.zeros(BUCKETS) for name in names}
     for r in sums.toLocalIterator():
@@ -167,5 +167,4 @@ def identify(docs: DataFrame, model: Model, *, text_col: str = "text", keep: tup
             yield pa.RecordBatch.from_arrays([*(t[c].combine_chunks() for c in keep), pa.array(names, pa.string()), pa.array(score),
                                               pa.array(unsure)], names=[*keep, "lang_pred", "score", "ambiguous"])
 
-    return docs.select(*keep, F.col(text_col).alias("__text")).mapInArrow(
-        run, kinds + "lang_pred string, score double, ambiguous boolean")
+    return docs.select(*keep, F.col(text_col).alias("__text")).mapInArrow(tidy(run), kinds + "lang_pred string, score double, ambiguous boolean")

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from docforge.llm.bpe import encoder
-from docforge.llm.common import gather, partitions, small_batches, text_batches
+from docforge.llm.common import gather, partitions, small_batches, text_batches, tidy
 
 #: Ids a block holds at least (its last document may be longer): bounds a task's memory.
 BLOCK_IDS = 1 << 21
@@ -189,7 +189,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, *, end_id: int, shards: in
 
     (docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
      .repartitionByRange(n, "id").sortWithinPartitions("id", "text")
-     .mapInArrow(blocks, BLOCK_SCHEMA).write.mode("error").parquet(path))
+     .mapInArrow(tidy(blocks), BLOCK_SCHEMA).write.mode("error").parquet(path))
 
 
 BLOCK_ARROW = pa.schema([("shard", pa.int32()), ("block", pa.int32()), ("n_docs", pa.int32()), ("n_ids", pa.int64()),
@@ -235,7 +235,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
                     names=["shard", "block", "doc_id", "n_tokens", "before", "ids"])
 
     small = "shard int, block int, doc_id long, n_tokens long, before long, ids binary"
-    return spark.read.parquet(path).mapInArrow(expand, small)
+    return spark.read.parquet(path).mapInArrow(tidy(expand), small)
 
 
 def block_starts(spark: SparkSession, path: str) -> DataFrame:

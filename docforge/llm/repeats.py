@@ -36,14 +36,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docforge.llm.common import SpanHash, gather, small_batches, spread_keys, text_batches
+from docforge.llm.common import SpanHash, gather, small_batches, spread_keys, text_batches, tidy
 
 #: A perfect difference set: the differences of its members give every residue.
 PERIOD, COVER = 21, (0, 1, 4, 14, 16)
 #: Text a shard holds, and text whose hashes are in memory at once within it.
-SHARD_BYTES, CHUNK_BYTES = 12 << 20, 2 << 20
+SHARD_BYTES, CHUNK_BYTES = 12 << 20, 1 << 20
 #: Characters that are dealt at once: a task sends a compressed batch to each shard that has some of them.
-DEAL_CHARS = 8 << 20
+DEAL_CHARS = 6 << 20
 NAME_BITS = 38
 NULL_ID = -(1 << 63)
 
@@ -76,7 +76,7 @@ def ranges(count: int, bits: int) -> np.ndarray:
 
 
 def distinct(values: np.ndarray) -> np.ndarray:
-    values = np.sort(values)
+    values.sort()
     return values[np.concatenate([[True], values[1:] != values[:-1]])] if len(values) else values
 
 
@@ -130,8 +130,11 @@ class Shard:
         cover = np.asarray(COVER)
         count = np.where(last >= 0, last // PERIOD * len(cover) + np.searchsorted(cover, last % PERIOD, "right"), 0)
         k = gather(np.zeros(len(size), np.int64), count)
-        doc = np.repeat(np.arange(len(size)), count)
-        return begin[doc] + k // len(cover) * PERIOD + cover[k % len(cover)], doc
+        at = k // len(cover) * PERIOD
+        at += cover[k % len(cover)]
+        doc = np.repeat(np.arange(len(size), dtype=np.int32), count)
+        at += begin[doc]
+        return at, doc
 
     def names(self) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
         for first, last, data, begin in self.chunks():
@@ -144,7 +147,9 @@ class Shard:
     def sample(self) -> tuple[np.ndarray, np.ndarray]:
         """Distinct names of the sample, and whether more than one position of the shard has them."""
         found = [x[-1] for x in self.names()]
-        values = np.sort(np.concatenate(found)) if found else np.zeros(0, np.uint64)
+        values = np.concatenate(found) if found else np.zeros(0, np.uint64)
+        del found
+        values.sort()
         edge = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1], [True]])) if len(values) else np.zeros(1, np.int64)
         return values[edge[:-1]], np.diff(edge) > 1
 
@@ -272,7 +277,7 @@ def remove_repeats(docs: DataFrame, *, width: int = 50, id_col: str = "doc_id",
 
     kinds = ", ".join(f"`c{k}` {docs.schema[c].dataType.simpleString()}" for k, c in enumerate(carry))
     rows = docs.select(long_id.alias("id"), F.col(text_col).alias("text"), *(F.col(c).alias(f"c{k}") for k, c in enumerate(carry)))
-    dealt = rows.mapInArrow(deal, "key long, shard int, data binary").repartition(count, "key")
+    dealt = rows.mapInArrow(tidy(deal), "key long, shard int, data binary").repartition(count, "key")
 
     def of(table: pa.Table) -> int:
         return table["shard"][0].as_py()
@@ -360,11 +365,10 @@ def remove_repeats(docs: DataFrame, *, width: int = 50, id_col: str = "doc_id",
                             ("kept", pa.binary())])
 
     def answers(names: DataFrame) -> DataFrame:
-        return names.groupBy("key").applyInArrow(lambda t: _answer(t, key_of), BITS_SCHEMA)
+        return names.groupBy("key").applyInArrow(tidy(lambda t: _answer(t, key_of)), BITS_SCHEMA)
 
-    first = answers(dealt.groupBy("key").applyInArrow(name_sample, NAMES_SCHEMA))
-    second = answers(dealt.groupBy("key").cogroup(first.groupBy("key")).applyInArrow(name_strings, NAMES_SCHEMA))
-    out = dealt.groupBy("key").cogroup(first.unionByName(second).groupBy("key")).applyInArrow(
-        cut_out, f"id long, {kinds + ', ' if carry else ''}n_bytes long, spans array<struct<start:long,end:long>>, kept binary")
+    first = answers(dealt.groupBy("key").applyInArrow(tidy(name_sample), NAMES_SCHEMA))
+    second = answers(dealt.groupBy("key").cogroup(first.groupBy("key")).applyInArrow(tidy(name_strings), NAMES_SCHEMA))
+    out = dealt.groupBy("key").cogroup(first.unionByName(second).groupBy("key")).applyInArrow(tidy(cut_out), f"id long, {kinds + ', ' if carry else ''}n_bytes long, spans array<struct<start:long,end:long>>, kept binary")
     return out.select(F.col("id").cast(docs.schema[id_col].dataType).alias(id_col),
                       *(F.col(f"c{k}").alias(c) for k, c in enumerate(carry)), "n_bytes", "spans", "kept")
