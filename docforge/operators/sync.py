@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from docforge.session import ensure_checkpoint_dir
+from docforge.session import ensure_checkpoint_dir, scratch
 
 UPSERT, DELETE = "upsert", "delete"
 
@@ -156,7 +156,4 @@ def live_after(documents: DataFrame, state: DataFrame) -> DataFrame:
 
 
 def new_session_scoped_dir(spark: SparkSession, name: str) -> str:
-    import uuid
-
-    root = ensure_checkpoint_dir(spark)
-    return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
+    return scratch(spark, name)

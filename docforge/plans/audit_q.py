@@ -13,6 +13,7 @@ from docforge.operators.store import DocumentStore
 from docforge.plans import fleet
 from docforge.plans.registry import query
 from docforge.sources.tables import read_table, small_frame
+from docforge.session import scratch
 from docforge.spec import AnalyzerSpec
 
 # ----------------------------------------------------------------- Spark side
@@ -240,7 +241,7 @@ def field_intents_q(spark, sf_dir):
 def _built_store(spark, sf_dir):
     """A store with two published datasets of several generations, an alias of another's generation, a concrete table
     and one that no dataset claims; all loaded from the given tables."""
-    store = DocumentStore(spark, database=f"docforge_{uuid.uuid4().hex[:10]}")
+    store = DocumentStore(spark, database=f"docforge_{uuid.uuid4().hex[:10]}", root=scratch(spark, "store"))
     table = lambda name, key: read_table(spark, sf_dir, name).select(F.col(key).cast("string").alias("id"))
     store.rebuild("customer", table("customer", "c_custkey"), {}, AnalyzerSpec("english"))
     part = store.rebuild("part", table("part", "p_partkey"), {}, strict=False)

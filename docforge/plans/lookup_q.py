@@ -10,6 +10,7 @@ from docforge.operators import calls, lookup
 from docforge.plans.registry import query
 from docforge.plans.text_q import _duck_tokens
 from docforge.sources.tables import read_table
+from docforge.session import scratch
 from docforge.spec import AnalyzerSpec, FieldSpec
 
 # The query strings of the match checks (singular/plural pairs).
@@ -140,7 +141,7 @@ def recorded_calls_q(spark, sf_dir):
     import uuid
 
     recorder = calls.CallRecorder(spark, "demo")
-    store = DocumentStore(spark, database=f"docforge_{uuid.uuid4().hex[:10]}", recorder=recorder)
+    store = DocumentStore(spark, database=f"docforge_{uuid.uuid4().hex[:10]}", root=scratch(spark, "store"), recorder=recorder)
     docs = customer_docs(spark, sf_dir)
     mapping = {"c_name": FieldSpec("text"), "c_nationkey": FieldSpec("long"), "c_acctbal": FieldSpec("float"),
                "c_mktsegment": FieldSpec("keyword"), "flag": FieldSpec("boolean")}

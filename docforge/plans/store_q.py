@@ -15,11 +15,12 @@ from docforge.plans.sync_q import AFTER_SYNC_SQL, CUSTOMER_DOCS_SQL, changed_doc
 from docforge.functions.porter import duckdb_stem_query
 from docforge.functions.text import fold_sql
 from docforge.plans.text_q import _duck_tokens
+from docforge.session import scratch
 from docforge.spec import AnalyzerSpec, FieldSpec
 
 
 def fresh_store(spark) -> DocumentStore:
-    return DocumentStore(spark, database=f"docforge_{uuid.uuid4().hex[:10]}")
+    return DocumentStore(spark, database=f"docforge_{uuid.uuid4().hex[:10]}", root=scratch(spark, "store"))
 
 
 @query("generation_create", """

@@ -10,6 +10,7 @@ from docforge.plans.fixtures import (CUSTOMER_ENTITY, FINAL_SQL, RECONCILED_SQL,
                                      dataset_entities)
 from docforge.plans.registry import query
 from docforge.sources import spool
+from docforge.session import scratch
 from docforge.spec import DatasetSpec
 
 CUSTOMER_SPEC = DatasetSpec(code="customer", entity=CUSTOMER_ENTITY, table="customer", id_field="c_custkey",
@@ -201,7 +202,7 @@ def spool_drain_q(spark, sf_dir):
     import uuid
 
     base = sync.new_session_scoped_dir(spark, "drain")
-    store = DocumentStore(spark, database=f"docforge_{uuid.uuid4().hex[:10]}")
+    store = DocumentStore(spark, database=f"docforge_{uuid.uuid4().hex[:10]}", root=scratch(spark, "store"))
     docs = customer_docs(spark, sf_dir)
     store.rebuild("customer", docs)  # the index as built before the changes
     changes = reconciled(spark, sf_dir)
@@ -232,7 +233,7 @@ def sync_stream_documents_q(spark, sf_dir):
     from docforge.streaming.sync_stream import start_sync
 
     base = sync.new_session_scoped_dir(spark, "sync-docs")
-    store = DocumentStore(spark, database=f"docforge_{uuid.uuid4().hex[:10]}")
+    store = DocumentStore(spark, database=f"docforge_{uuid.uuid4().hex[:10]}", root=scratch(spark, "store"))
     store.rebuild("customer", customer_docs(spark, sf_dir))
     change_rows(spark, sf_dir).repartition(6).write.parquet(f"{base}/landing")
 

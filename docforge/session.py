@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
+from functools import lru_cache
 
 from pyspark.sql import SparkSession
 
@@ -81,3 +83,19 @@ def spread(df):
     """``df`` dealt over the number of partitions the session sets for text analysis, if it sets one."""
     partitions = df.sparkSession.conf.get(PARTITIONS_KEY, None)
     return df.repartition(int(partitions)) if partitions else df
+
+
+@lru_cache(maxsize=8)
+def _scratch(application: str, root: str) -> str:
+    spark = SparkSession.getActiveSession() or SparkSession.builder.getOrCreate()
+    path = f"{root}/scratch-{application}"
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(hpath)
+    fs.deleteOnExit(hpath)
+    return path
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder for what only this application needs; removed when its driver ends."""
+    return f"{_scratch(spark.sparkContext.applicationId, shared_root(spark))}/{name}-{uuid.uuid4().hex[:12]}"
