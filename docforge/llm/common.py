@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import ctypes
 import inspect
-import uuid
 from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
@@ -13,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docforge.session import shared_root
+from docforge.session import scratch
 
 #: Rows in one Arrow batch handed to a Python task. Texts can be long, so the row count is kept small; the
 #: functions below gather batches up to a number of characters of their own.
@@ -39,7 +38,7 @@ def partitions(spark: SparkSession) -> int:
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet to the shared folder and read back: cuts lineage, survives lost executors."""
     spark = df.sparkSession
-    path = f"{shared_root(spark)}/llm/{name}-{uuid.uuid4().hex}"
+    path = scratch(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +9,7 @@ from pyspark.sql import functions as F
 from docforge.llm import encode as encoding
 from docforge.llm import ann, extract, imatch, jaccard_join, langid, pack, repair, repeats, rollup
 from docforge.llm.common import stored, table
-from docforge.session import shared_root
+from docforge.session import scratch
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -44,7 +42,7 @@ def op3_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     old, new = counted(BYTE_BPE, "byte_bpe_50k"), counted(WORD_BPE, "word_bpe_49k")
     toxic = labels.where("toxic = 1").select("doc_id")
     good = labels.where("quality = 1 and toxic = 0").select("doc_id")
-    path = f"{shared_root(spark)}/llm/rollup-{uuid.uuid4().hex}"
+    path = scratch(spark, "rollup")
     gone = old.join(toxic, "doc_id", "left_semi")
     rollup.commit(rollup.inserts(old), path, 1)
     rollup.commit(rollup.deletes(gone), path, 2)
@@ -79,7 +77,7 @@ def op7_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Place, count and checksum of every document's ids, read back from Re-Pair files."""
-    path = f"{shared_root(spark)}/llm/repair-{uuid.uuid4().hex}"
+    path = scratch(spark, "repair")
     repair.write(table(spark, sf_dir, "documents"), path, WORD_BPE, end_id=1)
     docs = repair.read(spark, path).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
     return docs.join(repair.block_starts(spark, path), ["shard", "block"]).select(
