@@ -245,15 +245,15 @@ def _bits(answers: pa.Table, step: int, values: np.ndarray, count: int) -> np.nd
 
 
 def remove_repeats(docs: DataFrame, *, width: int = 50, id_col: str = "doc_id", text_col: str = "text",
-                   carry: tuple[str, ...] = (), whole_characters: bool = False) -> DataFrame:
+                   carry: tuple[str, ...] = (), whole_characters: bool = False, shard_bytes: int | None = None) -> DataFrame:
     """``id_col``, the ``carry`` columns, ``n_bytes``, ``spans`` (array of removed [start, end) byte places, merged) and
     ``kept`` (binary: the bytes left) of every row. With ``whole_characters`` a character goes only with all its bytes, so what
-    is left is text."""
+    is left is text. ``shard_bytes`` (default ``SHARD_BYTES``) sizes a task's share of the texts; results don't depend on it."""
     spark = docs.sparkSession
     if width < 2 * PERIOD:
         raise ValueError(f"width must be at least {2 * PERIOD}")
     total = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
-    count = max(1, -(-int(total) // SHARD_BYTES))
+    count = max(1, -(-int(total) // (shard_bytes or SHARD_BYTES)))
     long_id = F.col(id_col).cast("long")
     steps = [k / count for k in range(1, count)]
     cuts = (docs.agg(F.percentile_approx(long_id, steps, max(10_000, 100 * count))).first()[0] or []) if steps else []
