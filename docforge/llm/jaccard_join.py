@@ -252,23 +252,26 @@ def _by_group(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...]) -> Itera
         yield pa.concat_tables(held)
 
 
-def _forest(u: np.ndarray, v: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """A spanning forest of the edges between places below n."""
-    root = list(range(n))
+class _Forest:
+    """A spanning forest, grown row by row so that no task holds all links of a dense block."""
 
-    def find(x: int) -> int:
-        while root[x] != x:
-            root[x] = root[root[x]]
-            x = root[x]
-        return x
+    def __init__(self, n: int) -> None:
+        self.label = np.arange(n)
+        self.u: list[int] = []
+        self.v: list[int] = []
 
-    keep = []
-    for k, (a, b) in enumerate(zip(u.tolist(), v.tolist())):
-        a, b = find(a), find(b)
-        if a != b:
-            root[max(a, b)] = min(a, b)
-            keep.append(k)
-    return u[keep], v[keep]
+    def join(self, k: int, others: np.ndarray) -> None:
+        """Link ``k`` with ``others``; one edge for each tree that it isn't in yet."""
+        others = others[self.label[others] != self.label[k]]
+        if len(others):
+            trees, first = np.unique(self.label[others], return_index=True)
+            self.u += [k] * len(first)
+            self.v += others[first].tolist()
+            self.label[np.isin(self.label, trees)] = self.label[k]
+
+    def edges(self, node: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(node[np.asarray(self.u, np.int64)], pa.int64()),
+                                           pa.array(node[np.asarray(self.v, np.int64)], pa.int64())], names=["u", "v"])
 
 
 def _long_lists(members: DataFrame, bits: DataFrame, percent: int, parts: int) -> DataFrame:
@@ -289,7 +292,7 @@ def _long_lists(members: DataFrame, bits: DataFrame, percent: int, parts: int) -
                     row[at, step] = np.arange(len(at)) + (len(folded[size]) if step else 0)
                     own_bits = [np.stack([_fold(data[k], size) for k in at.tolist()])] if len(at) else []
                     folded[size] = np.concatenate([folded[size], *own_bits]) if step else own_bits[0]
-            us, vs = [], []
+            forest = _Forest(len(node))
             for k in range(len(node) - 1):
                 need = least_overlap(n[k], n[k + 1 :], percent)
                 ok = (100 * n[k] >= percent * n[k + 1 :]) & (np.minimum(n[k] - place[k], (n - place)[k + 1 :]) >= need)
@@ -302,11 +305,8 @@ def _long_lists(members: DataFrame, bits: DataFrame, percent: int, parts: int) -
                 rows_of = row[later, np.where(length[later] == length[k], 0, 1)]
                 apart = np.bitwise_count(bits_of[rows_of] ^ bits_of[row[k, 0]]).sum(axis=1, dtype=np.int64)
                 later = later[apart <= n[k] + n[later] - 2 * least_overlap(n[k], n[later], percent)]
-                us.append(np.full(len(later), k))
-                vs.append(later)
-            if us:
-                u, v = _forest(np.concatenate(us), np.concatenate(vs), len(node))
-                yield pa.RecordBatch.from_arrays([pa.array(node[u]), pa.array(node[v])], names=["u", "v"])
+                forest.join(k, later)
+            yield forest.edges(node)
 
     rows = _block_pairs(members.select("list", "u", F.col("nu").alias("n"), "place"), "list", F.lit(1), LIST_BLOCK, "u")
     rows = rows.join(bits.select(F.col("node").alias("u"), F.col("data").alias("bits")), "u")
@@ -346,13 +346,16 @@ def _links(rows: DataFrame, size: int, percent: int) -> DataFrame:
             value, begin = shingle_sets(t["text"], size)
             n = np.diff(begin)
             node, own = t["node"].to_numpy(), t["own"].to_numpy()
-            common = _overlaps(value, np.repeat(np.arange(len(n)), n), len(n)).astype(np.int64)
-            link = 100 * common >= percent * (n[:, None] + n[None, :] - common)
-            link &= np.triu(np.ones_like(link), 1)
-            if t["i"][0] != t["j"][0]:
-                link &= own[:, None] != own[None, :]
-            u, v = _forest(*np.nonzero(link), len(n))
-            yield pa.RecordBatch.from_arrays([pa.array(node[u]), pa.array(node[v])], names=["u", "v"])
+            common = _overlaps(value, np.repeat(np.arange(len(n)), n), len(n))
+            cross = t["i"][0] != t["j"][0]
+            forest = _Forest(len(n))
+            for k in range(len(n) - 1):
+                shared = common[k, k + 1 :].astype(np.int64)
+                link = 100 * shared >= percent * (n[k] + n[k + 1 :] - shared)
+                if cross:
+                    link &= own[k + 1 :] != own[k]
+                forest.join(k, np.flatnonzero(link) + k + 1)
+            yield forest.edges(node)
 
     return rows.select("cluster", "i", "j", "own", "node", "text").mapInArrow(tidy(run), "u long, v long")
 
