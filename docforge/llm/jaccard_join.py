@@ -364,8 +364,9 @@ def _links(rows: DataFrame, size: int, percent: int) -> DataFrame:
 
 
 def classes(docs: DataFrame, *, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id_col``, ``n_shingles`` and ``component_id`` (the smallest id reachable by links) of every row, and ``text_mark``
-    (Spark's xxhash64 of the text), which with the id finds the row again.
+    """``id_col``, ``n_shingles`` and ``component_id`` (the smallest id reachable by links) of every row, ``text_mark``
+    (Spark's xxhash64 of the text), which with the id finds the row again, and ``root``, the class itself (null without shingles):
+    classes that are not linked can have one ``component_id``, if ids repeat or are null.
 
     Two rows are linked when 100 * (shared shingles) >= ``percent`` * (shingles of either).
     """
@@ -399,18 +400,20 @@ def classes(docs: DataFrame, *, size: int = 5, percent: int = 80, id_col: str =
     roots = components(_links(together, size, percent))
     found = nodes.select("node", "id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = found.groupBy("root").agg(F.min("id").alias("component"))
-    of = found.join(least, "root").select("node", "component")
+    of = found.join(least, "root").select("node", "component", "root")
     return (sets.join(of, "node", "left").select(
         F.col("id").cast(docs.schema[id_col].dataType).alias(id_col), F.col("n").cast("long").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id")).cast(docs.schema[id_col].dataType).alias("component_id"),
-        F.col("mark").alias("text_mark")))
+        F.col("mark").alias("text_mark"), "root"))
 
 
 def one_of_each(docs: DataFrame, *, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, all columns, of which one of each class stays: that of the class's id. Blank texts all stay."""
+    """The rows of ``docs``, all columns, of which one of each class stays: that of the class's id. Blank texts all stay, and rows of
+    one id, or of none, whose texts are not linked."""
     found = classes(docs, size=size, percent=percent, id_col=id_col, text_col=text_col)
     own = F.col(id_col).eqNullSafe(F.col("component_id"))
-    stay = (found.where(own & (F.col("n_shingles") > 0)).groupBy("component_id").agg(F.min("text_mark").alias("m")).withColumn("blank", F.lit(False))
+    stay = (found.where(own & (F.col("n_shingles") > 0)).groupBy("root", "component_id").agg(F.min("text_mark").alias("m"))
+            .select("component_id", "m", F.lit(False).alias("blank"))
             .unionByName(found.where("n_shingles = 0").select(F.col(id_col).alias("component_id"), F.col("text_mark").alias("m"),
                                                              F.lit(True).alias("blank")).distinct()))
     stay = stay.select(F.coalesce(F.col("component_id").cast("long"), F.lit(NO_ID)).alias("k"), "m", "blank")

@@ -107,3 +107,14 @@ def test_empty_table_and_clashing_columns(spark):
 def test_op4_whole_table(spark):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
     assert order([tuple(r) for r in op4_grouped_prefix(spark, SF).collect()]) == order(brute(rows, 3, 90))
+
+
+def test_unlinked_texts_of_one_id_or_none_all_stay(spark):
+    text = {k: " ".join(f"{k}{j}" for j in range(40)) for k in "abcd"}
+    rows = [(None, text["a"]), (None, text["b"]), (7, text["c"]), (7, text["d"]), (7, text["d"]), (None, text["a"] + " x"), (8, text["c"] + " x"),
+            (None, None), (None, " ")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r.doc_id or 0, r.text or "") for r in jaccard_join.one_of_each(df).collect())
+    a = [t for i, t in got if i == 0 and t.startswith("a0")]
+    assert len(a) == 1 and a[0] in (text["a"], text["a"] + " x")  # one class without an id: either row
+    assert [x for x in got if x[1] not in a] == sorted([(0, ""), (0, " "), (0, text["b"]), (7, text["c"]), (7, text["d"])])
