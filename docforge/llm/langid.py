@@ -70,13 +70,13 @@ class Model:
     weights: np.ndarray  # (BUCKETS, bits) log-likelihood ratios
     bit_weight: np.ndarray
 
-    def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
-        """Language, score and ambiguity of each text."""
+    def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+        """Language, score and ambiguity of each text, and whether it has a letter."""
         n = len(texts)
         bucket, owner, has = trigrams(texts)
         count = np.bincount(owner, minlength=n)
         if not self.languages:
-            return [UNKNOWN] * n, np.zeros(n), np.zeros(n, bool)
+            return [UNKNOWN] * n, np.zeros(n), np.zeros(n, bool), has
         loss = np.zeros((n, len(self.languages)))
         for b in range(self.code.shape[1]):
             margin = np.bincount(owner, self.weights[bucket, b], n) / np.maximum(count, 1)
@@ -88,7 +88,7 @@ class Model:
         score = share[np.arange(n), best]
         next_best = np.sort(share, axis=1)[:, -2] if share.shape[1] > 1 else np.zeros(n)
         names = [self.languages[k] if ok else UNKNOWN for k, ok in zip(best, has)]
-        return names, np.where(has, score, 0.0), has & (score - next_best < LEAD)
+        return names, np.where(has, score, 0.0), has & (score - next_best < LEAD), has
 
 
 def codewords(languages: int) -> np.ndarray:
@@ -154,17 +154,19 @@ def fit(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang") -> M
 
 
 def identify(docs: DataFrame, model: Model, *, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The columns ``keep`` with ``lang_pred``, ``score`` and ``ambiguous`` of every row. A kept column of one of these names
-    is replaced."""
+    """The columns ``keep`` with ``lang_pred``, ``score``, ``ambiguous`` and ``has_letter`` of every row. A kept column of one of
+    these names is replaced. ``und`` doesn't tell texts without a letter: every text is that if no language was learned."""
     small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # BUCKETS * bits numbers
-    keep = tuple(c for c in keep if c not in ("lang_pred", "score", "ambiguous"))
+    keep = tuple(c for c in keep if c not in ("lang_pred", "score", "ambiguous", "has_letter"))
     kinds = "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in text_batches(batches, CHARS, "__text"):
-            names, score, unsure = shared.value.predict(t["__text"].to_pylist())
+            names, score, unsure, has = shared.value.predict(t["__text"].to_pylist())
             yield pa.RecordBatch.from_arrays([*(t[c].combine_chunks() for c in keep), pa.array(names, pa.string()), pa.array(score),
-                                              pa.array(unsure)], names=[*keep, "lang_pred", "score", "ambiguous"])
+                                              pa.array(unsure), pa.array(has)],
+                                             names=[*keep, "lang_pred", "score", "ambiguous", "has_letter"])
 
-    return docs.select(*keep, F.col(text_col).alias("__text")).mapInArrow(tidy(run), kinds + "lang_pred string, score double, ambiguous boolean")
+    return docs.select(*keep, F.col(text_col).alias("__text")).mapInArrow(
+        tidy(run), kinds + "lang_pred string, score double, ambiguous boolean, has_letter boolean")

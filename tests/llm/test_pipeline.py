@@ -70,6 +70,15 @@ def test_stages_on_odd_rows(spark):
     assert out.count() >= 1
 
 
+def test_documents_without_any_label_stay(spark):
+    kind = "doc_id long, text string, lang string, source string, n_chars long"
+    texts = {1: "alpha beta", 2: "12 34", 3: None, 4: "É", 5: ""}
+    docs = spark.createDataFrame([(k, t, None, "s", len(t or "")) for k, t in texts.items()], kind)
+    assert sorted(r.doc_id for r in corpus_pipeline.language_id(spark, docs, SF).collect()) == [1, 4]
+    odd = spark.createDataFrame([(1, "alpha beta", None, "s", 10), (2, "12 34", "en", "s", 5)], kind)  # no labelled trigram
+    assert [r.doc_id for r in corpus_pipeline.language_id(spark, odd, SF).collect()] == [1]
+
+
 def test_stages_on_an_empty_table(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
