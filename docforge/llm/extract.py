@@ -3,9 +3,12 @@
 Markup is stripped to lines, one a block element. The distribution is the sum of text lengths over a sliding window of
 lines. It surges where the main text sets in and dives to nothing where it ends: the lines between a surge and the next
 dive are one run. Elements that by their name, role or class are no article text (menus, headers, footers, sidebars,
-notices, adverts, forms, comments, scripts, styles) become a gap as wide as the window, so the distribution dives there;
-link text does not count for the distribution. If the page has article or main elements, only lines inside them have a
-length. Otherwise runs whose peak is small beside the page's highest are not main text.
+notices, adverts, forms, comments, scripts, styles) become a gap as wide as the window, so the distribution dives there, and so
+do the borders of article and main elements; link text does not count for the distribution, but for headings in articles.
+
+Article and main elements are evidence only: text outside them counts by ``OUTSIDE``. The story is of the run with most text
+so counted. If it is in an article, all runs in articles are main text; otherwise runs whose peak is small beside the highest are
+not. A run of the other side is main text if it has a like share of the story's text.
 
 Defined results: a null or empty page, or one without text, gives the empty text. Unclosed elements end with their parent; an
 unclosed comment, script or style goes to the end of the page. Character references are decoded as browsers do, also
@@ -27,6 +30,8 @@ from docforge.llm.common import small_batches, text_batches, tidy
 
 #: Lines a window spans; a run's peak in characters, as a share of the page's highest, to be main text.
 WINDOW, PEAK_SHARE = 3, 0.3
+#: What a character outside article and main elements counts on a page that has them.
+OUTSIDE = 0.5
 CHARS = 1 << 21
 
 RAW = "script|style|noscript|template|textarea|iframe|svg|math|title|object|audio|video|canvas|select|xmp|noembed|noframes"
@@ -44,6 +49,7 @@ BLOCK = {"address", "article", "aside", "blockquote", "body", "br", "caption", "
 CLOSED_BY_ITSELF = {"p", "li", "dt", "dd", "tr", "td", "th", "option"}
 DROPPED = {"nav", "aside", "footer", "form", "head", "menu", "button", "dialog", "input", "fieldset"}
 MAIN = {"article", "main"}
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 DROPPED_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alertdialog", "alert", "menu",
                  "menubar", "toolbar"}
 DROPPED_WORDS = {"ad", "ads", "adv", "advert", "adverts", "advertisement", "advertising", "adsense", "sponsor", "sponsored", "promo",
@@ -88,7 +94,7 @@ def lines_of(page: str) -> tuple[list[str], list[int], list[bool]]:
     parts: list[str] = []
     plain = 0
     stack: list[tuple[str, bool, bool]] = []  # element, whether it is dropped, whether in an article
-    links = 0
+    links = headings = 0
     dropped = in_main = False
     at = 0
 
@@ -103,24 +109,28 @@ def lines_of(page: str) -> tuple[list[str], list[int], list[bool]]:
             parts.clear()
         plain = 0
 
+    def gap() -> None:
+        for _ in range(WINDOW):
+            texts.append("")
+            lengths.append(0)
+            inside.append(False)
+
     def leave(depth: int) -> None:
         """Close all elements from ``depth`` on."""
-        nonlocal dropped, in_main, links
+        nonlocal dropped, in_main, links, headings
         links -= sum(name == "a" for name, _, _ in stack[depth:])
-        was = dropped
+        headings -= sum(name in HEADINGS for name, _, _ in stack[depth:])
+        was = dropped, in_main
         del stack[depth:]
         dropped, in_main = stack[-1][1:] if stack else (False, False)
-        if was and not dropped:
-            for _ in range(WINDOW):
-                texts.append("")
-                lengths.append(0)
-                inside.append(False)
+        if not dropped and was != (dropped, in_main):
+            gap()
 
     for m in _TOKEN.finditer(page):
         if m.start() > at and not dropped:
             text = page[at : m.start()]
             parts.append(text)
-            if not links:
+            if not links or (in_main and headings):
                 plain += len(text)
         at = m.end()
         name = (m["name"] or m["name2"] or "").lower()
@@ -153,9 +163,12 @@ def lines_of(page: str) -> tuple[list[str], list[int], list[bool]]:
         now = dropped or _boilerplate(name, attr, in_main)
         if now and not dropped:
             flush()
+        if name in MAIN and not in_main and not now:
+            gap()
         dropped, in_main = now, in_main or name in MAIN
         stack.append((name, dropped, in_main))
         links += name == "a"
+        headings += name in HEADINGS
     if at < len(page) and not dropped:
         parts.append(page[at:])
         plain += len(page) - at
@@ -173,6 +186,19 @@ def runs_of(lengths: np.ndarray) -> list[tuple[int, int, int]]:
     return [(int(a), int(b) - WINDOW + 1, int(block[a:b].max())) for a, b in zip(edge[::2], edge[1::2])]
 
 
+def story(runs: list[tuple[int, int, int]], length: np.ndarray, in_main: np.ndarray) -> list[int]:
+    """The runs that are main text, in order."""
+    if not runs:
+        return []
+    marked = np.array([in_main[a] for a, _, _ in runs])  # no run goes across an article's border
+    weight = np.where(marked, 1, OUTSIDE)
+    text = np.array([length[a:b].sum() for a, b, _ in runs]) * weight
+    peak = np.array([p for _, _, p in runs])
+    side = marked == marked[text.argmax()]
+    own = side & (marked | (peak >= PEAK_SHARE * peak[side].max()))
+    return np.flatnonzero(own | (text >= PEAK_SHARE * text.max())).tolist()
+
+
 def main_text(page: str | None) -> str:
     """The page's main text, its blocks joined by a line feed."""
     if not page:
@@ -180,14 +206,10 @@ def main_text(page: str | None) -> str:
     texts, lengths, inside = lines_of(page)
     length = np.asarray(lengths, np.int64)
     in_main = np.asarray(inside, bool)
-    if in_main.any():
-        # an article's own lines count whole, so that one made of links is kept too
-        runs = runs_of(np.where(in_main, np.maximum(length, 1), 0))
-    else:
-        runs = runs_of(length)
-        peak = max((r[2] for r in runs), default=0)
-        runs = [r for r in runs if r[2] >= PEAK_SHARE * peak]
-    keep = [t for a, b, _ in runs for t, m in zip(texts[a:b], inside[a:b]) if t and (m or not in_main.any())]
+    if not length[in_main].any():  # articles made of links count by these
+        length = np.where(in_main, [len(t) for t in texts], length)
+    runs = runs_of(length)
+    keep = [t for a, b, _ in (runs[k] for k in story(runs, length, in_main)) for t in texts[a:b] if t]
     return "\n".join(keep)
 
 

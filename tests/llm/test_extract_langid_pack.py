@@ -38,6 +38,21 @@ def test_main_text(page, want):
     assert main_text(page) == want
 
 
+@pytest.mark.parametrize("page, want", [
+    # teaser cards marked as articles do not take the story's place
+    (f"<div class=content><h1>T</h1><p>{LONG}</p><p>{LONG}</p></div><article class=card>one</article><article class=card>two</article>",
+     f"T\n{LONG.strip()}\n{LONG.strip()}"),
+    # the distribution dives within an article
+    (f"<article><p>{LONG}</p><ul>{'<li><a href=x>no</a>' * 4}</ul></article>", LONG.strip()),
+    (f"<article><h1><a href=x>T</a></h1><p>{LONG}</p></article><div>no</div>", f"T\n{LONG.strip()}"),
+    (f"<main><p>{LONG}</p></main><div><p>{LONG}</p></div><div class=ad>no</div><div>no</div>", f"{LONG.strip()}\n{LONG.strip()}"),
+    ("<article><a href=x>nothing but links</a></article><div>no</div>", "nothing but links"),
+    (f"<article><p>{LONG}</p></article><article>short</article>", f"{LONG.strip()}\nshort"),
+])
+def test_articles_are_evidence_only(page, want):
+    assert main_text(page) == want
+
+
 def test_runs_of_the_distribution():
     lengths = np.array([5, 0, 0, 0, 9, 0, 7, 0, 0, 0, 1])
     assert [r[:2] for r in extract.runs_of(lengths)] == [(0, 1), (4, 7), (10, 11)]
