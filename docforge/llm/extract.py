@@ -10,6 +10,10 @@ Article and main elements are evidence only: text outside them counts by ``OUTSI
 so counted. If it is in an article, all runs in articles are main text; otherwise runs whose peak is small beside the highest are
 not. A run of the other side is main text if it has a like share of the story's text.
 
+Gaps of removed elements do not split a story outside articles. Its containers are the elements around the paragraphs of its longer
+lines; every other run inside one is main text however short, and so are paragraphs and headings that stand directly in an
+element around one, and the last h1 ahead if the story has none. An article inside a container counts if the story goes on after it.
+
 Defined results: a null or empty page, or one without text, gives the empty text. Unclosed elements end with their parent; an
 unclosed comment, script or style goes to the end of the page. Character references are decoded as browsers do, also
 without a semicolon. Each page is read whole; pages are independent, so there is no shuffle.
@@ -50,6 +54,9 @@ CLOSED_BY_ITSELF = {"p", "li", "dt", "dd", "tr", "td", "th", "option"}
 DROPPED = {"nav", "aside", "footer", "form", "head", "menu", "button", "dialog", "input", "fieldset"}
 MAIN = {"article", "main"}
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+#: Elements that hold paragraphs, and paragraphs.
+GROUPS = {"article", "body", "center", "details", "div", "html", "main", "section", "td"}
+PROSE = HEADINGS | {"blockquote", "p", "pre"}
 DROPPED_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alertdialog", "alert", "menu",
                  "menubar", "toolbar"}
 DROPPED_WORDS = {"ad", "ads", "adv", "advert", "adverts", "advertisement", "advertising", "adsense", "sponsor", "sponsored", "promo",
@@ -86,14 +93,17 @@ def _boilerplate(name: str, attr: str, in_main: bool) -> bool:
     return False
 
 
-def lines_of(page: str) -> tuple[list[str], list[int], list[bool]]:
-    """Text, length outside links, and whether inside an article, of every line; gaps are empty lines."""
+def lines_of(page: str) -> tuple[list[str], list[int], list[bool], list[int], list[tuple[str, int]]]:
+    """Text, length outside links, whether inside an article, and innermost block element of every line; gaps are empty lines. Also
+    name and parent of every block element; the first stands for the page."""
     texts: list[str] = []
     lengths: list[int] = []
     inside: list[bool] = []
+    place: list[int] = []
+    elements: list[tuple[str, int]] = [("", 0)]
     parts: list[str] = []
     plain = 0
-    stack: list[tuple[str, bool, bool]] = []  # element, whether it is dropped, whether in an article
+    stack: list[tuple[str, bool, bool, int]] = []  # element, whether it is dropped, whether in an article, block element
     links = headings = 0
     dropped = in_main = False
     at = 0
@@ -106,6 +116,7 @@ def lines_of(page: str) -> tuple[list[str], list[int], list[bool]]:
                 texts.append(text)
                 lengths.append(min(plain, len(text)))
                 inside.append(in_main)
+                place.append(stack[-1][3] if stack else 0)
             parts.clear()
         plain = 0
 
@@ -114,15 +125,16 @@ def lines_of(page: str) -> tuple[list[str], list[int], list[bool]]:
             texts.append("")
             lengths.append(0)
             inside.append(False)
+            place.append(0)
 
     def leave(depth: int) -> None:
         """Close all elements from ``depth`` on."""
         nonlocal dropped, in_main, links, headings
-        links -= sum(name == "a" for name, _, _ in stack[depth:])
-        headings -= sum(name in HEADINGS for name, _, _ in stack[depth:])
+        links -= sum(name == "a" for name, *_ in stack[depth:])
+        headings -= sum(name in HEADINGS for name, *_ in stack[depth:])
         was = dropped, in_main
         del stack[depth:]
-        dropped, in_main = stack[-1][1:] if stack else (False, False)
+        dropped, in_main = stack[-1][1:3] if stack else (False, False)
         if not dropped and was != (dropped, in_main):
             gap()
 
@@ -147,7 +159,7 @@ def lines_of(page: str) -> tuple[list[str], list[int], list[bool]]:
             while depth >= 0 and stack[depth][0] != name:
                 depth -= 1
             if depth >= 0:
-                if any(x in BLOCK for x, _, _ in stack[depth:]):
+                if any(x in BLOCK for x, *_ in stack[depth:]):
                     flush()
                 leave(depth)
             continue
@@ -166,14 +178,18 @@ def lines_of(page: str) -> tuple[list[str], list[int], list[bool]]:
         if name in MAIN and not in_main and not now:
             gap()
         dropped, in_main = now, in_main or name in MAIN
-        stack.append((name, dropped, in_main))
+        block = stack[-1][3] if stack else 0
+        if name in BLOCK and not dropped:
+            elements.append((name, block))
+            block = len(elements) - 1
+        stack.append((name, dropped, in_main, block))
         links += name == "a"
         headings += name in HEADINGS
     if at < len(page) and not dropped:
         parts.append(page[at:])
         plain += len(page) - at
     flush()
-    return texts, lengths, inside
+    return texts, lengths, inside, place, elements
 
 
 def runs_of(lengths: np.ndarray) -> list[tuple[int, int, int]]:
@@ -186,7 +202,8 @@ def runs_of(lengths: np.ndarray) -> list[tuple[int, int, int]]:
     return [(int(a), int(b) - WINDOW + 1, int(block[a:b].max())) for a, b in zip(edge[::2], edge[1::2])]
 
 
-def story(runs: list[tuple[int, int, int]], length: np.ndarray, in_main: np.ndarray) -> list[int]:
+def story(runs: list[tuple[int, int, int]], length: np.ndarray, in_main: np.ndarray, place: list[int],
+          elements: list[tuple[str, int]]) -> list[int]:
     """The runs that are main text, in order."""
     if not runs:
         return []
@@ -196,20 +213,59 @@ def story(runs: list[tuple[int, int, int]], length: np.ndarray, in_main: np.ndar
     peak = np.array([p for _, _, p in runs])
     side = marked == marked[text.argmax()]
     own = side & (marked | (peak >= PEAK_SHARE * peak[side].max()))
-    return np.flatnonzero(own | (text >= PEAK_SHARE * text.max())).tolist()
+    kept = own | (text >= PEAK_SHARE * text.max())
+    if not kept.all() and (kept & ~marked).any():
+        kept |= _set_apart(runs, kept, marked, length, place, elements)
+    return np.flatnonzero(kept).tolist()
+
+
+def _set_apart(runs: list[tuple[int, int, int]], kept: np.ndarray, marked: np.ndarray, length: np.ndarray, place: list[int],
+               elements: list[tuple[str, int]]) -> np.ndarray:
+    """The runs that belong to the kept ones outside articles by their place in the page."""
+    group = [0]
+    for _, parent in elements[1:]:
+        group.append(parent if elements[parent][0] in GROUPS else group[parent])
+    containers = set()
+    for k in np.flatnonzero(kept & ~marked).tolist():
+        a, b, _ = runs[k]
+        containers |= {group[place[i]] for i in range(a, b) if length[i] >= PEAK_SHARE * length[a:b].max()}
+    top = {e for e in containers if elements[e][0] in ("", "html", "body")}
+    within = [0 in containers]
+    deep = [False]  # in a container other than the whole page
+    for e in range(1, len(elements)):
+        within.append(e in containers or within[elements[e][1]])
+        deep.append((e in containers and e not in top) or deep[elements[e][1]])
+    around = {0}
+    for e in containers:
+        while e not in around:
+            around.add(e)
+            e = elements[e][1]
+    out = np.zeros(len(runs), bool)
+    for k, (a, b, _) in enumerate(runs):
+        own = place[a:b]
+        out[k] = not marked[k] and any(within[e] or (elements[e][0] in PROSE and group[e] in around) for e in own)
+    last = int(np.flatnonzero((kept | out) & ~marked)[-1])
+    for k in np.flatnonzero(marked[:last]).tolist():
+        out[k] = any(deep[e] for e in place[runs[k][0] : runs[k][1]])
+    titled = [k for k, (a, b, _) in enumerate(runs) if any(elements[e][0] == "h1" for e in place[a:b])]
+    first = int(np.flatnonzero(kept | out)[0])
+    if not any(kept[k] or out[k] for k in titled):
+        ahead = [k for k in titled if k < first and not marked[k]]
+        out[ahead[-1:]] = True
+    return out
 
 
 def main_text(page: str | None) -> str:
     """The page's main text, its blocks joined by a line feed."""
     if not page:
         return ""
-    texts, lengths, inside = lines_of(page)
+    texts, lengths, inside, place, elements = lines_of(page)
     length = np.asarray(lengths, np.int64)
     in_main = np.asarray(inside, bool)
     if not length[in_main].any():  # articles made of links count by these
         length = np.where(in_main, [len(t) for t in texts], length)
     runs = runs_of(length)
-    keep = [t for a, b, _ in (runs[k] for k in story(runs, length, in_main)) for t in texts[a:b] if t]
+    keep = [t for a, b, _ in (runs[k] for k in story(runs, length, in_main, place, elements)) for t in texts[a:b] if t]
     return "\n".join(keep)
 
 

@@ -53,6 +53,18 @@ def test_articles_are_evidence_only(page, want):
     assert main_text(page) == want
 
 
+@pytest.mark.parametrize("page, want", [
+    (f"<div><h2>T</h2><div class=ad>no</div><p>{LONG}</p><div class=ad>no</div><p>short</p></div><div>far</div>", f"T\n{LONG.strip()}\nshort\nfar"),
+    (f"<div><p>{LONG}</p><form>no</form><p>last</p></div><div class=notice>no</div><div><div>no</div></div>", f"{LONG.strip()}\nlast"),
+    (f"<body><div><h1>T</h1></div><div class=share>no</div><div><p>{LONG}</p></div><div class=ad>no</div><p>last</p></body>",
+     f"T\n{LONG.strip()}\nlast"),
+    (f"<div><div>{LONG}</div><div class=ad>no</div><div>last</div></div>", f"{LONG.strip()}\nlast"),
+    (f"<div><p>{LONG}</p><article>quote</article><p>last</p></div><article>no</article>", f"{LONG.strip()}\nquote\nlast"),
+])
+def test_gaps_do_not_split_the_story(page, want):
+    assert main_text(page) == want
+
+
 def test_runs_of_the_distribution():
     lengths = np.array([5, 0, 0, 0, 9, 0, 7, 0, 0, 0, 1])
     assert [r[:2] for r in extract.runs_of(lengths)] == [(0, 1), (4, 7), (10, 11)]
