@@ -213,7 +213,7 @@ def _ends(symbols: np.ndarray, grammar: Grammar, tokens: np.ndarray) -> np.ndarr
 
 def read(spark: SparkSession, path: str) -> DataFrame:
     """Every document of the files: ``shard``, ``block``, ``doc_id``, ``n_tokens``, ``before`` (ids before it in its
-    block) and ``ids`` (binary, little-endian unsigned 32-bit), each decoded from its own symbols."""
+    block) and ``ids`` (binary, little-endian unsigned 32-bit). Blocks are expanded whole; ``read_some`` reads documents alone."""
 
     def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -238,6 +238,68 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).mapInArrow(expand, small)
 
 
+def read_some(spark: SparkSession, path: str, doc_ids: list[int | None], start: int = 0, stop: int | None = None) -> DataFrame:
+    """``doc_id``, ``n_tokens`` and ``ids`` (as of ``read``) from place ``start`` to before ``stop`` of every document with one of
+    ``doc_ids``. Only their blocks' symbols are read, and only symbols that reach into the places asked for are expanded."""
+    if start < 0 or (stop is not None and stop < 0):
+        raise ValueError("places count from the document's first id")
+    wanted = {x for x in doc_ids if x is not None}
+    numbers = np.array(sorted(wanted), np.int64)
+    nulls = len(wanted) < len(set(doc_ids))
+
+    def chosen(row: dict) -> np.ndarray:
+        null = np.frombuffer(row["null_ids"], np.uint8).astype(bool)
+        return np.flatnonzero(np.where(null, nulls, np.isin(np.frombuffer(row["doc_ids"], "<i8"), numbers)))
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for row in b.to_pylist():
+                if len(chosen(row)):
+                    yield pa.RecordBatch.from_pydict({"shard": pa.array([row["shard"]], pa.int32()), "block": pa.array([row["block"]], pa.int32())})
+
+    def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for row in b.to_pylist():
+                rules = np.frombuffer(row["rules"], "<u2").reshape(-1, 2).astype(np.int64)
+                length = np.concatenate([np.ones(row["n_terminals"], np.int64), np.frombuffer(row["rule_lengths"], "<i8")])
+                symbols = np.frombuffer(row["symbols"], "<u2")
+                begins = np.append(np.frombuffer(row["doc_symbols"], "<i8"), len(symbols))
+                tokens, ids = np.frombuffer(row["doc_tokens"], "<i8"), np.frombuffer(row["doc_ids"], "<i8")
+                null = np.frombuffer(row["null_ids"], np.uint8)
+                for k in chosen(row).tolist():
+                    own = symbols[begins[k] : begins[k + 1]].astype(np.int64)
+                    ends = np.cumsum(length[own])
+                    last = int(tokens[k]) if stop is None else min(stop, int(tokens[k]))
+                    first = min(start, last)
+                    a, z = int(np.searchsorted(ends, first, "right")), int(np.searchsorted(ends, last)) + 1
+                    skip = first - (int(ends[a - 1]) if a else 0)
+                    out = _expanded(own[a:z], rules, row["n_terminals"])[skip : skip + last - first] if last > first else own[:0]
+                    yield pa.RecordBatch.from_pydict({
+                        "doc_id": pa.array([None if null[k] else int(ids[k])], pa.int64()), "n_tokens": pa.array([int(tokens[k])], pa.int64()),
+                        "ids": pa.array([out.astype("<u4").tobytes()], pa.binary())})
+
+    blocks = spark.read.parquet(path)
+    found = blocks.select("shard", "block", "doc_ids", "null_ids").mapInArrow(find, "shard int, block int").collect()
+    places: dict[int, list[int]] = {}
+    for r in found:
+        places.setdefault(r["shard"], []).append(r["block"])
+    where = F.lit(False)
+    for shard, of in places.items():
+        where |= (F.col("shard") == shard) & F.col("block").isin(of)
+    return blocks.where(where).mapInArrow(expand, "doc_id long, n_tokens long, ids binary")
+
+
+def _expanded(symbols: np.ndarray, rules: np.ndarray, terminals: int) -> np.ndarray:
+    x = symbols
+    while (big := x >= terminals).any():
+        size = 1 + big
+        at = (np.cumsum(size) - size)[big]
+        pair = rules[x[big] - terminals]
+        x = np.repeat(x, size)
+        x[at], x[at + 1] = pair[:, 0], pair[:, 1]
+    return x
+
+
 def block_starts(spark: SparkSession, path: str) -> DataFrame:
     """``shard``, ``block`` and ``first``: ids of all blocks before it. Reads two numbers a block; the window over all
     rows is over one row a shard."""

@@ -119,3 +119,16 @@ def test_files_of_odd_rows(spark):
         key = lambda x: (x[0] is not None, x[0] or 0, x[1])
         assert sorted(((r.doc_id, np.frombuffer(r.ids, "<u4").tolist()) for r in got), key=key) == sorted(want, key=key)
         assert repair.block_starts(spark, path).count() == len({(r.shard, r.block) for r in got})
+
+
+def test_documents_and_ranges_are_read_alone(spark, tmp_path):
+    rows = [(k, f"the quick brown fox {k % 3} jumps over the lazy dog " * (k % 5)) for k in range(40)] + [(None, "alone"), (7, "twice")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    path = str(tmp_path / "repair")
+    repair.write(df, path, WORD_BPE, end_id=1, shards=4)
+    whole = [(r.doc_id, r.n_tokens, bytes(r.ids)) for r in repair.read(spark, path).collect() if r.doc_id in (None, 7, 8, 39)]
+    assert len(whole) == 5
+    for start, stop in ((0, None), (0, 3), (5, 12), (13, 14), (4, 4), (10_000, None)):
+        got = [(r.doc_id, r.n_tokens, bytes(r.ids)) for r in repair.read_some(spark, path, [7, None, 39, 8, 99], start, stop).collect()]
+        assert sorted(got, key=str) == sorted([(d, n, x[4 * start : None if stop is None else 4 * stop]) for d, n, x in whole], key=str)
+    assert repair.read_some(spark, path, [99]).collect() == []
