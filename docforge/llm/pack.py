@@ -44,6 +44,8 @@ def encoded(docs: DataFrame, tokenizer: str, end_id: int, id_col: str, text_col:
     """``row`` (a number of its own), ``id``, ``key``, ``doc_tokens`` and ``ids`` (two bytes each) of every document."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer)
+        if max(enc.model.size, end_id + 1) > 1 << 16:
+            raise ValueError("a tokenizer of more than 65536 ids does not fit in two bytes an id")
         weights = projection(max(enc.model.size, end_id + 1))
         row = TaskContext.get().partitionId() << 40
         for t in text_batches(batches, CHARS):

@@ -70,6 +70,8 @@ def compress(ids: np.ndarray, terminals: int, barrier: int) -> tuple[np.ndarray,
     Pairs are first counted by a hash of ``BUCKET_BITS`` bits; only pairs of buckets that may hold one of the most
     frequent are counted exactly.
     """
+    if terminals > MAX_SYMBOLS:
+        raise ValueError(f"a tokenizer of more than {MAX_SYMBOLS} ids does not fit in symbols of two bytes")
     x = ids.astype(np.uint32)
     rules: list[np.ndarray] = []
     lengths = np.ones(terminals, np.int64)

@@ -10,7 +10,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from docforge.llm import encode, repair
+from docforge.llm import encode, pack, repair
 from docforge.llm.bpe import Encoder
 from docforge.llm.queries import BYTE_BPE, WORD_BPE, op2_bpe, op8_repair
 from docforge.session import shared_root
@@ -132,3 +132,10 @@ def test_documents_and_ranges_are_read_alone(spark, tmp_path):
         got = [(r.doc_id, r.n_tokens, bytes(r.ids)) for r in repair.read_some(spark, path, [7, None, 39, 8, 99], start, stop).collect()]
         assert sorted(got, key=str) == sorted([(d, n, x[4 * start : None if stop is None else 4 * stop]) for d, n, x in whole], key=str)
     assert repair.read_some(spark, path, [99]).collect() == []
+
+
+def test_ids_beyond_two_bytes_are_refused(spark):
+    with pytest.raises(ValueError):
+        repair.compress(np.array([70_000, 1]), 70_001, 1)
+    with pytest.raises(Exception, match="65536"):
+        pack.pack(spark.createDataFrame([(1, "a")], "doc_id long, text string"), BYTE_BPE, end_id=1 << 16).count()
