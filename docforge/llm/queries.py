@@ -7,12 +7,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docforge.llm import encode as encoding
-from docforge.llm import ann, extract, imatch, jaccard_join, langid, pack, repair, repeats, rollup
+from docforge.llm import ann, byte_bpe, extract, imatch, jaccard_join, langid, pack, repair, repeats, rollup
 from docforge.llm.common import stored, table
 from docforge.session import scratch
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
 def op1_hilbert_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -99,6 +100,14 @@ def op10_difference_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op13_tiktoken(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token count and digests of every document's ids by the rank file and of the bytes decoded from them."""
+    ids = byte_bpe.encode(table(spark, sf_dir, "documents"), RANKS, public_tokenizers.PATTERN)
+    return byte_bpe.decode(ids, RANKS, public_tokenizers.PATTERN).select(
+        "doc_id", "n_tokens", F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES = {
     "op1_hilbert_ann": (op1_hilbert_ann, None),
     "op2_bpe": (op2_bpe, None),
@@ -110,4 +119,5 @@ QUERIES = {
     "op10_difference_cover": (op10_difference_cover, None),
     "op7_imatch": (op7_imatch, None),
     "op8_repair": (op8_repair, None),
+    "op13_tiktoken": (op13_tiktoken, None),
 }
