@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docforge.llm import encode as encoding
-from docforge.llm import ann, byte_bpe, extract, imatch, jaccard_join, langid, pack, repair, repeats, rollup
+from docforge.llm import ann, byte_bpe, extract, imatch, jaccard_join, langid, pack, repair, repeats, resample, rollup
 from docforge.llm.common import stored, table
 from docforge.session import scratch
 
@@ -100,6 +100,52 @@ def op10_difference_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quarter of the documents, drawn towards the benchmark's distribution, with exact ranks."""
+    return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).select(
+        "doc_id", "n_features", "weight", "score", "rank")
+
+
+def _crc_steps() -> str:
+    """The checksum's table of 256 entries from its rule, one bit a step."""
+    steps = ["c0 AS (SELECT range AS b, range AS c FROM range(256))"]
+    steps += [f"c{k} AS (SELECT b, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END AS c FROM c{k - 1})" for k in range(1, 9)]
+    return ", ".join(steps) + ", crc AS (SELECT list(c ORDER BY b) AS entry FROM c8)"
+
+
+def _sql_features(name: str, source: str) -> str:
+    """CTEs: the words of every row of ``source``, and its features."""
+    lower = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return (f"{name}_words AS (SELECT *, regexp_extract_all({lower}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM {source}), "
+            f"{name}_f AS (SELECT nth, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS f FROM {name}_words)")
+
+
+OP11_SQL = f"""
+WITH {_crc_steps()},
+{_sql_features("d", "(SELECT row_number() OVER () AS nth, doc_id, text FROM documents)")},
+{_sql_features("b", "(SELECT row_number() OVER () AS nth, text FROM benchmark)")},
+counted AS (SELECT f, sum(s) AS s, sum(t) AS t FROM (SELECT f, 1 AS s, 0 AS t FROM d_f UNION ALL SELECT f, 0, 1 FROM b_f) GROUP BY f),
+spelled AS (SELECT f, s, t, hex(encode(f)) AS h FROM counted),
+hashed AS (SELECT f, s, t, xor(list_reduce(list_prepend(4294967295, list_transform(range(1, len(h) // 2 + 1),
+    lambda i: 16 * (strpos('0123456789ABCDEF', h[2 * i - 1]) - 1) + strpos('0123456789ABCDEF', h[2 * i]) - 1)),
+    lambda a, x: xor(a >> 8, entry[(xor(a, x) & 255) + 1])), 4294967295) % 10000 AS bucket FROM spelled, crc),
+sizes AS (SELECT bucket, sum(s) AS s, sum(t) AS t FROM hashed GROUP BY bucket),
+whole AS (SELECT sum(s) AS sa, sum(t) AS ta FROM sizes),
+gain AS (SELECT bucket, CAST(floor(1000 * ln(CAST((t + 1) * (sa + 10000) AS DOUBLE) / CAST((s + 1) * (ta + 10000) AS DOUBLE))) AS BIGINT) AS g
+         FROM sizes, whole),
+sums AS (SELECT nth, count(*) AS n_features, sum(g) AS total FROM d_f JOIN hashed USING (f) JOIN gain USING (bucket) GROUP BY nth),
+weighed AS (SELECT doc_id, nth, len(w) AS n_words, coalesce(n_features, 0) AS n_features,
+                   coalesce(CAST(floor(CAST(total AS DOUBLE) / n_features) AS BIGINT), 0) AS weight
+            FROM d_words LEFT JOIN sums USING (nth)),
+scored AS (SELECT *, weight + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('7:' || doc_id), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296))) AS BIGINT)
+                  AS score FROM weighed),
+able AS (SELECT nth, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS n FROM scored WHERE n_words >= 20)
+SELECT doc_id, CAST(n_features AS BIGINT) AS n_features, CAST(weight AS BIGINT) AS weight, CAST(score AS BIGINT) AS score,
+       CASE WHEN place <= 25 * n // 100 THEN CAST(place AS BIGINT) END AS rank
+FROM scored LEFT JOIN able USING (nth)
+"""
+
+
 def op13_tiktoken(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token count and digests of every document's ids by the rank file and of the bytes decoded from them."""
     ids = byte_bpe.encode(table(spark, sf_dir, "documents"), RANKS, public_tokenizers.PATTERN)
@@ -119,5 +165,6 @@ QUERIES = {
     "op10_difference_cover": (op10_difference_cover, None),
     "op7_imatch": (op7_imatch, None),
     "op8_repair": (op8_repair, None),
+    "op11_importance": (op11_importance, OP11_SQL),
     "op13_tiktoken": (op13_tiktoken, None),
 }
