@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docforge.llm import encode as encoding
-from docforge.llm import ann, byte_bpe, extract, imatch, jaccard_join, langid, pack, repair, repeats, resample, rollup
+from docforge.llm import ann, byte_bpe, extract, imatch, jaccard_join, langid, pack, repair, repeats, resample, rollup, whiten
 from docforge.llm.common import stored, table
 from docforge.session import scratch
 
@@ -146,6 +146,11 @@ FROM scored LEFT JOIN able USING (nth)
 """
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The eight leading whitened components of every usable vector."""
+    return whiten.whiten(table(spark, sf_dir, "embeddings"), components_wanted=8)
+
+
 def op13_tiktoken(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token count and digests of every document's ids by the rank file and of the bytes decoded from them."""
     ids = byte_bpe.encode(table(spark, sf_dir, "documents"), RANKS, public_tokenizers.PATTERN)
@@ -166,5 +171,6 @@ QUERIES = {
     "op7_imatch": (op7_imatch, None),
     "op8_repair": (op8_repair, None),
     "op11_importance": (op11_importance, OP11_SQL),
+    "op12_whitening": (op12_whitening, None),
     "op13_tiktoken": (op13_tiktoken, None),
 }
