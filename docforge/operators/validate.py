@@ -113,8 +113,9 @@ def classify(docs: DataFrame, doc_col: str, mapping: Mapping[str, FieldSpec], st
     return _with_problem(parsed, F.coalesce(*problems)).drop("__doc")
 
 
-def classify_rows(rows: DataFrame, mapping: Mapping[str, FieldSpec], strict: bool = True, id_col: str = "id") -> DataFrame:
-    """Add ``reject_type`` and ``reason`` to documents that are already columns.
+def classify_rows(rows: DataFrame, mapping: Mapping[str, FieldSpec], strict: bool = True, id_col: str = "id",
+                  ignore: tuple[str, ...] = ()) -> DataFrame:
+    """Add ``reject_type`` and ``reason`` to documents that are already columns (those of ``ignore`` are no fields).
 
     Column types settle most of it at plan time; only texts declared as something else are looked at row by row.
     """
@@ -122,7 +123,7 @@ def classify_rows(rows: DataFrame, mapping: Mapping[str, FieldSpec], strict: boo
     for f in rows.schema.fields:
         if f.name in mapping:
             problems += _column_problem(f, mapping[f.name])
-    extra = [f.name for f in rows.schema.fields if f.name not in mapping and f.name != id_col]
+    extra = [f.name for f in rows.schema.fields if f.name not in mapping and f.name != id_col and f.name not in ignore]
     if strict and extra:
         present = F.array_compact(F.array(*[F.when(F.col(f"`{n}`").isNotNull(), F.lit(n)) for n in extra]))
         problems.append(_strict_problem(F.array_sort(present)))

@@ -208,3 +208,104 @@ UNION ALL SELECT CAST(doc_id AS VARCHAR), 'n_chars', CAST(0 AS BIGINT), CAST(n_c
 """, ("TXT-6", "SNK-4"))
 def live_terms_q(spark, sf_dir):
     return _index_documents(spark, sf_dir).terms("documents").select("id", "field", "position", "term")
+
+
+def _late_changes(store, spark, sf_dir):
+    """What lands while a generation is made: one nation's customers go, another's have new values."""
+    docs = changed_docs(spark, sf_dir)
+    store.apply_changes("customer", docs.where("c_nationkey = 104"), docs.where("c_nationkey = 103").select("id"), seq_col=None)
+
+
+_AFTER_LATE_SQL = f"""
+SELECT id, c_name, c_nationkey + CASE WHEN c_nationkey = 4 THEN 100 ELSE 0 END AS c_nationkey, c_acctbal,
+       c_mktsegment || CASE WHEN c_nationkey = 4 THEN '/' || length(c_name) ELSE '' END AS c_mktsegment
+FROM ({CUSTOMER_DOCS_SQL}) d WHERE c_nationkey <> 3
+"""
+
+
+@query("change_during_compact", f"{_AFTER_LATE_SQL} AND c_nationkey <> 7", ("SNK-5", "SNK-6", "SNK-1"))
+def change_during_compact_q(spark, sf_dir):
+    # the log's deletes are folded; changes that land after the read are carried into the new generation
+    store = fresh_store(spark)
+    docs = customer_docs(spark, sf_dir)
+    store.rebuild("customer", docs)
+    store.apply_changes("customer", None, docs.where("c_nationkey = 7").select("id"), seq_col=None)
+    store.compact("customer", accept=lambda _: _late_changes(store, spark, sf_dir))
+    return store.read("customer")
+
+
+@query("change_during_rebuild", _AFTER_LATE_SQL, ("SNK-5", "SNK-6", "STR-4"))
+def change_during_rebuild_q(spark, sf_dir):
+    # the earlier delete is the source's business (the rows are still there), the later changes are carried over; the writer's
+    # generation has gone by the time of the last one
+    store = fresh_store(spark)
+    docs = customer_docs(spark, sf_dir)
+    store.rebuild("customer", docs)
+    store.apply_changes("customer", None, docs.where("c_nationkey = 7").select("id"), seq_col=None)
+    store.rebuild("customer", docs, accept=lambda _: _late_changes(store, spark, sf_dir))
+    return store.read("customer")
+
+
+@query("writer_overtaken", _AFTER_LATE_SQL, ("SNK-1", "SNK-2", "SNK-5"))
+def writer_overtaken_q(spark, sf_dir):
+    # the generation is replaced between a writer's look at the alias and its commit: it writes its batch anew
+    store = fresh_store(spark)
+    docs = customer_docs(spark, sf_dir)
+    store.rebuild("customer", docs)
+    commit, overtaken = store._commit_batch, []
+
+    def late(alias, head, *rest, **kw):
+        if not overtaken:
+            overtaken.append(store.rebuild(alias, docs))
+        return commit(alias, head, *rest, **kw)
+
+    store._commit_batch = late
+    _late_changes(store, spark, sf_dir)
+    return store.read("customer")
+
+
+_BAD_NATIONS = {"c_nationkey": FieldSpec("long"), "c_name": FieldSpec("text"), "c_acctbal": FieldSpec("float"),
+                "c_mktsegment": FieldSpec("keyword")}
+
+
+def _some_unreadable(spark, sf_dir):
+    """Customers of two nations have a nation that is no number."""
+    return customer_docs(spark, sf_dir).withColumn(
+        "c_nationkey", F.when(F.col("c_nationkey").isin(5, 6), F.concat(F.lit("n"), "c_nationkey")).otherwise(F.col("c_nationkey").cast("string")))
+
+
+@query("all_rejects", f"""
+SELECT id, 'document_parsing_exception' AS reject_type, 'failed to parse field [c_nationkey] of type [long]' AS reason, CAST(NULL AS BIGINT) AS live
+FROM ({CUSTOMER_DOCS_SQL}) d WHERE c_nationkey IN (5, 6)
+UNION ALL SELECT 'accepted', NULL, NULL, count(*) FILTER (WHERE c_nationkey NOT IN (5, 6)) FROM customer
+""", ("SNK-3", "FLT-5"))
+def all_rejects_q(spark, sf_dir):
+    # one pass deals the rows; the load that is asked to accept the rest publishes it
+    store = fresh_store(spark)
+    store.rebuild("customer", _some_unreadable(spark, sf_dir), _BAD_NATIONS, on_reject="accept")
+    live = store.read("customer").groupBy().count().select(
+        F.lit("accepted").alias("id"), F.lit(None).cast("string").alias("reject_type"), F.lit(None).cast("string").alias("reason"),
+        F.col("count").alias("live"))
+    return store.rejects("customer").select("id", "reject_type", "reason", F.lit(None).cast("bigint").alias("live")).unionByName(live)
+
+
+@query("resumed_batches", f"""
+SELECT id, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey, c_acctbal,
+       c_mktsegment || CASE WHEN c_nationkey < 4 THEN '' ELSE '/again' END AS c_mktsegment FROM ({CUSTOMER_DOCS_SQL}) d
+""", ("SNK-8", "SNK-3"))
+def resumed_batches_q(spark, sf_dir):
+    # five batches by nation; the second is refused: the first one stays, and the repeat writes the rest only
+    store = fresh_store(spark)
+    bad = _some_unreadable(spark, sf_dir)
+    store.create("customer", bad.schema, mapping=_BAD_NATIONS)
+    number = F.floor(F.regexp_extract("c_nationkey", "[0-9]+", 0).cast("int") / 4)
+    try:
+        store.populate_batches("customer", bad, "load", batch_of=number)
+    except RuntimeError:
+        pass
+    else:
+        raise AssertionError("a batch with rejected documents must stop the run")
+    good = customer_docs(spark, sf_dir).withColumns({"c_nationkey": F.col("c_nationkey").cast("string"),
+                                                     "c_mktsegment": F.concat("c_mktsegment", F.lit("/again"))})
+    store.populate_batches("customer", good, "load", batch_of=number)
+    return store.read("customer")
