@@ -24,8 +24,8 @@ SESSION_ENTITY = "App\\Entity\\Session"
 EVENT_OPS = {"signup": "persist", "purchase": "update", "error": "remove", "view": "update", "click": "update"}
 
 
-def change_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(flush TIMESTAMP_NTZ, entity, key ARRAY<STRING>, op)`` from events."""
+def change_rows(spark: SparkSession, sf_dir: str, extra: tuple = ()) -> DataFrame:
+    """``(flush TIMESTAMP_NTZ, entity, key ARRAY<STRING>, op)`` from events, with the columns ``extra`` of them."""
     ev = read_table(spark, sf_dir, "events")
     op = F.coalesce(*[F.when(F.col("event_type") == k, F.lit(v)) for k, v in EVENT_OPS.items()])
     entity = (F.when(F.col("event_type").isin("signup", "purchase", "error"), F.lit(CUSTOMER_ENTITY))
@@ -33,7 +33,7 @@ def change_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.select(F.date_trunc("day", F.col("ts")).cast("timestamp_ntz").alias("flush"),
                      entity.alias("entity"),
                      F.array(F.col("user_id").cast("string")).alias("key"),
-                     op.alias("op"))
+                     op.alias("op"), *extra)
 
 
 def dataset_entities(spark: SparkSession) -> DataFrame:

@@ -250,3 +250,43 @@ def sync_stream_documents_q(spark, sf_dir):
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
     return store.read("customer")
+
+
+@query("captured_changes", f"""
+SELECT id, 'remove' AS op FROM ({CUSTOMER_DOCS_SQL}) d WHERE c_nationkey = 3
+UNION ALL SELECT id, 'update' FROM ({CUSTOMER_DOCS_SQL}) d WHERE c_nationkey = 4
+UNION ALL SELECT 'n' || id, 'persist' FROM ({CUSTOMER_DOCS_SQL}) d WHERE c_nationkey = 5
+""", ("STR-1",))
+def captured_changes_q(spark, sf_dir):
+    # two snapshots of the source: one nation's rows went, another's have other values (one a null), some rows are new
+    from docforge.operators import capture
+    base = sync.new_session_scoped_dir(spark, "capture")
+    docs = customer_docs(spark, sf_dir)
+    capture.write_snapshot(docs, f"{base}/old")
+    later = docs.where("c_nationkey <> 3").withColumns({
+        "c_acctbal": F.when(F.col("c_nationkey") != 4, F.col("c_acctbal")),
+        "c_mktsegment": F.when(F.col("c_nationkey") == 4, F.lower("c_mktsegment")).otherwise(F.col("c_mktsegment"))})
+    added = docs.where("c_nationkey = 5").withColumn("id", F.concat(F.lit("n"), "id"))
+    capture.write_snapshot(later.unionByName(added).repartition(3), f"{base}/new")
+    return capture.changes(spark, f"{base}/old", f"{base}/new")
+
+
+@query("complete_flushes", RECONCILED_SQL, ("STR-2", "FLT-1", "FLT-2", "STR-5"))
+def complete_flushes_q(spark, sf_dir):
+    # rows land by time; the day in the middle is split over three files, with the stream stopped after each of them
+    from docforge.sources.tables import read_table
+    from docforge.streaming.flushes import heartbeat, start_flushes
+    base = sync.new_session_scoped_dir(spark, "flushes")
+    first, last = read_table(spark, sf_dir, "events").agg(F.min("ts"), F.max("ts")).first()
+    middle = (first + (last - first) / 2).replace(hour=0, minute=0, second=0, microsecond=0)
+    hours = F.col("at") - F.lit(middle).cast("timestamp_ntz")
+    part = F.when(hours < F.expr("interval 8 hours"), 0).when(hours < F.expr("interval 16 hours"), 1).otherwise(2)
+    rows = change_rows(spark, sf_dir, extra=(F.col("ts").cast("timestamp_ntz").alias("at"),)).withColumn("part", part)
+    for k in range(4):
+        landed = rows.where(F.col("part") == k).drop("part", "at") if k < 3 else heartbeat(spark, "2999-01-01 00:00:00")
+        landed.coalesce(1).write.mode("append").parquet(f"{base}/landing")
+        q = start_flushes(spark, f"{base}/landing", f"{base}/out", f"{base}/checkpoint", dataset_entities(spark))
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise RuntimeError(str(q.exception()))
+    return spark.read.parquet(f"{base}/out")
