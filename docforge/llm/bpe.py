@@ -25,7 +25,7 @@ from functools import lru_cache
 import numpy as np
 from tokenizers import Regex, pre_tokenizers
 
-from docforge.llm.common import SpanHash, gather
+from docforge.llm.common import KEPT, WordHash, gather
 
 #: Words kept in a worker's table (about 40 bytes each); beyond it the table starts anew. Bounds memory only.
 TABLE_WORDS = 1 << 20
@@ -252,7 +252,7 @@ class Encoder:
     def __init__(self, path: str) -> None:
         self.model = BpeModel(path)
         self.classes = char_classes()
-        self.hash = SpanHash(0x5EED, 0x110000)
+        self.hash = WordHash(0x5EED, 0x110000)
         self.table = WordTable(TABLE_WORDS)
         self.special = re.compile("(" + "|".join(map(re.escape, self.model.special)) + ")") if self.model.special else None
         lens = np.fromiter(map(len, self.model.raw), np.int64, self.model.size)
@@ -326,7 +326,7 @@ class Encoder:
         first = np.zeros(len(points), bool)
         first[begins[sizes > 0]] = True
         start, end = self._spans(points, first)
-        keys = self.hash.spans(self.hash.prefix(points), start, end) | np.uint64(1)
+        keys = self.hash.spans(points, start, end) | np.uint64(1)
         at = self.table.find(keys)
         missing = np.flatnonzero(at < 0)
         if len(missing):
@@ -389,3 +389,6 @@ class Encoder:
 def encoder(path: str) -> Encoder:
     """The worker's encoder for a tokenizer file; its table of known words outlives a task."""
     return Encoder(path)
+
+
+KEPT["encoder"] = encoder

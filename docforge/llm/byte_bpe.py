@@ -28,7 +28,7 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docforge.llm.common import small_batches, text_batches, tidy
+from docforge.llm.common import KEPT, small_batches, text_batches, tidy
 
 #: A longer text is cut into pieces of about this size.
 PIECE_CHARS = 1 << 16
@@ -118,6 +118,9 @@ def codec(ranks: str, pattern: str, cut: bool = True) -> Codec:
     return Codec(ranks, pattern, cut)
 
 
+KEPT["codec"] = codec
+
+
 def encode(docs: DataFrame, ranks: str, pattern: str, *, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",),
            cut: bool = True) -> DataFrame:
     """The columns ``keep``, ``n_tokens`` (long) and ``ids`` (array of int) of every row. A kept column of one of these names is replaced.
@@ -139,7 +142,7 @@ def encode(docs: DataFrame, ranks: str, pattern: str, *, text_col: str = "text",
                                               pa.array(ids, pa.list_(pa.int32()))], names=[*keep, "n_tokens", "ids"])
 
     return docs.select(*(f"`{c}`" for c in keep), F.col(text_col).cast("binary").alias("__text")).mapInArrow(
-        tidy(run), kinds + "n_tokens long, ids array<int>")
+        tidy(run, ("codec",)), kinds + "n_tokens long, ids array<int>")
 
 
 def decode(encoded: DataFrame, ranks: str, pattern: str, *, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
@@ -153,4 +156,4 @@ def decode(encoded: DataFrame, ranks: str, pattern: str, *, ids_col: str = "ids"
             data = [None if x is None else own.decode_bytes(x) for x in b.column(b.schema.get_field_index(ids_col)).to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(data, pa.binary())], names=[*b.schema.names, out_col])
 
-    return encoded.select(*(f"`{f.name}`" for f in fields)).mapInArrow(tidy(run), schema)
+    return encoded.select(*(f"`{f.name}`" for f in fields)).mapInArrow(tidy(run, ("codec",)), schema)

@@ -67,27 +67,46 @@ def _trim():
         return lambda _: None
 
 
-def tidy(task: Callable) -> Callable:
-    """A task function after which the worker gives its freed memory back: workers live on between tasks and stages, and
-    what they hold counts against the executor."""
+#: What a worker keeps from task to task: name -> cached function. Filled by the modules that have such tables.
+KEPT: dict[str, Callable] = {}
+
+
+def begin(uses: tuple[str, ...]) -> None:
+    """Give up the tables that earlier tasks of other operators left in this worker."""
+    for name, cached in KEPT.items():
+        if name not in uses:
+            cached.cache_clear()
+
+
+def tidy(task: Callable, uses: tuple[str, ...] = ()) -> Callable:
+    """A task function before which the worker gives up tables it doesn't use (all but ``uses``), and after which it gives its
+    freed memory back: workers live on between tasks and stages, and what they hold counts against the executor."""
+    def start() -> None:
+        from docforge.llm import common  # the worker's own module, not a copy sent with the task
+
+        common.begin(uses)
+
     def release() -> None:
         pa.default_memory_pool().release_unused()
         _trim()(0)
 
     if inspect.isgeneratorfunction(task):
         def run(*args):
+            start()
             try:
                 yield from task(*args)
             finally:
                 release()
     elif len(inspect.signature(task).parameters) == 2:
         def run(left, right):
+            start()
             try:
                 return task(left, right)
             finally:
                 release()
     else:
         def run(table):
+            start()
             try:
                 return task(table)
             finally:
@@ -131,8 +150,43 @@ def splitmix(seed: int, n: int) -> np.ndarray:
     return mix64(np.arange(1, n + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(seed))
 
 
+class WordHash:
+    """64-bit hashes of spans of a symbol array that don't overlap: sums of mixed (symbol, place in the span) and the length.
+
+    Symbol and place go through one non-linear mix, so no exchange of symbols cancels out, as it does in a polynomial modulo 2**64."""
+
+    #: a fixed pseudo-random number for each place in a span; the same for all hashes of a worker
+    places = np.zeros(0, np.uint64)
+
+    def __init__(self, seed: int, symbols: int) -> None:
+        self.table = splitmix(seed, symbols)
+
+    def spans(self, symbols: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Hashes of the ascending spans [start, end), none of them empty."""
+        if not len(start):
+            return np.zeros(0, np.uint64)
+        length = end - start
+        longest = int(length.max())
+        if len(WordHash.places) < longest:
+            WordHash.places = splitmix(0x9E37, longest + longest // 16 + 64)
+        begin = np.cumsum(length) - length
+        if int(length.sum()) == len(symbols):  # no gaps
+            own, place = symbols, np.arange(len(symbols)) - np.repeat(start, length)
+        else:
+            at = gather(start, length)
+            own, place = symbols[at], at - np.repeat(start, length)
+        x = self.table[own]
+        x += WordHash.places[place]
+        x ^= x >> np.uint64(32)
+        x *= np.uint64(0xD6E8FEB86659FD93)
+        x ^= x >> np.uint64(29)
+        return mix64(np.add.reduceat(x, begin) + length.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+
+
 class SpanHash:
-    """64-bit hashes of spans of a symbol array, from prefix sums of symbol * base**position."""
+    """64-bit hashes of short spans of a symbol array that overlap, from prefix sums of symbol * base**position.
+
+    For spans of some dozen symbols alone: over 1024 places and more a polynomial modulo 2**64 has exchanges of symbols that cancel out."""
 
     BASE = 0xD6E8FEB86659FD93
 

@@ -39,7 +39,7 @@ def encode(docs: DataFrame, tokenizer: str, *, text_col: str = "text", keep: tup
             yield pa.RecordBatch.from_arrays(out, names=[*keep, "n_tokens", *(["ids"] if with_ids else [])])
 
     return docs.select(*keep, F.col(text_col).alias("__text")).mapInArrow(
-        tidy(run), kinds + "n_tokens long" + (", ids binary" if with_ids else ""))
+        tidy(run, ("encoder",)), kinds + "n_tokens long" + (", ids binary" if with_ids else ""))
 
 
 def decode(encoded: DataFrame, tokenizer: str, *, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
@@ -54,4 +54,4 @@ def decode(encoded: DataFrame, tokenizer: str, *, ids_col: str = "ids", out_col:
                      for x in b.column(b.schema.get_field_index(ids_col)).to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string())], names=[*b.schema.names, out_col])
 
-    return encoded.select(*(f.name for f in columns)).mapInArrow(tidy(run), schema)
+    return encoded.select(*(f.name for f in columns)).mapInArrow(tidy(run, ("encoder",)), schema)

@@ -62,7 +62,7 @@ def encoded(docs: DataFrame, tokenizer: str, end_id: int, id_col: str, text_col:
                 names=["row", "id", "key", "doc_tokens", "ids"])
             row += len(key)
 
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(tidy(run), "row long, id long, key long, doc_tokens long, ids binary")
+    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(tidy(run, ("encoder",)), "row long, id long, key long, doc_tokens long, ids binary")
 
 
 def places(order: DataFrame) -> DataFrame:
@@ -122,4 +122,4 @@ def pack(docs: DataFrame, tokenizer: str, *, end_id: int, length: int = 2048, id
                 names=["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"])
 
     where = places(table.select("row", "id", "key", "doc_tokens"))
-    return table.join(where, "row").select("id", "place", "doc_tokens", "ids").mapInArrow(tidy(cut), "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary")
+    return table.join(where, "row").select("id", "place", "doc_tokens", "ids").mapInArrow(tidy(cut, ("encoder",)), "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary")

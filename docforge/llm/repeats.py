@@ -29,6 +29,7 @@ remove each other's strings. Texts shorter than ``width`` bytes are kept whole.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -80,6 +81,13 @@ def distinct(values: np.ndarray) -> np.ndarray:
     return values[np.concatenate([[True], values[1:] != values[:-1]])] if len(values) else values
 
 
+def digests(data: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """A 64-bit digest of each whole text."""
+    view = memoryview(np.ascontiguousarray(data))
+    found = b"".join(hashlib.blake2b(view[a : a + n], digest_size=8).digest() for a, n in zip(begin.tolist(), size.tolist()))
+    return np.frombuffer(found, "<u8")
+
+
 # -- one shard ----------------------------------------------------------------------------------------------
 
 
@@ -139,7 +147,7 @@ class Shard:
     def names(self) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
         for first, last, data, begin in self.chunks():
             prefix = self.hash.prefix(data)
-            self.whole[first:last] = self.hash.spans(prefix, begin, begin + self.size[first:last])
+            self.whole[first:last] = digests(data, begin, self.size[first:last])
             at, doc = self.sampled(self.size[first:last], begin)
             name = self.hash.spans(prefix, at, at + self.gram) >> np.uint64(64 - NAME_BITS)
             yield first, last, begin, prefix, at, doc, name

@@ -5,13 +5,13 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 
-from docforge.llm.common import SpanHash, mix64
+from docforge.llm.common import WordHash, mix64
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _BLANK = np.zeros(256, bool)
 _BLANK[[0x20, *range(0x09, 0x0E)]] = True
-_HASH = SpanHash(0xB00C, 256)
+_HASH = WordHash(0xB00C, 256)
 
 
 def text_bytes(text: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
@@ -46,7 +46,7 @@ def shingle_sets(text: pa.Array | pa.ChunkedArray, size: int) -> tuple[np.ndarra
     stop = word.copy()
     stop[:-1] &= ~word[1:] | first[1:]
     start, stop = np.flatnonzero(start), np.flatnonzero(stop) + 1
-    word_hash = _HASH.spans(_HASH.prefix(low), start, stop)
+    word_hash = _HASH.spans(low, start, stop)
     word_at = np.searchsorted(start, begin)  # first word of each text
     words = np.diff(word_at)
     owner = np.repeat(np.arange(docs), words)

@@ -85,3 +85,13 @@ def test_op10_whole_table(spark):
     got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in op10_difference_cover(spark, SF).collect()}
     want = {d: (n, gone, spans, hashlib.sha256(kept).hexdigest()) for d, n, gone, spans, kept in brute(rows)}
     assert got == want
+
+
+def test_whole_texts_that_collide_in_a_polynomial_are_different():
+    import numpy as np
+
+    for n in (1024, 2048, 4096):
+        bits = np.array([bin(k).count("1") & 1 for k in range(n)], np.uint8)
+        data = np.concatenate([97 + bits, 98 - bits])
+        found = repeats.digests(data, np.array([0, n]), np.array([n, n]))
+        assert found[0] != found[1]

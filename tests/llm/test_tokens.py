@@ -47,6 +47,38 @@ def test_encoder_with_a_tiny_table(monkeypatch):
         assert ids.tolist() == 2 * ref.encode(text, add_special_tokens=False).ids
 
 
+def thue_morse(n):
+    """A word over a and b, and its complement: equal under any polynomial modulo 2**64 from 1,024 places on."""
+    bits = [bin(k).count("1") & 1 for k in range(n)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_words_that_collide_in_a_polynomial(name):
+    path = public_tokenizers.path(name)
+    enc, ref = Encoder(path), Tokenizer.from_file(path)
+    for n in (1024, 2048, 4096):
+        pair = list(thue_morse(n))
+        ids, begins = enc.encode(pair)
+        got = [ids[a:b].tolist() for a, b in zip(begins, begins[1:])]
+        assert got == [e.ids for e in ref.encode_batch(pair, add_special_tokens=False)] and got[0] != got[1]
+
+
+def test_files_and_packing_of_such_words(spark, tmp_path):
+    pair = [(k, w) for k, w in enumerate(thue_morse(2048))]
+    df = spark.createDataFrame(pair, "doc_id long, text string")
+    for path in (WORD_BPE, BYTE_BPE):
+        ref = Tokenizer.from_file(path)
+        want = {d: [*ref.encode(t, add_special_tokens=False).ids, 1] for d, t in pair}
+        out = str(tmp_path / path.split("/")[-1])
+        repair.write(df, out, path, end_id=1, shards=1)
+        assert {r.doc_id: np.frombuffer(r.ids, "<u4").tolist() for r in repair.read(spark, out).collect()} == want
+        packed = {}
+        for p in sorted(pack.pack(df, path, end_id=1, length=512).collect(), key=lambda p: p.start):
+            packed.setdefault(p.doc_id, []).extend(np.frombuffer(p.ids, "<u4").tolist())
+        assert packed == want
+
+
 def test_decode_of_broken_bytes():
     enc, ref = Encoder(BYTE_BPE), Tokenizer.from_file(BYTE_BPE)
     rng = np.random.default_rng(3)
