@@ -26,7 +26,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docforge.llm.common import gather, mix64, partitions, small_batches, stored, text_batches, tidy
@@ -47,8 +48,8 @@ CLUSTER_BLOCK, COLUMNS = 1 << 19, 4096
 LEAST_WEIGHT = 512
 
 
-#: Stands for a null id where rows are found again.
-NO_ID = -(1 << 63)
+#: Rows named by a broadcast at most (some 40 bytes each); more are joined by a shuffle.
+BROADCAST_ROWS = 1 << 15
 
 
 def least_overlap(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
@@ -62,15 +63,15 @@ def prefix_length(n: np.ndarray, percent: int) -> np.ndarray:
 
 # -- sets and sketch ----------------------------------------------------------------------------------------
 
-_SETS = "kind int, id long, mark long, n int, node long, data binary"
+_SETS = "kind int, id long, mark long, file long, line long, n int, node long, data binary"
 
 
-_SETS_ARROW = pa.schema([("kind", pa.int32()), ("id", pa.int64()), ("mark", pa.int64()), ("n", pa.int32()), ("node", pa.int64()),
+_SETS_ARROW = pa.schema([("kind", pa.int32()), ("id", pa.int64()), ("mark", pa.int64()), ("file", pa.int64()), ("line", pa.int64()), ("n", pa.int32()), ("node", pa.int64()),
                          ("data", pa.binary())])
 
 
 def _sets(docs: DataFrame, size: int) -> DataFrame:
-    """Kind 0: a row's id, hash of its text, set size, node and parity bits. Kind 1: a slice (n) of the task's sketch."""
+    """Kind 0: a row's id, hash of its text, place, set size, node and parity bits. Kind 1: a slice (n) of the task's sketch."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch = np.zeros(1 << SKETCH_BITS, np.int64)
         for t in text_batches(batches, CHARS):
@@ -81,14 +82,14 @@ def _sets(docs: DataFrame, size: int) -> DataFrame:
             cut = begin.tolist()
             data = [parity_bits(value[a:b]) for a, b in zip(cut, cut[1:])]
             yield pa.RecordBatch.from_arrays([
-                pa.array(np.zeros(len(n), np.int32)), t["id"].combine_chunks(), t["mark"].combine_chunks(), pa.array(n.astype(np.int32)),
-                pa.array(node), pa.array(data, pa.binary())], names=["kind", "id", "mark", "n", "node", "data"])
+                pa.array(np.zeros(len(n), np.int32)), *(t[c].combine_chunks() for c in ("id", "mark", "file", "line")),
+                pa.array(n.astype(np.int32)), pa.array(node), pa.array(data, pa.binary())], names=_SETS_ARROW.names)
         for k, part in enumerate(sketch.reshape(-1, 1 << SLICE_BITS)):
             if part.any():
-                yield pa.RecordBatch.from_pydict({"kind": [1], "id": [None], "mark": [None], "n": [k], "node": [0],
+                yield pa.RecordBatch.from_pydict({"kind": [1], "id": [None], "mark": [None], "file": [None], "line": [None], "n": [k], "node": [0],
                                                   "data": [part.astype("<i8").tobytes()]}, _SETS_ARROW)
 
-    return docs.select("id", "text", "mark").mapInArrow(tidy(run), _SETS)
+    return docs.select("id", "text", "mark", "file", "line").mapInArrow(tidy(run), _SETS)
 
 
 def _standing_out(sets: DataFrame) -> np.ndarray:
@@ -218,15 +219,15 @@ def _close(pairs: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
 # -- blocks -------------------------------------------------------------------------------------------------
 
 
-def _block_pairs(members: DataFrame, group: str, weight: F.Column, block: int, order: str) -> DataFrame:
-    """``members`` once for every pair of blocks of its group that it belongs to: columns ``i`` <= ``j`` and ``own`` (its block).
-
-    Blocks are dealt by hash of ``order``; their number follows from the group's summed weight.
-    """
+def _dealt(members: DataFrame, group: str, weight: F.Column, block: int, order: str) -> DataFrame:
+    """``members`` with ``blocks`` (how many their group is cut into, from its summed weight) and ``own``, their block, by hash of ``order``."""
     sizes = members.groupBy(group).agg(F.ceil(F.sum(weight) / block).cast("int").alias("blocks"))
-    own = F.pmod(F.xxhash64(F.col(order)), F.col("blocks")).cast("int")
-    return (members.join(sizes, group).withColumn("own", own)
-            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return members.join(sizes, group).withColumn("own", F.pmod(F.xxhash64(F.col(order)), F.col("blocks")).cast("int"))
+
+
+def _block_pairs(dealt: DataFrame) -> DataFrame:
+    """Every row once for every pair of blocks of its group that it belongs to: columns ``i`` <= ``j``."""
+    return (dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
             .withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other")).drop("blocks", "other"))
 
 
@@ -308,7 +309,7 @@ def _long_lists(members: DataFrame, bits: DataFrame, percent: int, parts: int) -
                 forest.join(k, later)
             yield forest.edges(node)
 
-    rows = _block_pairs(members.select("list", "u", F.col("nu").alias("n"), "place"), "list", F.lit(1), LIST_BLOCK, "u")
+    rows = _block_pairs(_dealt(members.select("list", "u", F.col("nu").alias("n"), "place"), "list", F.lit(1), LIST_BLOCK, "u"))
     rows = rows.join(bits.select(F.col("node").alias("u"), F.col("data").alias("bits")), "u")
     return (rows.select("list", "i", "j", "own", "u", "n", "place", "bits").repartition(parts, "list", "i", "j")
             .sortWithinPartitions("list", "i", "j").mapInArrow(tidy(run), "u long, v long"))
@@ -363,27 +364,58 @@ def _links(rows: DataFrame, size: int, percent: int) -> DataFrame:
 # -- the join -----------------------------------------------------------------------------------------------
 
 
+def _placed(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``__file`` and ``__line``, a row's file (hashed) and place in it: the same whenever and however the files are read.
+
+    What doesn't come from files is written to the shared folder first (and is then read from there)."""
+    here = [F.xxhash64(F.col("_metadata.file_path")).alias("__file"), F.col("_metadata.row_index").alias("__line")]
+    own = [F.col(f"`{c}`") for c in docs.columns]
+    try:
+        if not any(c.startswith("_metadata") for c in docs.columns):
+            return docs.select(*own, *here)
+    except AnalysisException:
+        pass  # no files behind it
+    kept = stored(docs.toDF(*(f"c{k}" for k in range(len(docs.columns)))), "rows")
+    return kept.select(*(F.col(f"c{k}").alias(c) for k, c in enumerate(docs.columns)), *here)
+
+
+def _at(rows: DataFrame, places: DataFrame, count: int | None, how: str) -> DataFrame:
+    """``rows`` joined with ``places`` (``file``, ``line``; at most one row a place): broadcast if these are few, else by a shuffle."""
+    if count is not None and count <= BROADCAST_ROWS:
+        places = F.broadcast(places)
+    return rows.join(places, ["file", "line"], how)
+
+
 def classes(docs: DataFrame, *, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id_col``, ``n_shingles`` and ``component_id`` (the smallest id reachable by links) of every row, ``text_mark``
     (Spark's xxhash64 of the text), which with the id finds the row again, and ``root``, the class itself (null without shingles):
     classes that are not linked can have one ``component_id``, if ids repeat or are null.
 
+    Rows are found again by file and place in it, so ids and texts may repeat as often as they like.
+
     Two rows are linked when 100 * (shared shingles) >= ``percent`` * (shingles of either).
     """
+    found = _classes(_placed(docs.select(id_col, text_col)), size, percent, id_col, text_col)
+    kind = docs.schema[id_col].dataType
+    return found.select(F.col("id").cast(kind).alias(id_col), "n_shingles", F.col("component").cast(kind).alias("component_id"),
+                        F.col("mark").alias("text_mark"), "root")
+
+
+def _classes(docs: DataFrame, size: int, percent: int, id_col: str, text_col: str) -> DataFrame:
+    """``id``, ``mark``, ``file``, ``line``, ``n_shingles``, ``component`` and ``root`` of every row of a placed table."""
     if not 50 <= percent <= 100:
         raise ValueError("percent must be from 50 to 100")
     spark = docs.sparkSession
     small_batches(spark)
     parts = partitions(spark)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"),
-                       F.xxhash64(F.col(text_col)).alias("mark"))
+                       F.xxhash64(F.col(text_col)).alias("mark"), F.col("__file").alias("file"), F.col("__line").alias("line"))
     table = stored(_sets(rows, size), "sets")
     common = _standing_out(table)
     sets = table.where("kind = 0")
-    # a node's text is that of one row: its smallest known id, or none
-    known = F.coalesce("id", F.lit(NO_ID))
+    # a node's text is that of one row, the first by place
     nodes = stored(sets.where("n > 0").groupBy("node").agg(
-        F.min("id").alias("id"), F.min(F.struct(known.alias("of"), "mark")).alias("row"), F.first("n").alias("n"),
+        F.min("id").alias("id"), F.min(F.struct("file", "line")).alias("row"), F.first("n").alias("n"),
         F.first("data").alias("data")), "nodes")
     bits = nodes.select("node", "data")
     pairs = stored(_prefixes(rows, common, size, percent, parts).groupBy("part").applyInArrow(tidy(lambda t: _pairs(t, percent)), _PAIRS), "pairs")
@@ -392,33 +424,35 @@ def classes(docs: DataFrame, *, size: int = 5, percent: int = 80, id_col: str =
     maybe = (_close(found.where("not same"), bits, percent).unionByName(found.where("same").select("u", "v"))
              .unionByName(_long_lists(pairs.where("list is not null"), bits, percent, parts)))
     clusters = stored(components(maybe).withColumnRenamed("root", "cluster"), "clusters")
-    members = clusters.join(nodes.select("node", "row.of", "row.mark", "n"), "node")
-    dealt = _block_pairs(members, "cluster", F.greatest("n", F.lit(LEAST_WEIGHT)), CLUSTER_BLOCK, "node")
-    texts = rows.select(known.alias("of"), "mark", "text")
-    together = (dealt.join(texts, ["of", "mark"]).select("cluster", "i", "j", "own", "node", "text")
+    members = clusters.join(nodes.select("node", "row.file", "row.line", "n"), "node")
+    members = stored(_dealt(members, "cluster", F.greatest("n", F.lit(LEAST_WEIGHT)), CLUSTER_BLOCK, "node"), "members")
+    # the texts of clusters are found by place, and copied for their pairs of blocks after that
+    texts = _block_pairs(_at(rows.select("file", "line", "text"), members, members.count(), "inner"))
+    together = (texts.select("cluster", "i", "j", "own", "node", "text")
                 .repartition(parts, "cluster", "i", "j").sortWithinPartitions("cluster", "i", "j", "node"))
     roots = components(_links(together, size, percent))
     found = nodes.select("node", "id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = found.groupBy("root").agg(F.min("id").alias("component"))
     of = found.join(least, "root").select("node", "component", "root")
     return (sets.join(of, "node", "left").select(
-        F.col("id").cast(docs.schema[id_col].dataType).alias(id_col), F.col("n").cast("long").alias("n_shingles"),
-        F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id")).cast(docs.schema[id_col].dataType).alias("component_id"),
-        F.col("mark").alias("text_mark"), "root"))
+        "id", "mark", "file", "line", F.col("n").cast("long").alias("n_shingles"),
+        F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id")).alias("component"), "root"))
 
 
 def one_of_each(docs: DataFrame, *, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns, of which one of each class stays: that of the class's id. Blank texts all stay, and rows of
-    one id, or of none, whose texts are not linked."""
-    found = classes(docs, size=size, percent=percent, id_col=id_col, text_col=text_col)
-    own = F.col(id_col).eqNullSafe(F.col("component_id"))
-    stay = (found.where(own & (F.col("n_shingles") > 0)).groupBy("root", "component_id").agg(F.min("text_mark").alias("m"))
-            .select("component_id", "m", F.lit(False).alias("blank"))
-            .unionByName(found.where("n_shingles = 0").select(F.col(id_col).alias("component_id"), F.col("text_mark").alias("m"),
-                                                             F.lit(True).alias("blank")).distinct()))
-    stay = stay.select(F.coalesce(F.col("component_id").cast("long"), F.lit(NO_ID)).alias("k"), "m", "blank")
-    row = F.struct(*(F.col(c) for c in docs.columns)).alias("row")
-    rows = docs.select(row, F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("k"), F.xxhash64(F.col(text_col)).alias("m"))
-    repeated = Window.partitionBy("k", "m").orderBy("k")
-    return (rows.join(stay, ["k", "m"]).withColumn("nth", F.row_number().over(repeated)).where("blank or nth = 1")
-            .select(*(F.col("row")[c].alias(c) for c in docs.columns)))
+    one id, or of none, whose texts are not linked.
+
+    Who goes is decided on places and numbers alone; the rows themselves are read once more and move only if
+    very many go."""
+    placed = _placed(docs)
+    found = stored(_classes(placed, size, percent, id_col, text_col), "classes")
+    own = F.col("id").eqNullSafe(F.col("component"))
+    stay = (found.where(own & (F.col("n_shingles") > 0)).groupBy("root").agg(F.min(F.struct("mark", "file", "line")).alias("s"))
+            .select(F.col("s.file").alias("file"), F.col("s.line").alias("line")))
+    gone = stored(found.where("n_shingles > 0").select("file", "line").join(stay, ["file", "line"], "left_anti"), "gone")
+    rows = placed.withColumnsRenamed({"__file": "file", "__line": "line"}) if not {"file", "line"} & set(docs.columns) else None
+    if rows is None:  # columns of these names: aside for the join
+        rows = placed.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col("__file").alias("file"), F.col("__line").alias("line"))
+        return _at(rows, gone, gone.count(), "left_anti").select(*(F.col("row")[c].alias(c) for c in docs.columns))
+    return _at(rows, gone, gone.count(), "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns))

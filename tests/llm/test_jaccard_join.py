@@ -118,3 +118,11 @@ def test_unlinked_texts_of_one_id_or_none_all_stay(spark):
     a = [t for i, t in got if i == 0 and t.startswith("a0")]
     assert len(a) == 1 and a[0] in (text["a"], text["a"] + " x")  # one class without an id: either row
     assert [x for x in got if x[1] not in a] == sorted([(0, ""), (0, " "), (0, text["b"]), (7, text["c"]), (7, text["d"])])
+
+
+def test_words_that_collide_in_a_polynomial_are_different(spark):
+    for n in (1024, 2048, 4096):
+        bits = [bin(k).count("1") & 1 for k in range(n)]
+        pair = ["".join(x[b] for b in bits) for x in ("ab", "ba")]
+        df = spark.createDataFrame([(1, pair[0]), (2, pair[1])], "doc_id long, text string")
+        assert sorted(r.component_id for r in jaccard_join.classes(df, size=3, percent=90).collect()) == [1, 2]
