@@ -155,18 +155,22 @@ def fit(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang") -> M
 
 def identify(docs: DataFrame, model: Model, *, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The columns ``keep`` with ``lang_pred``, ``score``, ``ambiguous`` and ``has_letter`` of every row. A kept column of one of
-    these names is replaced. ``und`` doesn't tell texts without a letter: every text is that if no language was learned."""
+    these names is replaced. ``und`` doesn't tell texts without a letter: every text is that if no language was learned. A kept
+    text column goes to Python once."""
     small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # BUCKETS * bits numbers
     keep = tuple(c for c in keep if c not in ("lang_pred", "score", "ambiguous", "has_letter"))
     kinds = "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in keep)
 
+    text = text_col if text_col in keep else "__text"
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in text_batches(batches, CHARS, "__text"):
-            names, score, unsure, has = shared.value.predict(t["__text"].to_pylist())
+        for t in text_batches(batches, CHARS, text):
+            names, score, unsure, has = shared.value.predict(t[text].to_pylist())
             yield pa.RecordBatch.from_arrays([*(t[c].combine_chunks() for c in keep), pa.array(names, pa.string()), pa.array(score),
                                               pa.array(unsure), pa.array(has)],
                                              names=[*keep, "lang_pred", "score", "ambiguous", "has_letter"])
 
-    return docs.select(*keep, F.col(text_col).alias("__text")).mapInArrow(
+    read = [F.col(f"`{c}`") for c in keep] + ([] if text_col in keep else [F.col(text_col).alias("__text")])
+    return docs.select(*read).mapInArrow(
         tidy(run), kinds + "lang_pred string, score double, ambiguous boolean, has_letter boolean")
