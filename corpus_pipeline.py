@@ -4,7 +4,8 @@
 as Parquet to the shared folder and read again as the next one's documents. All but the last return the columns of the documents
 table they got.
 
-* ``language_id``: learns from the labelled documents it gets; those without any letter go. Documents whose language
+* ``language_id``: learns from the labelled documents it gets and gives those without a label the predicted language (unless it is
+  ambiguous). Documents that have no language, as they have no letter, go. Documents whose language
   is merely uncertain stay, and so do all with a letter if there is no label to learn from.
 * ``jaccard_join``: of documents linked by a Jaccard similarity of 0.8 or more of their sets of five words one stays, that of the
   smallest id; a row that repeats another's id and text goes too.
@@ -28,9 +29,12 @@ from docforge.session import scratch
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = langid.fit(docs)
-    row = F.struct(*(F.col(c) for c in docs.columns))
-    rows = langid.identify(docs.select(row.alias("row"), "text"), model, keep=("row",))
-    return rows.where("has_letter").select(*(F.col("row")[c].alias(c) for c in docs.columns))
+    names = [f"c{k}" for k in range(len(docs.columns))]  # the predictions' columns may be named as the documents' own
+    of = dict(zip(docs.columns, names))
+    found = langid.identify(docs.toDF(*names), model, text_col=of["text"], keep=tuple(names))
+    told = F.when(F.col("lang_pred") != langid.UNKNOWN, F.col("lang_pred"))
+    lang = F.coalesce(of["lang"], F.when(~F.col("ambiguous"), told))
+    return found.where("has_letter").select(*((lang if c == "lang" else F.col(n)).alias(c) for c, n in of.items()))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
