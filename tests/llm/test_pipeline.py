@@ -79,6 +79,35 @@ def test_documents_without_any_label_stay(spark):
     assert [r.doc_id for r in corpus_pipeline.language_id(spark, odd, SF).collect()] == [1]
 
 
+def test_the_model_decides_the_language_of_unlabelled_documents(spark, monkeypatch):
+    """Null labels are filled by the classifier: with another one the stage gives another result. Labels stay, no clean text goes."""
+    kind = "doc_id long, text string, lang string, source string, n_chars long"
+    rows = [(k, "the house and the garden " * 3, "en") for k in range(4)] + [(k, "das haus und der garten " * 3, "de") for k in range(4, 8)]
+    rows += [(8, "the garden and the house", None), (9, "der garten und das haus", None), (10, "the house", "de")]
+    docs = spark.createDataFrame([(d, t, lang, "s", len(t)) for d, t, lang in rows], kind)
+    run = lambda: {r.doc_id: r.lang for r in corpus_pipeline.language_id(spark, docs, SF).collect()}
+    got = run()
+    assert got == {d: lang for d, _, lang in rows} | {8: "en", 9: "de"}
+    fit = corpus_pipeline.langid.fit
+    monkeypatch.setattr(corpus_pipeline.langid, "fit", lambda d: fit(d.replace({"en": "de", "de": "en"}, subset="lang")))
+    assert run() == got | {8: "de", 9: "en"}
+
+
+def test_near_duplicates_of_repeated_rows(spark):
+    """One text and one null id on many rows, columns of clashing names, rows that don't come from files."""
+    from docforge.llm import jaccard_join
+
+    long = " ".join(f"w{k}" for k in range(40))
+    rows = [(None, long, k, "f") for k in range(50)] + [(None, "another text of some words here", 50, "f")] * 3
+    rows += [(1, long + " x", 60, None), (1, "unlike all the others it is", 61, None), (2, "", 62, None), (2, "", 63, None), (None, None, 64, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, line long, file string")
+    for frame in (docs, docs.withColumnsRenamed({"line": "_metadata"})):
+        got = jaccard_join.one_of_each(frame, size=5, percent=80)
+        assert got.columns == frame.columns
+        left = sorted(((r.doc_id or 0), r.text or "") for r in got.collect())
+        assert left == sorted([(1, long + " x"), (0, "another text of some words here"), (1, "unlike all the others it is"), (2, ""), (2, ""), (0, "")])
+
+
 def test_stages_on_an_empty_table(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
@@ -138,3 +167,28 @@ def test_an_unfinished_batch_is_not_read(spark, tmp_path):
     rollup.commit(rollup.inserts(counts), path, 2)
     (tmp_path / "r/batches/2/_SUCCESS").unlink()
     assert rows_of(spark, path) == [("a", "en", "v1", 1, 5)]
+
+
+def test_a_redelivery_that_dies_leaves_the_committed_batch(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "r")
+    kind = "source string, lang string, tokenizer string, n_tokens long"
+    counts = spark.createDataFrame([("a", "en", "v1", 5)], kind)
+    rollup.commit(rollup.inserts(counts), path, 1)
+    broken = counts.selectExpr("source", "lang", "tokenizer", "cast(assert_true(n_tokens < 0, 'executor lost') as long) as n_tokens")
+    with pytest.raises(Exception, match="executor lost"):
+        rollup.commit(rollup.inserts(broken), path, 1)
+    assert rows_of(spark, path) == [("a", "en", "v1", 1, 5)]
+
+    def dies(*_):
+        raise KeyboardInterrupt
+
+    put = rollup._put
+    monkeypatch.setattr(rollup, "_put", dies)
+    with pytest.raises(KeyboardInterrupt):
+        rollup.commit(rollup.inserts(counts), path, 1)
+    assert rows_of(spark, path) == [("a", "en", "v1", 1, 5)]
+    monkeypatch.setattr(rollup, "_put", put)
+    more = spark.createDataFrame([("a", "en", "v1", 7)], kind)
+    for _ in range(2):
+        rollup.commit(rollup.inserts(more), path, 1)
+        assert rows_of(spark, path) == [("a", "en", "v1", 1, 7)]
