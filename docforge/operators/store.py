@@ -556,7 +556,7 @@ class DocumentStore:
                     start = time.perf_counter()
                     counts = self._deal(rows(schema, seq), staged, mapping, strict, batch_size)
                     call["took_ms"] = (time.perf_counter() - start) * 1000
-                    call["ops"] = counts["accepted"]
+                    call["ops"] = counts["accepted"] + counts["rejected"]
                 if mapping:
                     with self._recorded("validate", alias):
                         if counts["rejected"]:

@@ -168,16 +168,24 @@ def assert_no_rejects(rejected: DataFrame, id_col: str = "id") -> None:
 def inferred_fields(docs: DataFrame, doc_col: str) -> DataFrame:
     """FLT-6: dynamic mapping inference -- per top-level key, the inferred
     type and how many documents carry it, from a variant scan of every doc
-    (``variant_explode`` as a lateral join; one partially aggregated group-by)."""
+    (``variant_explode`` as a lateral join; one partially aggregated group-by). Documents that are no JSON have no
+    fields; ``malformed_documents`` counts them."""
     spark = docs.sparkSession
     pairs = docs.select(F.col(doc_col).alias("doc")).lateralJoin(
-        spark.tvf.variant_explode(F.parse_json(F.col("doc").outer())))
+        spark.tvf.variant_explode(F.try_parse_json(F.col("doc").outer())))
     kinds = pairs.select(F.col("key").alias("field"), kind_of(F.col("value")).alias("kind"))
     mapping = F.create_map(*[x for k, v in INFERRED_TYPES.items() for x in (F.lit(k), F.lit(v))])
     return (kinds.withColumn("inferred_type", F.coalesce(mapping[F.col("kind")], F.lower("kind")))
             .groupBy("field", "inferred_type").agg(F.count("*").alias("n_docs")))
 
 
+def malformed_documents(docs: DataFrame, doc_col: str) -> DataFrame:
+    """``malformed``: documents that are not JSON, or not an object."""
+    doc = variant(F.col(doc_col))
+    bad = F.col(doc_col).isNotNull() & (doc.isNull() | (kind_of(doc) != "OBJECT"))
+    return docs.select(bad.alias("bad")).agg(F.count_if("bad").alias("malformed"))
+
+
 def evolved_mapping(inferred: DataFrame, mapping: Mapping[str, FieldSpec]) -> dict[str, FieldSpec]:
     """FLT-6: the mapping a non-strict index has after these documents: declared fields as they are, and each new
     field with the type inferred for it (of several kinds: text before float before long, as the wider one holds

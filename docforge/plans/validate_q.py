@@ -96,6 +96,23 @@ def rejected_odd_documents_q(spark, sf_dir):
     return rejected.select("id", "reject_type", "reason")
 
 
+@query("malformed_documents", f"""
+SELECT 'malformed' AS field, CAST(NULL AS VARCHAR) AS inferred_type, count(*) FILTER (WHERE NOT json_valid(doc)) AS n_docs FROM ({_ODD_SQL}) o
+UNION ALL SELECT key, CASE json_type(doc, '$."' || key || '"') WHEN 'UBIGINT' THEN 'long' WHEN 'BIGINT' THEN 'long' WHEN 'DOUBLE' THEN 'float'
+                           WHEN 'VARCHAR' THEN 'text' WHEN 'BOOLEAN' THEN 'boolean' WHEN 'OBJECT' THEN 'object' WHEN 'ARRAY' THEN 'array' ELSE 'null' END,
+                 count(*)
+FROM (SELECT doc, unnest(json_keys(doc)) AS key FROM ({_ODD_SQL}) o WHERE json_valid(doc)) k GROUP BY 1, 2
+""", ("FLT-6",))
+def malformed_documents_q(spark, sf_dir):
+    # fields are inferred from what can be read; what can't is counted
+    from docforge.sources.tables import read_table
+    case = F.coalesce(*[F.when(F.col("event_id") % 17 == n, F.lit(doc)) for n, doc in _ODD.items()], F.col("props"))
+    docs = read_table(spark, sf_dir, "events").select(case.alias("doc"))
+    bad = validate.malformed_documents(docs, "doc").select(
+        F.lit("malformed").alias("field"), F.lit(None).cast("string").alias("inferred_type"), F.col("malformed").alias("n_docs"))
+    return bad.unionByName(validate.inferred_fields(docs, "doc"))
+
+
 @query("evolved_mapping", f"""
 SELECT key AS field, CASE WHEN bool_or(kind = 'VARCHAR') THEN 'text' WHEN bool_or(kind = 'OBJECT') AND key <> 'k' THEN 'object'
        WHEN key = 'k' THEN 'keyword' ELSE 'long' END AS type

@@ -18,7 +18,7 @@ from pyspark.sql import SparkSession
 _CHECKPOINT_KEY = "spark.checkpoint.dir"
 #: Partitions that text is dealt over before it is analysed; unset (the default): those of the scan. Set it where the
 #: files have too few row groups for the cores, as single-file tables in local runs have.
-PARTITIONS_KEY = "docforge.analysis.partitions"
+PARTITIONS_KEY = "spark.docforge.analysis.partitions"
 
 
 def build_session(master: str | None = None, app: str = "docforge", shuffle_partitions: int | None = None,
