@@ -23,7 +23,7 @@ import unicodedata
 from functools import lru_cache
 
 import numpy as np
-from tokenizers import Regex, pre_tokenizers
+from tokenizers import Regex, normalizers, pre_tokenizers
 
 from docforge.llm.common import KEPT, WordHash, gather
 
@@ -50,6 +50,14 @@ def char_classes() -> np.ndarray:
     return classes
 
 
+@lru_cache(maxsize=1)
+def odd_lower() -> dict[str, str]:
+    """Characters whose lower case is another one in the library's Unicode version than in Python's (of planes 0 and 1; no others have case)."""
+    letters = [chr(c) for c in range(0x20000) if c != 10 and not 0xD800 <= c < 0xE000]
+    lowered = normalizers.Lowercase().normalize_str("\n".join(letters)).split("\n")
+    return {c: small for c, small in zip(letters, lowered) if c.lower() != small}
+
+
 def byte_alphabet() -> dict[str, int]:
     """Printable stand-ins of the 256 bytes in byte-level vocabularies: printable Latin-1 is itself, the rest follow 0x100."""
     own = [b for b in range(256) if 0x21 <= b <= 0x7E or 0xA1 <= b <= 0xAC or 0xAE <= b <= 0xFF]
@@ -255,6 +263,8 @@ class Encoder:
         self.hash = WordHash(0x5EED, 0x110000)
         self.table = WordTable(TABLE_WORDS)
         self.special = re.compile("(" + "|".join(map(re.escape, self.model.special)) + ")") if self.model.special else None
+        odd = odd_lower() if self.model.lowercase else {}
+        self.odd = re.compile("[" + "".join(map(re.escape, odd)) + "]") if odd else None
         lens = np.fromiter(map(len, self.model.raw), np.int64, self.model.size)
         self.raw_length, self.raw_offset = lens, np.cumsum(lens) - lens
         self.raw = np.frombuffer(b"".join(self.model.raw), np.uint8)
@@ -266,7 +276,11 @@ class Encoder:
             return text
         if not text.isascii():
             # the library lower-cases each character by itself, so a final sigma is no special case
-            text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
+            text = unicodedata.normalize("NFC", text)
+            if self.odd is not None and self.odd.search(text):
+                other = odd_lower()
+                return "".join(other.get(c) or c.lower() for c in text)
+            text = text.replace("Σ", "σ")
         return text.lower()
 
     def _pieces(self, text: str) -> list[str]:
@@ -356,7 +370,7 @@ class Encoder:
         for k, text in enumerate(texts):
             if not text:
                 continue
-            parts = self.special.split(text) if self.special is not None and "<|" in text else [text]
+            parts = self.special.split(text) if any(s in text for s in self.model.special) else [text]
             for part in parts:
                 if part in self.model.special and len(parts) > 1:
                     special[len(pieces)] = self.model.special[part]

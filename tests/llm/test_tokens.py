@@ -64,6 +64,16 @@ def test_words_that_collide_in_a_polynomial(name):
         assert got == [e.ids for e in ref.encode_batch(pair, add_special_tokens=False)] and got[0] != got[1]
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_every_code_point_equals_the_library(name):
+    path = public_tokenizers.path(name)
+    enc, ref = Encoder(path), Tokenizer.from_file(path)
+    texts = [" ".join(f"a{chr(c)}b" for c in range(lo, lo + 512) if not 0xD800 <= c < 0xE000) for lo in range(0, 0x20000, 512)]
+    ids, begins = enc.encode(texts)
+    for k, want in enumerate(ref.encode_batch(texts, add_special_tokens=False)):
+        assert ids[begins[k] : begins[k + 1]].tolist() == want.ids, hex(512 * k)
+
+
 def test_files_and_packing_of_such_words(spark, tmp_path):
     pair = [(k, w) for k, w in enumerate(thue_morse(2048))]
     df = spark.createDataFrame(pair, "doc_id long, text string")
