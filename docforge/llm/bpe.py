@@ -263,8 +263,7 @@ class Encoder:
         self.hash = WordHash(0x5EED, 0x110000)
         self.table = WordTable(TABLE_WORDS)
         self.special = re.compile("(" + "|".join(map(re.escape, self.model.special)) + ")") if self.model.special else None
-        odd = odd_lower() if self.model.lowercase else {}
-        self.odd = re.compile("[" + "".join(map(re.escape, odd)) + "]") if odd else None
+        self.odd = tuple(odd_lower()) if self.model.lowercase else ()
         lens = np.fromiter(map(len, self.model.raw), np.int64, self.model.size)
         self.raw_length, self.raw_offset = lens, np.cumsum(lens) - lens
         self.raw = np.frombuffer(b"".join(self.model.raw), np.uint8)
@@ -277,7 +276,7 @@ class Encoder:
         if not text.isascii():
             # the library lower-cases each character by itself, so a final sigma is no special case
             text = unicodedata.normalize("NFC", text)
-            if self.odd is not None and self.odd.search(text):
+            if any(c in text for c in self.odd):  # at once for a text without wide characters
                 other = odd_lower()
                 return "".join(other.get(c) or c.lower() for c in text)
             text = text.replace("Σ", "σ")
