@@ -35,8 +35,10 @@ CAST_OF = {"long": "double", "integer": "double", "float": "double", "double": "
 
 
 def variant(doc: Column) -> Column:
-    """The document parsed once; null if it is not JSON."""
-    return F.try_parse_json(doc)
+    """The document parsed once; null if it is not JSON. The parser stops at the end of the first value, so what follows it is
+    looked at apart: as the first of two members of an object, a document that ends early hides the second."""
+    members = F.json_object_keys(F.concat(F.lit('{"d":'), doc, F.lit(',"e":0}')))
+    return F.when(members == F.array(F.lit("d"), F.lit("e")), F.try_parse_json(doc))
 
 
 def kind_of(value: Column) -> Column:
@@ -172,7 +174,7 @@ def inferred_fields(docs: DataFrame, doc_col: str) -> DataFrame:
     fields; ``malformed_documents`` counts them."""
     spark = docs.sparkSession
     pairs = docs.select(F.col(doc_col).alias("doc")).lateralJoin(
-        spark.tvf.variant_explode(F.try_parse_json(F.col("doc").outer())))
+        spark.tvf.variant_explode(variant(F.col("doc").outer())))
     kinds = pairs.select(F.col("key").alias("field"), kind_of(F.col("value")).alias("kind"))
     mapping = F.create_map(*[x for k, v in INFERRED_TYPES.items() for x in (F.lit(k), F.lit(v))])
     return (kinds.withColumn("inferred_type", F.coalesce(mapping[F.col("kind")], F.lower("kind")))

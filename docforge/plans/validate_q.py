@@ -125,3 +125,50 @@ def evolved_mapping_q(spark, sf_dir):
     from docforge.sources.tables import small_frame
     out = validate.evolved_mapping(validate.inferred_fields(raw_json(spark, sf_dir), "doc"), {"k": FieldSpec("keyword")})
     return small_frame(spark, [(k, v.type) for k, v in out.items()], "field string, type string")
+
+
+# nested, repeated, dated, widening and clashing values made of the events' own columns; one row in 13 is no JSON
+_NESTED_SQL = """
+SELECT CASE WHEN event_id % 13 = 0 THEN props || '}'
+            WHEN event_id % 5 = 0 THEN '{"at":"' || strftime(ts, '%Y-%m-%d') || '","user":{"id":' || user_id || ',"tags":["a",' || (event_id % 3) || ']},"items":[{"n":1.5},{"n":2}],"mixed":{"a":1}}'
+            WHEN event_id % 5 = 1 THEN '{"at":"' || strftime(ts, '%Y/%m/%d') || '","user":{"id":"' || user_id || '","name":null},"items":[],"mixed":1,"day":"2023-02-31"}'
+            WHEN event_id % 5 = 2 THEN '{"user":{"deep":{"er":[[true],[false]]}},"day":"2024-02-29","x.y":0.5,"flag":true}'
+            WHEN event_id % 5 = 3 THEN NULL ELSE props END AS doc FROM events
+"""
+
+
+def _nested_json(spark, sf_dir):
+    from docforge.sources.tables import read_table
+    n, user = F.col("event_id"), F.col("user_id").cast("string")
+    day = lambda form: F.date_format("ts", form)
+    doc = (F.when(n % 13 == 0, F.concat("props", F.lit("}")))
+           .when(n % 5 == 0, F.concat(F.lit('{"at":"'), day("yyyy-MM-dd"), F.lit('","user":{"id":'), user, F.lit(',"tags":["a",'),
+                                      (n % 3).cast("string"), F.lit(']},"items":[{"n":1.5},{"n":2}],"mixed":{"a":1}}')))
+           .when(n % 5 == 1, F.concat(F.lit('{"at":"'), day("yyyy/MM/dd"), F.lit('","user":{"id":"'), user,
+                                      F.lit('","name":null},"items":[],"mixed":1,"day":"2023-02-31"}')))
+           .when(n % 5 == 2, F.lit('{"user":{"deep":{"er":[[true],[false]]}},"day":"2024-02-29","x.y":0.5,"flag":true}'))
+           .when(n % 5 == 3, F.lit(None)).otherwise(F.col("props")))
+    return read_table(spark, sf_dir, "events").select(doc.alias("doc"))
+
+
+@query("merged_schema", f"""
+WITH docs AS (SELECT row_number() OVER () AS n, doc, json_valid(doc) AND json_type(TRY_CAST(doc AS JSON)) = 'OBJECT' AS ok FROM ({_NESTED_SQL}) d),
+found AS (
+  SELECT n, replace(regexp_replace(substr(fullkey, 3), '\\[[0-9]+\\]', '', 'g'), '"', '') AS path, type,
+         CASE WHEN type IN ('UBIGINT', 'BIGINT') THEN 'long' WHEN type = 'DOUBLE' THEN 'float' WHEN type = 'BOOLEAN' THEN 'boolean' WHEN type = 'OBJECT' THEN 'object'
+              WHEN type = 'VARCHAR' AND TRY_CAST(replace(json_extract_string(atom, '$'), '/', '-') AS DATE) IS NOT NULL THEN 'date'
+              WHEN type = 'VARCHAR' THEN 'text' ELSE 'null' END AS family
+  FROM (SELECT n, doc FROM docs WHERE ok) d, json_tree(d.doc::JSON) t
+  WHERE fullkey <> '$' AND (type <> 'ARRAY' OR json_array_length(t.value) = 0)),
+merged AS (
+  SELECT path, count(DISTINCT n) AS n_docs, count(DISTINCT CASE WHEN family = 'object' THEN n END) AS n_object,
+         bool_or(family = 'object') AS o, bool_or(family = 'text') AS t, bool_or(family = 'date') AS d, bool_or(family = 'boolean') AS b,
+         bool_or(family = 'float') AS f, bool_or(family = 'long') AS l FROM found GROUP BY path)
+SELECT path, CASE WHEN o AND (t OR d OR b OR f OR l) THEN 'conflict' WHEN o THEN 'object' WHEN t OR d::INT + b::INT + (f OR l)::INT > 1 THEN 'text'
+                  WHEN d THEN 'date' WHEN b THEN 'boolean' WHEN f THEN 'float' WHEN l THEN 'long' ELSE 'null' END AS type, n_docs, n_object
+FROM merged
+UNION ALL SELECT NULL, 'malformed', count(*), 0 FROM docs WHERE doc IS NOT NULL AND NOT ok HAVING count(*) > 0
+""", ("FLT-6",))
+def merged_schema_q(spark, sf_dir):
+    from docforge.operators.schema import merged_schema
+    return merged_schema(_nested_json(spark, sf_dir), "doc")
