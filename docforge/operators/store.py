@@ -46,6 +46,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from docforge.operators.manifest import Manifest, created
 from docforge.operators.versions import VersionLog
 from docforge.session import shared_root
 from docforge.sources.tables import small_frame
@@ -58,6 +59,7 @@ PROP_MAPPING = "docforge.mapping"
 PROP_ANALYZER = "docforge.analyzer"
 PROP_DYNAMIC = "docforge.dynamic"
 PROP_LOGGED = "docforge.logged"
+FIELD_LIMIT = "index.mapping.total_fields.limit"
 #: Times a writer starts anew because its generation was replaced meanwhile.
 ATTEMPTS = 20
 
@@ -98,6 +100,7 @@ class DocumentStore:
         self.recorder = recorder
         self.root = (root or f"{shared_root(spark)}/store").rstrip("/")
         self.db = database
+        self.manifest = Manifest(spark, self.root, database)
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.db} LOCATION '{self.root}/{self.db}.db'")
 
     # ---- naming and catalog -------------------------------------------------
@@ -154,12 +157,22 @@ class DocumentStore:
         return (mapping, AnalyzerSpec(analyzer.get("language"), analyzer.get("ascii_folding", True)),
                 props.get(PROP_DYNAMIC) == "strict")
 
+    def declared_settings(self, generation: str) -> dict[str, str]:
+        """Settings declared for a generation."""
+        records = [r for _, r in self.manifest._log(generation).after(0)]
+        return next((json.loads(r["settings"]) for r in records if r.get("settings")), {})
+
     # ---- create / write / publish ------------------------------------------
     def create_generation(self, alias: str, schema: T.StructType, mapping: Mapping[str, FieldSpec] | None = None,
-                          analyzer: AnalyzerSpec | None = None, strict: bool = True) -> str:
-        """SNK-4: new empty generation with the mapping frozen in its properties."""
+                          analyzer: AnalyzerSpec | None = None, strict: bool = True,
+                          settings: Mapping[str, object] | None = None) -> str:
+        """SNK-4: new empty generation with the mapping frozen in its properties, and ``settings`` (flat keys, limits among them) in the
+        manifest. A mapping beyond its own ``index.mapping.total_fields.limit`` is refused."""
+        mapping, settings = dict(mapping or {}), {k: str(v) for k, v in (settings or {}).items()}
+        limit, fields = int(settings.get(FIELD_LIMIT, 0)), len(mapping) + sum(v.has_keyword for v in mapping.values())
+        if limit and fields > limit:
+            raise ValueError(f"{fields} fields in the mapping of {alias}, limit {limit}")
         name = self.new_generation_name(alias)
-        mapping = mapping or {}
         props = {
             PROP_ALIAS: alias,
             PROP_MAPPING: json.dumps({k: [v.type, v.has_keyword] for k, v in mapping.items()}),
@@ -170,8 +183,20 @@ class DocumentStore:
         prop_sql = ", ".join(f"{_quoted(k)} = {_quoted(v)}" for k, v in props.items())
         self.spark.sql(f"CREATE TABLE {self.qualified(name)} ({_ddl(schema)}) USING parquet "
                        f"LOCATION '{self.path_of(name)}' TBLPROPERTIES ({prop_sql})")
+        id_type = schema["id"].dataType.simpleString() if "id" in schema.names else "string"
+        self.manifest.enter(name, owner=alias, **created(mapping, analyzer or AnalyzerSpec(), strict, settings, id_type))
         return name
 
+    def adopt(self, name: str, settings: Mapping[str, object] | None = None) -> None:
+        """Take a concrete table that was made elsewhere into the manifest, its documents counted once. Such a table has no owner; adopt it
+        again after it has changed."""
+        table = self.spark.table(self.qualified(name))
+        id_type = table.schema["id"].dataType.simpleString() if "id" in table.columns else "string"
+        docs = table.count()
+        self.manifest.drop(name)
+        self.manifest.enter(name, owner=None, docs=docs,
+                            **created({}, AnalyzerSpec(), False, {k: str(v) for k, v in (settings or {}).items()}, id_type))
+
     def fill(self, generation: str, documents: DataFrame, batch_size: int | None = None,
              unique_ids: bool = False, order_by: str | None = None, on_reject: str = "ignore") -> int:
         """SNK-1: write documents into a generation; returns the documents written.
@@ -205,6 +230,7 @@ class DocumentStore:
         self.spark.catalog.refreshTable(f"{self.db}.{generation}")
         if order_by is None and not unique_ids:
             refuse_repeated_ids(self.spark.table(self.qualified(generation)))
+        self.manifest.enter(generation, kind="filled", docs=counts["accepted"])
         return counts["accepted"]
 
     # ---- writing aside ------------------------------------------------------
@@ -349,6 +375,7 @@ class DocumentStore:
             self.spark.sql(f"DROP TABLE {self.qualified(generation)}")
         for path in (self.path_of(generation), self.log_path(generation), self.terms_path(generation)):
             self._delete_path(path)
+        self.manifest.drop(generation)
 
     def terms_path(self, generation: str) -> str:
         """Folder of the generation's term index (dropped with the generation)."""
@@ -385,7 +412,8 @@ class DocumentStore:
                 strict: bool = True, keep_old: bool = False,
                 validate: Callable[[DataFrame], None] | None = None,
                 analyze: Callable[[DataFrame], DataFrame] | None = None, order_by: str | None = None,
-                on_reject: str = "fail", accept: Callable[[DataFrame], None] | None = None) -> str:
+                on_reject: str = "fail", accept: Callable[[DataFrame], None] | None = None,
+                settings: Mapping[str, object] | None = None) -> str:
         """SNK-6: build and fill first, check, publish last. Any failure, the
         publish included, drops the half-built generation and leaves the alias
         untouched. Afterwards the generation the alias pointed at goes, unless
@@ -406,7 +434,7 @@ class DocumentStore:
         generation = None
         try:
             docs = documents() if callable(documents) else documents
-            generation = self.create_generation(alias, docs.schema, mapping, analyzer, strict)
+            generation = self.create_generation(alias, docs.schema, mapping, analyzer, strict, settings)
             if validate is not None:
                 validate(docs)
             with self._recorded("bulk", alias) as call:
@@ -705,7 +733,8 @@ class DocumentStore:
         if self._path_exists(self.terms_path(old)):
             from docforge.operators.analysis import analyzed_fields
             analyze = lambda docs: analyzed_fields(docs, "id", mapping, analyzer)
-        return self.rebuild(alias, lambda: self.read(alias), mapping, analyzer, strict, analyze=analyze, accept=accept)
+        return self.rebuild(alias, lambda: self.read(alias), mapping, analyzer, strict, analyze=analyze, accept=accept,
+                            settings=self.declared_settings(old))
 
     def delete(self, alias: str) -> list[str]:
         """Delete an index: the alias view, every generation that belongs to it and
@@ -740,43 +769,54 @@ class DocumentStore:
 
     # ---- what the catalog holds ------------------------------------------------
     def catalog(self) -> list[dict]:
-        """One entry per concrete table, in name order: its alias property, the aliases that point
-        at it, mapping, analyzer and strictness. Reads the catalog alone, one listing and the properties
-        of each entry."""
-        tables = sorted(self._tables(), key=lambda t: t.name)
+        """One entry per concrete table, in name order: its owner, the aliases that point at it, mapping, analyzer, strictness, settings,
+        type of id and documents filled in. One listing and two reads of the manifest, however many tables; a table that is not in the
+        manifest (made elsewhere, see :meth:`adopt`) has nothing declared and ``filled`` None."""
+        names = sorted(t.name for t in self._tables() if t.tableType != "VIEW")
+        known = {r["index"]: r for r in self.manifest.tables().collect()}
         pointing: dict[str, list[str]] = {}
-        for t in tables:
-            if t.tableType == "VIEW":
-                generation = self.properties(t.name).get(PROP_GENERATION)
-                pointing.setdefault(generation, []).append(t.name)
+        for r in self.manifest.aliases().orderBy("alias").collect():
+            pointing.setdefault(r["index"], []).append(r["alias"])
         out = []
-        for t in tables:
-            if t.tableType != "VIEW":
-                mapping, analyzer, strict = self.declared(t.name)
-                out.append({"index": t.name, "owner": self.properties(t.name).get(PROP_ALIAS), "aliases": pointing.get(t.name, []),
-                            "mapping": mapping, "analyzer": analyzer, "strict": strict})
+        for name in names:
+            r = known.get(name)
+            analyzer = json.loads(r["analyzer"]) if r else {}
+            out.append({"index": name, "owner": r["owner"] if r else None, "aliases": pointing.get(name, []),
+                        "mapping": {k: FieldSpec(*v) for k, v in json.loads(r["mapping"]).items()} if r else {},
+                        "analyzer": AnalyzerSpec(analyzer.get("language"), analyzer.get("ascii_folding", True)),
+                        "strict": bool(r) and r["dynamic"] == "strict", "settings": json.loads(r["settings"]) if r else {},
+                        "id_type": r["id_type"] if r else None, "filled": r["filled"] if r else None})
         return out
 
     def indexes(self, entries: list[dict] | None = None) -> DataFrame:
-        """``position``, ``index``, ``owner``, ``aliases`` and ``docs`` of every concrete table; a table behind an
-        alias counts what the alias holds (change log included)."""
+        """``position``, ``index``, ``owner``, ``aliases`` and ``docs`` of every concrete table; a table behind an alias counts what the alias
+        holds. Counts are the manifest's; only change logs (all in one job) and tables outside the manifest are read."""
         entries = self.catalog() if entries is None else entries
-        rows = [(n, e["index"], e["owner"], e["aliases"]) for n, e in enumerate(entries, 1)]
-        frame = small_frame(self.spark, rows, "position int, index string, owner string, aliases array<string>")
-        counts = [self.spark.table(self.qualified(e["aliases"][0] if e["aliases"] else e["index"])).groupBy().count()
-                  .select(F.lit(e["index"]).alias("index"), F.col("count").alias("docs")) for e in entries]
-        if not counts:
-            return frame.withColumn("docs", F.lit(0).cast("bigint"))
-        return frame.join(F.broadcast(reduce(DataFrame.unionByName, counts)), "index", "left")
+        rows = [(n, e["index"], e["owner"], e["aliases"], e["filled"] or 0) for n, e in enumerate(entries, 1)]
+        frame = small_frame(self.spark, rows, "position int, index string, owner string, aliases array<string>, filled bigint")
+        folders = set(self._folders(f"{self.root}/generations"))
+        logged = [e for e in entries if e["aliases"] and e["filled"] is not None and f"{e['index']}__log" in folders and self._has_log(e["index"])]
+        parts = [self.manifest.log_effect({e["index"]: self.log_path(e["index"]) for e in logged},
+                                          {e["index"]: self.path_of(e["index"]) for e in logged},
+                                          {e["index"]: e["id_type"] for e in logged})] if logged else []
+        parts += [self.spark.table(self.qualified(e["index"])).groupBy().count().select(F.lit(e["index"]).alias("index"), F.col("count").alias("effect"))
+                  for e in entries if e["filled"] is None]
+        if not parts:
+            return frame.withColumnRenamed("filled", "docs")
+        effect = F.broadcast(reduce(DataFrame.unionByName, parts))  # a row a table
+        return (frame.join(effect, "index", "left")
+                .select("position", "index", "owner", "aliases", (F.col("filled") + F.coalesce("effect", F.lit(0))).alias("docs")))
 
     def settings(self, entries: list[dict] | None = None) -> DataFrame:
-        """``index``, ``key``, ``value``: the flat settings that the frozen properties amount to."""
+        """``index``, ``key``, ``value``: the flat settings that each table was made with."""
         rows = []
         for e in self.catalog() if entries is None else entries:
             if e["analyzer"].configured:
                 rows += [(e["index"], "index.analysis.analyzer.docforge_text.tokenizer", "standard"),
                          (e["index"], "index.analysis.filter.docforge_stemmer.language", e["analyzer"].language)]
-            rows.append((e["index"], "index.mapping.dynamic", "strict" if e["strict"] else "true"))
+            if e["owner"] is not None:
+                rows.append((e["index"], "index.mapping.dynamic", "strict" if e["strict"] else "true"))
+            rows += [(e["index"], k, v) for k, v in sorted(e["settings"].items())]
         return small_frame(self.spark, rows, "index string, key string, value string")
 
     def mappings(self, entries: list[dict] | None = None) -> DataFrame:
@@ -791,7 +831,7 @@ class DocumentStore:
             if t.tableType != "VIEW":
                 self.drop_generation(t.name)
         self.spark.sql(f"DROP DATABASE IF EXISTS {self.db} CASCADE")
-        for kind in ("versions", "runs", "rejects"):
+        for kind in ("versions", "runs", "rejects", "manifest"):
             self._delete_path(f"{self.root}/{kind}/{self.db}")
 
     def _fs(self, path: str):

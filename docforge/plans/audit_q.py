@@ -14,7 +14,7 @@ from docforge.plans import fleet
 from docforge.plans.registry import query
 from docforge.sources.tables import read_table, small_frame
 from docforge.session import scratch
-from docforge.spec import AnalyzerSpec
+from docforge.spec import AnalyzerSpec, FieldSpec
 
 # ----------------------------------------------------------------- Spark side
 
@@ -379,3 +379,75 @@ def dataset_selection_q(spark, sf_dir):
     datasets = fleet.datasets_df(spark)
     chosen = audit.select_datasets(datasets, "Part").unionByName(audit.select_datasets(datasets, "orders"))
     return audit.dataset_status(live, counts, actual).join(chosen.select("code"), "code", "left_semi")
+
+
+# ------------------------------------------- audit of what was built, from the manifest alone
+_BUILT_MAPPINGS = {
+    "customer": [("c_name", "text", True), ("c_nationkey", "long", False), ("c_acctbal", "text", False), ("c_comment", "text", False)],
+    "part": [("p_name", "text", True), ("p_brand", "keyword", False), ("p_type", "keyword", False), ("p_size", "long", False),
+             ("p_retailprice", "long", False)],
+    "documents": [("text", "text", False), ("lang", "keyword", False)],
+}
+_BUILT_LIMITS = {"customer": {"index.max_result_window": "20000"}, "part": {"index.mapping.total_fields.limit": "6", "index.max_result_window": "100"},
+                 "orders": {"index.max_result_window": "500"}, "documents": {}}
+_BUILT_LANGUAGE = {"customer": "english", "documents": "english"}
+_BUILT_LOOSE = ("part",)
+_BUILT_INDEXES = [(1, "customer#", "customer", ["customer"]), (2, "documents#", "documents", ["documents"]), (3, "orders", "orders", []),
+                  (4, "part#", "part", ["catalog", "part"])]
+
+
+def _built_fleet(spark, sf_dir):
+    """A store whose tables were built with older mappings and with limits of their own, one of them made elsewhere."""
+    store = DocumentStore(spark, database=f"docforge_{uuid.uuid4().hex[:10]}", root=scratch(spark, "store"))
+    keys = {d[0]: d[3] for d in fleet.DATASETS}
+
+    def docs(name):
+        rows = read_table(spark, sf_dir, name)
+        fields = [f for f, _, _ in _BUILT_MAPPINGS.get(name, []) if f in rows.columns]
+        return rows.select(F.col(keys[name]).cast("string").alias("id"), *fields)
+
+    for name, fields in _BUILT_MAPPINGS.items():
+        made = store.rebuild(name, docs(name), {f: FieldSpec(kind, keyword) for f, kind, keyword in fields}, AnalyzerSpec(_BUILT_LANGUAGE.get(name)),
+                             strict=name not in _BUILT_LOOSE, settings=_BUILT_LIMITS[name])
+        if name == "part":
+            store.publish("catalog", made)
+    store.apply_changes("documents", None, docs("documents").select("id").where("CAST(id AS BIGINT) % 3 = 0").withColumn("_seq", F.lit(1)))
+    # documents that were there, are deleted, and come back; and a new one
+    again = docs("documents").where("CAST(id AS BIGINT) % 6 = 0")
+    store.apply_changes("documents", again.unionByName(again.limit(1).withColumn("id", F.lit("new"))).withColumn("_seq", F.lit(2)), None)
+    docs("orders").createOrReplaceTempView(f"v_{store.db}")
+    spark.sql(f"CREATE TABLE {store.qualified('orders')} USING parquet LOCATION '{store.root}/{store.db}.tables/orders' AS SELECT * FROM v_{store.db}")
+    spark.catalog.dropTempView(f"v_{store.db}")
+    store.adopt("orders", _BUILT_LIMITS["orders"])
+    return store
+
+
+_BUILT_COUNTS = {"customer": "SELECT count(*) FROM customer", "part": "SELECT count(*) FROM part", "orders": "SELECT count(*) FROM orders",
+                 "documents": "SELECT count(*) + 1 FROM documents WHERE doc_id % 3 <> 0 OR doc_id % 6 = 0"}
+_BUILT_SETTINGS = ([(f"{c}#", "index.analysis.analyzer.docforge_text.tokenizer", "standard") for c in _BUILT_LANGUAGE]
+                   + [(f"{c}#", fleet.STEMMER_SETTING, v) for c, v in _BUILT_LANGUAGE.items()]
+                   + [(c if c == "orders" else f"{c}#", k, v) for c, limits in _BUILT_LIMITS.items() for k, v in limits.items()])
+_BUILT_SQL = (
+    _AUDIT_SQL
+    .replace(_ACTUAL_SQL, "SELECT code, field, type AS actual_type, has_keyword FROM " + fleet.values_sql(
+        [(c, *f) for c, fields in _BUILT_MAPPINGS.items() for f in fields], ["code", "field", "type", "has_keyword"]))
+    .replace(_COUNTS_SQL, " UNION ALL ".join(f"SELECT '{c if c == 'orders' else c + '#'}' AS index, ({n}) AS docs" for c, n in _BUILT_COUNTS.items()))
+    .replace(fleet.INDEXES_SQL, fleet.values_sql(_BUILT_INDEXES, ["position", "index", "source_table", "aliases"]))
+    .replace(fleet.SETTINGS_SQL, fleet.values_sql(_BUILT_SETTINGS, ["index", "key", "value"]))
+    .replace(fleet.DATASETS_SQL, fleet.values_sql([(*d[:5], None if d[0] == "orders" else "true" if d[0] in _BUILT_LOOSE else "strict", d[6])
+                                                   for d in fleet.DATASETS],
+                                                  ["code", "entity", "source_table", "id_field", "language", "dynamic", "has_provider"])))
+
+
+@query("built_audit", _BUILT_SQL, ("RPT-1", "RPT-2", "RPT-5", "RPT-6", "RPT-8", "SRC-6", "SNK-4"))
+def built_audit_q(spark, sf_dir):
+    store = _built_fleet(spark, sf_dir)
+    entries = store.catalog()
+    rows, settings = store.indexes(entries), store.settings(entries)
+    live = audit.live_indexes(fleet.datasets_df(spark), rows)
+    built = F.broadcast(settings.where("key = 'index.mapping.dynamic'").select("index", F.col("value").alias("dynamic")))
+    datasets = (fleet.datasets_df(spark).drop("dynamic").join(live.select("code", "index"), "code").join(built, "index", "left").drop("index"))
+    there = live.where("exists").select("code", "index")
+    actual = store.mappings(entries).join(F.broadcast(there), "index").select("code", "field", F.col("type").alias("actual_type"), "has_keyword")
+    return audit.schema_audit(datasets, live, rows, settings, fleet.declared_df(spark).join(there.select("code"), "code", "left_semi"), actual,
+                              rows.select("index", "docs"), fleet.DEFAULT_RESULT_WINDOW, fleet.DEFAULT_FIELD_LIMIT, fleet.STEMMER_SETTING)
