@@ -12,44 +12,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docforge.functions import german, porter, spanish
+from docforge.functions.folding import fold
+from docforge.functions.words import SPARK_PATTERN
 from docforge.session import spread
 from docforge.spec import STEMMER_LANGUAGES, AnalyzerSpec
 
-# Word pattern of the standard tokenizer (letters, marks, digits
-# and underscore; an inner '.', apostrophe or right single quotation mark joins
-# two runs, a trailing one is dropped).
-TOKEN_PATTERN = r"[\p{L}\p{M}\p{N}_]+(?:[.'’][\p{L}\p{M}\p{N}_]+)*"
-
-# ASCII folding of lower-case letters, one target per group.
-FOLD_GROUPS = [
-    ("a", "áàâäãåāăą"), ("c", "çćĉċč"), ("d", "ďđ"), ("e", "éèêëēĕėęě"), ("g", "ĝğġģ"),
-    ("h", "ĥħ"), ("i", "íìîïĩīĭįı"), ("j", "ĵ"), ("k", "ķ"), ("l", "ĺļľŀł"), ("n", "ñńņň"),
-    ("o", "óòôöõøōŏő"), ("r", "ŕŗř"), ("s", "śŝşš"), ("t", "ţťŧ"), ("u", "úùûüũūŭůűų"),
-    ("w", "ŵ"), ("y", "ýÿŷ"), ("z", "źżž"),
-]
-# Letters that fold to two ASCII letters.
-FOLD_MULTI = [("ß", "ss"), ("æ", "ae"), ("œ", "oe"), ("þ", "th")]
-
-FOLD_FROM = "".join(src for _, src in FOLD_GROUPS)
-FOLD_TO = "".join(dst * len(src) for dst, src in FOLD_GROUPS)
-
-
-def fold(col: Column) -> Column:
-    """ASCII folding of lower-case text (``kovács`` -> ``kovacs``)."""
-    out = F.translate(col, FOLD_FROM, FOLD_TO)
-    for src, dst in FOLD_MULTI:
-        out = F.replace(out, F.lit(src), F.lit(dst))
-    return out
-
-
-def fold_sql(expr: str) -> str:
-    """The same folding as SQL text (used by the DuckDB oracle)."""
-    out = f"translate({expr}, '{FOLD_FROM}', '{FOLD_TO}')"
-    for src, dst in FOLD_MULTI:
-        out = f"replace({out}, '{src}', '{dst}')"
-    return out
-
-
 STEMMERS = {"english": porter, "german": german, "spanish": spanish}
 #: Stages of the stemmer in one generated method: all of them in one exceed the JVM's limit of 8000 bytes for compiled
 #: methods, and what exceeds it is interpreted.
@@ -62,7 +29,7 @@ def token_array(col: Column, analyzer: AnalyzerSpec | None = None) -> Column:
     text = F.lower(col)
     if analyzer is not None and analyzer.configured and analyzer.ascii_folding:
         text = fold(text)
-    return F.regexp_extract_all(text, F.lit(TOKEN_PATTERN), 0)
+    return F.regexp_extract_all(text, F.lit(SPARK_PATTERN), 0)
 
 
 def check_language(analyzer: AnalyzerSpec) -> None:

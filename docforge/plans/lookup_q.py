@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from docforge.functions.porter import duckdb_stem_query
-from docforge.functions.text import analyze_tokens, fold_sql
+from docforge.functions.folding import fold_sql
+from docforge.functions.text import analyze_tokens
 from docforge.operators import calls, lookup
 from docforge.plans.registry import query
 from docforge.plans.text_q import _duck_tokens

@@ -13,7 +13,7 @@ from docforge.plans.fixtures import RECONCILED_SQL
 from docforge.plans.registry import query
 from docforge.plans.sync_q import AFTER_SYNC_SQL, CUSTOMER_DOCS_SQL, changed_docs, customer_docs, reconciled
 from docforge.functions.porter import duckdb_stem_query
-from docforge.functions.text import fold_sql
+from docforge.functions.folding import fold_sql
 from docforge.plans.text_q import _duck_tokens
 from docforge.session import scratch
 from docforge.spec import AnalyzerSpec, FieldSpec

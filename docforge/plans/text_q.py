@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from docforge.functions import german, spanish
 from docforge.functions.porter import duckdb_stem_query
-from docforge.functions.text import TOKEN_PATTERN, analyze_tokens, fold_sql
+from docforge.functions.folding import fold, fold_sql
+from docforge.functions.text import analyze_tokens
+from docforge.functions.words import SPARK_PATTERN, words_sql
 from docforge.operators.analysis import analyzed_fields
 from docforge.plans.registry import query
 from docforge.sources.tables import read_table
@@ -19,7 +21,7 @@ ENGLISH_NO_FOLD = AnalyzerSpec("english", ascii_folding=False)
 def _duck_tokens(table: str, keys: str, text_expr: str) -> str:
     return (f"SELECT {keys}, CAST(pos - 1 AS BIGINT) AS position, tok AS token FROM ("
             f"SELECT {keys}, unnest(toks) AS tok, unnest(generate_series(1, len(toks))) AS pos FROM ("
-            f"SELECT {keys}, regexp_extract_all({text_expr}, '{TOKEN_PATTERN.replace("'", "''")}') AS toks FROM {table}) a "
+            f"SELECT {keys}, {words_sql(text_expr)} AS toks FROM {table}) a "
             f"WHERE len(toks) > 0) b")
 
 
@@ -31,9 +33,8 @@ def tokens_q(spark, sf_dir):
 
 def _folded_tokens(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents")
-    from docforge.functions.text import fold
     return docs.select("doc_id", F.posexplode(
-        F.regexp_extract_all(fold(F.lower("text")), F.lit(TOKEN_PATTERN), 0)).alias("position", "token")
+        F.regexp_extract_all(fold(F.lower("text")), F.lit(SPARK_PATTERN), 0)).alias("position", "token")
     ).withColumn("position", F.col("position").cast("bigint"))
 
 
@@ -108,3 +109,36 @@ def analyzed_fields_q(spark, sf_dir):
     part = read_table(spark, sf_dir, "part").withColumnRenamed("p_partkey", "id")
     part = part.withColumn("id", F.col("id").cast("string"))
     return analyzed_fields(part, "id", PART_MAPPING, ENGLISH)
+
+
+# ASCII letters -> a letter that folds back to them, of several Latin blocks; then pairs of letters -> ligatures
+_MARKED = ("aeioudnylhtz", "ạễıợưđṇỳłħŧẕ")
+_WIDE = ("bcfgjkmpqrsvwx", "ｂｃｆｇｊｋｍｐｑｒｓｖｗｘ")
+_LIGATURES = (("ffi", "ﬃ"), ("fi", "ﬁ"), ("fl", "ﬂ"), ("ae", "ǽ"), ("oe", "œ"), ("th", "þ"), ("ss", "ß"), ("nj", "ǌ"), ("ij", "ĳ"))
+
+
+@query("folded_forms", """
+SELECT CAST(p_partkey AS VARCHAR) AS id, unnest(['marked', 'wide', 'ligatures', 'plain']) AS form, lower(p_name) AS folded FROM part
+""", ("TXT-3",))
+def folded_forms_q(spark, sf_dir):
+    # names spelt with letters of other Latin blocks fold back to what they were
+    part = read_table(spark, sf_dir, "part").select(F.col("p_partkey").cast("string").alias("id"), F.lower("p_name").alias("name"))
+    tied = F.col("name")
+    for plain, ligature in _LIGATURES:
+        tied = F.replace(tied, F.lit(plain), F.lit(ligature))
+    forms = {"marked": F.translate("name", *_MARKED), "wide": F.translate("name", *_WIDE), "ligatures": tied, "plain": F.col("name")}
+    spelt = part.select("id", F.explode(F.array(*[F.struct(F.lit(k).alias("form"), v.alias("text")) for k, v in forms.items()])).alias("f"))
+    return spelt.select("id", "f.form", fold(F.col("f.text")).alias("folded"))
+
+
+_ODD_WORDS = ("{p}: 漢字かな {n},000 and 3.14; can't", "カタカナ{n} {p}_x _{n}_ ___", "{p}🙂👩‍👩‍👧 🇩🇪🇫🇷 ☺️", "été co­op {p}'s {n}.{n}.{n}", "ภาษาไทย한국어 {p}’s a:b 1:2", "")
+
+
+@query("word_forms", _duck_tokens(f"""(SELECT p_partkey, CASE p_partkey % 7 {' '.join(
+    f"WHEN {k} THEN replace(replace('{t.replace("'", "''")}', '{{p}}', p_name), '{{n}}', CAST(p_size AS VARCHAR))" for k, t in enumerate(_ODD_WORDS))}
+    ELSE p_name END AS text FROM part)""", "p_partkey", "lower(text)"), ("TXT-1",))
+def word_forms_q(spark, sf_dir):
+    n, size = F.col("p_partkey") % 7, F.col("p_size").cast("string")
+    text = F.coalesce(*[F.when(n == k, F.replace(F.replace(F.lit(t), F.lit("{p}"), F.col("p_name")), F.lit("{n}"), size))
+                        for k, t in enumerate(_ODD_WORDS)], F.col("p_name"))
+    return analyze_tokens(read_table(spark, sf_dir, "part").withColumn("text", text), ["p_partkey"], "text", AnalyzerSpec())

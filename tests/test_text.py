@@ -120,3 +120,39 @@ def test_only_text_fields_analysed(spark):
 
 def test_curly_apostrophe_joins_like_ascii(spark):
     assert _tokens(spark, "Don’t stop", AnalyzerSpec()) == ["don’t", "stop"]
+
+
+WORDS = {  # lines of the annex's own examples and of its test data
+    "The quick (“brown”) fox can't jump 32.3 feet, right?": ["the", "quick", "brown", "fox", "can't", "jump", "32.3", "feet", "right"],
+    "3,000 1,2;3 a,b a.b a.1 1.a 1..2 a..b a:b 1:2": ["3,000", "1,2;3", "a", "b", "a.b", "a", "1", "1", "a", "1", "2", "a", "b", "a:b", "1", "2"],
+    "漢字かなカタカナabc漢 한국어": ["漢", "字", "か", "な", "カタカナ", "abc", "漢", "한국어"],
+    "_a_ ___ a_b テスト_x": ["_a_", "a_b", "テスト_x"],
+    "a🙂b 👩‍👩‍👧‍👦👍🏽 🇩🇪🇫🇷 ☺️ ☺ 1️⃣": ["a", "🙂", "b", "👩‍👩‍👧‍👦", "👍🏽", "🇩🇪", "🇫🇷", "☺️", "1️⃣"],
+    "été co­op a‍b नमस्ते ภาษาไทย ok": ["été", "co­op", "a‍b", "नमस्ते", "ภาษาไทย", "ok"],
+    "can’t rock'n'roll 'quoted' dogs' a' 'b": ["can’t", "rock'n'roll", "quoted", "dogs", "a", "b"],
+    "": [], " ,.;:'_": [],
+}
+
+
+def test_words_follow_the_annex(spark):
+    assert {text: _tokens(spark, text, AnalyzerSpec()) for text in WORDS} == WORDS
+
+
+def test_very_long_words(spark):
+    texts = ["a1" * 200_000, "a." * 100_000 + "b", "_" * 50_000 + " z", "漢" * 50_000, "👩‍" * 50_000, "á" * 100_000]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    got = {r["id"]: r["n"] for r in analyze_tokens(df, ["id"], "text", AnalyzerSpec()).groupBy("id").agg(F.count("*").alias("n")).collect()}
+    assert got == {0: 1, 1: 1, 2: 1, 3: 50_000, 4: 1, 5: 1}
+
+
+FOLDED = {"nguyễn đặng": "nguyen dang", "ﬀ ﬁ ﬃ ĳ ǆ ꜳ": "ff fi ffi ij dz aa", "ｆｕｌｌ ｗｉｄｔｈ １２": "full width 12", "straße æther œuvre þorn": "strasse aether oeuvre thorn",
+          "łódź ħal ŧ ø ı ŋ ð ſ ẛ": "lodz hal t o i n d s s", "kovács": "kovacs", "plain": "plain", "жук 漢 ǝ ß": "жук 漢 ǝ ss", "ª º ŉ ẚ": "a o n a", "": ""}
+
+
+def test_folding_over_latin_blocks(spark):
+    from docforge.functions.folding import TABLE, fold
+    df = spark.createDataFrame([(t,) for t in FOLDED], "t string")
+    assert {r["t"]: r["f"] for r in df.select("t", fold(F.col("t")).alias("f")).collect()} == FOLDED
+    every = spark.createDataFrame(list(TABLE.items()), "c string, goal string")
+    assert every.where(fold(F.concat(F.lit("x"), F.col("c"))) != F.concat(F.lit("x"), F.col("goal"))).count() == 0
+    assert all(goal.isascii() and goal.isalnum() and goal == goal.lower() for goal in TABLE.values()) and len(TABLE) > 450
