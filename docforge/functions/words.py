@@ -57,10 +57,12 @@ def _pattern(letter: str, number: str, katakana: str, single: str, unspaced: str
 
 _SCRIPTS = "".join(f"\\p{{Is{s}}}" for s in UNSPACED)
 #: For Java's engine, which can take classes from each other.
-SPARK_PATTERN = _pattern(
+# Before the rules, what they amount to for most characters: a run of a-z before a blank or comma, or a full stop and one of them, is a word, and no
+# word begins with another ASCII sign than these.
+SPARK_PATTERN = r"[a-z]++(?=\.?[ ,\n])|(?=[a-zA-Z0-9_#*]|[^\x00-\x7F])(?:" + _pattern(
     letter=(r"[a-z" + rf"[\p{{IsAlphabetic}}{LETTER_SIGNS}&&[^\p{{M}}\p{{IsIdeographic}}\p{{IsHiragana}}\p{{IsKatakana}}{KATAKANA_SIGNS}{_SCRIPTS}]]]"),
     number=r"[0-9\p{Nd}\x{66B}]", katakana=rf"[\p{{IsKatakana}}{KATAKANA_SIGNS}]", single=r"[\p{IsIdeographic}\p{IsHiragana}]",
-    unspaced=rf"[{_SCRIPTS}&&[\p{{L}}\p{{M}}]]++", own="+", behind=rf"(?<![{CONNECTORS}])")
+    unspaced=rf"[{_SCRIPTS}&&[\p{{L}}\p{{M}}]]++", own="+", behind=rf"(?<![{CONNECTORS}])") + ")"
 
 
 def words_sql(text: str) -> str:
