@@ -5,13 +5,13 @@ set from the others (log-likelihood ratio of hashed character trigrams). The mar
 loss: the codeword with the least sum of weighted logistic losses wins, each bit weighted by how well it separates its
 two sides. The score is the winner's share of exp(-loss); a small lead over the next codeword flags the text as ambiguous.
 
-The trigram counts are sums over all labelled rows of the training side, combined in every task before they are shuffled
-(languages * ``BUCKETS`` rows a task at most); the model that goes to the driver has that size too. Prediction is a narrow
-step. Every text counts as ``DOC_WEIGHT`` trigrams, so that no long document or group of long ones rules a language.
+The trigram counts are sums over all labelled rows of the training side, combined in every task before they are shuffled. Every label
+is learned: the two sides of each bit are summed over the languages in Spark, by bucket, so the driver gets
+``BUCKETS`` * bits numbers and one codeword a language. Prediction is a narrow step. Every text counts as ``DOC_WEIGHT`` trigrams, so that no long document or group of long ones rules a language.
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0 and not ambiguous. Ties between
 languages go to the first in alphabetical order. With one learned language every other text is that; with none all are
-``und``. More than ``MAX_LANGUAGES`` labels: the most frequent ones are learned (ties: alphabetical).
+``und``. Labels without a trigram are not learned.
 """
 
 from __future__ import annotations
@@ -25,10 +25,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docforge.llm.bpe import LETTER, char_classes
-from docforge.llm.common import small_batches, text_batches, tidy
+from docforge.llm.common import small_batches, stored, text_batches, tidy
 
 BUCKETS = 1 << 13
-MAX_LANGUAGES = 200
+#: Languages a task counts before it hands their sums on.
+HELD_LANGUAGES = 200
+#: Scores of texts times languages at once.
+SCORES = 1 << 22
+#: Shares of a language's trigrams are summed in these units, so that sums are the same in any order.
+UNIT = 1 << 44
 DOC_WEIGHT = 1 << 10
 CHARS = 1 << 19
 #: Exhaustive codes up to so many languages, above them random ones of CODE_BITS bits.
@@ -77,18 +82,27 @@ class Model:
         count = np.bincount(owner, minlength=n)
         if not self.languages:
             return [UNKNOWN] * n, np.zeros(n), np.zeros(n, bool), has
+        margins = np.empty((n, self.code.shape[1]))
+        for b in range(self.code.shape[1]):
+            margins[:, b] = np.bincount(owner, self.weights[bucket, b], n) / np.maximum(count, 1) * np.minimum(count, EVIDENCE)
+        step = max(1, SCORES // len(self.languages))
+        decoded = [self.decode(margins[at:at + step]) for at in range(0, n, step)]
+        best, score, lead = (np.concatenate([d[k] for d in decoded]) for k in range(3)) if decoded else (np.zeros(0, int),) * 3
+        names = [self.languages[k] if ok else UNKNOWN for k, ok in zip(best, has)]
+        return names, np.where(has, score, 0.0), has & (lead < LEAD), has
+
+    def decode(self, margins: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The codeword of least loss for each row of margins, its share and its lead over the next one."""
+        n = len(margins)
         loss = np.zeros((n, len(self.languages)))
         for b in range(self.code.shape[1]):
-            margin = np.bincount(owner, self.weights[bucket, b], n) / np.maximum(count, 1)
-            margin *= np.minimum(count, EVIDENCE)
-            loss += self.bit_weight[b] * np.logaddexp(0, -np.outer(margin, self.code[:, b]))
+            loss += self.bit_weight[b] * np.logaddexp(0, -np.outer(margins[:, b], self.code[:, b]))
         share = np.exp(loss.min(axis=1, keepdims=True) - loss)
         share /= share.sum(axis=1, keepdims=True)
         best = share.argmax(axis=1)
         score = share[np.arange(n), best]
-        next_best = np.sort(share, axis=1)[:, -2] if share.shape[1] > 1 else np.zeros(n)
-        names = [self.languages[k] if ok else UNKNOWN for k, ok in zip(best, has)]
-        return names, np.where(has, score, 0.0), has & (score - next_best < LEAD), has
+        next_best = np.partition(share, -2, axis=1)[:, -2] if share.shape[1] > 1 else np.zeros(n)
+        return best, score, score - next_best
 
 
 def codewords(languages: int) -> np.ndarray:
@@ -122,7 +136,7 @@ def fit(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang") -> M
                 of = np.fromiter((x == lang for x in langs), bool, len(langs))[owner]
                 one = np.bincount(bucket[of], share[of], BUCKETS).astype(np.int64)
                 held[lang] = held[lang] + one if lang in held else one
-            if len(held) > MAX_LANGUAGES:
+            if len(held) > HELD_LANGUAGES:
                 yield from rows(held)
                 held = {}
         yield from rows(held)
@@ -134,19 +148,41 @@ def fit(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang") -> M
                                              names=["lang", "bucket", "n"])
 
     labelled = docs.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).where("lang is not null and text is not null")
-    found = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES)
-    names = sorted(r["lang"] for r in found.collect())
-    sums = (labelled.where(F.col("lang").isin(names)).mapInArrow(tidy(counts), "lang string, bucket int, n long")
-            .groupBy("lang", "bucket").agg(F.sum("n").alias("n")))
-    table = {name: np.zeros(BUCKETS) for name in names}
-    for r in sums.toLocalIterator():
-        table[r["lang"]][r["bucket"]] = r["n"]
-    names = [name for name in names if table[name].any()]
-    rates = np.array([(table[name] / table[name].sum() + 1e-6) / (1 + 1e-6 * BUCKETS) for name in names]).reshape(-1, BUCKETS)
+    sums = stored(labelled.mapInArrow(tidy(counts), "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")), "language_counts")
+    totals = {r["lang"]: r["n"] for r in sums.groupBy("lang").agg(F.sum("n").alias("n")).collect()}  # a row a label
+    names = sorted(totals)
     code = codewords(len(names))
-    weights, separation = np.zeros((BUCKETS, code.shape[1]), np.float32), np.zeros(code.shape[1])
-    for b in range(code.shape[1]):
-        ahead, behind = rates[code[:, b] > 0].mean(axis=0), rates[code[:, b] < 0].mean(axis=0)
+    bits = code.shape[1]
+    shared = docs.sparkSession.sparkContext.broadcast(({name: k for k, name in enumerate(names)}, code > 0, [totals[name] for name in names]))
+
+    def sides(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place, ones, total = shared.value
+        total = np.array(total, np.float64)
+        found: dict[int, np.ndarray] = {}
+        for t in batches:
+            at = np.fromiter((place[x] for x in t.column(0).to_pylist()), np.int64, t.num_rows)
+            rate = np.rint(t.column(2).to_numpy() / total[at] * UNIT).astype(np.int64)
+            bucket = t.column(1).to_numpy()
+            order = np.argsort(bucket, kind="stable")
+            starts = np.flatnonzero(np.r_[True, np.diff(bucket[order]) != 0]) if len(order) else order
+            both = np.concatenate([rate[:, None], rate[:, None] * ones[at]], axis=1)[order]
+            for b, row in zip(bucket[order][starts], np.add.reduceat(both, starts, axis=0) if len(starts) else both):
+                found[b] = found[b] + row if b in found else row
+        if found:
+            rows = list(found.values())
+            yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int32()), pa.array([r.tolist() for r in rows], pa.list_(pa.int64()))],
+                                             names=["bucket", "rates"])
+
+    # every bucket is in one task, which holds BUCKETS * bits numbers at most
+    both = np.zeros((BUCKETS, bits + 1), np.int64)
+    for r in sums.repartition("bucket").mapInArrow(tidy(sides), "bucket int, rates array<bigint>").collect():
+        both[r["bucket"]] = r["rates"]
+    floor = 1e-6
+    members = np.maximum((code > 0).sum(axis=0), 1), np.maximum((code < 0).sum(axis=0), 1)
+    weights, separation = np.zeros((BUCKETS, bits), np.float32), np.zeros(bits)
+    for b in range(bits):
+        ahead = (both[:, b + 1] / UNIT / members[0][b] + floor) / (1 + floor * BUCKETS)
+        behind = ((both[:, 0] - both[:, b + 1]) / UNIT / members[1][b] + floor) / (1 + floor * BUCKETS)
         ratio = np.log(ahead / behind)
         weights[:, b] = ratio
         separation[b] = ((ahead - behind) * ratio).sum()  # symmetric divergence of the two sides
