@@ -142,13 +142,21 @@ def stages(d: Dialect, w: str = "w", flag: str = "f", k: str = "k") -> list[dict
     return out
 
 
-def duckdb_stem_query(inner_sql: str, keep: list[str], token: str = "token", stages_of=None, least: int = 3) -> str:
+def state_names(module, prefix: str) -> dict[str, str]:
+    """Columns that a stemmer's stages work on: the word first; those beyond three are the module's own ``STATE``."""
+    own = getattr(module, "STATE", ())
+    return {"w": f"{prefix}w", "f" if own else "flag": f"{prefix}f", "k": f"{prefix}k"} | {c: f"{prefix}{c}" for c in own}
+
+
+def duckdb_stem_query(inner_sql: str, keep: list[str], token: str = "token", module=None, least: int = 3) -> str:
     """Wrap ``inner_sql`` (which has ``keep`` columns and ``token``) so that
     ``token`` comes out stemmed, by one nested SELECT per stage."""
     cols = ", ".join(keep)
-    t0, w, f, k = "stem_t0", "stem_w", "stem_f", "stem_k"
-    sql = f"SELECT {cols}, {token} AS {t0}, {token} AS {w}, false AS {f}, 0 AS {k} FROM ({inner_sql}) s0"
-    for i, stage in enumerate((stages_of or stages)(DUCKDB, w=w, flag=f, k=k)):
-        exprs = ", ".join(f"{stage.get(c, c)} AS {c}" for c in (w, f, k))
+    t0, names = "stem_t0", state_names(module, "stem_")
+    w = names["w"]
+    rest = ", ".join(f"0 AS {c}" for c in names.values() if c != w)
+    sql = f"SELECT {cols}, {token} AS {t0}, {token} AS {w}, {rest} FROM ({inner_sql}) s0"
+    for i, stage in enumerate((module.stages if module else stages)(DUCKDB, **names)):
+        exprs = ", ".join(f"{stage.get(c, c)} AS {c}" for c in names.values())
         sql = f"SELECT {cols}, {t0}, {exprs} FROM ({sql}) s{i + 1}"
     return f"SELECT {cols}, CASE WHEN length({t0}) < {least} THEN {t0} ELSE {w} END AS {token} FROM ({sql}) sz"

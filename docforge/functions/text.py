@@ -11,13 +11,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docforge.functions import german, porter, spanish
+from docforge.functions import french, german, hungarian, porter, spanish
 from docforge.functions.folding import fold
 from docforge.functions.words import SPARK_PATTERN
 from docforge.session import spread
 from docforge.spec import STEMMER_LANGUAGES, AnalyzerSpec
 
-STEMMERS = {"english": porter, "german": german, "spanish": spanish}
+STEMMERS = {"english": porter, "french": french, "german": german, "hungarian": hungarian, "spanish": spanish}
 #: Stages of the stemmer in one generated method: all of them in one exceed the JVM's limit of 8000 bytes for compiled
 #: methods, and what exceeds it is interpreted.
 CODEGEN_STAGES = 4
@@ -43,12 +43,14 @@ def stem_column(df: DataFrame, column: str = "token", only_if: str | None = None
     ``only_if`` names a boolean column; rows where it is false keep their value.
     """
     keep = [f"`{c}`" for c in df.columns if c != column]
-    w, f, k = "__w", "__f", "__k"
-    out = df.selectExpr(*keep, f"`{column}` AS __t0", f"`{column}` AS {w}", f"false AS {f}", f"0 AS {k}")
-    for n, stage in enumerate(STEMMERS[language].stages(porter.SPARK, w=w, flag=f, k=k), 1):
+    module = STEMMERS[language]
+    names = porter.state_names(module, "__")
+    w = names["w"]
+    out = df.selectExpr(*keep, f"`{column}` AS __t0", f"`{column}` AS {w}", *[f"0 AS {c}" for c in names.values() if c != w])
+    for n, stage in enumerate(module.stages(porter.SPARK, **names), 1):
         if n % CODEGEN_STAGES == 0:
             out = out.coalesce(MAX_PARTITIONS)  # changes no partition, but generated code ends here
-        out = out.selectExpr(*keep, "__t0", *[f"{stage.get(c, c)} AS {c}" for c in (w, f, k)])
+        out = out.selectExpr(*keep, "__t0", *[f"{stage.get(c, c)} AS {c}" for c in names.values()])
     skip = "length(__t0) < 3" if language == "english" else "false"
     if only_if is not None:
         skip = f"{skip} OR NOT `{only_if}`"

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from docforge.functions import german, spanish
+from docforge.functions import french, german, hungarian, spanish
 from docforge.functions.porter import duckdb_stem_query
 from docforge.functions.folding import fold, fold_sql
 from docforge.functions.text import analyze_tokens
@@ -56,9 +56,9 @@ _GERMAN_TOKENS = _duck_tokens("(SELECT * FROM documents WHERE lang = 'de')", "do
 
 @query("tokens_stemmed_de", f"""
 SELECT doc_id, position, 'folded' AS chain, token FROM ({duckdb_stem_query(
-    _GERMAN_TOKENS % fold_sql("lower(text)"), ["doc_id", "position"], stages_of=german.stages, least=0)}) f
+    _GERMAN_TOKENS % fold_sql("lower(text)"), ["doc_id", "position"], module=german, least=0)}) f
 UNION ALL SELECT doc_id, position, 'plain', token FROM ({duckdb_stem_query(
-    _GERMAN_TOKENS % "lower(text)", ["doc_id", "position"], stages_of=german.stages, least=0)}) p
+    _GERMAN_TOKENS % "lower(text)", ["doc_id", "position"], module=german, least=0)}) p
 """, ("TXT-4", "TXT-5"))
 def tokens_stemmed_de_q(spark, sf_dir):
     # the language of the dataset chooses the stemmer; with folding umlauts are gone before it, without they are its own
@@ -71,12 +71,34 @@ def tokens_stemmed_de_q(spark, sf_dir):
 _SPANISH_TOKENS = _duck_tokens("(SELECT * FROM documents WHERE lang = 'es')", "doc_id", "lower(text)")
 
 
-@query("tokens_stemmed_es", duckdb_stem_query(_SPANISH_TOKENS, ["doc_id", "position"], stages_of=spanish.stages, least=0), ("TXT-4", "TXT-5"))
+@query("tokens_stemmed_es", duckdb_stem_query(_SPANISH_TOKENS, ["doc_id", "position"], module=spanish, least=0), ("TXT-4", "TXT-5"))
 def tokens_stemmed_es_q(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents").where("lang = 'es'")
     return analyze_tokens(docs, ["doc_id"], "text", AnalyzerSpec("spanish", ascii_folding=False))
 
 
+_FRENCH_TOKENS = _duck_tokens("(SELECT * FROM documents WHERE lang = 'fr')", "doc_id", "lower(text)")
+
+
+@query("tokens_stemmed_fr", duckdb_stem_query(_FRENCH_TOKENS, ["doc_id", "position"], module=french, least=0), ("TXT-4", "TXT-5"))
+def tokens_stemmed_fr_q(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents").where("lang = 'fr'")
+    return analyze_tokens(docs, ["doc_id"], "text", AnalyzerSpec("french", ascii_folding=False))
+
+
+# Endings that Hungarian joins to names, and the words of part names that get them (a name ends in one by its key)
+_ENDINGS = ("ban", "nak", "ért", "k", "kal", "ként", "ja", "jaitok", "ánként", "át", "")
+_ENDED = "CASE p_partkey % 11 " + " ".join(f"WHEN {n} THEN '{e}'" for n, e in enumerate(_ENDINGS)) + " END"
+_HUNGARIAN_TEXT = f"replace(lower(p_name), ' ', {_ENDED} || ' ') || {_ENDED}"
+
+
+@query("tokens_stemmed_hu", duckdb_stem_query(_duck_tokens("part", "p_partkey", _HUNGARIAN_TEXT), ["p_partkey", "position"], module=hungarian, least=0),
+       ("TXT-4", "TXT-5"))
+def tokens_stemmed_hu_q(spark, sf_dir):
+    part = read_table(spark, sf_dir, "part").select("p_partkey", F.expr(_HUNGARIAN_TEXT).alias("text"))
+    return analyze_tokens(part, ["p_partkey"], "text", AnalyzerSpec("hungarian", ascii_folding=False))
+
+
 @query("analyzed_tokens",
        duckdb_stem_query(_duck_tokens("conversations", "conv_id, turn", "lower(text)"),
                          ["conv_id", "turn", "position"]),

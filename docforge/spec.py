@@ -19,7 +19,7 @@ MAPPING_TYPES = ("text", "keyword", "long", "integer", "float", "double", "boole
 
 # Languages the stemmer filter is implemented for. Any other
 # configured language raises instead of silently skipping the stemming step.
-STEMMER_LANGUAGES = ("english", "german", "spanish")
+STEMMER_LANGUAGES = ("english", "french", "german", "hungarian", "spanish")
 
 Provider = Union[DataFrame, Callable[[SparkSession], DataFrame], None]
 

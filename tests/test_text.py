@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from docforge.functions import hungarian
 from docforge.functions.text import analyze_tokens, stem_column
 from docforge.operators.analysis import analyzed_fields
 from docforge.spec import AnalyzerSpec, FieldSpec
@@ -66,6 +67,78 @@ def test_spanish_pairs(spark):
     assert {w: (got[w], s) for w, s in SPANISH_PAIRS.items() if got[w] != s} == {}
 
 
+# Published sample vocabulary
+FRENCH_PAIRS = dict(p.split(":") for p in (
+    "continu:continu continua:continu continuait:continu continuant:continu continuation:continu continue:continu continué:continu "
+    "continuel:continuel continuelle:continuel continuellement:continuel continuelles:continuel continuels:continuel continuer:continu "
+    "continuera:continu continuerait:continu continueront:continu continuez:continu continuité:continu continuons:continuon "
+    "contorsions:contors contour:contour contournait:contourn contournant:contourn contourne:contourn contours:contour "
+    "contractait:contract contracté:contract contractée:contract contracter:contract contractés:contract contractions:contract "
+    "contradictoirement:contradictoir contradictoires:contradictoir contraindre:contraindr contraint:contraint contrainte:contraint "
+    "contraintes:contraint contraire:contrair contraires:contrair contraria:contrari main:main mains:main maintenaient:mainten "
+    "maintenait:mainten maintenant:mainten maintenir:mainten maintenue:maintenu maintien:maintien maintint:maintint maire:mair "
+    "maires:mair mairie:mair mais:mais maison:maison maisons:maison maistre:maistr maitre:maitr maître:maîtr maîtres:maîtr "
+    "maîtresse:maîtress maîtresses:maîtress majesté:majest majestueuse:majestu majestueusement:majestu majestueux:majestu "
+    "majeur:majeur majeure:majeur major:major majordome:majordom majordomes:majordom majorité:major majorités:major mal:mal "
+    "malacca:malacc malade:malad malades:malad maladie:malad maladies:malad maladive:malad").split())
+
+# Traced by hand through the published rules: cases, lengthened vowels, doubled consonants, owners, plurals
+HUNGARIAN_PAIRS = dict(p.split(":") for p in (
+    "babakocsi:babakocs babakocsit:babakocs babakocsijáért:babakocs babból:bab házban:ház házakban:ház házat:ház kutyák:kutya kutyánként:kuty "
+    "almát:alm almákat:alma virággal:virág késsel:kés kézzel:kéz meggyel:megy barátom:barát barátaim:barát barátainknak:barát "
+    "embereknek:ember városban:város városokból:város emberként:ember körül:kör").split())
+
+
+@pytest.mark.parametrize("language, pairs", [("french", FRENCH_PAIRS), ("hungarian", HUNGARIAN_PAIRS)])
+def test_compiled_rules(spark, language, pairs):
+    df = spark.createDataFrame([(w, w) for w in pairs], "w string, token string")
+    got = {r["w"]: r["token"] for r in stem_column(df, "token", language=language).collect()}
+    assert {w: (got[w], s) for w, s in pairs.items() if got[w] != s} == {}
+
+
+def _hungarian(word):
+    """The algorithm as a plain program over one word."""
+    vowels, start = hungarian.VOWELS, len(word)
+    first = next((i for i, c in enumerate(word) if (c in vowels) != (word[0] in vowels)), None)
+    if first is not None:
+        start = first + 1
+        if word[0] in vowels:
+            start = first + max([len(g) for g in hungarian.DIGRAPHS.split("|") if word.startswith(g, first)], default=1)
+
+    def step(word, table, twice=False):
+        found = max((e for e in table if word.endswith(e)), key=len, default=None)
+        if found is None or len(word) - len(found) < start:
+            return word, False
+        head = word[: len(word) - len(found)]
+        if twice:
+            return (head[:-2] + head[-1], True) if head.endswith(tuple(hungarian.DOUBLED.split("|"))) else (word, False)
+        return head + table[found], True
+
+    def table(gone, to_a="", to_e=""):
+        return {e: "" for e in gone.split()} | {e: "a" for e in to_a.split()} | {e: "e" for e in to_e.split()}
+
+    word, _ = step(word, table("al el"), twice=True)
+    word, cut = step(word, table(hungarian.CASES))
+    if cut:
+        word, _ = step(word, table("", "á", "é"))
+    word, _ = step(word, table("", "án ánként", "én"))
+    word, _ = step(word, table("astul estül stul stül", "ástul", "éstül"))
+    word, _ = step(word, table("á é"), twice=True)
+    word, _ = step(word, table(hungarian.OWNED, "áké áéi", "éké ééi éé"))
+    word, _ = step(word, table(hungarian.SING_OWNER, "ánk ájuk ám ád á", "énk éjük ém éd é"))
+    word, _ = step(word, table(hungarian.PLUR_OWNER, "áim áid ái áink áitok áik", "éim éid éi éink éitek éik"))
+    return step(word, table(hungarian.PLURAL, "ák", "ék"))[0]
+
+
+def test_hungarian_against_plain_program(spark):
+    stems = "alma kutya ház édzs asszony kéz meggy rizzs út ő x barát ifjú lény 12 dzsessz".split()
+    ends = " ".join((hungarian.CASES, hungarian.OWNED, hungarian.SING_OWNER, hungarian.PLUR_OWNER, hungarian.PLURAL, "al el á é án én ánként ástul éstül stul")).split()
+    words = sorted({s + a + b for s in stems for a in ["", *ends] for b in ["", "k", "át", "ekkel", "ért", "é"]})
+    df = spark.createDataFrame([(w, w) for w in words], "w string, token string")
+    got = {r["w"]: r["token"] for r in stem_column(df, "token", language="hungarian").collect()}
+    assert {w: (got[w], _hungarian(w)) for w in words if got[w] != _hungarian(w)} == {}
+
+
 def test_german_pairs(spark):
     df = spark.createDataFrame([(w, w) for w in GERMAN_PAIRS], "w string, token string")
     got = {r["w"]: r["token"] for r in stem_column(df, "token", language="german").collect()}
@@ -98,7 +171,7 @@ def test_no_language_is_noop_even_with_folding(spark):
 
 def test_unsupported_language_raises(spark):
     with pytest.raises(NotImplementedError):
-        _tokens(spark, "x", AnalyzerSpec("hungarian"))
+        _tokens(spark, "x", AnalyzerSpec("basque"))
 
 
 def test_tokenizer_keeps_inner_apostrophe_and_decimals(spark):
