@@ -290,3 +290,31 @@ def complete_flushes_q(spark, sf_dir):
         if q.exception() is not None:
             raise RuntimeError(str(q.exception()))
     return spark.read.parquet(f"{base}/out")
+
+
+@query("listened_calls", """
+SELECT 'stream' AS operation, CAST(3 AS BIGINT) AS calls, CAST(0 AS BIGINT) AS errors, CAST(0 AS BIGINT) AS empty_searches, count(*) AS ops,
+       CAST(NULL AS BIGINT) AS hits, 'customer-sync' AS of FROM events
+UNION ALL SELECT 'search', 2, 0, 1, NULL, count(*), 'customer' FROM customer WHERE c_nationkey < 5
+""", ("UDF-4", "RPT-13", "AGG-5", "STR-5"))
+def listened_calls_q(spark, sf_dir):
+    # a stream and two searches as Spark's listeners saw them; none of them knows of the log
+    from docforge.operators import calls
+    from docforge.streaming.call_listener import CallLog
+    from docforge.streaming.sync_stream import start_sync
+
+    base = sync.new_session_scoped_dir(spark, "listened")
+    change_rows(spark, sf_dir).repartition(6).write.parquet(f"{base}/landing")
+    docs = customer_docs(spark, sf_dir)
+    with CallLog(spark, f"{base}/calls", "demo", limit=2) as log:
+        q = start_sync(spark, f"{base}/landing", f"{base}/actions", f"{base}/checkpoint", dataset_entities(spark), max_files_per_trigger=2,
+                       name="customer-sync")
+        q.awaitTermination()
+        log.wait(q)
+        for found in (docs.where("c_nationkey < 5"), docs.where("c_nationkey < 0")):
+            found.observe("customer", F.count(F.lit(1)).alias("hits")).write.format("noop").mode("overwrite").save()
+        log.wait_rows(5)
+    rows = log.read()
+    sums = rows.groupBy("operation").agg(F.sum("ops").alias("ops"), F.sum("hits").alias("hits"),
+                                         F.max(F.coalesce("index", "request")).alias("of"))
+    return calls.summarize(rows, ["operation"]).select("operation", "calls", "errors", "empty_searches").join(sums, "operation")

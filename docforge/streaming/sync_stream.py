@@ -35,8 +35,8 @@ def reconcile_batch(batch: DataFrame, entities: DataFrame) -> DataFrame:
 def start_sync(spark: SparkSession, landing: str, action_log: str, checkpoint: str, entities: DataFrame,
                max_files_per_trigger: int = 1, fmt: str = "parquet",
                on_batch: Callable[[DataFrame, int], None] | None = None,
-               available_now: bool = True) -> StreamingQuery:
-    """Start the sync stream. ``on_batch(reconciled, batch_id)`` may apply the
+               available_now: bool = True, interval: str = "10 seconds", name: str | None = None) -> StreamingQuery:
+    """Start the sync stream, over what has landed or (not ``available_now``) every ``interval`` until it is stopped. ``on_batch(reconciled, batch_id)`` may apply the
     batch to a document store (re-reading current source rows)."""
     stream = (spark.readStream.schema(CHANGE_SCHEMA).format(fmt)
               .option("maxFilesPerTrigger", max_files_per_trigger).load(landing))
@@ -48,8 +48,8 @@ def start_sync(spark: SparkSession, landing: str, action_log: str, checkpoint: s
             on_batch(spark.read.parquet(f"{action_log}/batch_id={batch_id}"), batch_id)
 
     writer = stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
-    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")
-    return writer.start()
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=interval)
+    return (writer if name is None else writer.queryName(name)).start()
 
 
 def action_log_state(spark: SparkSession, action_log: str) -> DataFrame:
