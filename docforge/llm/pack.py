@@ -41,12 +41,12 @@ def projection(ids: int, seed: int = 11) -> np.ndarray:
 
 
 def encoded(docs: DataFrame, tokenizer: str, end_id: int, id_col: str, text_col: str) -> DataFrame:
-    """``row`` (a number of its own), ``id``, ``key``, ``doc_tokens`` and ``ids`` (two bytes each) of every document."""
+    """``row`` (a number of its own), ``id``, ``key``, ``doc_tokens`` and ``ids`` (two bytes each, four if the tokenizer has more) of every document."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer)
-        if max(enc.model.size, end_id + 1) > 1 << 16:
-            raise ValueError("a tokenizer of more than 65536 ids does not fit in two bytes an id")
-        weights = projection(max(enc.model.size, end_id + 1))
+        size = max(enc.model.size, end_id + 1)
+        width = 2 if size <= 1 << 16 else 4
+        weights = projection(size)
         row = TaskContext.get().partitionId() << 40
         for t in text_batches(batches, CHARS):
             ids, begins = enc.encode(t["text"].to_pylist())
@@ -55,7 +55,7 @@ def encoded(docs: DataFrame, tokenizer: str, end_id: int, id_col: str, text_col:
             point = np.add.reduceat(weights[ids], begins[:-1], axis=0)
             point /= np.maximum(np.linalg.norm(point, axis=1, keepdims=True), 1e-30)
             key = hilbert.keys(hilbert.grid(point, np.full(DIMS, -1.0), np.full(DIMS, 1.0), BITS), BITS)
-            data, at = ids.astype("<u2").tobytes(), (begins * 2).tolist()
+            data, at = ids.astype(f"<u{width}").tobytes(), (begins * width).tolist()
             yield pa.RecordBatch.from_arrays([
                 pa.array(np.arange(row, row + len(key))), t["id"].combine_chunks(), pa.array(key), pa.array(np.diff(begins)),
                 pa.array([data[a:b] for a, b in zip(at, at[1:])], pa.binary())],
@@ -114,7 +114,7 @@ def pack(docs: DataFrame, tokenizer: str, *, end_id: int, length: int = 2048, id
             end = np.where(seq < full, (seq + 1) * length, rest[np.minimum(later + 1, len(rest) - 1)])
             start = np.maximum(begin, place[doc]) - place[doc]
             stop = np.minimum(end, (place + tokens)[doc]) - place[doc]
-            ids = [np.frombuffer(x, "<u2").astype("<u4").tobytes() for x in b.column(3).to_pylist()]
+            ids = [np.frombuffer(x, f"<u{len(x) // n}").astype("<u4").tobytes() for x, n in zip(b.column(3).to_pylist(), tokens.tolist())]
             yield pa.RecordBatch.from_arrays([
                 b.column(0).take(pa.array(doc)), pa.array(start), pa.array(stop - start), pa.array(tokens[doc]), pa.array(seq),
                 pa.array(np.maximum(begin, place[doc]) - begin),

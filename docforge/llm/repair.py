@@ -2,12 +2,13 @@
 
 A file is Parquet, written and read by Spark, with one row a block. Blocks hold whole documents in ascending
 document id; (shard, block) ascends with it. A block's columns: its documents' ids and token counts, the
-grammar (``rules``: two symbols a rule) with the expansion length of each rule, the symbols of the block, and where each
-document's symbols begin, so any document is decoded without the rest of its block.
+grammar (``rules``: two symbols a rule) with the expansion length of each rule, the symbols of the block (two bytes each, four for a
+tokenizer that leaves no room in two), and where each document's symbols begin, so any document is decoded without the rest of its block.
 
 Re-Pair is run by rounds over whole arrays: a round counts all adjacent pairs, takes the most frequent ones that
 pay, and replaces their occurrences by new symbols. Where chosen pairs overlap, the more frequent one wins; of a run of
-one symbol every second pair is taken. The others are counted again in the next round. The end id never joins a pair,
+one symbol every second pair is taken. The others are counted again in the next round. Rounds end when no pair pays for its
+rule, or all symbols of that width are used. The end id never joins a pair,
 so no symbol spans two documents.
 
 Defined results: a null text is empty (only the end id); a null document id sorts first; equal ids keep together and
@@ -32,16 +33,14 @@ from docforge.llm.common import gather, partitions, small_batches, text_batches
 BLOCK_IDS = 1 << 21
 #: Characters that one call of the encoder gets.
 CHARS = 1 << 20
-#: Symbols, terminals included, so that a symbol fits in two bytes.
-MAX_SYMBOLS = 1 << 16
-#: Rounds of replacement and new rules in one round; a pair has to occur so often to pay for its rule.
-ROUNDS, ROUND_RULES, MIN_COUNT = 4, 4096, 6
+#: New rules in one round. A pair becomes one if it is seen MIN_COUNT times and replaced PAYS times (a rule takes two symbols).
+ROUND_RULES, MIN_COUNT, PAYS = 4096, 6, 4
 BUCKET_BITS = 20
 #: Passes in a round that choose occurrences; what the last one leaves is counted again in the next round.
 SELECTIONS = 8
 
 BLOCK_SCHEMA = ("shard int, block int, n_docs int, n_ids long, doc_ids binary, null_ids binary, doc_tokens binary, "
-                "n_terminals int, rules binary, rule_lengths binary, symbols binary, doc_symbols binary")
+                "n_terminals int, width int, rules binary, rule_lengths binary, symbols binary, doc_symbols binary")
 
 
 @dataclass
@@ -64,33 +63,35 @@ class Grammar:
         return pool, offset, length
 
 
+def width_of(terminals: int) -> int:
+    """Bytes of a symbol: two where they leave room for a round of rules."""
+    return 2 if terminals + ROUND_RULES <= 1 << 16 else 4
+
+
 def compress(ids: np.ndarray, terminals: int, barrier: int) -> tuple[np.ndarray, Grammar]:
     """Symbols and grammar of ``ids``; no rule holds ``barrier``.
 
-    Pairs are first counted by a hash of ``BUCKET_BITS`` bits; only pairs of buckets that may hold one of the most
-    frequent are counted exactly.
+    Rounds go on until no pair pays for its rule, or symbols of the block's width are used up. Pairs are first counted by a hash of
+    ``BUCKET_BITS`` bits; only pairs of buckets that may hold one of the most frequent are counted exactly. Counts of old pairs only
+    fall, so a place is looked at again only if its pair was frequent or one of its symbols is new.
     """
-    if terminals > MAX_SYMBOLS:
-        raise ValueError(f"a tokenizer of more than {MAX_SYMBOLS} ids does not fit in symbols of two bytes")
-    x = ids.astype(np.uint32)
+    width = width_of(terminals)
+    bits = np.uint64(32) if width == 4 else np.uint32(16)
+    x = ids.astype(type(bits))
     rules: list[np.ndarray] = []
-    lengths = np.ones(terminals, np.int64)
+    lengths = [np.ones(terminals, np.int64)]
+    known = lengths[0]
     size = terminals
-    for _ in range(ROUNDS):
-        room = min(ROUND_RULES, MAX_SYMBOLS - size)
-        if room <= 0 or len(x) < 2:
-            break
-        pair = (x[:-1] << np.uint32(16)) | x[1:]
-        free = x != barrier
-        free = free[:-1] & free[1:]
+    places = np.flatnonzero((x[:-1] != barrier) & (x[1:] != barrier))  # where a frequent pair may begin
+    while len(places) and (room := min(ROUND_RULES, (1 << 8 * width) - size)) > 0:
+        pair = (x[places] << bits) | x[places + 1]
         bucket = _bucket(pair)
         count = np.bincount(bucket, minlength=1 << BUCKET_BITS)
-        least = max(MIN_COUNT, int(np.partition(count, -room)[-room]))
-        place = np.flatnonzero((count >= least)[bucket] & free)
-        ordered = np.sort(pair[place])
-        if not len(ordered):
-            break
-        edge = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1], [True]]))
+        frequent = (count >= MIN_COUNT)[bucket]
+        places, pair, bucket = places[frequent], pair[frequent], bucket[frequent]
+        looked = (count >= int(np.partition(count, -room)[-room]))[bucket]
+        ordered = np.sort(pair[looked])
+        edge = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1], [True]])) if len(ordered) else np.zeros(1, np.int64)
         count = np.diff(edge)
         good = np.flatnonzero(count >= MIN_COUNT)
         if not len(good):
@@ -101,26 +102,37 @@ def compress(ids: np.ndarray, terminals: int, barrier: int) -> tuple[np.ndarray,
         keys = keys[np.lexsort((keys, -count))]  # the most frequent first
         table = np.full(1 << BUCKET_BITS, -1, np.int32)
         table[_bucket(keys[::-1])] = np.arange(len(keys) - 1, -1, -1)  # of two in one bucket the better stays
-        rank = table[bucket[place]]
-        fits = (rank >= 0) & (keys[rank] == pair[place])
-        at, rank = _disjoint(place[fits], rank[fits])
-        used, new = np.unique(rank, return_inverse=True)
+        rank = table[bucket]
+        fits = (rank >= 0) & (keys[rank] == pair)
+        at, rank = _disjoint(places[fits], rank[fits])
+        pays = np.bincount(rank, minlength=len(keys)) >= PAYS
+        at, rank = at[pays[rank]], rank[pays[rank]]
+        used = np.flatnonzero(pays)
         if not len(used):
             break
-        pairs = np.stack([keys[used] >> np.uint32(16), keys[used] & np.uint32(0xFFFF)], axis=1)
+        pairs = np.stack([keys[used] >> bits, keys[used] & ((type(bits)(1) << bits) - type(bits)(1))], axis=1).astype(np.int64)
         rules.append(pairs)
-        lengths = np.concatenate([lengths, lengths[pairs].sum(axis=1)])
-        x[at] = (size + new).astype(np.uint32)
+        lengths.append(known[pairs].sum(axis=1))
+        known = np.concatenate([known, lengths[-1]])
+        x[at] = (size + (np.cumsum(pays) - 1)[rank]).astype(x.dtype)
         keep = np.ones(len(x), bool)
         keep[at + 1] = False
+        again = np.zeros(len(x), bool)
+        again[places] = True
+        again[at] = True
+        again = again[keep]
         x = x[keep]
+        fresh = x >= size
+        again[:-1] |= fresh[1:]
+        places = np.flatnonzero(again[:-1] & (x[:-1] != barrier) & (x[1:] != barrier))
         size += len(used)
-    table = np.concatenate(rules) if rules else np.zeros((0, 2), np.uint32)
-    return x.astype(np.int64), Grammar(terminals, table, lengths[terminals:])
+    table = np.concatenate(rules) if rules else np.zeros((0, 2), np.int64)
+    return x.astype(np.int64), Grammar(terminals, table, known[terminals:])
 
 
 def _bucket(pair: np.ndarray) -> np.ndarray:
-    return ((pair * np.uint32(0x9E3779B1)) >> np.uint32(32 - BUCKET_BITS)).astype(np.int64)
+    mix, bits = (np.uint64(0x9E3779B97F4A7C15), np.uint64(64 - BUCKET_BITS)) if pair.dtype == np.uint64 else (np.uint32(0x9E3779B1), np.uint32(32 - BUCKET_BITS))
+    return ((pair * mix) >> bits).astype(np.int64)
 
 
 def _disjoint(at: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -161,6 +173,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, *, end_id: int, shards: in
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer)
         terminals = max(enc.model.size, end_id + 1)
+        width = width_of(terminals)
         shard, block = TaskContext.get().partitionId(), 0
         held_ids, held_tokens, held, total = [], [], [], 0
 
@@ -172,8 +185,8 @@ def write(docs: DataFrame, path: str, tokenizer: str, *, end_id: int, shards: in
             null = np.fromiter((x is None for x in held_ids), np.uint8, len(held_ids))
             doc_ids = np.fromiter((x or 0 for x in held_ids), np.int64, len(held_ids))
             row = [shard, block, len(held_ids), int(tokens.sum()), doc_ids.astype("<i8").tobytes(), null.tobytes(),
-                   tokens.astype("<i8").tobytes(), terminals, grammar.rules.astype("<u2").tobytes(),
-                   grammar.lengths.astype("<i8").tobytes(), symbols.astype("<u2").tobytes(), begins.astype("<i8").tobytes()]
+                   tokens.astype("<i8").tobytes(), terminals, width, grammar.rules.astype(f"<u{width}").tobytes(),
+                   grammar.lengths.astype("<i8").tobytes(), symbols.astype(f"<u{width}").tobytes(), begins.astype("<i8").tobytes()]
             return pa.RecordBatch.from_pylist([dict(zip(BLOCK_ARROW.names, row))], BLOCK_ARROW)
 
         for t in text_batches(batches, CHARS):
@@ -196,7 +209,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, *, end_id: int, shards: in
 
 BLOCK_ARROW = pa.schema([("shard", pa.int32()), ("block", pa.int32()), ("n_docs", pa.int32()), ("n_ids", pa.int64()),
                          ("doc_ids", pa.binary()), ("null_ids", pa.binary()), ("doc_tokens", pa.binary()),
-                         ("n_terminals", pa.int32()), ("rules", pa.binary()), ("rule_lengths", pa.binary()),
+                         ("n_terminals", pa.int32()), ("width", pa.int32()), ("rules", pa.binary()), ("rule_lengths", pa.binary()),
                          ("symbols", pa.binary()), ("doc_symbols", pa.binary())])
 
 
@@ -220,9 +233,9 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for row in b.to_pylist():
-                rules = np.frombuffer(row["rules"], "<u2").reshape(-1, 2)
+                rules = np.frombuffer(row["rules"], f"<u{row['width']}").reshape(-1, 2)
                 pool, offset, length = Grammar(row["n_terminals"], rules, np.frombuffer(row["rule_lengths"], "<i8")).expansions()
-                symbols = np.frombuffer(row["symbols"], "<u2").astype(np.int64)
+                symbols = np.frombuffer(row["symbols"], f"<u{row['width']}").astype(np.int64)
                 begins = np.append(np.frombuffer(row["doc_symbols"], "<i8"), len(symbols))
                 tokens = np.frombuffer(row["doc_tokens"], "<i8")
                 before = np.cumsum(tokens) - tokens
@@ -262,9 +275,9 @@ def read_some(spark: SparkSession, path: str, doc_ids: list[int | None], start:
     def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for row in b.to_pylist():
-                rules = np.frombuffer(row["rules"], "<u2").reshape(-1, 2).astype(np.int64)
+                rules = np.frombuffer(row["rules"], f"<u{row['width']}").reshape(-1, 2).astype(np.int64)
                 length = np.concatenate([np.ones(row["n_terminals"], np.int64), np.frombuffer(row["rule_lengths"], "<i8")])
-                symbols = np.frombuffer(row["symbols"], "<u2")
+                symbols = np.frombuffer(row["symbols"], f"<u{row['width']}")
                 begins = np.append(np.frombuffer(row["doc_symbols"], "<i8"), len(symbols))
                 tokens, ids = np.frombuffer(row["doc_tokens"], "<i8"), np.frombuffer(row["doc_ids"], "<i8")
                 null = np.frombuffer(row["null_ids"], np.uint8)
