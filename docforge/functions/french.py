@@ -12,6 +12,8 @@ from docforge.functions.porter import Dialect
 from docforge.functions.snowball import Rule, Step
 
 STATE = snowball.STATE
+#: Of four stages the largest generated method has 8.8 KB, of two 5.0 KB.
+CODEGEN_STAGES = 2
 
 # Vowels, beginnings that define RV, and the endings of each step.
 VOWELS = "aeiouyâàëéêèïîôûù"

@@ -19,7 +19,7 @@ from docforge.spec import STEMMER_LANGUAGES, AnalyzerSpec
 
 STEMMERS = {"english": porter, "french": french, "german": german, "hungarian": hungarian, "spanish": spanish}
 #: Stages of the stemmer in one generated method: all of them in one exceed the JVM's limit of 8000 bytes for compiled
-#: methods, and what exceeds it is interpreted.
+#: methods, and what exceeds it is interpreted. A stemmer of larger stages has its own number.
 CODEGEN_STAGES = 4
 MAX_PARTITIONS = (1 << 31) - 1
 
@@ -45,10 +45,11 @@ def stem_column(df: DataFrame, column: str = "token", only_if: str | None = None
     keep = [f"`{c}`" for c in df.columns if c != column]
     module = STEMMERS[language]
     names = porter.state_names(module, "__")
+    together = getattr(module, "CODEGEN_STAGES", CODEGEN_STAGES)
     w = names["w"]
     out = df.selectExpr(*keep, f"`{column}` AS __t0", f"`{column}` AS {w}", *[f"0 AS {c}" for c in names.values() if c != w])
     for n, stage in enumerate(module.stages(porter.SPARK, **names), 1):
-        if n % CODEGEN_STAGES == 0:
+        if n % together == 0:
             out = out.coalesce(MAX_PARTITIONS)  # changes no partition, but generated code ends here
         out = out.selectExpr(*keep, "__t0", *[f"{stage.get(c, c)} AS {c}" for c in names.values()])
     skip = "length(__t0) < 3" if language == "english" else "false"
