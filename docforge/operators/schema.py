@@ -22,7 +22,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docforge.operators.validate import kind_of, variant
+from docforge.operators.validate import variant
 from docforge.spec import FieldSpec
 
 #: Fixed value: levels of objects an index takes unless it declares another limit.
@@ -33,7 +33,7 @@ DATE_PATTERN = (r"^[0-9]{4}(-[0-9]{2}-[0-9]{2}(T[0-9]{2}(:[0-9]{2}(:[0-9]{2}([.,
 # Variant kinds -> families of mapping types.
 FAMILIES = {"BIGINT": "long", "INT": "long", "SMALLINT": "long", "TINYINT": "long", "DECIMAL": "float", "DOUBLE": "float",
             "FLOAT": "float", "STRING": "text", "BOOLEAN": "boolean", "OBJECT": "object", "VOID": "null"}
-_ENTRY = "array<struct<path:string,value:variant>>"
+_ENTRY = "array<struct<path:string,value:variant,kind:string>>"
 
 
 def is_date(text: Column) -> Column:
@@ -42,26 +42,40 @@ def is_date(text: Column) -> Column:
     return text.rlike(DATE_PATTERN) & day.try_cast("date").isNotNull()
 
 
-def _family(value: Column) -> Column:
-    kind = kind_of(value)
-    named = F.coalesce(*[F.when(kind == k, F.lit(v)) for k, v in FAMILIES.items()], F.lower(kind))
-    return F.when((kind == "STRING") & is_date(F.try_variant_get(value, "$", "string")), F.lit("date")).otherwise(named)
+def _members(value: Column) -> Column:
+    return F.try_variant_get(value, "$", "map<string,variant>")
+
+
+def _kind(value: Column) -> Column:
+    """``kind_of`` for values of JSON: objects and arrays are known by what can be had from them, which is far less work than their whole schema."""
+    scalar = F.substring_index(F.schema_of_variant(value), "(", 1)
+    return F.when(_members(value).isNotNull(), "OBJECT").when(F.try_variant_get(value, "$", "array<variant>").isNotNull(), "ARRAY").otherwise(scalar)
+
+
+def _family(entry: Column) -> Column:
+    named = F.create_map(*[F.lit(x) for pair in FAMILIES.items() for x in pair])
+    text = F.when(is_date(F.try_variant_get(entry["value"], "$", "string")), "date").otherwise("text")
+    return F.when(entry["kind"] == "STRING", text).otherwise(F.coalesce(named[entry["kind"]], F.lower(entry["kind"])))
+
+
+def _entry(path: Column, value: Column) -> Column:
+    """A value with its path and kind. The kind is read off the value here, once, for all that ask for it: expressions inside a lambda
+    are evaluated as often as they are written."""
+    return F.struct(path.alias("path"), value.alias("value"), _kind(value).alias("kind"))
 
 
 def _fields(prefix: Column, value: Column) -> Column:
     """The fields of an object, each with its path."""
-    entries = F.map_entries(F.try_variant_get(value, "$", "map<string,variant>"))
-    dot = F.when(prefix == "", F.lit("")).otherwise(F.concat(prefix, F.lit(".")))
-    return F.transform(entries, lambda e: F.struct(F.concat(dot, e["key"]).alias("path"), e["value"].alias("value")))
+    entries = F.map_entries(_members(value))
+    return F.transform(entries, lambda e: _entry(F.when(prefix == "", e["key"]).otherwise(F.concat(prefix, F.lit("."), e["key"])), e["value"]))
 
 
 def _elements(entry: Column) -> Column:
     """The entry itself, or for an array one entry an element (a null for an empty one)."""
+    null = F.parse_json(F.lit("null"))
     inner = F.try_variant_get(entry["value"], "$", "array<variant>")
-    inner = F.when(F.size(inner) == 0, F.array(F.parse_json(F.lit("null")))).otherwise(inner)
-    return F.when(kind_of(entry["value"]) == "ARRAY",
-                  F.transform(inner, lambda v: F.struct(entry["path"].alias("path"), F.coalesce(v, F.parse_json(F.lit("null"))).alias("value")))
-                  ).otherwise(F.array(entry))
+    filled = F.when(F.size(inner) == 0, F.array(null)).otherwise(F.transform(inner, lambda v: F.coalesce(v, null)))
+    return F.when(entry["kind"] == "ARRAY", F.transform(filled, lambda v: _entry(entry["path"], v))).otherwise(F.array(entry))
 
 
 def _opened(entries: Column) -> Column:
@@ -70,25 +84,28 @@ def _opened(entries: Column) -> Column:
 
 
 def _below(entries: Column) -> Column:
-    return F.flatten(F.transform(F.filter(entries, lambda e: kind_of(e["value"]) == "OBJECT"), lambda e: _fields(e["path"], e["value"])))
+    return F.flatten(F.transform(F.filter(entries, lambda e: e["kind"] == "OBJECT"), lambda e: _fields(e["path"], e["value"])))
 
 
 def document_fields(docs: DataFrame, doc_col: str, depth: int = DEPTH) -> DataFrame:
     """One row a document, path and family of values found there: ``path``, ``family``, ``first`` (the path's first row of this document).
     A malformed or too deep document has a row with a null path besides. No shuffle."""
-    rows = docs.select(variant(F.col(doc_col)).alias("__doc"), F.col(doc_col).isNotNull().alias("__given"))
-    rows = rows.withColumn("__ok", F.coalesce(kind_of(F.col("__doc")) == "OBJECT", F.lit(False)))
+    doc = F.col(doc_col)
+    # a document has no more levels than opening braces
+    levels = F.least(F.lit(depth), F.greatest(F.lit(1), F.length(doc) - F.length(F.replace(doc, F.lit("{"), F.lit("")))))
+    rows = docs.select(variant(doc).alias("__doc"), doc.isNotNull().alias("__given"), levels.alias("__levels"))
+    rows = rows.withColumn("__ok", _members(F.col("__doc")).isNotNull())
     # one fold over the levels, so that the plan has one size whatever the depth; the state holds a level's values and the pairs found above
     start = F.struct(F.when(F.col("__ok"), _opened(_fields(F.lit(""), F.col("__doc")))).otherwise(F.array().cast(_ENTRY)).alias("level"),
                      F.array().cast("array<struct<path:string,family:string>>").alias("found"))
-    rows = rows.withColumn("__end", F.aggregate(F.sequence(F.lit(1), F.lit(depth)), start, lambda state, _: F.struct(
+    rows = rows.withColumn("__end", F.aggregate(F.sequence(F.lit(1), F.col("__levels")), start, lambda state, _: F.struct(
         _opened(_below(state["level"])).alias("level"),
-        F.concat(state["found"], F.transform(state["level"], lambda e: F.struct(e["path"].alias("path"), _family(e["value"]).alias("family"))))
+        F.concat(state["found"], F.transform(state["level"], lambda e: F.struct(e["path"].alias("path"), _family(e).alias("family"))))
         .alias("found"))))
     pairs = F.col("__end.found")
     beyond = F.array(F.when(F.col("__given") & ~F.col("__ok"), F.lit("malformed")), F.when(F.size("__end.level") > 0, F.lit("too_deep")))
     counts = F.transform(F.array_compact(beyond), lambda b: F.struct(F.lit(None).cast("string").alias("path"), b.alias("family")))
-    rows = rows.select(F.array_sort(F.array_distinct(pairs)).alias("__pairs"), counts.alias("__counts"))
+    rows = rows.select(F.sort_array(F.array_distinct(pairs)).alias("__pairs"), counts.alias("__counts"))
     first = F.transform(F.col("__pairs"), lambda p, i: F.struct(
         p["path"].alias("path"), p["family"].alias("family"),
         ((i == 0) | (F.get(F.col("__pairs"), i - 1)["path"] != p["path"])).alias("first")))

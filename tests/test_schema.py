@@ -82,3 +82,13 @@ def test_deep_documents_are_counted(spark):
 def test_text_behind_a_document_makes_it_malformed(spark):
     rows = spark.createDataFrame([('{"k":1}}',), ('{"k":1} ',), ('{"k":1}{"k":2}',), (None,), ('{"k":1},"e":0',)], "doc string")
     assert [r[0] for r in rows.select(validate.variant(F.col("doc")).isNotNull()).collect()] == [False, True, False, False, False]
+
+
+def test_kinds_are_read_once_a_value_and_levels_bounded_by_braces(spark):
+    # an expression written several times inside a lambda is evaluated as often
+    plan = schema.document_fields(_docs(spark, DOCS), "doc")._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert plan.count("schemaofvariant.") + plan.count("schema_of_variant(") <= 8  # 19 before
+    odd = ['{"a":{}}', '{"s":"{{{{"}', '{"a":[{"b":{"c":[[]]}},{"b":1},null]}', "[]", "{}", "7", None, '{"n":1e400,"d":1.0,"":{"":"2024-01-01"}}']
+    assert _rows(schema.merged_schema(_docs(spark, odd), "doc", depth=2)) == {
+        ("a", None): ("object", 2, 2), ("s", None): ("text", 1, 0), ("a.b", None): ("conflict", 1, 1), ("", None): ("conflict", 1, 1),
+        ("d", None): ("float", 1, 0), ("n", None): ("float", 1, 0), (None, "malformed"): ("malformed", 2, 0), (None, "too_deep"): ("too_deep", 1, 0)}
