@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from docforge.functions import french, german, hungarian, porter, spanish
 from docforge.functions.folding import fold
-from docforge.functions.words import SPARK_PATTERN
+from docforge.functions.words import ASCII_PATTERN, SPARK_PATTERN
 from docforge.session import spread
 from docforge.spec import STEMMER_LANGUAGES, AnalyzerSpec
 
@@ -27,9 +27,10 @@ MAX_PARTITIONS = (1 << 31) - 1
 def token_array(col: Column, analyzer: AnalyzerSpec | None = None) -> Column:
     """Lower-cased (and, when configured, folded) word tokens as an array."""
     text = F.lower(col)
-    if analyzer is not None and analyzer.configured and analyzer.ascii_folding:
-        text = fold(text)
-    return F.regexp_extract_all(text, F.lit(SPARK_PATTERN), 0)
+    plain = F.octet_length(text) == F.length(text)
+    folded = fold(text) if analyzer is not None and analyzer.configured and analyzer.ascii_folding else text
+    return (F.when(plain, F.regexp_extract_all(text, F.lit(ASCII_PATTERN), 0))
+            .otherwise(F.regexp_extract_all(folded, F.lit(SPARK_PATTERN), 0)))
 
 
 def check_language(analyzer: AnalyzerSpec) -> None:

@@ -229,3 +229,15 @@ def test_folding_over_latin_blocks(spark):
     every = spark.createDataFrame(list(TABLE.items()), "c string, goal string")
     assert every.where(fold(F.concat(F.lit("x"), F.col("c"))) != F.concat(F.lit("x"), F.col("goal"))).count() == 0
     assert all(goal.isascii() and goal.isalnum() and goal == goal.lower() for goal in TABLE.values()) and len(TABLE) > 450
+
+
+def test_ascii_texts_have_the_words_of_the_whole_rules(spark):
+    import random
+
+    from docforge.functions.words import ASCII_PATTERN, SPARK_PATTERN
+    rng = random.Random(5)
+    texts = ["".join(rng.choices("ab1_2.':,;#* -\n\t\x00~A", k=rng.randint(0, 30))) for _ in range(4000)]
+    texts += ["__", "_a_", "a__b.c_.d", "3.14,5;6'7:8", "can't o'.x e.g. a.1 1.a", "a", "", "x_1.2_", "#1 *2*"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", F.lower("t").alias("l"))
+    both = df.select("t", F.regexp_extract_all("l", F.lit(ASCII_PATTERN), 0).alias("a"), F.regexp_extract_all("l", F.lit(SPARK_PATTERN), 0).alias("b"))
+    assert [tuple(r) for r in both.where("a <> b").limit(5).collect()] == []
