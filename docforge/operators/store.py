@@ -411,7 +411,7 @@ class DocumentStore:
                 mapping: Mapping[str, FieldSpec] | None = None, analyzer: AnalyzerSpec | None = None,
                 strict: bool = True, keep_old: bool = False,
                 validate: Callable[[DataFrame], None] | None = None,
-                analyze: Callable[[DataFrame], DataFrame] | None = None, order_by: str | None = None,
+                analyze: Callable[[DataFrame], DataFrame | Mapping[str, DataFrame]] | None = None, order_by: str | None = None,
                 on_reject: str = "fail", accept: Callable[[DataFrame], None] | None = None,
                 settings: Mapping[str, object] | None = None) -> str:
         """SNK-6: build and fill first, check, publish last. Any failure, the
@@ -426,7 +426,7 @@ class DocumentStore:
         or stay out of it with ``on_reject="accept"``, and are kept in ``rejects``. ``order_by``: see :meth:`fill`.
 
         ``validate`` sees the documents before, ``accept`` the written ones before they are published; both refuse by raising.
-        ``analyze`` turns the written documents into their term table; it is
+        ``analyze`` turns the written documents into their term table, whole or field by field; it is
         written as the generation's term index before the publish, reading
         the generation's own files (the source is not recomputed)."""
         self.guard(alias)
@@ -731,8 +731,8 @@ class DocumentStore:
         mapping, analyzer, strict = self.declared(old)
         analyze = None
         if self._path_exists(self.terms_path(old)):
-            from docforge.operators.analysis import analyzed_fields
-            analyze = lambda docs: analyzed_fields(docs, "id", mapping, analyzer)
+            from docforge.operators.analysis import field_postings
+            analyze = lambda docs: field_postings(docs, "id", mapping, analyzer)
         return self.rebuild(alias, lambda: self.read(alias), mapping, analyzer, strict, analyze=analyze, accept=accept,
                             settings=self.declared_settings(old))
 

@@ -177,7 +177,7 @@ DOCUMENT_MAPPING = {"text": FieldSpec("text"), "lang": FieldSpec("keyword"), "so
 def _index_documents(spark, sf_dir):
     """The reference's main flow: create a generation with the mapping and the
     english analyzer frozen in it, fill it, build its term index, publish."""
-    from docforge.operators.analysis import analyzed_fields
+    from docforge.operators.analysis import field_postings
     from docforge.operators.documents import build_documents
     from docforge.plans.documents_q import DOCUMENTS_SPEC
 
@@ -185,7 +185,7 @@ def _index_documents(spark, sf_dir):
     store = fresh_store(spark)
     store.rebuild("documents", lambda: build_documents(spark, DOCUMENTS_SPEC, sf_dir),
                   mapping=DOCUMENT_MAPPING, analyzer=english,
-                  analyze=lambda gen: analyzed_fields(gen, "id", DOCUMENT_MAPPING, english))
+                  analyze=lambda gen: field_postings(gen, "id", DOCUMENT_MAPPING, english))
     return store
 
 

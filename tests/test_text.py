@@ -241,3 +241,29 @@ def test_ascii_texts_have_the_words_of_the_whole_rules(spark):
     df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", F.lower("t").alias("l"))
     both = df.select("t", F.regexp_extract_all("l", F.lit(ASCII_PATTERN), 0).alias("a"), F.regexp_extract_all("l", F.lit(SPARK_PATTERN), 0).alias("b"))
     assert [tuple(r) for r in both.where("a <> b").limit(5).collect()] == []
+
+
+def test_field_postings_are_the_analysed_fields(spark, tmp_path):
+    from docforge.operators.analysis import field_postings, write_term_index
+
+    english = AnalyzerSpec("english")
+    mapping = {"t": FieldSpec("text", True), "k": FieldSpec("keyword"), "n": FieldSpec("long"), "none": FieldSpec("text"), "o": FieldSpec("object")}
+    docs = spark.createDataFrame(
+        [("1", "Running runs; ran, Kov\u00e1cs' villages village", "x", 1), ("2", None, None, None), ("3", "", "", 3), ("3", "runs 3.5", "x", 4),
+         (None, "the run", "y", 5), ("4", " ".join(["word", "words"] * 400), "z", 6)], "id string, t string, k string, n long").repartition(2)
+    frames = field_postings(docs, "id", mapping, english)
+    assert set(frames) == {"t", "t.keyword", "k", "n"} and "postings" in frames["t"].columns
+    # a word of a batch is one row, however often it is there
+    assert frames["t"].groupBy("term").count().agg(F.max("count")).first()[0] <= 2 * 3
+    write_term_index(frames, f"{tmp_path}/terms")
+    order = ["id", "field", "position", "term"]
+    got = spark.read.parquet(f"{tmp_path}/terms").select(*order).collect()
+    want = analyzed_fields(docs, "id", mapping, english).select(*order).collect()
+    assert sorted(map(repr, got)) == sorted(map(repr, want)) and len(got) > 800
+    rows = spark.read.parquet(f"{tmp_path}/terms/field=t").withColumn("f", F.input_file_name()).collect()  # files are sorted on the term
+    for name in {r["f"] for r in rows}:
+        terms = [r["term"] for r in rows if r["f"] == name]
+        assert terms == sorted(terms)
+    plain = field_postings(docs, "id", {"t": FieldSpec("text")}, AnalyzerSpec())["t"].select(F.inline("postings"), "term").select("id", "position", "term")
+    other = analyzed_fields(docs, "id", {"t": FieldSpec("text")}, AnalyzerSpec()).select("id", "position", "term")
+    assert sorted(map(repr, plain.collect())) == sorted(map(repr, other.collect()))
